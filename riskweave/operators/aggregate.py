@@ -187,18 +187,36 @@ def conditional_rate(pred: Column, count_col: str, name: str) -> Column:
 GRID_CUT = 0.3765433
 
 
-def round_fixed(c: Column, digits: int = 6) -> Column:
-    """Quantise a double to a 10^-d grid: ``floor(x * 10^d + cut) / 10^d``.
+def _grid(x: Column, digits: int) -> Column:
+    if digits >= 0:
+        scale = F.lit(float(10 ** digits))
+        return F.floor(x * scale + F.lit(GRID_CUT)).cast("double") / scale
+    scale = F.lit(float(10 ** -digits))
+    return F.floor(x / scale + F.lit(GRID_CUT)).cast("double") * scale
+
+
+# (upper bound of |x|, decimals kept): about 10 significant digits everywhere.
+GRID_BANDS = ((1e4, 6), (1e7, 3), (1e10, 0), (1e15, -3))
+
+
+def round_fixed(c: Column, digits: int | None = None) -> Column:
+    """Quantise a double onto a grid: ``floor(x * 10^d + cut) / 10^d``.
 
     The same double comes out of any engine that computed the same x up to
     float noise, unlike ``round(x, d)`` (Spark rounds the shortest decimal
-    form, other engines the binary value).
+    form, other engines the binary value). By default the grid keeps ~10
+    significant digits (``GRID_BANDS``); non-finite and huge values pass.
     """
-    scale = F.lit(float(10 ** digits))
-    return (F.floor(c.cast("double") * scale + F.lit(GRID_CUT)).cast("double") / scale)
+    x = c.cast("double")
+    if digits is not None:
+        return _grid(x, digits)
+    out = F.when(F.isnan(x) | (F.abs(x) == F.lit(float("inf"))), x)
+    for bound, d in GRID_BANDS:
+        out = out.when(F.abs(x) < F.lit(bound), _grid(x, d))
+    return out.otherwise(x)
 
 
-def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
+def round_doubles(df: DataFrame, digits: int | None = None) -> DataFrame:
     """Round every double column (presentation / oracle comparison)."""
     return df.select(*[round_fixed(F.col(f"`{n}`"), digits).alias(n)
                        if isinstance(t, (T.DoubleType, T.FloatType))

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from riskweave.operators.aggregate import GRID_CUT
+from riskweave.operators.aggregate import GRID_BANDS, GRID_CUT
 
 REFERENCE_DATE = "1999-01-01"
 
@@ -78,13 +78,27 @@ def agg_sql(agg: str, col: str, zero_sum: bool = True) -> str:
     }[agg]
 
 
-def rnd(expr: str, digits: int = 6) -> str:
-    """Twin of ``round_fixed``: round(x * 10^d) / 10^d on doubles."""
-    scale = f"CAST({10 ** digits}.0 AS DOUBLE)"
-    return f"(CAST(floor(CAST({expr} AS DOUBLE) * {scale} + CAST({GRID_CUT} AS DOUBLE)) AS DOUBLE) / {scale})"
+def _grid_sql(x: str, d: int) -> str:
+    cut = f"CAST({GRID_CUT} AS DOUBLE)"
+    if d >= 0:
+        sc = f"CAST({10 ** d}.0 AS DOUBLE)"
+        return f"CAST(floor({x} * {sc} + {cut}) AS DOUBLE) / {sc}"
+    sc = f"CAST({10 ** -d}.0 AS DOUBLE)"
+    return f"CAST(floor({x} / {sc} + {cut}) AS DOUBLE) * {sc}"
 
 
-def typed(expr: str, typ: str, digits: int = 6) -> str:
+def rnd(expr: str, digits: int | None = None) -> str:
+    """Twin of ``aggregate.round_fixed`` (same grid, same cut, same bands)."""
+    x = f"CAST({expr} AS DOUBLE)"
+    if digits is not None:
+        return f"({_grid_sql(x, digits)})"
+    parts = [f"CASE WHEN NOT isfinite({x}) THEN {x}"]
+    for bound, d in GRID_BANDS:
+        parts.append(f"WHEN abs({x}) < CAST({bound!r} AS DOUBLE) THEN {_grid_sql(x, d)}")
+    return " ".join(parts) + f" ELSE {x} END"
+
+
+def typed(expr: str, typ: str, digits: int | None = None) -> str:
     if typ == "double":
         return rnd(expr, digits)
     if typ == "bigint":
@@ -125,3 +139,143 @@ SELECT links.{parent_key}, {', '.join(lvl2_items)}
 FROM links LEFT JOIN lvl1 ON links.{child_key} = lvl1.{child_key}
 WHERE links.{parent_key} IS NOT NULL
 GROUP BY links.{parent_key}"""
+
+
+def label_codes_cte(name: str, table: str, col: str) -> str:
+    """Codes = rank from 0 of the sorted distinct values, missing -> 'Unknown'."""
+    return (f"{name} AS (SELECT v, CAST(dense_rank() OVER (ORDER BY v) - 1 AS INTEGER) AS code "
+            f"FROM (SELECT DISTINCT coalesce({col}, 'Unknown') AS v FROM {table}))")
+
+
+BUREAU_CTE = f"""bureau_raw AS (
+  SELECT o_custkey AS SK_ID_CURR, o_orderkey AS SK_ID_BUREAU,
+         o_orderstatus AS CREDIT_ACTIVE, o_orderpriority AS CREDIT_TYPE,
+         CAST({days_before('o_orderdate')} AS INTEGER) AS DAYS_CREDIT,
+         o_totalprice AS AMT_CREDIT_SUM,
+         CASE WHEN o_orderstatus = 'F' THEN CAST(0.0 AS DOUBLE) ELSE o_totalprice END AS AMT_CREDIT_SUM_DEBT,
+         CASE WHEN o_orderpriority = '1-URGENT' THEN o_totalprice * CAST(0.1 AS DOUBLE)
+              ELSE CAST(0.0 AS DOUBLE) END AS AMT_CREDIT_MAX_OVERDUE
+  FROM orders
+)"""
+
+MONTHS_INDEX = "(12 * (year({ts}) - 1999) + month({ts}) - 1)"
+
+BB_LINEITEM_CTE = f"""bb AS (
+  SELECT l_orderkey AS SK_ID_BUREAU, CAST({MONTHS_INDEX.format(ts='l_shipdate')} AS INTEGER) AS MONTHS_BALANCE,
+         l_returnflag AS STATUS FROM lineitem)"""
+
+BB_EVENTS_CTE = f"""bb AS (
+  SELECT user_id AS SK_ID_BUREAU, CAST({MONTHS_INDEX.format(ts='ts')} AS INTEGER) AS MONTHS_BALANCE,
+         CASE WHEN value < CAST(1.0 AS DOUBLE) THEN NULL ELSE event_type END AS STATUS FROM events)"""
+
+PREV_CTE = f"""prev_raw AS (
+  SELECT o_custkey AS SK_ID_CURR, o_orderkey AS SK_ID_PREV, o_orderstatus AS NAME_CONTRACT_STATUS,
+         o_totalprice AS AMT_CREDIT,
+         CASE WHEN o_orderpriority = '5-LOW' THEN CAST(0.0 AS DOUBLE)
+              ELSE o_totalprice / CAST(12.0 AS DOUBLE) END AS AMT_ANNUITY,
+         o_totalprice * CAST(0.9 AS DOUBLE) AS AMT_GOODS_PRICE,
+         CAST({days_before('o_orderdate')} AS INTEGER) AS DAYS_DECISION
+  FROM orders
+)"""
+
+
+def safe_ratio(a: str, b: str) -> str:
+    return f"coalesce(CAST({a} AS DOUBLE) / nullif(CAST({b} AS DOUBLE), 0), CAST(0.0 AS DOUBLE))"
+
+
+# Category values of the driver's test tables (fixed by the generator).
+EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
+RETURN_FLAGS = ("A", "N", "R")
+SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
+
+
+def shares_sql(col: str, values, name_prefix: str, prefix: str = "") -> list[str]:
+    return [rnd(f"avg(CASE WHEN {col} = '{v}' THEN CAST(1.0 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END)")
+            + f' AS "{prefix}{name_prefix}{v}_MEAN"' for v in values]
+
+
+def bb_agg_sql(values, round_out: bool = True) -> str:
+    """bureau_balance -> SK_ID_BUREAU: month min/max/size + status shares."""
+    shares = [f"avg(CASE WHEN STATUS = '{v}' THEN CAST(1.0 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END)"
+              f' AS "STATUS_{v}_MEAN"' for v in values]
+    if round_out:
+        shares = shares_sql("STATUS", values, "STATUS_")
+    return (f"SELECT SK_ID_BUREAU, min(MONTHS_BALANCE) AS MONTHS_BALANCE_MIN, "
+            f"max(MONTHS_BALANCE) AS MONTHS_BALANCE_MAX, count(*) AS MONTHS_BALANCE_SIZE, "
+            f"{', '.join(shares)} FROM bb WHERE SK_ID_BUREAU IS NOT NULL GROUP BY SK_ID_BUREAU")
+
+
+BUREAU_RATIOS = ("DEBT_CREDIT_RATIO", "CREDIT_OVERDUE_DEBT_RATIO")
+BUREAU_AMOUNTS = ("AMT_CREDIT_SUM", "AMT_CREDIT_SUM_DEBT", "AMT_CREDIT_MAX_OVERDUE")
+
+
+def bureau_rule(col: str) -> list[str]:
+    if col in BUREAU_RATIOS:
+        return ["min", "mean", "max", "var"]
+    if "STATUS_" in col:
+        return ["mean"]
+    if col in BUREAU_AMOUNTS:
+        return ["min", "mean", "max", "sum"]
+    return ["mean"]
+
+
+def latest_sql(col: str, order_col: str, tie_col: str, name: str, typ: str) -> str:
+    e = (f"arg_max({col}, {{'a': {order_col} IS NULL, 'b': {order_col}, 'c': {tie_col}}}) "
+         f"FILTER (WHERE {col} IS NOT NULL)")
+    return f'{typed(e, typ)} AS "{name}"'
+
+
+def bureau_agg_sql(status_values=None) -> str:
+    """Twin of ``features.bureau_client_agg`` on the orders-as-bureau view."""
+    types = {"CREDIT_ACTIVE": "int", "CREDIT_TYPE": "int", "DAYS_CREDIT": "int",
+             "AMT_CREDIT_SUM": "double", "AMT_CREDIT_SUM_DEBT": "double",
+             "AMT_CREDIT_MAX_OVERDUE": "double", "DEBT_CREDIT_RATIO": "double",
+             "CREDIT_OVERDUE_DEBT_RATIO": "double"}
+    ctes = [BUREAU_CTE, label_codes_cte("ca", "bureau_raw", "CREDIT_ACTIVE"),
+            label_codes_cte("ct", "bureau_raw", "CREDIT_TYPE")]
+    bb_cols, join = "", ""
+    if status_values is not None:
+        ctes += [BB_LINEITEM_CTE, f"bb_agg AS ({bb_agg_sql(status_values, round_out=False)})"]
+        types.update({"MONTHS_BALANCE_MIN": "int", "MONTHS_BALANCE_MAX": "int",
+                      "MONTHS_BALANCE_SIZE": "bigint"})
+        types.update({f"STATUS_{v}_MEAN": "double" for v in status_values})
+        bb_cols = ", " + ", ".join(f'bb_agg."{c}"' for c in types if c.startswith(("MONTHS_", "STATUS_")))
+        join = "LEFT JOIN bb_agg ON b.SK_ID_BUREAU = bb_agg.SK_ID_BUREAU"
+    ctes.append(f"""bureau AS (
+  SELECT b.SK_ID_CURR, b.SK_ID_BUREAU, ca.code AS CREDIT_ACTIVE, ct.code AS CREDIT_TYPE, b.DAYS_CREDIT,
+         b.AMT_CREDIT_SUM, b.AMT_CREDIT_SUM_DEBT, b.AMT_CREDIT_MAX_OVERDUE{bb_cols},
+         {safe_ratio('b.AMT_CREDIT_SUM_DEBT', 'b.AMT_CREDIT_SUM')} AS DEBT_CREDIT_RATIO,
+         {safe_ratio('b.AMT_CREDIT_MAX_OVERDUE', 'b.AMT_CREDIT_SUM_DEBT')} AS CREDIT_OVERDUE_DEBT_RATIO
+  FROM bureau_raw b {join}
+  JOIN ca ON coalesce(b.CREDIT_ACTIVE, 'Unknown') = ca.v
+  JOIN ct ON coalesce(b.CREDIT_TYPE, 'Unknown') = ct.v)""")
+    spec = {c: bureau_rule(c) for c in types}
+    items, _ = spec_select(spec, types, "BUREAU_")
+    items.append('CAST(count(SK_ID_BUREAU) AS BIGINT) AS "BUREAU_LOAN_COUNT"')
+    for c in ("DAYS_CREDIT", "AMT_CREDIT_SUM", "AMT_CREDIT_SUM_DEBT"):
+        items.append(latest_sql(c, "DAYS_CREDIT", "SK_ID_BUREAU", f"BUREAU_RECENT_{c}", types[c]))
+    return (f"WITH {', '.join(ctes)}\nSELECT SK_ID_CURR, {', '.join(items)}\n"
+            f"FROM bureau WHERE SK_ID_CURR IS NOT NULL GROUP BY SK_ID_CURR")
+
+
+PREV_WIDE = ("CREDIT_TO_ANNUITY_RATIO", "CREDIT_TO_GOODS_RATIO", "AMT_CREDIT", "AMT_ANNUITY")
+
+
+def prev_agg_sql(approved_code: int = 1) -> str:
+    types = {"NAME_CONTRACT_STATUS": "int", "AMT_CREDIT": "double", "AMT_ANNUITY": "double",
+             "AMT_GOODS_PRICE": "double", "DAYS_DECISION": "int",
+             "CREDIT_TO_ANNUITY_RATIO": "double", "CREDIT_TO_GOODS_RATIO": "double"}
+    spec = {c: (["min", "mean", "max", "sum"] if c in PREV_WIDE else ["mean"]) for c in types}
+    items, _ = spec_select(spec, types, "PREV_")
+    items.append('CAST(count(SK_ID_PREV) AS BIGINT) AS "PREV_APP_COUNT"')
+    items.append(rnd(f"coalesce(CAST(count(*) FILTER (WHERE NAME_CONTRACT_STATUS = {approved_code}) AS DOUBLE)"
+                     f" / nullif(CAST(count(SK_ID_PREV) AS DOUBLE), 0), CAST(0.0 AS DOUBLE))")
+                 + ' AS "PREV_APPROVAL_RATE"')
+    return f"""WITH {PREV_CTE}, {label_codes_cte('cs', 'prev_raw', 'NAME_CONTRACT_STATUS')},
+prev AS (
+  SELECT p.SK_ID_CURR, p.SK_ID_PREV, cs.code AS NAME_CONTRACT_STATUS, p.AMT_CREDIT, p.AMT_ANNUITY,
+         p.AMT_GOODS_PRICE, p.DAYS_DECISION,
+         {safe_ratio('p.AMT_CREDIT', 'p.AMT_ANNUITY')} AS CREDIT_TO_ANNUITY_RATIO,
+         {safe_ratio('p.AMT_CREDIT', 'p.AMT_GOODS_PRICE')} AS CREDIT_TO_GOODS_RATIO
+  FROM prev_raw p JOIN cs ON coalesce(p.NAME_CONTRACT_STATUS, 'Unknown') = cs.v)
+SELECT SK_ID_CURR, {', '.join(items)} FROM prev WHERE SK_ID_CURR IS NOT NULL GROUP BY SK_ID_CURR"""

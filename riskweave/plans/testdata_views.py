@@ -44,3 +44,65 @@ def instalments(spark: SparkSession, sf_dir: str) -> DataFrame:
 def loan_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read_table(spark, sf_dir, "orders")
     return o.select(F.col("o_custkey").alias("SK_ID_CURR"), F.col("o_orderkey").alias("SK_ID_PREV"))
+
+
+def bureau(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """orders as credit-bureau loans of a client.
+
+    Finished orders owe nothing (debt 0, so the overdue/debt ratio meets a
+    zero denominator); urgent orders carry a tenth of the price overdue.
+    """
+    o = read_table(spark, sf_dir, "orders")
+    finished = F.col("o_orderstatus") == F.lit("F")
+    return o.select(
+        F.col("o_custkey").alias("SK_ID_CURR"),
+        F.col("o_orderkey").alias("SK_ID_BUREAU"),
+        F.col("o_orderstatus").alias("CREDIT_ACTIVE"),
+        F.col("o_orderpriority").alias("CREDIT_TYPE"),
+        days_before("o_orderdate").alias("DAYS_CREDIT"),
+        F.col("o_totalprice").alias("AMT_CREDIT_SUM"),
+        F.when(finished, F.lit(0.0)).otherwise(F.col("o_totalprice")).alias("AMT_CREDIT_SUM_DEBT"),
+        F.when(F.col("o_orderpriority") == F.lit("1-URGENT"), F.col("o_totalprice") * F.lit(0.1))
+         .otherwise(F.lit(0.0)).alias("AMT_CREDIT_MAX_OVERDUE"),
+    )
+
+
+def months_index(ts_col: str):
+    return (F.lit(12) * (F.year(F.col(ts_col)) - F.lit(1999)) + F.month(F.col(ts_col)) - F.lit(1))
+
+
+def bureau_balance_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem as monthly balance rows of a bureau loan; status = return flag."""
+    li = read_table(spark, sf_dir, "lineitem")
+    return li.select(F.col("l_orderkey").alias("SK_ID_BUREAU"),
+                     months_index("l_shipdate").alias("MONTHS_BALANCE"),
+                     F.col("l_returnflag").alias("STATUS"))
+
+
+def bureau_balance_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """events as monthly status rows; low-value events carry no status."""
+    ev = read_table(spark, sf_dir, "events")
+    return ev.select(F.col("user_id").alias("SK_ID_BUREAU"),
+                     months_index("ts").alias("MONTHS_BALANCE"),
+                     F.when(F.col("value") < F.lit(1.0), F.lit(None).cast("string"))
+                      .otherwise(F.col("event_type")).alias("STATUS"))
+
+
+def previous_applications(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """orders as previous applications; low-priority ones have no annuity."""
+    o = read_table(spark, sf_dir, "orders")
+    return o.select(
+        F.col("o_custkey").alias("SK_ID_CURR"),
+        F.col("o_orderkey").alias("SK_ID_PREV"),
+        F.col("o_orderstatus").alias("NAME_CONTRACT_STATUS"),
+        F.col("o_totalprice").alias("AMT_CREDIT"),
+        F.when(F.col("o_orderpriority") == F.lit("5-LOW"), F.lit(0.0))
+         .otherwise(F.col("o_totalprice") / F.lit(12.0)).alias("AMT_ANNUITY"),
+        (F.col("o_totalprice") * F.lit(0.9)).alias("AMT_GOODS_PRICE"),
+        days_before("o_orderdate").alias("DAYS_DECISION"),
+    )
+
+
+def clients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = read_table(spark, sf_dir, "customer")
+    return c.select(F.col("c_custkey").alias("SK_ID_CURR"), "c_nationkey", "c_acctbal", "c_mktsegment")
