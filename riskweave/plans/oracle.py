@@ -124,12 +124,12 @@ def spec_select(spec: Mapping[str, Sequence[str]], types: Mapping[str, str], pre
 
 def two_level_sql(child_cte: str, child_table: str, link_sql: str, child_key: str,
                   parent_key: str, spec: Mapping[str, Sequence[str]], types: Mapping[str, str],
-                  prefix: str) -> str:
+                  prefix: str, with_types: bool = False):
     p = f"{prefix}_"
     lvl1_items, lvl1_types = spec_select(spec, types, p, zero_sum=True, round_out=False)
     lvl2_spec = {n: ["mean", "max"] for n in lvl1_types}
-    lvl2_items, _ = spec_select(lvl2_spec, lvl1_types, p, zero_sum=False)
-    return f"""WITH {child_cte},
+    lvl2_items, lvl2_types = spec_select(lvl2_spec, lvl1_types, p, zero_sum=False)
+    sql = f"""WITH {child_cte},
 lvl1 AS (
   SELECT {child_key}, {', '.join(lvl1_items)}
   FROM {child_table} WHERE {child_key} IS NOT NULL GROUP BY {child_key}
@@ -139,6 +139,7 @@ SELECT links.{parent_key}, {', '.join(lvl2_items)}
 FROM links LEFT JOIN lvl1 ON links.{child_key} = lvl1.{child_key}
 WHERE links.{parent_key} IS NOT NULL
 GROUP BY links.{parent_key}"""
+    return (sql, lvl2_types) if with_types else sql
 
 
 def label_codes_cte(name: str, table: str, col: str) -> str:
@@ -225,7 +226,7 @@ def latest_sql(col: str, order_col: str, tie_col: str, name: str, typ: str) -> s
     return f'{typed(e, typ)} AS "{name}"'
 
 
-def bureau_agg_sql(status_values=None) -> str:
+def bureau_agg_sql(status_values=None, with_types: bool = False):
     """Twin of ``features.bureau_client_agg`` on the orders-as-bureau view."""
     types = {"CREDIT_ACTIVE": "int", "CREDIT_TYPE": "int", "DAYS_CREDIT": "int",
              "AMT_CREDIT_SUM": "double", "AMT_CREDIT_SUM_DEBT": "double",
@@ -250,28 +251,32 @@ def bureau_agg_sql(status_values=None) -> str:
   JOIN ca ON coalesce(b.CREDIT_ACTIVE, 'Unknown') = ca.v
   JOIN ct ON coalesce(b.CREDIT_TYPE, 'Unknown') = ct.v)""")
     spec = {c: bureau_rule(c) for c in types}
-    items, _ = spec_select(spec, types, "BUREAU_")
+    items, out_types = spec_select(spec, types, "BUREAU_")
     items.append('CAST(count(SK_ID_BUREAU) AS BIGINT) AS "BUREAU_LOAN_COUNT"')
+    out_types["BUREAU_LOAN_COUNT"] = "bigint"
     for c in ("DAYS_CREDIT", "AMT_CREDIT_SUM", "AMT_CREDIT_SUM_DEBT"):
         items.append(latest_sql(c, "DAYS_CREDIT", "SK_ID_BUREAU", f"BUREAU_RECENT_{c}", types[c]))
-    return (f"WITH {', '.join(ctes)}\nSELECT SK_ID_CURR, {', '.join(items)}\n"
-            f"FROM bureau WHERE SK_ID_CURR IS NOT NULL GROUP BY SK_ID_CURR")
+        out_types[f"BUREAU_RECENT_{c}"] = types[c]
+    sql = (f"WITH {', '.join(ctes)}\nSELECT SK_ID_CURR, {', '.join(items)}\n"
+           f"FROM bureau WHERE SK_ID_CURR IS NOT NULL GROUP BY SK_ID_CURR")
+    return (sql, out_types) if with_types else sql
 
 
 PREV_WIDE = ("CREDIT_TO_ANNUITY_RATIO", "CREDIT_TO_GOODS_RATIO", "AMT_CREDIT", "AMT_ANNUITY")
 
 
-def prev_agg_sql(approved_code: int = 1) -> str:
+def prev_agg_sql(approved_code: int = 1, with_types: bool = False):
     types = {"NAME_CONTRACT_STATUS": "int", "AMT_CREDIT": "double", "AMT_ANNUITY": "double",
              "AMT_GOODS_PRICE": "double", "DAYS_DECISION": "int",
              "CREDIT_TO_ANNUITY_RATIO": "double", "CREDIT_TO_GOODS_RATIO": "double"}
     spec = {c: (["min", "mean", "max", "sum"] if c in PREV_WIDE else ["mean"]) for c in types}
-    items, _ = spec_select(spec, types, "PREV_")
+    items, out_types = spec_select(spec, types, "PREV_")
+    out_types.update({"PREV_APP_COUNT": "bigint", "PREV_APPROVAL_RATE": "double"})
     items.append('CAST(count(SK_ID_PREV) AS BIGINT) AS "PREV_APP_COUNT"')
     items.append(rnd(f"coalesce(CAST(count(*) FILTER (WHERE NAME_CONTRACT_STATUS = {approved_code}) AS DOUBLE)"
                      f" / nullif(CAST(count(SK_ID_PREV) AS DOUBLE), 0), CAST(0.0 AS DOUBLE))")
                  + ' AS "PREV_APPROVAL_RATE"')
-    return f"""WITH {PREV_CTE}, {label_codes_cte('cs', 'prev_raw', 'NAME_CONTRACT_STATUS')},
+    sql = f"""WITH {PREV_CTE}, {label_codes_cte('cs', 'prev_raw', 'NAME_CONTRACT_STATUS')},
 prev AS (
   SELECT p.SK_ID_CURR, p.SK_ID_PREV, cs.code AS NAME_CONTRACT_STATUS, p.AMT_CREDIT, p.AMT_ANNUITY,
          p.AMT_GOODS_PRICE, p.DAYS_DECISION,
@@ -279,3 +284,22 @@ prev AS (
          {safe_ratio('p.AMT_CREDIT', 'p.AMT_GOODS_PRICE')} AS CREDIT_TO_GOODS_RATIO
   FROM prev_raw p JOIN cs ON coalesce(p.NAME_CONTRACT_STATUS, 'Unknown') = cs.v)
 SELECT SK_ID_CURR, {', '.join(items)} FROM prev WHERE SK_ID_CURR IS NOT NULL GROUP BY SK_ID_CURR"""
+    return (sql, out_types) if with_types else sql
+
+
+APP_RAW_CTE = """app_raw AS (
+  SELECT p_partkey AS SK_ID_CURR,
+         CASE WHEN p_brand LIKE 'Brand#1%' THEN CAST(NULL AS DOUBLE)
+              ELSE CAST(CASE WHEN p_size > 25 THEN 1.0 ELSE 0.0 END AS DOUBLE) END AS TARGET,
+         -(7000 + p_size * 300) AS DAYS_BIRTH,
+         CASE WHEN p_size > 45 THEN 365243 ELSE -(p_size * 97) END AS DAYS_EMPLOYED,
+         -(p_size * 50) AS DAYS_REGISTRATION,
+         -(p_size * 10) AS DAYS_ID_PUBLISH,
+         p_retailprice * CAST(100.0 AS DOUBLE) AS AMT_INCOME_TOTAL,
+         p_retailprice * CAST(300.0 AS DOUBLE) AS AMT_CREDIT,
+         CASE WHEN p_size < 5 THEN CAST(NULL AS DOUBLE) ELSE p_retailprice * CAST(20.0 AS DOUBLE) END AS AMT_ANNUITY,
+         CASE WHEN p_size = 1 THEN CAST(0.0 AS DOUBLE) ELSE p_retailprice * CAST(250.0 AS DOUBLE) END AS AMT_GOODS_PRICE,
+         CAST(p_size % 4 AS DOUBLE) AS CNT_FAM_MEMBERS,
+         CASE WHEN p_size < 40 THEN CAST(NULL AS DOUBLE) ELSE CAST(p_size AS DOUBLE) END AS OWN_CAR_AGE,
+         p_type AS NAME_TYPE
+  FROM part)"""

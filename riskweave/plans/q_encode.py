@@ -1 +1,367 @@
-"""Registered queries (see catalog)."""
+"""Encoding, imputation, profile and schema queries (F2-F17, A12-A14, U1,
+P5-P13, J3, S1-S5)."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from riskweave.functions import names as N
+from riskweave.functions.scalar import (abs_widened, days_to_years, null_if_sentinel,
+                                        sentinel_flag)
+from riskweave.operators import contract as C
+from riskweave.operators import encode as E
+from riskweave.operators.aggregate import round_doubles
+from riskweave.plans import features as feat
+from riskweave.plans import oracle as O
+from riskweave.plans import testdata_views as V
+from riskweave.plans.catalog import register
+from riskweave.plans.loan_specs import INS_SPEC
+from riskweave.session import scratch_path
+
+# --- F4, F14 ------------------------------------------------------------------
+
+_LABEL_SQL = f"""WITH o AS (
+  SELECT o_orderkey, o_orderstatus,
+         CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderpriority END AS o_orderpriority FROM orders),
+{O.label_codes_cte('cs', 'o', 'o_orderstatus')}, {O.label_codes_cte('cp', 'o', 'o_orderpriority')}
+SELECT o.o_orderkey, cs.code AS o_orderstatus, cp.code AS o_orderpriority
+FROM o JOIN cs ON coalesce(o.o_orderstatus, 'Unknown') = cs.v
+       JOIN cp ON coalesce(o.o_orderpriority, 'Unknown') = cp.v"""
+
+
+@register("label_encode", _LABEL_SQL)
+def label_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of sorted distinct values; the missing priority of pending orders is 'Unknown'."""
+    o = V.read_table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_orderstatus",
+        F.when(F.col("o_orderstatus") == "P", F.lit(None).cast("string"))
+         .otherwise(F.col("o_orderpriority")).alias("o_orderpriority"))
+    return E.label_encode(o, ["o_orderstatus", "o_orderpriority"])
+
+
+# --- F4, F15 --------------------------------------------------------------------
+
+_ONEHOT_SQL = ("SELECT c_custkey, " + O.rnd("c_acctbal") + " AS c_acctbal, "
+               + ", ".join(f"CAST(CASE WHEN coalesce(c_mktsegment, 'Unknown') = '{v}' THEN 1 ELSE 0 END "
+                           f"AS INTEGER) AS \"c_mktsegment_{v}\"" for v in O.SEGMENTS)
+               + " FROM customer")
+
+
+@register("one_hot", _ONEHOT_SQL)
+def one_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = V.read_table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", "c_mktsegment")
+    return round_doubles(E.one_hot(c, ["c_mktsegment"]))
+
+
+# --- A12, F6, M1 ------------------------------------------------------------------
+
+def _nulled_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = V.read_table(spark, sf_dir, "orders")
+    price = F.col("o_totalprice")
+    return o.select(
+        "o_orderkey", "o_custkey", price.alias("PRICE"),
+        F.when(F.col("o_orderpriority") == "5-LOW", F.lit(None).cast("double")).otherwise(price).alias("P_LOW"),
+        F.when(F.col("o_orderstatus") != "O", F.lit(None).cast("double")).otherwise(price).alias("P_OPEN"),
+        F.when((F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderstatus") == "F"), price)
+         .otherwise(F.lit(None).cast("double")).alias("P_RARE"),
+        V.days_before("o_orderdate").alias("DAYS_ORDER"))
+
+
+_NULLED_CTE = f"""o AS (
+  SELECT o_orderkey, o_custkey, o_totalprice AS PRICE,
+         CASE WHEN o_orderpriority = '5-LOW' THEN CAST(NULL AS DOUBLE) ELSE o_totalprice END AS P_LOW,
+         CASE WHEN o_orderstatus <> 'O' THEN CAST(NULL AS DOUBLE) ELSE o_totalprice END AS P_OPEN,
+         CASE WHEN o_orderpriority = '1-URGENT' AND o_orderstatus = 'F' THEN o_totalprice
+              ELSE CAST(NULL AS DOUBLE) END AS P_RARE,
+         CAST({O.days_before('o_orderdate')} AS INTEGER) AS DAYS_ORDER
+  FROM orders)"""
+_NULLED_COLS = ("o_orderkey", "o_custkey", "PRICE", "P_LOW", "P_OPEN", "P_RARE", "DAYS_ORDER")
+
+_MISSING_SQL = f"WITH {_NULLED_CTE}, s AS (SELECT " + ", ".join(
+    f"avg(CASE WHEN {c} IS NULL THEN CAST(1.0 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END) AS {c}"
+    for c in _NULLED_COLS) + " FROM o)\n" + "\nUNION ALL ".join(
+    f"SELECT CAST({i} AS INTEGER) AS pos, '{c}' AS column_name, {O.rnd(c)} AS missing_share, "
+    f"{c} > CAST(0.75 AS DOUBLE) AS dropped_75, {c} > CAST(0.9 AS DOUBLE) AS dropped_90 FROM s"
+    for i, c in enumerate(_NULLED_COLS))
+
+
+@register("missing_profile", _MISSING_SQL)
+def missing_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Missing share per column in one aggregate, unpivoted to one row per column."""
+    o = _nulled_orders(spark, sf_dir)
+    cols = o.columns
+    wide = o.agg(*[F.avg(F.col(c).isNull().cast("double")).alias(c) for c in cols])
+    long = wide.select(F.inline(F.array(*[
+        F.struct(F.lit(i).alias("pos"), F.lit(c).alias("column_name"), F.col(c).alias("missing_share"))
+        for i, c in enumerate(cols)])))
+    return round_doubles(long.select(
+        "pos", "column_name", "missing_share",
+        (F.col("missing_share") > F.lit(0.75)).alias("dropped_75"),
+        (F.col("missing_share") > F.lit(0.9)).alias("dropped_90")))
+
+
+# P_RARE has ~93 % missing: above both thresholds in the test tables.
+@register("drop_high_missing", f"WITH {_NULLED_CTE} SELECT o_orderkey, o_custkey, {O.rnd('PRICE')} AS PRICE, "
+          f"{O.rnd('P_LOW')} AS P_LOW, {O.rnd('P_OPEN')} AS P_OPEN, DAYS_ORDER FROM o")
+def drop_high_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df, _dropped = E.drop_high_missing(_nulled_orders(spark, sf_dir), 0.75)
+    return round_doubles(df)
+
+
+# --- A13, F5, F2 -----------------------------------------------------------------
+
+@register("median_impute", f"""WITH {_NULLED_CTE},
+m AS (SELECT median(P_LOW) AS m_low, median(P_OPEN) AS m_open, median(P_RARE) AS m_rare FROM o)
+SELECT o_orderkey, {O.rnd('coalesce(P_LOW, m_low)')} AS P_LOW, {O.rnd('coalesce(P_OPEN, m_open)')} AS P_OPEN,
+       {O.rnd('coalesce(P_RARE, m_rare)')} AS P_RARE FROM o, m""")
+def median_impute(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = _nulled_orders(spark, sf_dir).select("o_orderkey", "P_LOW", "P_OPEN", "P_RARE")
+    return round_doubles(E.median_impute(o, ["P_LOW", "P_OPEN", "P_RARE"]))
+
+
+@register("ratio_impute", f"""WITH {_NULLED_CTE},
+r AS (SELECT o_orderkey, CAST(PRICE AS DOUBLE) / nullif(CAST(CASE WHEN P_LOW IS NULL THEN 0 ELSE DAYS_ORDER END AS DOUBLE), 0) AS PRICE_DAY_RATIO FROM o),
+m AS (SELECT median(PRICE_DAY_RATIO) AS med FROM r)
+SELECT o_orderkey, {O.rnd('coalesce(PRICE_DAY_RATIO, med)')} AS PRICE_DAY_RATIO FROM r, m""")
+def ratio_impute(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ratio with a zero denominator (low-priority orders) filled with the ratio's median."""
+    o = _nulled_orders(spark, sf_dir).select(
+        "o_orderkey", "PRICE",
+        F.when(F.col("P_LOW").isNull(), F.lit(0)).otherwise(F.col("DAYS_ORDER")).alias("DEN"))
+    return round_doubles(E.ratio_impute(o, {"PRICE_DAY_RATIO": ("PRICE", "DEN")})
+                         .select("o_orderkey", "PRICE_DAY_RATIO"))
+
+
+# --- F7-F9 -------------------------------------------------------------------------
+
+@register("sentinel_flag", """WITH a AS (
+  SELECT p_partkey, abs(CASE WHEN p_size > 45 THEN 365243 ELSE -(p_size * 97) END) AS DE,
+         abs(-(7000 + p_size * 300)) AS DAYS_BIRTH FROM part)
+SELECT p_partkey, DAYS_BIRTH, """ + O.rnd("CAST(DAYS_BIRTH AS DOUBLE) / CAST(365.0 AS DOUBLE)") + """ AS AGE_YEARS,
+       """ + O.rnd("CAST(DE AS DOUBLE) / CAST(365.0 AS DOUBLE)") + """ AS EMPLOYMENT_YEARS,
+       DE = 365243 AS DAYS_EMPLOYED_ANOM,
+       CASE WHEN DE = 365243 THEN NULL ELSE DE END AS DAYS_EMPLOYED FROM a""")
+def sentinel_flag_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """abs -> years -> flag -> NULL, in the reference's order (years keep the sentinel)."""
+    p = V.read_table(spark, sf_dir, "part")
+    size = F.col("p_size")
+    d = p.select("p_partkey",
+                 abs_widened(F.when(size > 45, F.lit(365243)).otherwise(-(size * 97)), False).alias("DE"),
+                 abs_widened(-(F.lit(7000) + size * 300), False).alias("DAYS_BIRTH"))
+    return round_doubles(d.select(
+        "p_partkey", "DAYS_BIRTH", days_to_years("DAYS_BIRTH").alias("AGE_YEARS"),
+        days_to_years("DE").alias("EMPLOYMENT_YEARS"),
+        sentinel_flag("DE").alias("DAYS_EMPLOYED_ANOM"),
+        null_if_sentinel("DE").alias("DAYS_EMPLOYED")))
+
+
+# --- U1, P5, F2, F5, F6, F7-F9: whole application stage ----------------------------
+
+_APP_SQL = f"""WITH {O.APP_RAW_CTE},
+med AS (SELECT median(AMT_ANNUITY) AS m_ann FROM app_raw),
+a1 AS (
+  SELECT SK_ID_CURR, TARGET, abs(DAYS_BIRTH) AS DAYS_BIRTH, abs(DAYS_EMPLOYED) AS DE,
+         abs(DAYS_REGISTRATION) AS DAYS_REGISTRATION, abs(DAYS_ID_PUBLISH) AS DAYS_ID_PUBLISH,
+         AMT_INCOME_TOTAL, AMT_CREDIT, coalesce(AMT_ANNUITY, m_ann) AS AMT_ANNUITY, AMT_GOODS_PRICE,
+         CNT_FAM_MEMBERS, NAME_TYPE
+  FROM app_raw, med),
+a2 AS (
+  SELECT *, CAST(DAYS_BIRTH AS DOUBLE) / 365.0 AS AGE_YEARS, CAST(DE AS DOUBLE) / 365.0 AS EMPLOYMENT_YEARS,
+         CAST(DAYS_REGISTRATION AS DOUBLE) / 365.0 AS REGISTRATION_YEARS,
+         CAST(DAYS_ID_PUBLISH AS DOUBLE) / 365.0 AS ID_PUBLISH_YEARS,
+         DE = 365243 AS DAYS_EMPLOYED_ANOM, CASE WHEN DE = 365243 THEN NULL ELSE DE END AS DAYS_EMPLOYED,
+         AMT_INCOME_TOTAL / nullif(AMT_CREDIT, 0) AS r1, AMT_INCOME_TOTAL / nullif(CNT_FAM_MEMBERS, 0) AS r2,
+         AMT_ANNUITY / nullif(AMT_INCOME_TOTAL, 0) AS r3, AMT_CREDIT / nullif(AMT_GOODS_PRICE, 0) AS r4
+  FROM a1),
+rm AS (SELECT median(r1) AS m1, median(r2) AS m2, median(r3) AS m3, median(r4) AS m4 FROM a2)
+SELECT SK_ID_CURR, TARGET, DAYS_BIRTH, DAYS_EMPLOYED, DAYS_REGISTRATION, DAYS_ID_PUBLISH,
+       {O.rnd('AMT_INCOME_TOTAL')} AS AMT_INCOME_TOTAL, {O.rnd('AMT_CREDIT')} AS AMT_CREDIT,
+       {O.rnd('AMT_ANNUITY')} AS AMT_ANNUITY, {O.rnd('AMT_GOODS_PRICE')} AS AMT_GOODS_PRICE,
+       {O.rnd('CNT_FAM_MEMBERS')} AS CNT_FAM_MEMBERS, NAME_TYPE,
+       {O.rnd('AGE_YEARS')} AS AGE_YEARS, {O.rnd('EMPLOYMENT_YEARS')} AS EMPLOYMENT_YEARS,
+       {O.rnd('REGISTRATION_YEARS')} AS REGISTRATION_YEARS, {O.rnd('ID_PUBLISH_YEARS')} AS ID_PUBLISH_YEARS,
+       DAYS_EMPLOYED_ANOM,
+       {O.rnd('coalesce(r1, m1)')} AS INCOME_CREDIT_RATIO, {O.rnd('coalesce(r2, m2)')} AS INCOME_PER_PERSON,
+       {O.rnd('coalesce(r3, m3)')} AS ANNUITY_INCOME_RATIO, {O.rnd('coalesce(r4, m4)')} AS CREDIT_GOODS_RATIO
+FROM a2, rm"""
+
+
+@register("application_features", _APP_SQL)
+def application_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Union of train and test, > 75 % missing columns dropped (OWN_CAR_AGE here),
+    medians filled, days made positive, years, sentinel, ratios with median fill."""
+    train, test = V.applications(spark, sf_dir)
+    return round_doubles(feat.application_features(train, test))
+
+
+# --- U1, P5 --------------------------------------------------------------------------
+
+@register("union_split", f"""SELECT c_custkey AS SK_ID_CURR, c_nationkey, {O.rnd('c_acctbal')} AS c_acctbal,
+  CAST(CASE WHEN c_acctbal < 0 THEN 1.0 ELSE 0.0 END AS DOUBLE) AS TARGET, 'train' AS split
+FROM customer WHERE c_mktsegment <> 'BUILDING'
+UNION ALL
+SELECT c_custkey, c_nationkey, {O.rnd('c_acctbal')}, CAST(NULL AS DOUBLE), 'test' FROM customer
+WHERE c_mktsegment = 'BUILDING'""")
+def union_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Train rows carry a label, test rows lack the column; union by name, split back."""
+    c = V.read_table(spark, sf_dir, "customer")
+    base = c.select(F.col("c_custkey").alias("SK_ID_CURR"), "c_nationkey", "c_acctbal", "c_mktsegment")
+    train = (base.where(F.col("c_mktsegment") != "BUILDING")
+                 .withColumn("TARGET", (F.col("c_acctbal") < 0).cast("double")).drop("c_mktsegment"))
+    test = base.where(F.col("c_mktsegment") == "BUILDING").drop("c_mktsegment")
+    both = E.union_by_name(train, test)
+    tr, te = feat.split_train_test(both)
+    out = (tr.withColumn("split", F.lit("train"))
+             .unionByName(te.withColumn("split", F.lit("test")), allowMissingColumns=True))
+    return round_doubles(out)
+
+
+# --- J3, F3: star of left joins ------------------------------------------------------
+
+def _star_sql() -> str:
+    b_sql, b_t = O.bureau_agg_sql(None, with_types=True)
+    p_sql, p_t = O.prev_agg_sql(1, with_types=True)
+    i_sql, i_t = O.two_level_sql(
+        child_cte=O.INSTALMENTS_CTE + ",\n" + O.INSTALMENT_FEATURES_CTE, child_table="ins_rows",
+        link_sql="SELECT o_custkey AS SK_ID_CURR, o_orderkey AS SK_ID_PREV FROM orders",
+        child_key="SK_ID_PREV", parent_key="SK_ID_CURR", spec=INS_SPEC, types=O.INS_TYPES,
+        prefix="INS", with_types=True)
+    cols = ["c.SK_ID_CURR", "c.c_nationkey", f"{O.rnd('c.c_acctbal')} AS c_acctbal"]
+    cols += [f"CAST(CASE WHEN coalesce(c.c_mktsegment, 'Unknown') = '{v}' THEN 1 ELSE 0 END AS INTEGER) "
+             f"AS \"c_mktsegment_{v}\"" for v in O.SEGMENTS]
+    for alias, types in (("b", b_t), ("p", p_t), ("i", i_t)):
+        for n, t in types.items():
+            zero = "CAST(0.0 AS DOUBLE)" if t == "double" else "0"
+            cols.append(f'{O.typed(f"coalesce({alias}.\"{n}\", {zero})", t) if t != "double" else f"coalesce({alias}.\"{n}\", {zero})"} AS "{n}"')
+    return (f"WITH c AS (SELECT c_custkey AS SK_ID_CURR, c_nationkey, c_acctbal, c_mktsegment FROM customer)\n"
+            f"SELECT {', '.join(cols)}\nFROM c LEFT JOIN ({b_sql}) b ON c.SK_ID_CURR = b.SK_ID_CURR\n"
+            f"LEFT JOIN ({p_sql}) p ON c.SK_ID_CURR = p.SK_ID_CURR\n"
+            f"LEFT JOIN ({i_sql}) i ON c.SK_ID_CURR = i.SK_ID_CURR")
+
+
+@register("star_merge", _star_sql())
+def star_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Client row one-hot encoded and left-joined to three per-client feature
+    tables (bureau, previous loans, instalments two-level), missing -> 0."""
+    parts = [feat.bureau_client_agg(V.bureau(spark, sf_dir), None),
+             feat.previous_client_agg(V.previous_applications(spark, sf_dir), 1),
+             feat.instalments_client_agg(V.instalments(spark, sf_dir), V.loan_links(spark, sf_dir))]
+    return round_doubles(feat.merge_features(V.clients(spark, sf_dir), parts))
+
+
+# --- A14, F16 --------------------------------------------------------------------------
+
+_NARROW_COLS = (("l_orderkey", "bigint"), ("l_partkey", "bigint"), ("l_suppkey", "bigint"),
+                ("l_linenumber", "int"), ("l_quantity", "double"), ("l_extendedprice", "double"),
+                ("l_discount", "double"), ("l_tax", "double"))
+
+
+def _narrow_case(c: str, t: str) -> str:
+    if t == "double":
+        return "'double'"
+    return (f"CASE WHEN min({c}) >= -128 AND max({c}) <= 127 THEN 'tinyint' "
+            f"WHEN min({c}) >= -32768 AND max({c}) <= 32767 THEN 'smallint' "
+            f"WHEN min({c}) >= -2147483648 AND max({c}) <= 2147483647 THEN 'int' ELSE 'bigint' END")
+
+
+@register("type_narrow", "\nUNION ALL ".join(
+    f"SELECT '{c}' AS column_name, '{t}' AS source_type, {O.rnd(f'min({c})')} AS min_value, "
+    f"{O.rnd(f'max({c})')} AS max_value, {_narrow_case(c, t)} AS narrow_type FROM lineitem"
+    for c, t in _NARROW_COLS))
+def type_narrow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Smallest integer type per column from one min/max pass; floats stay double."""
+    li = V.read_table(spark, sf_dir, "lineitem")
+    types = dict(li.dtypes)
+    plan = E.narrow_plan(li, [c for c, _ in _NARROW_COLS])
+    rows = [(n, types[n], float(lo), float(hi), t) for n, lo, hi, t in plan]
+    # The plan holds one row per column (p values, not data rows).
+    return round_doubles(spark.createDataFrame(
+        rows, "column_name string, source_type string, min_value double, max_value double, narrow_type string"))
+
+
+# --- F17 ---------------------------------------------------------------------------------
+
+@register("standardise", f"""WITH c AS (SELECT c_custkey, c_acctbal, CAST(c_nationkey >= 0 AS INTEGER) * 1.0 AS k FROM customer),
+s AS (SELECT avg(c_acctbal) AS m1, stddev_pop(c_acctbal) AS s1, avg(k) AS m2, stddev_pop(k) AS s2 FROM c)
+SELECT c_custkey, {O.rnd('(c_acctbal - m1) / CASE WHEN s1 = 0 OR s1 IS NULL THEN 1.0 ELSE s1 END')} AS c_acctbal,
+       {O.rnd('(k - m2) / CASE WHEN s2 = 0 OR s2 IS NULL THEN 1.0 ELSE s2 END')} AS k FROM c, s""")
+def standardise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(x - mean) / population sd; a constant column (k) has sd 0 -> divides by 1."""
+    c = V.read_table(spark, sf_dir, "customer").select(
+        "c_custkey", "c_acctbal", ((F.col("c_nationkey") >= 0).cast("int") * F.lit(1.0)).alias("k"))
+    return round_doubles(E.standardise(c, ["c_acctbal", "k"]))
+
+
+# --- P6-P8, F21 ---------------------------------------------------------------------------
+
+@register("clean_names", r"""WITH v AS (SELECT DISTINCT coalesce(p_type, 'Unknown') AS v FROM part),
+n AS (SELECT CAST(1 + row_number() OVER (ORDER BY v) AS INTEGER) AS pos, 'p_type_' || v AS original FROM v
+      UNION ALL SELECT 0, 'p_partkey' UNION ALL SELECT 1, 'p_retailprice')
+SELECT pos, original,
+       regexp_replace(regexp_replace(original, '[^\w\s]', '_', 'g'), '\s+', '_', 'g') AS cleaned FROM n""")
+def clean_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names of a one-hot frame over part types (blanks inside values) cleaned for a model."""
+    p = V.read_table(spark, sf_dir, "part").select("p_partkey", "p_retailprice", "p_type")
+    wide = E.one_hot(p, ["p_type"])
+    _, mapping = N.clean_feature_names(wide)
+    rows = [(i, o, mapping[o]) for i, o in enumerate(wide.columns)]
+    return spark.createDataFrame(rows, "pos int, original string, cleaned string")
+
+
+# --- P13, U2 ------------------------------------------------------------------------------
+
+_TYPE_CASE = ("CASE data_type WHEN 'VARCHAR' THEN 'string' WHEN 'BIGINT' THEN 'bigint' "
+              "WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double' WHEN 'TIMESTAMP' THEN 'timestamp' "
+              "ELSE lower(data_type) END")
+
+
+@register("schema_diff", f"""WITH l AS (SELECT column_name, {_TYPE_CASE} AS t FROM information_schema.columns WHERE table_name = 'supplier'),
+r AS (SELECT column_name, {_TYPE_CASE} AS t FROM information_schema.columns WHERE table_name = 'customer')
+SELECT coalesce(l.column_name, r.column_name) AS column_name, l.t AS left_type, r.t AS right_type,
+       l.column_name IS NOT NULL AND r.column_name IS NOT NULL AS in_both
+FROM l FULL OUTER JOIN r ON l.column_name = r.column_name""")
+def schema_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Column sets of supplier vs customer (types in Spark's names)."""
+    def coarse(t):
+        return "timestamp" if t and t.startswith("timestamp") else t
+    rows = [(c, coarse(lt), coarse(rt), lt is not None and rt is not None)
+            for c, lt, rt in N.schema_diff(V.read_table(spark, sf_dir, "supplier"),
+                                           V.read_table(spark, sf_dir, "customer"))]
+    return spark.createDataFrame(rows, "column_name string, left_type string, right_type string, in_both boolean")
+
+
+# --- P12 -----------------------------------------------------------------------------------
+
+_CONTRACT = ("P_LOW", "P_OPEN", "PRICE")
+
+
+@register("contract_check", f"""WITH {_NULLED_CTE}
+SELECT o_orderkey, nullif(concat_ws(',', CASE WHEN P_LOW IS NULL THEN 'P_LOW' END,
+       CASE WHEN P_OPEN IS NULL THEN 'P_OPEN' END, CASE WHEN PRICE IS NULL THEN 'PRICE' END), '') AS missing_features,
+       {O.rnd('P_LOW')} AS P_LOW, {O.rnd('P_OPEN')} AS P_OPEN, {O.rnd('PRICE')} AS PRICE FROM o""")
+def contract_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows checked against an ordered contract; missing values listed per row
+    (accepted rows have NULL), extra columns dropped, contract order kept."""
+    df = C.enforce_columns(_nulled_orders(spark, sf_dir), _CONTRACT, keep=["o_orderkey"])
+    return round_doubles(df.withColumn("missing_features", C.missing_features(_CONTRACT)))
+
+
+# --- S1-S5, P1, P2, P10, P11, A24 ----------------------------------------------------------
+
+@register("io_roundtrip", "SELECT n_nationkey, n_name, n_regionkey, 'csv' AS via FROM nation "
+          "UNION ALL SELECT n_nationkey, n_name, n_regionkey, 'parquet' FROM nation")
+def io_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write nation as CSV and Parquet into the shared checkpoint folder, read
+    both back (CSV through the declared schema and missing tokens)."""
+    from riskweave.sources import io
+    nation = V.read_table(spark, sf_dir, "nation")
+    csv_path, pq_path = scratch_path(spark, "nation-csv"), scratch_path(spark, "nation-pq")
+    io.write_csv(nation, csv_path)
+    io.write_stage(nation, pq_path)
+    schema = ", ".join(f"{n} {t}" for n, t in nation.dtypes)
+    back_csv = io.read_csv(spark, csv_path, schema)
+    back_pq = io.read_stage(spark, pq_path)
+    cols = ["n_nationkey", "n_name", "n_regionkey"]
+    return (back_csv.select(*cols).withColumn("via", F.lit("csv"))
+            .unionByName(back_pq.select(*cols).withColumn("via", F.lit("parquet"))))

@@ -106,3 +106,33 @@ def previous_applications(spark: SparkSession, sf_dir: str) -> DataFrame:
 def clients(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = read_table(spark, sf_dir, "customer")
     return c.select(F.col("c_custkey").alias("SK_ID_CURR"), "c_nationkey", "c_acctbal", "c_mktsegment")
+
+
+def applications(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """part as loan applications: (train with TARGET, test without).
+
+    Brand#1x parts are the test rows. Large parts carry the "no employment"
+    sentinel; tiny parts have no annuity; size-1 parts have a zero goods
+    price; car age is mostly missing (dropped by the > 75 % rule).
+    """
+    p = read_table(spark, sf_dir, "part")
+    size, price = F.col("p_size"), F.col("p_retailprice")
+    base = p.select(
+        F.col("p_partkey").alias("SK_ID_CURR"),
+        (size > F.lit(25)).cast("double").alias("TARGET"),
+        F.col("p_brand").startswith("Brand#1").alias("_test"),
+        (-(F.lit(7000) + size * F.lit(300))).alias("DAYS_BIRTH"),
+        F.when(size > F.lit(45), F.lit(365243)).otherwise(-(size * F.lit(97))).alias("DAYS_EMPLOYED"),
+        (-(size * F.lit(50))).alias("DAYS_REGISTRATION"),
+        (-(size * F.lit(10))).alias("DAYS_ID_PUBLISH"),
+        (price * F.lit(100.0)).alias("AMT_INCOME_TOTAL"),
+        (price * F.lit(300.0)).alias("AMT_CREDIT"),
+        F.when(size < F.lit(5), F.lit(None).cast("double")).otherwise(price * F.lit(20.0)).alias("AMT_ANNUITY"),
+        F.when(size == F.lit(1), F.lit(0.0)).otherwise(price * F.lit(250.0)).alias("AMT_GOODS_PRICE"),
+        (size % F.lit(4)).cast("double").alias("CNT_FAM_MEMBERS"),
+        F.when(size < F.lit(40), F.lit(None).cast("double")).otherwise(size.cast("double")).alias("OWN_CAR_AGE"),
+        F.col("p_type").alias("NAME_TYPE"),
+    )
+    train = base.where(~F.col("_test")).drop("_test")
+    test = base.where(F.col("_test")).drop("_test", "TARGET")
+    return train, test
