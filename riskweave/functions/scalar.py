@@ -98,7 +98,8 @@ def l2_distance(cols: list[str], probe: dict[str, float] | dict[str, Column]) ->
     for c in cols:
         pv = probe[c]
         pv = pv if isinstance(pv, Column) else F.lit(float(pv))
-        terms.append(F.pow(F.col(c).cast("double") - pv, F.lit(2.0)))
+        d = F.col(c).cast("double") - pv
+        terms.append(d * d)
     total = terms[0]
     for t in terms[1:]:
         total = total + t
