@@ -77,19 +77,22 @@ def stratified_folds(df: DataFrame, id_col: str, label_col: str, k: int = 5,
     return pos.select(*df.columns, F.pmod(F.col("_one_before"), F.lit(k)).cast("int").alias("fold"))
 
 
-def roc_auc(df: DataFrame, score_col: str, label_col: str, n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
-    """M9: exact ROC AUC with ties counted ½ (Mann-Whitney form), one row.
+def roc_auc(df: DataFrame, score_col: str, label_col: str, n_buckets: int = DEFAULT_BUCKETS,
+            group: Sequence[str] = ()) -> DataFrame:
+    """M9: exact ROC AUC with ties counted ½ (Mann-Whitney form), one row
+    per group (e.g. per fold).
 
-    Rows are first reduced to (score, positives, negatives) with map-side
-    combine, so a score shared by many rows is one row; the count of
+    Rows are first reduced to (group, score, positives, negatives) with
+    map-side combine, so a score shared by many rows is one row; the count of
     negatives below each score comes from ``prefix_before``.
     """
+    group = list(group)
     per_score = (df.where(F.col(score_col).isNotNull() & F.col(label_col).isNotNull())
-                   .groupBy(F.col(score_col).cast("double").alias("s"))
+                   .groupBy(*group, F.col(score_col).cast("double").alias("s"))
                    .agg(F.sum(F.col(label_col).cast("long")).alias("pos"),
                         F.sum((1 - F.col(label_col).cast("long"))).alias("neg")))
-    pref = prefix_before(per_score, ["s"], ["neg"], n_buckets=n_buckets)
-    return pref.agg(
+    pref = prefix_before(per_score, ["s"], ["neg"], part=group, n_buckets=n_buckets)
+    return pref.groupBy(*group).agg(
         F.try_divide(F.sum(F.col("pos") * (F.col("neg_before") + F.col("neg") * F.lit(0.5))),
                      F.sum("pos").cast("double") * F.sum("neg").cast("double")).alias("auc"),
         F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))

@@ -1 +1,187 @@
-"""Registered queries (see catalog)."""
+"""Model, selection and scoring queries on labelled documents (rows-only
+checks: model fits have no SQL twin).
+
+Features are whole-text statistics of ``documents`` (every character of
+every text is read), the label is ``labels.quality``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from riskweave.operators import encode as E
+from riskweave.operators import evaluate as EV
+from riskweave.operators import score as S
+from riskweave.operators import select as SEL
+from riskweave.plans import testdata_views as V
+from riskweave.plans.catalog import register
+
+DOC_FEATURES = ("n_chars", "n_lines", "n_words", "digit_share", "upper_share", "punct_share",
+                "avg_word_len", "blank_line_share", "lang_en", "lang_fr", "lang_de", "lang_es", "source_code")
+LABEL = "quality"
+ID = "doc_id"
+
+# Cheaper learners for the wrapper searches registered as queries; the
+# reference's settings are ``score.REFERENCE_MODELS``.
+SEARCH_LOGREG = S.ModelSpec("LogisticRegression", "logreg", max_iter=100)
+SEARCH_FOREST = S.ModelSpec("RandomForest", "forest", num_trees=20, max_depth=8)
+
+
+def _share(text, pattern: str):
+    n = F.length(text)
+    return F.try_divide((n - F.length(F.regexp_replace(text, pattern, ""))).cast("double"), n.cast("double"))
+
+
+def document_features(docs: DataFrame) -> DataFrame:
+    t = F.col("text")
+    lines = F.split(t, "\n")
+    words = F.size(F.split(F.trim(t), r"\s+"))
+    d = docs.select(
+        ID, F.col("n_chars").cast("double").alias("n_chars"),
+        F.size(lines).cast("double").alias("n_lines"),
+        words.cast("double").alias("n_words"),
+        F.coalesce(_share(t, "[0-9]"), F.lit(0.0)).alias("digit_share"),
+        F.coalesce(_share(t, "[A-Z]"), F.lit(0.0)).alias("upper_share"),
+        F.coalesce(_share(t, r"[^\w\s]"), F.lit(0.0)).alias("punct_share"),
+        F.coalesce(F.try_divide(F.length(t).cast("double"), words.cast("double")), F.lit(0.0)).alias("avg_word_len"),
+        F.coalesce(F.try_divide(F.size(F.filter(lines, lambda x: F.trim(x) == "")).cast("double"),
+                                F.size(lines).cast("double")), F.lit(0.0)).alias("blank_line_share"),
+        *[(F.col("lang") == F.lit(l)).cast("double").alias(f"lang_{l}") for l in ("en", "fr", "de", "es")],
+        "source")
+    return E.label_encode(d, ["source"]).withColumn("source_code", F.col("source").cast("double")).drop("source")
+
+
+def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = document_features(V.read_table(spark, sf_dir, "documents"))
+    lab = V.read_table(spark, sf_dir, "labels").select(ID, LABEL)
+    joined = docs.join(lab, ID, "inner")
+    return EV.stratified_folds(joined, ID, LABEL, 5)
+
+
+def _cv_row(spark: SparkSession, sf_dir: str, spec: S.ModelSpec) -> DataFrame:
+    r = S.cross_validate(labelled(spark, sf_dir), DOC_FEATURES, LABEL, spec)
+    return spark.createDataFrame([(r["model"], r["num_features"], r["mean_auc"], r["std_auc"], r["mean_cost"])],
+                                 "model string, num_features int, mean_auc double, std_auc double, mean_cost double")
+
+
+@register("model_logreg")
+def model_logreg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M13 + M10: balanced logistic regression, 1000 iterations, 5-fold CV."""
+    return _cv_row(spark, sf_dir, S.LOGREG)
+
+
+@register("model_forest")
+def model_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Balanced random forest, 50 trees."""
+    return _cv_row(spark, sf_dir, S.FOREST)
+
+
+@register("model_boosted")
+def model_boosted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Balanced boosted trees, 100 rounds."""
+    return _cv_row(spark, sf_dir, S.BOOSTED)
+
+
+@register("model_boosted_posweight")
+def model_boosted_posweight(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Boosted trees with positives weighted x10."""
+    return _cv_row(spark, sf_dir, S.BOOSTED_POS10)
+
+
+@register("leaderboard")
+def leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The four learners side by side, logged to the run table."""
+    from riskweave.sources import runs
+    board = S.leaderboard(labelled(spark, sf_dir), DOC_FEATURES, LABEL)
+    path = runs.run_table_path(spark)
+    runs.append_runs(runs.metrics_to_runs(board, F.col("model"), ["num_features"],
+                                          ["mean_auc", "std_auc", "mean_cost", "seconds"], "leaderboard"), path)
+    return runs.read_runs(spark, path, "leaderboard").drop("run_id")
+
+
+@register("importance_topk")
+def importance_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M6, K2, K3: forest importances, top 5 (ties by column order)."""
+    df = labelled(spark, sf_dir)
+    _, table = SEL.select_by_model_importance(df, LABEL, 5, SEARCH_FOREST, exclude=[ID, "fold"])
+    return table.orderBy(F.col("importance").desc(), "pos").limit(5)
+
+
+@register("forward_select")
+def forward_select(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M7: greedy forward selection (up to 3 features, best 8 by F tried per round)."""
+    names, curve = SEL.forward_selection(labelled(spark, sf_dir), LABEL, 3, SEARCH_LOGREG, 8,
+                                         exclude=[ID])
+    return spark.createDataFrame([(i + 1, n, s) for i, (n, s) in enumerate(zip(names, curve))],
+                                 "step int, feature string, cv_auc double")
+
+
+@register("rfe")
+def rfe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M8: recursive elimination down to 8 features, step 20 %."""
+    names, curve = SEL.recursive_feature_elimination(labelled(spark, sf_dir), LABEL, SEARCH_FOREST,
+                                                     0.2, 8, exclude=[ID])
+    best_n = len(names)
+    return spark.createDataFrame([(n, s, n == best_n) for n, s in curve],
+                                 "num_features int, cv_auc double, chosen boolean")
+
+
+@register("compare_methods")
+def compare_methods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Univariate top 6 vs importance top 6, each with forest and logreg."""
+    df = labelled(spark, sf_dir)
+    uni, _ = SEL.select_by_univariate(df, LABEL, 6, exclude=[ID, "fold"])
+    imp, _ = SEL.select_by_model_importance(df, LABEL, 6, SEARCH_FOREST, exclude=[ID, "fold"])
+    return SEL.compare_methods(df, LABEL, {"univariate": uni, "importance": imp},
+                               specs=(SEARCH_FOREST, SEARCH_LOGREG))
+
+
+@register("select_optimal")
+def select_optimal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole selection chain; one row per chosen feature."""
+    res = SEL.select_optimal_features(labelled(spark, sf_dir), LABEL, ID, k_univariate=8, k_importance=8,
+                                      k_forward=2, forward_spec=SEARCH_LOGREG, importance_spec=SEARCH_FOREST,
+                                      forward_candidates=6, compare_specs=(SEARCH_FOREST, SEARCH_LOGREG))
+    return spark.createDataFrame([(i, f, res["best_method"]) for i, f in enumerate(res["features"])],
+                                 "pos int, feature string, method string")
+
+
+@register("final_importances")
+def final_importances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Boosted-tree importances of the feature set, sorted."""
+    df = labelled(spark, sf_dir)
+    table = SEL.importance_table(df, LABEL, list(DOC_FEATURES), S.BOOSTED)
+    return table.orderBy(F.col("importance").desc(), "pos")
+
+
+@register("batch_score")
+def batch_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fit on labelled documents, save / load the pipeline,
+    score every document under the feature contract, threshold 0.5."""
+    from pyspark.ml import PipelineModel
+
+    from riskweave.operators import contract as C
+    from riskweave.session import scratch_path
+    train = labelled(spark, sf_dir)
+    model, params = S.fit_pipeline(train, DOC_FEATURES, LABEL, S.BOOSTED)
+    path = scratch_path(spark, "model")
+    model.write().overwrite().save(path)
+    loaded = PipelineModel.load(path)
+    alldocs = C.enforce_columns(document_features(V.read_table(spark, sf_dir, "documents")),
+                                DOC_FEATURES, keep=[ID])
+    return S.score(alldocs, loaded, DOC_FEATURES, params, 0.5, id_col=ID)
+
+
+@register("stream_score")
+def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score requests arriving as JSON files with Structured
+    Streaming (availableNow), rejects to a second sink; returns the sink."""
+    from riskweave.streaming import scoring
+    train = labelled(spark, sf_dir)
+    model, params = S.fit_pipeline(train, DOC_FEATURES, LABEL, S.LOGREG)
+    docs = document_features(V.read_table(spark, sf_dir, "documents"))
+    # Requests: every document; those with no words miss a feature.
+    requests = docs.withColumn("avg_word_len", F.when(F.col("n_words") > 1, F.col("avg_word_len")))
+    out = scoring.run_once(spark, requests, model, DOC_FEATURES, params, 0.5, id_col=ID)
+    return out["scored"].unionByName(out["rejected"], allowMissingColumns=True)
