@@ -187,37 +187,62 @@ def conditional_rate(pred: Column, count_col: str, name: str) -> Column:
 GRID_CUT = 0.3765433
 
 
-def _grid(x: Column, digits: int) -> Column:
-    if digits >= 0:
-        scale = F.lit(float(10 ** digits))
-        return F.floor(x * scale + F.lit(GRID_CUT)).cast("double") / scale
-    scale = F.lit(float(10 ** -digits))
-    return F.floor(x / scale + F.lit(GRID_CUT)).cast("double") * scale
-
-
-# (upper bound of |x|, decimals kept): about 10 significant digits everywhere.
-GRID_BANDS = ((1e4, 6), (1e7, 3), (1e10, 0), (1e15, -3))
+# (upper bound of |x|, grid scale): about 10 significant digits everywhere.
+GRID_BANDS = ((1e4, 1e6), (1e7, 1e3), (1e10, 1.0), (1e15, 1e-3))
 
 
 def round_fixed(c: Column, digits: int | None = None) -> Column:
-    """Quantise a double onto a grid: ``floor(x * 10^d + cut) / 10^d``.
+    """Quantise a double onto a grid: ``floor(x * s + cut) / s``.
 
     The same double comes out of any engine that computed the same x up to
     float noise, unlike ``round(x, d)`` (Spark rounds the shortest decimal
-    form, other engines the binary value). By default the grid keeps ~10
+    form, other engines the binary value). By default the scale s keeps ~10
     significant digits (``GRID_BANDS``); non-finite and huge values pass.
+    One small expression per column keeps wide projections inside the
+    generated-code size limit.
     """
     x = c.cast("double")
     if digits is not None:
-        return _grid(x, digits)
-    out = F.when(F.isnan(x) | (F.abs(x) == F.lit(float("inf"))), x)
-    for bound, d in GRID_BANDS:
-        out = out.when(F.abs(x) < F.lit(bound), _grid(x, d))
-    return out.otherwise(x)
+        sc = F.lit(float(10 ** digits))
+        return F.floor(x * sc + F.lit(GRID_CUT)).cast("double") / sc
+    ax = F.abs(x)
+    sc = None
+    for bound, scale in GRID_BANDS:
+        sc = (F.when(ax < F.lit(bound), F.lit(scale)) if sc is None
+              else sc.when(ax < F.lit(bound), F.lit(scale)))
+    return F.when(F.isnan(x) | sc.isNull(), x).otherwise(
+        F.floor(x * sc + F.lit(GRID_CUT)).cast("double") / sc)
+
+
+def grid_scale(x: Column) -> Column:
+    """The grid scale of ``round_fixed`` for x (NULL: leave x as it is)."""
+    ax = F.abs(x)
+    sc = None
+    for bound, scale in GRID_BANDS:
+        sc = (F.when(ax < F.lit(bound), F.lit(scale)) if sc is None
+              else sc.when(ax < F.lit(bound), F.lit(scale)))
+    return F.when(~F.isnan(x), sc)
 
 
 def round_doubles(df: DataFrame, digits: int | None = None) -> DataFrame:
-    """Round every double column (presentation / oracle comparison)."""
-    return df.select(*[round_fixed(F.col(f"`{n}`"), digits).alias(n)
-                       if isinstance(t, (T.DoubleType, T.FloatType))
-                       else F.col(f"`{n}`") for n, t in ((f.name, f.dataType) for f in df.schema.fields)])
+    """Quantise every double column (presentation / oracle comparison).
+
+    Two projections: the scale of each column first, then the grid; each
+    expression is then generated once (a single fused expression per column
+    repeats the band lookup and overflows the generated-method limit on
+    wide aggregates)."""
+    fields = [(f.name, isinstance(f.dataType, (T.DoubleType, T.FloatType))) for f in df.schema.fields]
+    if digits is not None:
+        return df.select(*[round_fixed(F.col(f"`{n}`"), digits).alias(n) if d else F.col(f"`{n}`")
+                           for n, d in fields])
+    scaled = df.select(*[F.col(f"`{n}`") for n, _ in fields],
+                       *[grid_scale(F.col(f"`{n}`").cast("double")).alias(f"__sc{i}")
+                         for i, (n, d) in enumerate(fields) if d])
+    out = []
+    for i, (n, d) in enumerate(fields):
+        c = F.col(f"`{n}`")
+        if d:
+            x, sc = c.cast("double"), F.col(f"__sc{i}")
+            c = F.when(sc.isNull(), x).otherwise(F.floor(x * sc + F.lit(GRID_CUT)).cast("double") / sc)
+        out.append(c.alias(n))
+    return scaled.select(*out)

@@ -78,24 +78,17 @@ def agg_sql(agg: str, col: str, zero_sum: bool = True) -> str:
     }[agg]
 
 
-def _grid_sql(x: str, d: int) -> str:
-    cut = f"CAST({GRID_CUT} AS DOUBLE)"
-    if d >= 0:
-        sc = f"CAST({10 ** d}.0 AS DOUBLE)"
-        return f"CAST(floor({x} * {sc} + {cut}) AS DOUBLE) / {sc}"
-    sc = f"CAST({10 ** -d}.0 AS DOUBLE)"
-    return f"CAST(floor({x} / {sc} + {cut}) AS DOUBLE) * {sc}"
-
-
 def rnd(expr: str, digits: int | None = None) -> str:
     """Twin of ``aggregate.round_fixed`` (same grid, same cut, same bands)."""
     x = f"CAST({expr} AS DOUBLE)"
+    cut = f"CAST({GRID_CUT} AS DOUBLE)"
     if digits is not None:
-        return f"({_grid_sql(x, digits)})"
-    parts = [f"CASE WHEN NOT isfinite({x}) THEN {x}"]
-    for bound, d in GRID_BANDS:
-        parts.append(f"WHEN abs({x}) < CAST({bound!r} AS DOUBLE) THEN {_grid_sql(x, d)}")
-    return " ".join(parts) + f" ELSE {x} END"
+        sc = f"CAST({float(10 ** digits)!r} AS DOUBLE)"
+        return f"(CAST(floor({x} * {sc} + {cut}) AS DOUBLE) / {sc})"
+    sc = "CASE " + " ".join(f"WHEN abs({x}) < CAST({b!r} AS DOUBLE) THEN CAST({s!r} AS DOUBLE)"
+                            for b, s in GRID_BANDS) + " END"
+    return (f"(CASE WHEN isnan({x}) OR ({sc}) IS NULL THEN {x} "
+            f"ELSE CAST(floor({x} * ({sc}) + {cut}) AS DOUBLE) / ({sc}) END)")
 
 
 def typed(expr: str, typ: str, digits: int | None = None) -> str:
