@@ -78,21 +78,26 @@ def anova_f(df: DataFrame, cols: Sequence[str], label_col: str) -> DataFrame:
     per_class = present.groupBy(label_col).agg(*[
         e for i, c in enumerate(cols) for e in (
             F.count(F.col(c)).alias(f"n{i}"), F.avg(F.col(c).cast("double")).alias(f"m{i}"),
-            F.var_pop(F.col(c).cast("double")).alias(f"v{i}"))])
+            F.var_pop(F.col(c).cast("double")).alias(f"v{i}"),
+            F.min(F.col(c).cast("double")).alias(f"lo{i}"), F.max(F.col(c).cast("double")).alias(f"hi{i}"))])
     long = per_class.select(label_col, F.inline(F.array(*[
         F.struct(F.lit(i).alias("pos"), F.lit(c).alias("feature"), F.col(f"n{i}").alias("n"),
-                 F.col(f"m{i}").alias("m"), F.col(f"v{i}").alias("v"))
+                 F.col(f"m{i}").alias("m"), F.col(f"v{i}").alias("v"),
+                 F.col(f"lo{i}").alias("lo"), F.col(f"hi{i}").alias("hi"))
         for i, c in enumerate(cols)]))).where(F.col("n") > 0)
     w = Window.partitionBy("pos")
     # k classes x p features rows: small, bounded by the label cardinality.
-    g = long.select("pos", "feature", "n", "m", "v",
+    g = long.select("pos", "feature", "n", "m", "v", "lo", "hi",
                     (F.sum(F.col("n") * F.col("m")).over(w) / F.sum("n").over(w)).alias("gm"))
     s = g.groupBy("pos", "feature").agg(
-        F.sum(F.col("n") * F.pow(F.col("m") - F.col("gm"), 2)).alias("ssb"),
+        F.sum(F.col("n") * (F.col("m") - F.col("gm")) * (F.col("m") - F.col("gm"))).alias("ssb"),
         F.sum(F.col("n") * F.col("v")).alias("ssw"),
-        F.sum("n").alias("n"), F.count(F.lit(1)).alias("k"))
+        F.sum("n").alias("n"), F.count(F.lit(1)).alias("k"),
+        (F.min("lo") == F.max("hi")).alias("constant"))
     f = F.try_divide(F.col("ssb") / (F.col("k") - 1), F.col("ssw") / (F.col("n") - F.col("k")))
-    score = (F.when((F.col("ssw") == 0) & (F.col("ssb") > 0), F.lit(float("inf")))
+    # A constant column: no score, whatever float noise the class means carry.
+    score = (F.when(F.col("constant"), F.lit(None).cast("double"))
+              .when((F.col("ssw") == 0) & (F.col("ssb") > 0), F.lit(float("inf")))
               .when(F.col("ssw") == 0, F.lit(None).cast("double"))
               .otherwise(f))
     return s.select("pos", "feature", score.alias("f_score"))

@@ -86,13 +86,15 @@ def correlation_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- A18, K4, M4 -------------------------------------------------------------------
 
 _ANOVA_SQL = f"""WITH {_LI_CTE},
-pc AS (SELECT TARGET, {', '.join(f'count({c}) AS n{i}, avg(CAST({c} AS DOUBLE)) AS m{i}, var_pop(CAST({c} AS DOUBLE)) AS v{i}' for i, c in enumerate(FEATURES))}
+pc AS (SELECT TARGET, {', '.join(f'count({c}) AS n{i}, avg(CAST({c} AS DOUBLE)) AS m{i}, var_pop(CAST({c} AS DOUBLE)) AS v{i}, min(CAST({c} AS DOUBLE)) AS lo{i}, max(CAST({c} AS DOUBLE)) AS hi{i}' for i, c in enumerate(FEATURES))}
        FROM li WHERE TARGET IS NOT NULL GROUP BY TARGET),
-lg AS ({' UNION ALL '.join(f"SELECT CAST({i} AS INTEGER) AS pos, '{c}' AS feature, n{i} AS n, m{i} AS m, v{i} AS v FROM pc" for i, c in enumerate(FEATURES))}),
+lg AS ({' UNION ALL '.join(f"SELECT CAST({i} AS INTEGER) AS pos, '{c}' AS feature, n{i} AS n, m{i} AS m, v{i} AS v, lo{i} AS lo, hi{i} AS hi FROM pc" for i, c in enumerate(FEATURES))}),
 g AS (SELECT *, sum(n * m) OVER (PARTITION BY pos) / sum(n) OVER (PARTITION BY pos) AS gm FROM lg WHERE n > 0),
-s AS (SELECT pos, feature, sum(n * (m - gm) * (m - gm)) AS ssb, sum(n * v) AS ssw, sum(n) AS n, count(*) AS k
+s AS (SELECT pos, feature, sum(n * (m - gm) * (m - gm)) AS ssb, sum(n * v) AS ssw, sum(n) AS n, count(*) AS k,
+             min(lo) = max(hi) AS constant
       FROM g GROUP BY pos, feature),
-f AS (SELECT pos, feature, CASE WHEN ssw = 0 AND ssb > 0 THEN CAST('Infinity' AS DOUBLE)
+f AS (SELECT pos, feature, CASE WHEN constant THEN CAST(NULL AS DOUBLE)
+                             WHEN ssw = 0 AND ssb > 0 THEN CAST('Infinity' AS DOUBLE)
                              WHEN ssw = 0 THEN CAST(NULL AS DOUBLE)
                              ELSE (ssb / (k - 1)) / (ssw / (n - k)) END AS f_score FROM s)"""
 
