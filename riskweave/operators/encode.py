@@ -11,7 +11,6 @@ from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from riskweave.functions.scalar import raw_ratio
 
@@ -70,8 +69,11 @@ def label_encode(df: DataFrame, cols: Sequence[str], fill: str = UNKNOWN) -> Dat
             arr = F.array(*[F.lit(v) for v in vals]) if vals else F.array().cast("array<string>")
             out = out.withColumn(c, (F.array_position(arr, filled) - 1).cast("int"))
             continue
-        codes = (out.select(filled.alias("_v")).distinct()
-                    .withColumn("_code", (F.dense_rank().over(Window.orderBy("_v")) - 1).cast("int")))
+        # Many values: dense rank from a range-sorted distinct table and
+        # zipWithIndex (per-partition counts, then offsets; no single task).
+        ranked = (out.select(filled.alias("_v")).distinct().orderBy("_v").rdd
+                     .zipWithIndex().map(lambda t: (t[0][0], int(t[1]))))
+        codes = out.sparkSession.createDataFrame(ranked, "_v string, _code int")
         n = codes.count()
         side = F.broadcast(codes) if n <= MAX_BROADCAST_VALUES else codes
         out = (out.withColumn("_v", filled).join(side, "_v", "left")

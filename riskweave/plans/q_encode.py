@@ -365,3 +365,14 @@ def io_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     cols = ["n_nationkey", "n_name", "n_regionkey"]
     return (back_csv.select(*cols).withColumn("via", F.lit("csv"))
             .unionByName(back_pq.select(*cols).withColumn("via", F.lit("parquet"))))
+
+
+# --- §3.1 end to end ---------------------------------------------------------------------
+
+@register("feature_table", O.feature_table_sql())
+def feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole client feature table: balance shares -> bureau rollup, previous
+    loans, three two-level child aggregates, application stage, one-hot, star
+    of left joins, fill 0. Parts are checkpointed to the shared folder."""
+    tables = V.loan_tables(spark, sf_dir)
+    return round_doubles(feat.build_feature_table(tables, checkpoint_dir=scratch_path(spark, "features")))

@@ -136,3 +136,70 @@ def applications(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
     train = base.where(~F.col("_test")).drop("_test")
     test = base.where(F.col("_test")).drop("_test", "TARGET")
     return train, test
+
+
+def pos_cash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem as monthly POS balance rows of a loan."""
+    li = read_table(spark, sf_dir, "lineitem")
+    return li.select(
+        F.col("l_orderkey").alias("SK_ID_PREV"),
+        months_index("l_shipdate").alias("MONTHS_BALANCE"),
+        F.col("l_quantity").alias("CNT_INSTALMENT"),
+        F.when(F.col("l_linestatus") == F.lit("F"), F.lit(0.0))
+         .otherwise(F.col("l_quantity") - F.col("l_linenumber")).alias("CNT_INSTALMENT_FUTURE"),
+        F.col("l_linenumber").alias("SK_DPD"),
+        (F.col("l_returnflag") == F.lit("R")).cast("int").alias("SK_DPD_DEF"))
+
+
+def credit_card(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem as monthly card balance rows; open lines have no limit (0)."""
+    li = read_table(spark, sf_dir, "lineitem")
+    price = F.col("l_extendedprice")
+    return li.select(
+        F.col("l_orderkey").alias("SK_ID_PREV"),
+        months_index("l_shipdate").alias("MONTHS_BALANCE"),
+        (price * F.col("l_tax")).alias("AMT_BALANCE"),
+        F.when(F.col("l_linestatus") == F.lit("O"), F.lit(0.0)).otherwise(price).alias("AMT_CREDIT_LIMIT_ACTUAL"),
+        (price * F.col("l_discount")).alias("AMT_DRAWINGS_CURRENT"),
+        (price * (F.lit(1.0) - F.col("l_discount"))).alias("AMT_PAYMENT_CURRENT"),
+        F.col("l_linenumber").alias("SK_DPD"),
+        (F.col("l_returnflag") == F.lit("A")).cast("int").alias("SK_DPD_DEF"))
+
+
+def client_applications(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """customer as loan applications (train with TARGET, test = BUILDING
+    segment). Nation 3 carries the "no employment" sentinel; households
+    have no annuity; nation 0, 5, ... have no family count (zero divisor);
+    car age is mostly missing (dropped by the > 75 % rule)."""
+    c = read_table(spark, sf_dir, "customer")
+    bal, nat = F.col("c_acctbal"), F.col("c_nationkey")
+    credit = F.abs(bal) * F.lit(30.0) + F.lit(500.0)
+    base = c.select(
+        F.col("c_custkey").alias("SK_ID_CURR"),
+        (bal < F.lit(0.0)).cast("double").alias("TARGET"),
+        (F.col("c_mktsegment") == F.lit("BUILDING")).alias("_test"),
+        (-(F.lit(7000) + nat * F.lit(400))).alias("DAYS_BIRTH"),
+        F.when(nat == F.lit(3), F.lit(365243)).otherwise(-(nat * F.lit(120))).alias("DAYS_EMPLOYED"),
+        (-(nat * F.lit(30))).alias("DAYS_REGISTRATION"),
+        (-(nat * F.lit(7))).alias("DAYS_ID_PUBLISH"),
+        (F.abs(bal) * F.lit(10.0) + F.lit(1000.0)).alias("AMT_INCOME_TOTAL"),
+        credit.alias("AMT_CREDIT"),
+        F.when(F.col("c_mktsegment") == F.lit("HOUSEHOLD"), F.lit(None).cast("double"))
+         .otherwise(credit / F.lit(20.0)).alias("AMT_ANNUITY"),
+        (credit * F.lit(0.9)).alias("AMT_GOODS_PRICE"),
+        (nat % F.lit(5)).cast("double").alias("CNT_FAM_MEMBERS"),
+        F.when(nat < F.lit(20), F.lit(None).cast("double")).otherwise(nat.cast("double")).alias("OWN_CAR_AGE"),
+        F.col("c_mktsegment").alias("NAME_TYPE"))
+    train = base.where(~F.col("_test")).drop("_test")
+    test = base.where(F.col("_test")).drop("_test", "TARGET")
+    return train, test
+
+
+def loan_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The eight raw tables of the feature pipeline, from the test tables."""
+    train, test = client_applications(spark, sf_dir)
+    return {"bureau_balance": bureau_balance_from_lineitem(spark, sf_dir), "bureau": bureau(spark, sf_dir),
+            "previous_application": previous_applications(spark, sf_dir),
+            "pos_cash_balance": pos_cash(spark, sf_dir), "installments_payments": instalments(spark, sf_dir),
+            "credit_card_balance": credit_card(spark, sf_dir),
+            "application_train": train, "application_test": test}

@@ -121,3 +121,32 @@ def test_stream_equals_batch(spark):
     for k in batch:
         assert streamed[k][0] == pytest.approx(batch[k][0]) and streamed[k][1] == batch[k][1]
     assert [r["SK_ID_CURR"] for r in out["rejected"].collect()] == [5]
+
+
+def test_gram_correlation_equals_aggregate_route(spark):
+    rnd = random.Random(5)
+    rows = []
+    for _ in range(500):
+        a = rnd.gauss(1000, 50)
+        rows.append((a, None if rnd.random() < 0.2 else 2 * a + rnd.gauss(0, 5),
+                     None if rnd.random() < 0.1 else rnd.gauss(0, 1), 3.0))
+    df = spark.createDataFrame(rows, "a double, b double, c double, k double").repartition(4)
+    cols = ["a", "b", "c", "k"]
+    from riskweave.operators import profile as PR
+    agg_r = {(r["i"], r["j"]): r["r"] for r in PR.correlation_pairs(df, cols, "aggregate").collect()}
+    gram_r = {(r["i"], r["j"]): r["r"] for r in PR.correlation_pairs(df, cols, "gram").collect()}
+    assert agg_r.keys() == gram_r.keys()
+    for k in agg_r:
+        if agg_r[k] is None:
+            assert gram_r[k] is None
+        else:
+            assert gram_r[k] == pytest.approx(agg_r[k], abs=1e-9)
+
+
+def test_label_encode_many_values_path(spark, monkeypatch):
+    from riskweave.operators import encode as E
+    monkeypatch.setattr(E, "MAX_INLINE_VALUES", 3)
+    df = spark.createDataFrame([(v,) for v in ["d", "b", None, "a", "c", "b"]], "c string")
+    got = sorted((r[0] for r in E.label_encode(df, ["c"]).collect()))
+    # Unknown 0, a 1, b 2, c 3, d 4
+    assert got == [0, 1, 2, 2, 3, 4]
