@@ -115,6 +115,35 @@ def two_level_agg(child: DataFrame, link: DataFrame, child_key: str, parent_key:
     return grouped_agg(linked, parent_key, spec2, prefix=p, zero_sum=False)
 
 
+def two_level_aggs(children: Sequence[tuple[DataFrame, AggSpec, str]], link: DataFrame,
+                   child_key: str, parent_key: str, level2: Sequence[str] = ("mean", "max")) -> DataFrame:
+    """Several two-level aggregates over the same (parent, child) links.
+
+    Each child table is grouped by the child key (its output is
+    hash-partitioned on that key); the links are shuffled once and
+    left-joined to every level-1 result without further exchanges; one
+    group-by then produces all level-2 columns. Same values as calling
+    ``two_level_agg`` per child, with one link shuffle and one parent
+    shuffle instead of one each per child.
+    """
+    linked = link.select(parent_key, child_key).where(F.col(child_key).isNotNull())
+    spec2: dict[str, list[str]] = {}
+    for child, spec, prefix in children:
+        lvl1 = grouped_agg(child, child_key, spec, prefix=f"{prefix}_")
+        linked = linked.join(lvl1, child_key, "left")
+        spec2.update({c: list(level2) for c in lvl1.columns if c != child_key})
+    out_cols = [F.col(parent_key)]
+    parts = []
+    for _, _, prefix in children:
+        cols = {c: a for c, a in spec2.items() if c.startswith(f"{prefix}_")}
+        parts.append((prefix, cols))
+    exprs = []
+    for prefix, cols in parts:
+        exprs += agg_exprs(cols, prefix=f"{prefix}_", zero_sum=False)
+    keys = F.col(parent_key).isNotNull()
+    return linked.where(keys).groupBy(parent_key).agg(*exprs)
+
+
 # --- A7/A8: category shares -------------------------------------------------
 
 MAX_CATEGORY_VALUES = 10_000

@@ -191,10 +191,14 @@ def build_feature_table(tables: dict[str, DataFrame], target: str = "TARGET",
     bureau = bureau_client_agg(tables["bureau"], bb)
     prev = tables["previous_application"]
     links = loan_links(prev)
-    parts = {"bureau": bureau, "previous": previous_client_agg(prev),
-             "pos": pos_client_agg(tables["pos_cash_balance"], links),
-             "instalments": instalments_client_agg(tables["installments_payments"], links),
-             "credit_card": credit_card_client_agg(tables["credit_card_balance"], links)}
+    # The three child tables of previous loans share one link shuffle and
+    # one client-level group-by.
+    children = agg.two_level_aggs(
+        [(pos_row_features(tables["pos_cash_balance"]), S.POS_SPEC, "POS"),
+         (instalment_row_features(tables["installments_payments"]), S.INS_SPEC, "INS"),
+         (credit_card_row_features(tables["credit_card_balance"]), S.CC_SPEC, "CC")],
+        links, PREV, CURR)
+    parts = {"bureau": bureau, "previous": previous_client_agg(prev), "loan_children": children}
     app = application_features(tables["application_train"], tables["application_test"], target)
     if checkpoint_dir is not None:
         from riskweave.sources.io import checkpoint_stage
