@@ -11,6 +11,7 @@ from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from riskweave.functions.scalar import raw_ratio
 
@@ -122,18 +123,138 @@ def drop_high_missing(df: DataFrame, threshold: float, exclude: Iterable[str] =
 
 # --- A13 / F5 / F2: medians ----------------------------------------------------------
 
-def medians(df: DataFrame, cols: Sequence[str], approx: bool = False,
-            accuracy: int = 10_000) -> dict[str, float]:
+SELECT_BUCKETS = 4096       # range buckets per narrowing pass of the exact median
+SELECT_FINAL_ROWS = 200_000 # candidate rows per column finished with a window
+
+
+def medians(df: DataFrame, cols: Sequence[str], approx: bool = False, accuracy: int = 10_000,
+            method: str = "select") -> dict[str, float]:
     """Exact interpolated median per column (nulls skipped).
 
-    ``approx=True`` uses ``percentile_approx``, which keeps a bounded sketch
-    per column instead of the value counts; use it beyond ~1e8 rows.
+    ``method="select"`` (default): distributed selection, no task ever holds
+    more than ``SELECT_FINAL_ROWS`` values of a column (see
+    ``exact_medians``). ``"aggregate"``: Spark's ``median()``, whose final
+    merge keeps a count per distinct value in one task (fine for small
+    tables). ``approx=True``: ``percentile_approx`` (a bounded sketch).
     """
     if approx:
-        fn = lambda c: F.percentile_approx(F.col(c), 0.5, accuracy).cast("double")
-    else:
-        fn = lambda c: F.median(F.col(c)).cast("double")
-    return column_stats(df, {c: fn(c) for c in cols})
+        return column_stats(df, {c: F.percentile_approx(F.col(c), 0.5, accuracy).cast("double") for c in cols})
+    if method == "aggregate":
+        return column_stats(df, {c: F.median(F.col(c)).cast("double") for c in cols})
+    return exact_medians(df, cols)
+
+
+def exact_medians(df: DataFrame, cols: Sequence[str], buckets: int = SELECT_BUCKETS,
+                  final_rows: int = SELECT_FINAL_ROWS) -> dict[str, float]:
+    """Exact median by selection (Spark's interpolation: v[k1] + f * (v[k2] - v[k1])
+    at position (n - 1) / 2).
+
+    Each pass, for every unresolved column at once: approximate quantiles of
+    the candidate range [lo, hi) give up to ``buckets`` edges (one aggregate);
+    a ``Bucketizer`` (binary search) counts the rows per (column, bucket), a
+    table of at most columns x buckets rows; the range shrinks to the buckets
+    holding the two wanted ranks. A range of one distinct value is resolved
+    at once (a hot value never reaches a window). When a range holds at most
+    ``final_rows`` rows, a window per column numbers them and the two wanted
+    values are read. Only per-column numbers reach the driver.
+    """
+    from pyspark.ml.feature import Bucketizer
+
+    cols = list(cols)
+    x = {c: F.col(f"`{c}`").cast("double") for c in cols}
+    n = column_stats(df, {c: F.count(x[c]) for c in cols})
+    out: dict[str, float] = {c: None for c in cols}
+    state = {}
+    for c in cols:
+        if n[c]:
+            pos = (n[c] - 1) / 2.0
+            k1 = int(pos // 1)
+            state[c] = {"lo": None, "hi": None, "k1": k1, "k2": k1 + (1 if pos > k1 else 0),
+                        "frac": pos - k1, "count": n[c]}
+
+    def in_range(c):
+        st = state[c]
+        cond = x[c].isNotNull() & ~F.isnan(x[c])
+        if st["lo"] is not None:
+            cond = cond & (x[c] >= F.lit(st["lo"]))
+        if st["hi"] is not None:
+            cond = cond & (x[c] < F.lit(st["hi"]))
+        return cond
+
+    for _ in range(16):
+        open_cols = [c for c in state if state[c]["count"] > final_rows]
+        if not open_cols:
+            break
+        qs = [i / buckets for i in range(1, buckets)]
+        st_aggs = {}
+        for c in open_cols:
+            v = F.when(in_range(c), x[c])
+            st_aggs[f"q:{c}"] = F.percentile_approx(v, qs, 100 * buckets)
+            st_aggs[f"lo:{c}"] = F.min(v)
+            st_aggs[f"hi:{c}"] = F.max(v)
+        stats = column_stats(df, st_aggs)
+        cand = []
+        for c in open_cols:
+            if stats[f"lo:{c}"] == stats[f"hi:{c}"]:      # one distinct value left
+                out[c] = stats[f"lo:{c}"]
+                del state[c]
+            else:
+                edges = sorted({float(b) for b in stats[f"q:{c}"]} - {stats[f"lo:{c}"]})
+                state[c]["edges"] = edges or [(stats[f"lo:{c}"] + stats[f"hi:{c}"]) / 2.0]
+                cand.append(c)
+        if not cand:
+            continue
+        names = [f"_v{i}" for i in range(len(cand))]
+        vals = df.select(*[F.when(in_range(c), x[c]).alias(nm) for c, nm in zip(cand, names)])
+        bz = Bucketizer(splitsArray=[[float("-inf")] + state[c]["edges"] + [float("inf")] for c in cand],
+                        inputCols=names, outputCols=[f"_b{i}" for i in range(len(cand))],
+                        handleInvalid="keep")
+        structs = [F.when(F.col(nm).isNotNull(), F.struct(F.lit(i).alias("i"), F.col(f"_b{i}").cast("int").alias("b")))
+                   for i, nm in enumerate(names)]
+        counts = (bz.transform(vals).select(F.explode(F.array(*structs)).alias("s"))
+                    .where(F.col("s").isNotNull()).groupBy("s.i", "s.b").count().collect())
+        per: dict[int, dict[int, int]] = {}
+        for r in counts:
+            per.setdefault(r["i"], {})[r["b"]] = r["count"]
+        for i, c in enumerate(cand):
+            st, e = state[c], state[c]["edges"]
+            b1 = b2 = None
+            before1 = cum = 0
+            for b in sorted(per.get(i, {})):
+                nb = per[i][b]
+                if b1 is None and st["k1"] < cum + nb:
+                    b1, before1 = b, cum
+                if st["k2"] < cum + nb:
+                    b2 = b
+                    break
+                cum += nb
+            if b1 is None or b2 is None:
+                continue
+            # bucket b holds e[b-1] <= x < e[b] (edge list padded by -inf / inf)
+            st["lo"] = e[b1 - 1] if b1 >= 1 else st["lo"]
+            st["hi"] = e[b2] if b2 < len(e) else st["hi"]
+            st["count"] = sum(per[i][b] for b in per[i] if b1 <= b <= b2)
+            st["k1"] -= before1
+            st["k2"] -= before1
+    if state:
+        idx = {c: cols.index(c) for c in state}
+        pieces = [F.when(in_range(c), F.struct(F.lit(idx[c]).alias("i"), x[c].alias("v"))) for c in state]
+        ranked = (df.select(F.explode(F.array(*pieces)).alias("s")).where(F.col("s").isNotNull())
+                    .select("s.i", "s.v")
+                    .withColumn("r", F.row_number().over(Window.partitionBy("i").orderBy("v")) - 1))
+        want = None
+        for c, st in state.items():
+            cond = (F.col("i") == F.lit(idx[c])) & F.col("r").isin(st["k1"], st["k2"])
+            want = cond if want is None else want | cond
+        got: dict[int, dict[int, float]] = {}
+        for r in ranked.where(want).collect():
+            got.setdefault(r["i"], {})[r["r"]] = r["v"]
+        for c, st in state.items():
+            g = got.get(idx[c], {})
+            v1, v2 = g.get(st["k1"]), g.get(st["k2"])
+            if v1 is not None and v2 is not None:
+                out[c] = v1 + st["frac"] * (v2 - v1)
+    return out
 
 
 def median_impute(df: DataFrame, cols: Sequence[str], stats_df: DataFrame | None = None,

@@ -150,3 +150,16 @@ def test_label_encode_many_values_path(spark, monkeypatch):
     got = sorted((r[0] for r in E.label_encode(df, ["c"]).collect()))
     # Unknown 0, a 1, b 2, c 3, d 4
     assert got == [0, 1, 2, 2, 3, 4]
+
+
+@pytest.mark.parametrize("n", [1, 2, 7, 1000, 1001])
+def test_exact_median_selection_matches_aggregate(spark, n):
+    from riskweave.operators import encode as E
+    rnd = random.Random(n)
+    rows = [(None if rnd.random() < 0.1 else float(rnd.randint(-50, 50)) / 4,
+             float(rnd.choice([1.0, 1.0, 1.0, 2.5])), rnd.gauss(0, 1e6)) for _ in range(n)]
+    df = spark.createDataFrame(rows, "a double, b double, c double").repartition(3)
+    ref = E.medians(df, ["a", "b", "c"], method="aggregate")
+    sel = E.exact_medians(df, ["a", "b", "c"], buckets=8, final_rows=10)
+    for c in "abc":
+        assert (ref[c] is None and sel[c] is None) or sel[c] == ref[c], c
