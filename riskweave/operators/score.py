@@ -63,17 +63,37 @@ BOOSTED_POS10 = ModelSpec("GBT_pos10", "gbt", weighting="pos10", max_iter=100)
 REFERENCE_MODELS = (LOGREG, FOREST, BOOSTED, BOOSTED_POS10)
 
 
+ROWS_PER_PARTITION = 100_000   # training rows per task; each boosting round / tree level is a job
+
+
 def prepare(df: DataFrame, features: Sequence[str], label: str, scale: bool = True,
             weighting: str = "balanced") -> tuple[DataFrame, dict]:
     """Scale (population sd, sd 0 -> 1), cast the label to double, attach the
-    class weight. Returns the frame and the scaler parameters."""
+    class weight, size partitions to the row count. Returns the frame and the
+    scaler parameters.
+
+    Class counts come back as k numbers, so the weights enter the plan as
+    literals. Iterative learners run one job per round or tree level; a
+    small table spread over many partitions pays task overhead on every job,
+    so it is repartitioned to ceil(n / ROWS_PER_PARTITION) partitions (only
+    ever fewer than it had; large tables keep their parallelism).
+    """
     params = E.standardise_params(df, list(features)) if scale else {}
     out = E.standardise(df, list(features), params) if scale else df
     out = out.withColumn("label", F.col(label).cast("double"))
-    if weighting != "none":
-        weights = EV.class_weights(out, "label", 10.0)
-        kind = "weight_balanced" if weighting == "balanced" else "weight_pos"
-        out = EV.with_class_weight(out, "label", weights, WEIGHT_COL, kind)
+    counts = {r["label"]: r["n"] for r in
+              out.where(F.col("label").isNotNull()).groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    n = sum(counts.values())
+    if weighting != "none" and counts:
+        w = None
+        for c, nc in sorted(counts.items()):
+            val = n / (len(counts) * nc) if weighting == "balanced" else (10.0 if c == 1 else 1.0)
+            w = (F.when(F.col("label") == F.lit(c), F.lit(float(val))) if w is None
+                 else w.when(F.col("label") == F.lit(c), F.lit(float(val))))
+        out = out.withColumn(WEIGHT_COL, w)
+    target = max(1, -(-n // ROWS_PER_PARTITION))
+    if target * 2 <= out.rdd.getNumPartitions():
+        out = out.repartition(target)
     return out, params
 
 
