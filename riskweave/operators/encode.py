@@ -259,11 +259,18 @@ def exact_medians(df: DataFrame, cols: Sequence[str], buckets: int = SELECT_BUCK
 
 def median_impute(df: DataFrame, cols: Sequence[str], stats_df: DataFrame | None = None,
                   approx: bool = False) -> DataFrame:
+    """Fill missing values with the column median (of ``stats_df``, default
+    ``df``). Medians are computed only for columns that have a missing value
+    in ``df`` (one counting pass first); filling the others is a no-op."""
     if not cols:
         return df
-    med = medians(stats_df if stats_df is not None else df, cols, approx)
+    nulls = column_stats(df, {c: F.count_if(F.col(f"`{c}`").isNull()) for c in cols})
+    need = [c for c in cols if nulls[c]]
+    if not need:
+        return df
+    med = medians(stats_df if stats_df is not None else df, need, approx)
     fills = {c: F.coalesce(F.col(c), F.lit(med[c]).cast(t))
-             for c, t in df.select(*cols).dtypes if med.get(c) is not None}
+             for c, t in df.select(*need).dtypes if med.get(c) is not None}
     return df.withColumns(fills)
 
 
