@@ -67,3 +67,15 @@ def nearest_clients(df: DataFrame, probe: DataFrame, cols: Sequence[str], k: int
     # k rows: numbering them is bounded work.
     return top.withColumn("rank", F.row_number().over(Window.orderBy(
         F.col("distance").asc_nulls_last(), F.col(id_col))))
+
+
+MONEY_FEATURES = ("AMT_INCOME_TOTAL", "AMT_CREDIT", "TOTAL_PRICE", "c_acctbal")
+
+
+def card_display(card: DataFrame) -> DataFrame:
+    """display strings for a transposed card: money without decimals,
+    percent with one, other values with two (grouping commas)."""
+    v, f = F.col("value"), F.col("feature")
+    return card.withColumn("display", F.when(f.isin(*MONEY_FEATURES), F.format_number(v, 0))
+                           .when(f == F.lit("SCORE_PCT"), F.concat(F.format_number(v, 1), F.lit("%")))
+                           .otherwise(F.format_number(v, 2)))

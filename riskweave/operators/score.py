@@ -152,6 +152,26 @@ def cross_validate(df: DataFrame, features: Sequence[str], label: str, spec: Mod
             "seconds": time.time() - t0}
 
 
+def out_of_fold(df: DataFrame, features: Sequence[str], label: str, spec: ModelSpec,
+                fold_col: str = "fold", k: int = 5, id_col: str | None = None,
+                parallelism: int = 4) -> DataFrame:
+    """Out-of-fold probabilities (fold, label, TARGET_proba[, id]) of k fits:
+    the input of the threshold sweep (M18) without refitting per threshold."""
+    prep, _ = prepare(df, features, label, weighting=spec.weighting)
+    keep = [c for c in (id_col,) if c]
+    data = assembler(features).transform(prep).select(
+        *keep, FEATURES_COL, "label", fold_col, *([WEIGHT_COL] if spec.weighting != "none" else []))
+    data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        models = list(pool.map(lambda f: spec.estimator().fit(data.where(F.col(fold_col) != f)), range(k)))
+    oof = None
+    for f, m in enumerate(models):
+        part = positive_proba(m.transform(data.where(F.col(fold_col) == f))).select(
+            *keep, fold_col, "label", "TARGET_proba")
+        oof = part if oof is None else oof.unionByName(part)
+    return oof
+
+
 def cv_auc(df: DataFrame, features: Sequence[str], label: str, spec: ModelSpec,
            fold_col: str = "fold", k: int = 5, parallelism: int = 4) -> float:
     return cross_validate(df, features, label, spec, fold_col, k, parallelism=parallelism)["mean_auc"]

@@ -187,6 +187,8 @@ def build_feature_table(tables: dict[str, DataFrame], target: str = "TARGET",
     merge: a lost executor then costs one stage, not the whole lineage, and
     the merge plans from file statistics (AQE can broadcast small parts).
     """
+    from riskweave.sources.io import normalise_missing
+    tables = {k: normalise_missing(v) for k, v in tables.items()}
     bb = bureau_balance_agg(tables["bureau_balance"])
     bureau = bureau_client_agg(tables["bureau"], bb)
     prev = tables["previous_application"]

@@ -33,6 +33,17 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
                         for f in st.fields])
 
 
+def normalise_missing(df: DataFrame) -> DataFrame:
+    """NaN (pandas' missing) -> NULL in every float / double column, once at
+    ingest: a NaN left in makes max / avg / median return NaN and compares
+    greater than every number."""
+    fl = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
+    if not fl:
+        return df
+    return df.select(*[F.when(F.isnan(F.col(f"`{c}`")), F.lit(None).cast(t)).otherwise(F.col(f"`{c}`")).alias(c)
+                       if c in fl else F.col(f"`{c}`") for c, t in df.dtypes])
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """CSV with header (one folder of part files)."""
     df.write.mode("overwrite").option("header", True).csv(path)

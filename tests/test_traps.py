@@ -100,3 +100,18 @@ def test_grid_rounding_matches_duckdb_on_halves(spark):
     con = duckdb.connect()
     exp = [con.execute(f"SELECT {rnd('x')} FROM (SELECT CAST(? AS DOUBLE) AS x)", [v]).fetchone()[0] for v in vals]
     assert got == exp
+
+
+def test_t2_nan_becomes_null_at_ingest(spark):
+    from riskweave.sources.io import normalise_missing
+    df = spark.createDataFrame([(1.0,), (float("nan"),), (3.0,)], "x double")
+    out = normalise_missing(df)
+    assert [r.x for r in out.collect()] == [1.0, None, 3.0]
+    assert out.agg(F.max("x")).first()[0] == 3.0
+
+
+def test_f23_display(spark):
+    from riskweave.operators.explore import card_display
+    card = spark.createDataFrame([("AMT_CREDIT", 1234567.89), ("SCORE_PCT", 45.67), ("X", 2.0)],
+                                 "feature string, value double")
+    assert [r.display for r in card_display(card).collect()] == ["1,234,568", "45.7%", "2.00"]
