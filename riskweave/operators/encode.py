@@ -17,7 +17,8 @@ from riskweave.functions.scalar import raw_ratio
 
 UNKNOWN = "Unknown"           # fill value of a missing category
 AGG_BLOCK = 100               # expressions per aggregate (codegen field limit)
-MAX_INLINE_VALUES = 10_000    # category values inlined as a literal array
+MAX_INLINE_VALUES = 256       # category values looked up in a literal array (linear per row)
+MAX_CATEGORY_VALUES = 10_000  # one-hot / share columns: one output column per value
 MAX_BROADCAST_VALUES = 2_000_000
 
 
@@ -44,7 +45,7 @@ def column_stats(df: DataFrame, exprs: Mapping[str, Column]) -> dict:
 # --- F4 / F14: label encoding ---------------------------------------------------
 
 def distinct_values(df: DataFrame, col: str, fill: str | None = UNKNOWN,
-                    limit_check: int = MAX_INLINE_VALUES) -> list | None:
+                    limit_check: int = MAX_CATEGORY_VALUES) -> list | None:
     """Sorted distinct values (missing -> ``fill``); None if above the check."""
     c = F.coalesce(F.col(col), F.lit(fill)) if fill is not None else F.col(col)
     rows = (df.select(c.alias("v")).where(F.col("v").isNotNull()).distinct()
@@ -65,7 +66,7 @@ def label_encode(df: DataFrame, cols: Sequence[str], fill: str = UNKNOWN) -> Dat
     out = df
     for c in cols:
         filled = F.coalesce(F.col(c), F.lit(fill))
-        vals = distinct_values(out, c, fill)
+        vals = distinct_values(out, c, fill, limit_check=MAX_INLINE_VALUES)
         if vals is not None:
             arr = F.array(*[F.lit(v) for v in vals]) if vals else F.array().cast("array<string>")
             out = out.withColumn(c, (F.array_position(arr, filled) - 1).cast("int"))

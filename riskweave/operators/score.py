@@ -92,7 +92,11 @@ def prepare(df: DataFrame, features: Sequence[str], label: str, scale: bool = Tr
                  else w.when(F.col("label") == F.lit(c), F.lit(float(val))))
         out = out.withColumn(WEIGHT_COL, w)
     target = max(1, -(-n // ROWS_PER_PARTITION))
-    if target * 2 <= out.rdd.getNumPartitions():
+    try:
+        current = out.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view on Spark Connect
+        current = 0
+    if target * 2 <= current:
         out = out.repartition(target)
     return out, params
 

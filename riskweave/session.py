@@ -39,7 +39,9 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     for k, v in (extra or {}).items():
         b = b.config(k, v)
     spark = b.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    sc = _context(spark)
+    if sc is not None:
+        sc.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
 
@@ -50,20 +52,29 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     ``spark.checkpoint.dir`` is read from the session; only when it is unset
     (local runs, tests) is a private folder created and registered.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    sc = _context(spark)
+    d = spark.conf.get("spark.checkpoint.dir", None) or (sc.getConf().get("spark.checkpoint.dir") if sc else None)
     if not d:
-        master = spark.sparkContext.master or ""
+        master = (sc.master if sc else spark.conf.get("spark.master", "")) or ""
         if not master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir is not set: name a shared folder for stage "
                                "outputs and checkpoints (a machine-local folder does not survive "
                                "a lost executor)")
         d = tempfile.mkdtemp(prefix="riskweave-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d)
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(d)
     return d
 
 
+def _context(spark: SparkSession):
+    """The SparkContext, or None on a Spark Connect session."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Connect sessions have no context
+        return None
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for stage outputs."""
     base = ensure_checkpoint_dir(spark)
