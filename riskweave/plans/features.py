@@ -147,13 +147,16 @@ def application_features(train: DataFrame, test: DataFrame, target: str = "TARGE
     fit = df.where(F.col(target).isNotNull()) if fit_on == "train" else df
     df, _ = encode.drop_high_missing(df, S.APP_MISSING_DROP, exclude=(target,), stats_df=fit)
     if sentinel_first and "DAYS_EMPLOYED" in df.columns:
+        # corrected order: flag, then null, so the median and the fill skip the sentinel
+        df = df.withColumn("DAYS_EMPLOYED_ANOM", sentinel_flag(F.abs(F.col("DAYS_EMPLOYED"))))
         df = df.withColumn("DAYS_EMPLOYED", null_if_sentinel(F.abs(F.col("DAYS_EMPLOYED"))))
-    num = [c for c in agg.numeric_columns(df, exclude=(target,))]
+    num = [c for c, t in df.dtypes if c != target and t not in ("string", "boolean")
+           and not t.startswith(("array", "map", "struct"))]
     fit = df.where(F.col(target).isNotNull()) if fit_on == "train" else df
     df = encode.median_impute(df, num, stats_df=fit)
     df = df.withColumns({c: abs_widened(c, integral=False) for c in S.APP_ABS_DAYS if c in df.columns})
     df = df.withColumns({y: days_to_years(d) for y, d in S.APP_YEARS.items() if d in df.columns})
-    if "DAYS_EMPLOYED" in df.columns:
+    if "DAYS_EMPLOYED" in df.columns and not sentinel_first:
         df = df.withColumn("DAYS_EMPLOYED_ANOM", sentinel_flag("DAYS_EMPLOYED"))
         df = df.withColumn("DAYS_EMPLOYED", null_if_sentinel("DAYS_EMPLOYED"))
     ratios = {n: (a, b) for n, (a, b) in S.APP_RATIOS.items() if a in df.columns and b in df.columns}

@@ -163,3 +163,31 @@ def test_exact_median_selection_matches_aggregate(spark, n):
     sel = E.exact_medians(df, ["a", "b", "c"], buckets=8, final_rows=10)
     for c in "abc":
         assert (ref[c] is None and sel[c] is None) or sel[c] == ref[c], c
+
+
+def test_cost_by_sweep_equals_direct_count(spark):
+    rnd = random.Random(9)
+    rows = [(rnd.randint(0, 4), rnd.random(), rnd.randint(0, 1)) for _ in range(300)]
+    df = spark.createDataFrame(rows, "fold int, p double, y int")
+    sweep = {r.threshold: r.mean_cost for r in EV.threshold_sweep(df, "p", "y", "fold").collect()}
+    for t in EV.THRESHOLDS:
+        per_fold = []
+        for f in range(5):
+            fn = sum(1 for ff, p, y in rows if ff == f and y == 1 and p < t)
+            fp = sum(1 for ff, p, y in rows if ff == f and y == 0 and p >= t)
+            per_fold.append(10 * fn + fp)
+        assert sweep[t] == pytest.approx(sum(per_fold) / 5)
+
+
+def test_correlation_filter_idempotent(spark):
+    from riskweave.operators import select as SEL
+    rnd = random.Random(4)
+    rows = []
+    for _ in range(200):
+        a = rnd.random()
+        rows.append((a, a * 3 + 1e-3 * rnd.random(), rnd.random(), 0))
+    df = spark.createDataFrame(rows, "a double, b double, c double, y int")
+    once, dropped = SEL.remove_high_correlation(df, "y", 0.95)
+    assert dropped == ["b"]
+    twice, dropped2 = SEL.remove_high_correlation(once, "y", 0.95)
+    assert dropped2 == [] and twice.columns == once.columns

@@ -115,3 +115,54 @@ def test_f23_display(spark):
     card = spark.createDataFrame([("AMT_CREDIT", 1234567.89), ("SCORE_PCT", 45.67), ("X", 2.0)],
                                  "feature string, value double")
     assert [r.display for r in card_display(card).collect()] == ["1,234,568", "45.7%", "2.00"]
+
+
+def test_t8_latest_tie_breaks_on_id(spark):
+    df = spark.createDataFrame([(1, 10, -5.0, 1.0), (1, 11, -5.0, 2.0), (1, 9, -5.0, 3.0)],
+                               "k long, id long, d double, v double")
+    ex = agg.latest_non_null(df, "k", "d", "id", ["v"], prefix="R_")
+    assert agg.grouped_agg(df, "k", {}, extra=ex).first()["R_v"] == 2.0   # highest id among equal days
+
+
+def test_t10_t11_sentinel_order_and_shared_medians(spark):
+    from riskweave.plans import features as feat
+    train = spark.createDataFrame([(1, 0.0, -1000, 365243, 100.0), (2, 1.0, -2000, -500, None)],
+                                  "SK_ID_CURR long, TARGET double, DAYS_BIRTH int, DAYS_EMPLOYED int, AMT_ANNUITY double")
+    test = spark.createDataFrame([(3, -3000, -700, 300.0)],
+                                 "SK_ID_CURR long, DAYS_BIRTH int, DAYS_EMPLOYED int, AMT_ANNUITY double")
+    out = {r.SK_ID_CURR: r for r in feat.application_features(train, test).collect()}
+    assert out[1].EMPLOYMENT_YEARS == pytest.approx(365243 / 365)      # years keep the sentinel (T10)
+    assert out[1].DAYS_EMPLOYED is None and out[1].DAYS_EMPLOYED_ANOM is True
+    assert out[2].AMT_ANNUITY == 200.0                                 # median over train and test (T11)
+    only_train = {r.SK_ID_CURR: r for r in feat.application_features(train, test, fit_on="train").collect()}
+    assert only_train[2].AMT_ANNUITY == 100.0
+    first = {r.SK_ID_CURR: r for r in feat.application_features(train, test, sentinel_first=True).collect()}
+    # corrected order: the sentinel is flagged, nulled, then gets the median of the others
+    assert first[1].DAYS_EMPLOYED_ANOM is True and first[1].DAYS_EMPLOYED == 600
+    assert first[1].EMPLOYMENT_YEARS == pytest.approx(600 / 365)
+
+
+def test_t12_rate_counts_label_code_one(spark):
+    from riskweave.plans import features as feat
+    prev = spark.createDataFrame(
+        [(1, 10, "Approved", 100.0, 10.0, 90.0), (1, 11, "Canceled", 50.0, 5.0, 45.0), (1, 12, "Refused", 20.0, 2.0, 18.0)],
+        "SK_ID_CURR long, SK_ID_PREV long, NAME_CONTRACT_STATUS string, AMT_CREDIT double, AMT_ANNUITY double, "
+        "AMT_GOODS_PRICE double")
+    r = feat.previous_client_agg(prev, approved_code=1).first()
+    # codes: Approved 0, Canceled 1, Refused 2 -> code 1 is "Canceled", as in the reference
+    assert r["PREV_APPROVAL_RATE"] == pytest.approx(1 / 3) and r["PREV_APP_COUNT"] == 3
+
+
+def test_t18_scoring_carries_the_id(spark):
+    from riskweave.operators import score as Sc
+    df = spark.createDataFrame([(100 + i, float(i), i % 2) for i in range(20)], "SK_ID_CURR long, a double, y int")
+    model, params = Sc.fit_pipeline(df, ["a"], "y", Sc.ModelSpec("lr", "logreg", max_iter=10))
+    out = Sc.score(df, model, ["a"], params, 0.5)
+    assert sorted(r.SK_ID_CURR for r in out.collect()) == list(range(100, 120))
+
+
+def test_t22_topk_keeps_column_order_and_later_ties(spark):
+    from riskweave.operators import profile as PR
+    scores = spark.createDataFrame([(0, "a", 5.0), (1, "b", 9.0), (2, "c", 5.0), (3, "d", None)],
+                                   "pos int, feature string, f_score double")
+    assert [r.feature for r in PR.top_k_by_score(scores, 2).collect()] == ["b", "c"]
