@@ -62,6 +62,16 @@ def progress_frame(spark: SparkSession, query) -> DataFrame:
     return spark.createDataFrame(rows, "batch_id long, input_rows long, rows_per_second double, duration_ms long")
 
 
+def log_progress(spark: SparkSession, query, path: str, experiment: str = "scoring_stream") -> None:
+    """Micro-batch progress (rows in, rows per second, duration) appended
+    to the run table, one run per batch."""
+    from riskweave.sources import runs
+    prog = progress_frame(spark, query)
+    long = runs.metrics_to_runs(prog, F.concat(F.lit("batch="), F.col("batch_id").cast("string")),
+                                ["batch_id"], ["input_rows", "rows_per_second", "duration_ms"], experiment)
+    runs.append_runs(long, path)
+
+
 def run_once(spark: SparkSession, requests: DataFrame, model: PipelineModel, features: Sequence[str],
              params: dict, threshold: float, id_col: str = "SK_ID_CURR") -> dict:
     """Write ``requests`` as JSON files, drain them with an availableNow
@@ -70,6 +80,8 @@ def run_once(spark: SparkSession, requests: DataFrame, model: PipelineModel, fea
     requests.select(id_col, *features).write.mode("overwrite").json(src)
     q = score_stream(spark, src, model, features, params, threshold, out, rej, ck, id_col)
     q.awaitTermination()
+    from riskweave.sources import runs
+    log_progress(spark, q, runs.run_table_path(spark))
     return {"scored": spark.read.parquet(out).drop("batch_id"),
             "rejected": spark.read.parquet(rej).drop("batch_id"),
             "progress": progress_frame(spark, q)}
