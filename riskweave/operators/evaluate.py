@@ -40,7 +40,8 @@ def prefix_before(df: DataFrame, order_cols: Sequence[str], values: Sequence[str
     """Add ``{v}_before``: sum of v over rows earlier in (part, order) order.
 
     ``order_cols[0]`` is bucketed by approximate quantiles; later order
-    columns only break ties. Rows in one (part, bucket) meet in one task;
+    columns only break ties. ``part`` is meant for a few values (classes,
+    folds): the offsets table has n_buckets rows per value. Rows in one (part, bucket) meet in one task;
     quantile buckets keep those groups near n / n_buckets rows unless a
     single order value is that frequent (pre-aggregate per value first).
     """
@@ -53,7 +54,11 @@ def prefix_before(df: DataFrame, order_cols: Sequence[str], values: Sequence[str
                                                  .alias(f"_o_{v}") for v in values])
     w_in = (Window.partitionBy(*part, "_bucket").orderBy(*order_cols)
             .rowsBetween(Window.unboundedPreceding, -1))
-    joined = bucketed.join(F.broadcast(offsets), [*part, "_bucket"], "left")
+    # Without a partition column the offsets table has at most n_buckets rows:
+    # a proven bound, so it is broadcast. With one, its size grows with the
+    # number of partition values (classes, folds); AQE decides from its size.
+    side = F.broadcast(offsets) if not part else offsets
+    joined = bucketed.join(side, [*part, "_bucket"], "left")
     return joined.select(*df.columns, *[
         (F.col(f"_o_{v}") + F.coalesce(F.sum(v).over(w_in), F.lit(0))).alias(f"{v}_before")
         for v in values])
