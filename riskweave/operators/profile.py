@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from riskweave.operators.encode import AGG_BLOCK, column_stats
+from riskweave.operators.encode import column_stats
 
 # --- A16 -------------------------------------------------------------------------
 
@@ -225,7 +225,3 @@ def histogram(df: DataFrame, col: str, bins: int = 50, probe: float | None = Non
         (F.lit(lo) + F.col("bin") * F.lit(width)).alias("hi"), "count",
         F.coalesce(F.col("bin") == probe_bin, F.lit(False)).alias("is_probe_bin"))
 
-
-def blocks(cols: Sequence[str], size: int = AGG_BLOCK):
-    for i in range(0, len(cols), size):
-        yield cols[i:i + size]

@@ -76,6 +76,7 @@ def client_card(spark: SparkSession, sf_dir: str) -> DataFrame:
         "YEARS_SINCE_FIRST_ORDER": whole_years(F.abs(F.col("DAYS_FIRST_ORDER"))).cast("double"),
         "SCORE_PCT": _round1(F.col("TARGET_proba") * F.lit(100.0))})
     card = X.client_card(client, [*CARD_FEATURES, "YEARS_SINCE_FIRST_ORDER", "SCORE_PCT"])
+    # (X.card_display adds the display strings; the check compares values)
     from riskweave.operators.aggregate import round_fixed
     # One number and one id come back to the driver (no cross join of rows).
     mean_val = X.feature_mean(band, "TOTAL_PRICE").first()["mean"]
