@@ -83,15 +83,25 @@ def bureau_rules():
 
 def bureau_client_agg(bureau: DataFrame, bb_agg: DataFrame | None,
                       order_col: str = "DAYS_CREDIT") -> DataFrame:
-    """J1 + label codes + ratios + rule spec + loan count + latest, one agg."""
+    """J1 + label codes + ratios + rule spec + loan count + latest values.
+
+    The statistics are one hash aggregate. The latest values need a
+    struct-ordered ``max_by``, which only a sort-based aggregate can run;
+    they get their own narrow aggregate over a column-pruned read of the
+    bureau rows, so only (client, day, id, 3 values) are sorted, not the wide
+    rows. Both outputs are hash-partitioned on the client: the join adds no
+    exchange.
+    """
     b = bureau if bb_agg is None else bureau.join(bb_agg, BUREAU, "left")
     b = encode.label_encode(b, encode.string_columns(b))
     b = bureau_row_features(b)
     spec = agg.rule_spec(b, bureau_rules(), exclude=(BUREAU, CURR))
-    extra = [F.count(F.col(BUREAU)).alias("BUREAU_LOAN_COUNT"),
-             *agg.latest_non_null(b, CURR, order_col, BUREAU, S.BUREAU_RECENT_COLS,
-                                  prefix="BUREAU_RECENT_")]
-    return agg.grouped_agg(b, CURR, spec, prefix="BUREAU_", extra=extra)
+    stats = agg.grouped_agg(b, CURR, spec, prefix="BUREAU_",
+                            extra=[F.count(F.col(BUREAU)).alias("BUREAU_LOAN_COUNT")])
+    narrow = bureau.select(CURR, BUREAU, *dict.fromkeys([order_col, *S.BUREAU_RECENT_COLS]))
+    latest = agg.grouped_agg(narrow, CURR, {}, extra=agg.latest_non_null(
+        narrow, CURR, order_col, BUREAU, S.BUREAU_RECENT_COLS, prefix="BUREAU_RECENT_"))
+    return stats.join(latest, CURR, "left")
 
 
 # --- stage 3: previous applications ----------------------------------------------
