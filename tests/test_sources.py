@@ -58,3 +58,27 @@ def test_log_run_and_best(spark):
     runs.log_run(spark, table, "exp", "b", {"threshold": 0.3}, {"cost": 7.0})
     best = runs.best_run(runs.read_runs(spark, table, "exp"), "cost").first()
     assert best.run_name == "b"
+
+
+def test_bucketed_children_need_no_shuffle_before_the_link_join(spark):
+    import re
+    from riskweave.operators import aggregate as agg
+    from riskweave.sources.io import save_bucketed
+    links = spark.createDataFrame([(c, 10 * c + k) for c in range(50) for k in range(3)],
+                                  "SK_ID_CURR long, SK_ID_PREV long")
+    child = spark.createDataFrame([(10 * c + k, float(c + k)) for c in range(50) for k in range(3) for _ in range(2)],
+                                  "SK_ID_PREV long, x double")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        save_bucketed(links, "t_links_b", "SK_ID_PREV", 4)
+        save_bucketed(child, "t_child_b", "SK_ID_PREV", 4)
+        out = agg.two_level_agg(spark.table("t_child_b"), spark.table("t_links_b"), "SK_ID_PREV", "SK_ID_CURR",
+                                {"x": ["sum"]}, "C")
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        keys = re.findall(r"Exchange hashpartitioning\(([A-Za-z_]+)", plan)
+        assert keys and all(k == "SK_ID_CURR" for k in keys)   # only the client-level shuffle
+        assert out.count() == 50
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP TABLE IF EXISTS t_links_b")
+        spark.sql("DROP TABLE IF EXISTS t_child_b")
