@@ -71,11 +71,7 @@ def label_encode(df: DataFrame, cols: Sequence[str], fill: str = UNKNOWN) -> Dat
             arr = F.array(*[F.lit(v) for v in vals]) if vals else F.array().cast("array<string>")
             out = out.withColumn(c, (F.array_position(arr, filled) - 1).cast("int"))
             continue
-        # Many values: dense rank from a range-sorted distinct table and
-        # zipWithIndex (per-partition counts, then offsets; no single task).
-        ranked = (out.select(filled.alias("_v")).distinct().orderBy("_v").rdd
-                     .zipWithIndex().map(lambda t: (t[0][0], int(t[1]))))
-        codes = out.sparkSession.createDataFrame(ranked, "_v string, _code int")
+        codes = dense_codes(out.select(filled.alias("_v")), "_v", "_code")
         n = codes.count()
         side = F.broadcast(codes) if n <= MAX_BROADCAST_VALUES else codes
         out = (out.withColumn("_v", filled).join(side, "_v", "left")
@@ -83,6 +79,23 @@ def label_encode(df: DataFrame, cols: Sequence[str], fill: str = UNKNOWN) -> Dat
     return out
 
 
+def dense_codes(df: DataFrame, col: str, out: str = "code") -> DataFrame:
+    """(value, dense rank from 0) over the distinct values of ``col``, in the
+    JVM and without a global window: the distinct values are range-partitioned
+    (partition i holds smaller values than partition i + 1), numbered inside
+    each partition, and offset by the counts of the earlier partitions (one
+    number per partition)."""
+    ranged = (df.select(col).where(F.col(col).isNotNull()).distinct()
+                .repartitionByRange(col).withColumn("_pid", F.spark_partition_id()))
+    counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(
+        Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    # one row per range partition: a bounded, broadcastable table
+    numbered = ranged.withColumn("_rn", F.row_number().over(Window.partitionBy("_pid").orderBy(col)))
+    return (numbered.join(F.broadcast(offsets), "_pid")
+                    .select(col, (F.col("_off") + F.col("_rn") - 1).cast("int").alias(out)))
+
+
 # --- F15: one-hot -----------------------------------------------------------------
 
 def one_hot(df: DataFrame, cols: Sequence[str], fill: str = UNKNOWN,
