@@ -115,7 +115,8 @@ def cross_validate(df: DataFrame, features: Sequence[str], label: str, spec: Mod
                    parallelism: int = 4) -> dict:
     """Mean / population sd of the exact AUC and the 10·FN + FP cost
     over k folds. ``df`` must carry ``fold_col`` (see stratified_folds)."""
-    prep, _ = prepare(df, features, label, weighting=spec.weighting)
+    src = df.select(*features, label, fold_col).persist(StorageLevel.MEMORY_AND_DISK)
+    prep, _ = prepare(src, features, label, weighting=spec.weighting)
     data = assembler(features).transform(prep).select(FEATURES_COL, "label", fold_col,
                                                       *([WEIGHT_COL] if spec.weighting != "none" else []))
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
@@ -141,6 +142,7 @@ def cross_validate(df: DataFrame, features: Sequence[str], label: str, spec: Mod
         oof.unpersist()
     finally:
         data.unpersist()
+        src.unpersist()
     aucs = [aucs_by[f] for f in range(k) if aucs_by.get(f) is not None]
     costs = [cost_by[f] for f in range(k) if f in cost_by]
 
@@ -193,8 +195,19 @@ def leaderboard(df: DataFrame, features: Sequence[str], label: str,
 
 def fit_pipeline(df: DataFrame, features: Sequence[str], label: str, spec: ModelSpec) -> tuple[PipelineModel, dict]:
     """Final fit on all rows; returns the fitted pipeline and scaler params."""
-    prep, params = prepare(df, features, label, weighting=spec.weighting)
-    model = Pipeline(stages=[assembler(features), spec.estimator()]).fit(prep)
+    # The statistics passes of ``prepare`` and the learner's own passes read
+    # the same few columns: compute them once.
+    src = df.select(*features, label).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        prep, params = prepare(src, features, label, weighting=spec.weighting)
+        keep = [*features, "label", *([WEIGHT_COL] if spec.weighting != "none" else [])]
+        prep = prep.select(*keep).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            model = Pipeline(stages=[assembler(features), spec.estimator()]).fit(prep)
+        finally:
+            prep.unpersist()
+    finally:
+        src.unpersist()
     return model, params
 
 
