@@ -191,6 +191,7 @@ def compare_methods(df: DataFrame, target: str, methods: Mapping[str, Sequence[s
 
 
 def select_optimal_features(train: DataFrame, target: str, id_col: str, fold_col: str = "fold",
+                            test: DataFrame | None = None,
                             k_univariate: int = 100, k_importance: int = 100, k_forward: int = 30,
                             forward_spec: S.ModelSpec = S.BOOSTED,
                             importance_spec: S.ModelSpec = S.BOOSTED, forward_candidates: int = 20,
@@ -214,6 +215,12 @@ def select_optimal_features(train: DataFrame, target: str, id_col: str, fold_col
     table = compare_methods(df, target, methods, specs=compare_specs, fold_col=mapped_keep[1])
     best = table.orderBy(F.col("Mean_roc_auc").desc_nulls_last(), "Method", "Model").first()
     chosen = methods[best["Method"]] if best else []
-    return {"dropped": {"missing": miss, "variance": low, "correlation": corr},
-            "methods": methods, "comparison": table, "best_method": best["Method"] if best else None,
-            "features": N.revert_names(chosen, mapping)}
+    features = N.revert_names(chosen, mapping)
+    out = {"dropped": {"missing": miss, "variance": low, "correlation": corr},
+           "methods": methods, "comparison": table, "best_method": best["Method"] if best else None,
+           "features": features,
+           # the selected frames: features in selection order, label and id carried
+           "train": train.select(*features, target, id_col)}
+    if test is not None:
+        out["test"] = test.select(*features, id_col)
+    return out
