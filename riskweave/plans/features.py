@@ -192,13 +192,15 @@ def split_train_test(df: DataFrame, target: str = "TARGET") -> tuple[DataFrame,
 
 
 def build_feature_table(tables: dict[str, DataFrame], target: str = "TARGET",
-                        checkpoint_dir: str | None = None) -> DataFrame:
+                        checkpoint_dir: str | None = None, shapes: dict | None = None) -> DataFrame:
     """§3.1 end to end on the eight raw tables (keys as in the reference).
 
     With ``checkpoint_dir`` (a folder in the shared checkpoint location)
     every per-client part is written as Parquet and re-read before the
     merge: a lost executor then costs one stage, not the whole lineage, and
     the merge plans from file statistics (AQE can broadcast small parts).
+    ``shapes`` (a dict) receives (rows, columns) per checkpointed stage,
+    counted while writing.
     """
     from riskweave.sources.io import normalise_missing
     tables = {k: normalise_missing(v) for k, v in tables.items()}
@@ -218,6 +220,6 @@ def build_feature_table(tables: dict[str, DataFrame], target: str = "TARGET",
     if checkpoint_dir is not None:
         from riskweave.sources.io import checkpoint_stage
         spark = app.sparkSession
-        parts = {k: checkpoint_stage(spark, v, f"{checkpoint_dir}/{k}") for k, v in parts.items()}
-        app = checkpoint_stage(spark, app, f"{checkpoint_dir}/application")
+        parts = {k: checkpoint_stage(spark, v, f"{checkpoint_dir}/{k}", shapes, k) for k, v in parts.items()}
+        app = checkpoint_stage(spark, app, f"{checkpoint_dir}/application", shapes, "application")
     return merge_features(app, list(parts.values()), target)

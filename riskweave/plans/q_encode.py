@@ -374,5 +374,11 @@ def feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole client feature table: balance shares -> bureau rollup, previous
     loans, three two-level child aggregates, application stage, one-hot, star
     of left joins, fill 0. Parts are checkpointed to the shared folder."""
+    from riskweave.sources import runs
     tables = V.loan_tables(spark, sf_dir)
-    return round_doubles(feat.build_feature_table(tables, checkpoint_dir=scratch_path(spark, "features")))
+    shapes: dict = {}
+    out = feat.build_feature_table(tables, checkpoint_dir=scratch_path(spark, "features"), shapes=shapes)
+    # Stage shapes, counted while the stages were written, go to the run table
+    runs.log_run(spark, runs.run_table_path(spark), "feature_pipeline", "shapes", {},
+                 {f"{k}_{d}": v for k, (r, c) in shapes.items() for d, v in (("rows", r), ("columns", c))})
+    return round_doubles(out)

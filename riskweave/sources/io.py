@@ -62,9 +62,20 @@ def read_stage(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def checkpoint_stage(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
-    """Write then re-read: the plan downstream starts from the files."""
-    write_stage(df, path)
+def checkpoint_stage(spark: SparkSession, df: DataFrame, path: str,
+                     shapes: dict | None = None, name: str | None = None) -> DataFrame:
+    """Write then re-read: the plan downstream starts from the files.
+
+    With ``shapes``, the row count is taken by an ``Observation`` during the
+    write (A24: shape per stage without another pass) and stored as
+    ``shapes[name] = (rows, columns)``."""
+    if shapes is None:
+        write_stage(df, path)
+    else:
+        from pyspark.sql import Observation
+        obs = Observation(f"rows_{name or 'stage'}")
+        write_stage(df.observe(obs, F.count(F.lit(1)).alias("rows")), path)
+        shapes[name or path] = (int(obs.get["rows"]), len(df.columns))
     return read_stage(spark, path)
 
 

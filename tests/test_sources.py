@@ -82,3 +82,11 @@ def test_bucketed_children_need_no_shuffle_before_the_link_join(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.sql("DROP TABLE IF EXISTS t_links_b")
         spark.sql("DROP TABLE IF EXISTS t_child_b")
+
+
+def test_checkpoint_stage_observes_shape(spark):
+    from riskweave.session import scratch_path
+    shapes = {}
+    df = spark.range(7).withColumn("y", F.col("id") + 1)
+    back = io.checkpoint_stage(spark, df, scratch_path(spark, "t-obs"), shapes, "s")
+    assert shapes == {"s": (7, 2)} and back.count() == 7
