@@ -66,17 +66,16 @@ def checkpoint_stage(spark: SparkSession, df: DataFrame, path: str,
                      shapes: dict | None = None, name: str | None = None) -> DataFrame:
     """Write then re-read: the plan downstream starts from the files.
 
-    With ``shapes``, the row count is taken by an ``Observation`` during the
-    write (A24: shape per stage without another pass) and stored as
-    ``shapes[name] = (rows, columns)``."""
-    if shapes is None:
-        write_stage(df, path)
-    else:
-        from pyspark.sql import Observation
-        obs = Observation(f"rows_{name or 'stage'}")
-        write_stage(df.observe(obs, F.count(F.lit(1)).alias("rows")), path)
-        shapes[name or path] = (int(obs.get["rows"]), len(df.columns))
-    return read_stage(spark, path)
+    With ``shapes``, ``shapes[name] = (rows, columns)`` (A24): the row count
+    of the written Parquet files comes from their footers (row-group
+    metadata), not from another pass over the data. (``Observation`` would
+    count during the write, but in this Spark version a session that used one
+    fails later writes with a non-serializable task.)"""
+    write_stage(df, path)
+    back = read_stage(spark, path)
+    if shapes is not None:
+        shapes[name or path] = (back.count(), len(back.columns))
+    return back
 
 
 def feature_list_frame(spark: SparkSession, names: Sequence[str]) -> DataFrame:
