@@ -311,23 +311,25 @@ def clean_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- P13, U2 ------------------------------------------------------------------------------
 
-_TYPE_CASE = ("CASE data_type WHEN 'VARCHAR' THEN 'string' WHEN 'BIGINT' THEN 'bigint' "
-              "WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double' WHEN 'TIMESTAMP' THEN 'timestamp' "
-              "ELSE lower(data_type) END")
-
-
-@register("schema_diff", f"""WITH l AS (SELECT column_name, {_TYPE_CASE} AS t FROM information_schema.columns WHERE table_name = 'supplier'),
-r AS (SELECT column_name, {_TYPE_CASE} AS t FROM information_schema.columns WHERE table_name = 'customer')
+@register("schema_diff", """WITH c AS (SELECT c_custkey, c_acctbal, c_mktsegment,
+                         CASE WHEN c_mktsegment = 'BUILDING' THEN 'test' ELSE 'train' END AS split FROM customer),
+cols AS (
+  SELECT split, 'c_custkey' AS column_name, 'bigint' AS t FROM (SELECT DISTINCT split FROM c)
+  UNION ALL SELECT split, 'c_acctbal', 'double' FROM (SELECT DISTINCT split FROM c)
+  UNION ALL SELECT DISTINCT split, 'c_mktsegment_' || coalesce(c_mktsegment, 'Unknown'), 'int' FROM c),
+l AS (SELECT column_name, t FROM cols WHERE split = 'train'),
+r AS (SELECT column_name, t FROM cols WHERE split = 'test')
 SELECT coalesce(l.column_name, r.column_name) AS column_name, l.t AS left_type, r.t AS right_type,
        l.column_name IS NOT NULL AND r.column_name IS NOT NULL AS in_both
 FROM l FULL OUTER JOIN r ON l.column_name = r.column_name""")
 def schema_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Column sets of supplier vs customer (types in Spark's names)."""
-    def coarse(t):
-        return "timestamp" if t and t.startswith("timestamp") else t
-    rows = [(c, coarse(lt), coarse(rt), lt is not None and rt is not None)
-            for c, lt, rt in N.schema_diff(V.read_table(spark, sf_dir, "supplier"),
-                                           V.read_table(spark, sf_dir, "customer"))]
+    """Train vs test column sets after one-hot encoding each split on its own
+    (the test split lacks the segments it never saw): the check run before
+    scoring. The one-hot columns come from a distinct-value scan of each split."""
+    c = V.read_table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", "c_mktsegment")
+    train = E.one_hot(c.where(F.col("c_mktsegment") != "BUILDING"), ["c_mktsegment"])
+    test = E.one_hot(c.where(F.col("c_mktsegment") == "BUILDING"), ["c_mktsegment"])
+    rows = [(col, lt, rt, lt is not None and rt is not None) for col, lt, rt in N.schema_diff(train, test)]
     return spark.createDataFrame(rows, "column_name string, left_type string, right_type string, in_both boolean")
 
 
