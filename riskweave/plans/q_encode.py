@@ -351,22 +351,25 @@ def contract_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- S1-S5, P1, P2, P10, P11, A24 ----------------------------------------------------------
 
-@register("io_roundtrip", "SELECT n_nationkey, n_name, n_regionkey, 'csv' AS via FROM nation "
-          "UNION ALL SELECT n_nationkey, n_name, n_regionkey, 'parquet' FROM nation")
+@register("io_roundtrip", f"""SELECT c_custkey, c_name, c_nationkey, {O.rnd('c_acctbal')} AS c_acctbal, c_mktsegment,
+  'csv' AS via FROM customer
+UNION ALL SELECT c_custkey, c_name, c_nationkey, {O.rnd('c_acctbal')}, c_mktsegment, 'parquet' FROM customer""")
 def io_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Write nation as CSV and Parquet into the shared checkpoint folder, read
-    both back (CSV through the declared schema and missing tokens)."""
+    """Write the customer table as CSV and Parquet into the shared checkpoint
+    folder, read both back (CSV through the declared schema and the missing
+    tokens), report rows and columns (A24)."""
     from riskweave.sources import io
-    nation = V.read_table(spark, sf_dir, "nation")
-    csv_path, pq_path = scratch_path(spark, "nation-csv"), scratch_path(spark, "nation-pq")
-    io.write_csv(nation, csv_path)
-    io.write_stage(nation, pq_path)
-    schema = ", ".join(f"{n} {t}" for n, t in nation.dtypes)
+    cust = V.read_table(spark, sf_dir, "customer")
+    csv_path, pq_path = scratch_path(spark, "customer-csv"), scratch_path(spark, "customer-pq")
+    io.write_csv(cust, csv_path)
+    io.write_stage(cust, pq_path)
+    schema = ", ".join(f"{n} {t}" for n, t in cust.dtypes)
     back_csv = io.read_csv(spark, csv_path, schema)
     back_pq = io.read_stage(spark, pq_path)
-    cols = ["n_nationkey", "n_name", "n_regionkey"]
-    return (back_csv.select(*cols).withColumn("via", F.lit("csv"))
-            .unionByName(back_pq.select(*cols).withColumn("via", F.lit("parquet"))))
+    assert io.profile(back_pq)[1] == len(cust.columns)
+    cols = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
+    return round_doubles(back_csv.select(*cols).withColumn("via", F.lit("csv"))
+                         .unionByName(back_pq.select(*cols).withColumn("via", F.lit("parquet"))))
 
 
 # --- §3.1 end to end ---------------------------------------------------------------------
