@@ -162,9 +162,11 @@ def out_of_fold(df: DataFrame, features: Sequence[str], label: str, spec: ModelS
                 fold_col: str = "fold", k: int = 5, id_col: str | None = None,
                 parallelism: int = 4) -> DataFrame:
     """Out-of-fold probabilities (fold, label, TARGET_proba[, id]) of k fits:
-    the input of the threshold sweep (M18) without refitting per threshold."""
-    prep, _ = prepare(df, features, label, weighting=spec.weighting)
+    the input of the threshold sweep (M18) without refitting per threshold.
+    The result is persisted (the caller unpersists it)."""
     keep = [c for c in (id_col,) if c]
+    src = df.select(*keep, *features, label, fold_col).persist(StorageLevel.MEMORY_AND_DISK)
+    prep, _ = prepare(src, features, label, weighting=spec.weighting)
     data = assembler(features).transform(prep).select(
         *keep, FEATURES_COL, "label", fold_col, *([WEIGHT_COL] if spec.weighting != "none" else []))
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
@@ -175,6 +177,10 @@ def out_of_fold(df: DataFrame, features: Sequence[str], label: str, spec: ModelS
         part = positive_proba(m.transform(data.where(F.col(fold_col) == f))).select(
             *keep, fold_col, "label", "TARGET_proba")
         oof = part if oof is None else oof.unionByName(part)
+    oof = oof.persist(StorageLevel.MEMORY_AND_DISK)
+    oof.count()
+    data.unpersist()
+    src.unpersist()
     return oof
 
 
