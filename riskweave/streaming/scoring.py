@@ -38,17 +38,30 @@ def score_batch(batch: DataFrame, model: PipelineModel, features: Sequence[str],
     return scored, rejected
 
 
-def score_stream(spark: SparkSession, source_dir: str, model: PipelineModel, features: Sequence[str],
+def score_stream(spark: SparkSession, source, model: PipelineModel, features: Sequence[str],
                  params: dict, threshold: float, sink_dir: str, reject_dir: str, checkpoint_dir: str,
-                 id_col: str = "SK_ID_CURR", available_now: bool = True, max_files_per_trigger: int = 100):
-    schema = request_schema(features, id_col)
-    requests = (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
-                     .json(source_dir))
+                 id_col: str = "SK_ID_CURR", available_now: bool = True, max_files_per_trigger: int = 100,
+                 sink_format: str = "parquet"):
+    """``source``: a folder of JSON requests, or any streaming DataFrame with
+    the id and feature columns (e.g. a Kafka stream parsed with
+    ``from_json``): the plan downstream is the same. ``sink_format``:
+    ``parquet`` or ``csv`` (with header) for the predictions and rejects."""
+    if isinstance(source, str):
+        schema = request_schema(features, id_col)
+        requests = (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
+                         .json(source))
+    else:
+        requests = source.select(F.col(id_col).cast("long").alias(id_col),
+                                 *[F.col(f).cast("double").alias(f) for f in features])
+
+    def write(df: DataFrame, path: str) -> None:
+        w = df.write.mode("overwrite")
+        (w.option("header", True).csv(path) if sink_format == "csv" else w.parquet(path))
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         scored, rejected = score_batch(batch, model, features, params, threshold, id_col)
-        scored.write.mode("overwrite").parquet(os.path.join(sink_dir, f"batch_id={batch_id}"))
-        rejected.write.mode("overwrite").parquet(os.path.join(reject_dir, f"batch_id={batch_id}"))
+        write(scored, os.path.join(sink_dir, f"batch_id={batch_id}"))
+        write(rejected, os.path.join(reject_dir, f"batch_id={batch_id}"))
 
     w = requests.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint_dir)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")

@@ -191,3 +191,22 @@ def test_correlation_filter_idempotent(spark):
     assert dropped == ["b"]
     twice, dropped2 = SEL.remove_high_correlation(once, "y", 0.95)
     assert dropped2 == [] and twice.columns == once.columns
+
+
+def test_stream_from_a_streaming_frame_to_csv(spark):
+    import os
+    from riskweave.operators import score as S
+    from riskweave.session import scratch_path
+    from riskweave.streaming import scoring
+    rows = [(i, float(i % 7), i % 2) for i in range(40)]
+    df = spark.createDataFrame(rows, "SK_ID_CURR long, a double, y int")
+    model, params = S.fit_pipeline(df, ["a"], "y", S.ModelSpec("lr", "logreg", max_iter=10))
+    src = scratch_path(spark, "t-src")
+    df.select("SK_ID_CURR", "a").write.json(src)
+    stream = spark.readStream.schema("SK_ID_CURR long, a double").json(src)
+    out, rej, ck = (scratch_path(spark, n) for n in ("t-out", "t-rej", "t-ck"))
+    q = scoring.score_stream(spark, stream, model, ["a"], params, 0.5, out, rej, ck, sink_format="csv")
+    q.awaitTermination()
+    back = spark.read.option("header", True).csv(out)
+    assert back.count() == 40 and "TARGET_proba" in back.columns
+    assert os.path.isdir(out)
