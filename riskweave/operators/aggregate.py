@@ -164,20 +164,36 @@ def values_by_frequency(df: DataFrame, col: str, limit_check: int = MAX_CATEGORY
     return [r[col] for r in rows]
 
 
+SHARE_PIVOT_FROM = 64   # from this many values on, shares come from a (key, value) count + pivot
+
+
 def category_shares(df: DataFrame, key: str, col: str, values: Sequence | None = None,
                     name_prefix: str | None = None, spec: AggSpec | None = None,
-                    prefix: str = "") -> DataFrame:
+                    prefix: str = "", method: str = "auto") -> DataFrame:
     """For every category value v the mean of the 0/1 indicator ``col == v``.
 
     A missing category counts as 0 in every share. ``spec`` adds ordinary
-    aggregates in the same pass (one shuffle for all).
+    aggregates. Few values (``expr``): one pass, one conditional mean per value
+    (one shuffle for all). Many values (``pivot``): rows are counted per
+    (key, value) with map-side combine, pivoted per key and divided by the
+    key's row count, so each row costs O(1) instead of O(values).
     """
     if values is None:
         values = values_by_frequency(df, col)
     np_ = name_prefix if name_prefix is not None else f"{col}_"
-    shares = [F.avg(F.coalesce(F.col(col) == F.lit(v), F.lit(False)).cast("double"))
-              .alias(f"{prefix}{np_}{v}_MEAN") for v in values]
-    return grouped_agg(df, key, spec or {}, prefix=prefix, extra=shares)
+    names = [f"{prefix}{np_}{v}_MEAN" for v in values]
+    if method == "expr" or (method == "auto" and len(values) < SHARE_PIVOT_FROM):
+        shares = [F.avg(F.coalesce(F.col(col) == F.lit(v), F.lit(False)).cast("double")).alias(n)
+                  for v, n in zip(values, names)]
+        return grouped_agg(df, key, spec or {}, prefix=prefix, extra=shares)
+    base = grouped_agg(df, key, spec or {}, prefix=prefix, extra=[F.count(F.lit(1)).alias("__rows")])
+    counts = (df.where(F.col(key).isNotNull() & F.col(col).isin(list(values)))
+                .groupBy(key, col).agg(F.count(F.lit(1)).alias("__n"))
+                .groupBy(key).pivot(col, list(values)).agg(F.first("__n")))
+    out = base.join(counts, key, "left")
+    return out.select(*[c for c in base.columns if c != "__rows"], *[
+        (F.coalesce(F.col(f"`{v}`"), F.lit(0)).cast("double") / F.col("__rows")).alias(n)
+        for v, n in zip(values, names)])
 
 
 # --- A9: latest non-null value per column ------------------------------------

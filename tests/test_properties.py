@@ -210,3 +210,18 @@ def test_stream_from_a_streaming_frame_to_csv(spark):
     back = spark.read.option("header", True).csv(out)
     assert back.count() == 40 and "TARGET_proba" in back.columns
     assert os.path.isdir(out)
+
+
+def test_category_share_paths_agree(spark):
+    rnd = random.Random(13)
+    vals = [f"s{i}" for i in range(80)]
+    rows = [(rnd.randint(0, 30), rnd.choice(vals + [None]), rnd.randint(-50, 0)) for _ in range(3000)]
+    df = spark.createDataFrame(rows, "k long, s string, m int")
+    spec = {"m": ["min", "max", "size"]}
+    a = {r["k"]: r.asDict() for r in agg.category_shares(df, "k", "s", spec=spec, method="expr").collect()}
+    b = {r["k"]: r.asDict() for r in agg.category_shares(df, "k", "s", spec=spec, method="auto").collect()}
+    assert a.keys() == b.keys()
+    for k in a:
+        assert a[k].keys() == b[k].keys()
+        for c in a[k]:
+            assert a[k][c] == pytest.approx(b[k][c]), (k, c)
