@@ -16,7 +16,8 @@ from pyspark.sql.window import Window
 from riskweave.functions.scalar import raw_ratio
 
 UNKNOWN = "Unknown"           # fill value of a missing category
-AGG_BLOCK = 100               # expressions per aggregate (codegen field limit)
+AGG_BLOCK = 250               # expressions per aggregate pass (measured: 300 wide costs the same CPU
+                              # as 3 x 100 and saves two scans; 1000 wide is ~2x slower per expression)
 MAX_INLINE_VALUES = 256       # category values looked up in a literal array (linear per row)
 MAX_CATEGORY_VALUES = 10_000  # one-hot / share columns: one output column per value
 MAX_BROADCAST_VALUES = 2_000_000
@@ -27,7 +28,8 @@ def string_columns(df: DataFrame, exclude: Iterable[str] = ()) -> list[str]:
     return [n for n, t in df.dtypes if t == "string" and n not in ex]
 
 
-def _blocks(items: Sequence, size: int = AGG_BLOCK):
+def _blocks(items: Sequence, size: int | None = None):
+    size = size or AGG_BLOCK
     for i in range(0, len(items), size):
         yield items[i:i + size]
 
