@@ -31,23 +31,24 @@ from riskweave.llm.direct_codes import _encoder, with_end
 
 def price(values: np.ndarray, weights: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:
     """Unbounded knapsack: the best total value and how often each item is taken."""
-    best, taken = np.zeros(capacity + 1), np.full(capacity + 1, -1)
+    by_weight = np.full(capacity + 1, -np.inf)
+    by_weight[weights] = values
+    backwards = np.zeros(capacity + 1)  # best[c] is held at capacity - c, so that best[c - w] runs forward in w
+    taken = np.zeros(capacity + 1, np.int64)
     for c in range(1, capacity + 1):
-        fit = np.searchsorted(weights, c, side="right")
-        best[c] = best[c - 1]
-        if fit:
-            with_item = best[c - weights[:fit]] + values[:fit]
-            k = int(np.argmax(with_item))
-            if with_item[k] > best[c] + 1e-12:
-                best[c], taken[c] = with_item[k], k
-    counts, c = np.zeros(len(weights), np.int64), capacity
-    while c > 0:
-        if taken[c] < 0:
-            c -= 1
+        with_item = backwards[capacity - c + 1:] + by_weight[1:c + 1]
+        k = int(with_item.argmax())
+        most, without = with_item[k], backwards[capacity - c + 1]
+        if most > without + 1e-12:
+            backwards[capacity - c], taken[c] = most, k + 1
         else:
+            backwards[capacity - c] = without
+    counts, c = np.zeros(capacity + 1, np.int64), capacity
+    while c > 0:
+        if taken[c]:
             counts[taken[c]] += 1
-            c -= int(weights[taken[c]])
-    return float(best[capacity]), counts
+        c -= max(1, int(taken[c]))
+    return float(backwards[0]), counts[weights]
 
 
 def solve_patterns(weights: np.ndarray, demand: np.ndarray, capacity: int, gap: float = 1e-3,
@@ -66,7 +67,7 @@ def solve_patterns(weights: np.ndarray, demand: np.ndarray, capacity: int, gap:
     for step in range(max_columns):
         duals = inverse.sum(axis=0)
         value, column = price(np.maximum(duals, 0), weights, capacity)
-        if value <= 1 + 1e-9 or duals @ demand / value >= (1 - gap) * x.sum():
+        if value <= 1 + 1e-9 or duals @ demand / value >= x.sum() - max(gap * x.sum(), 0.5):
             break
         move = inverse @ column
         up = move > 1e-9
