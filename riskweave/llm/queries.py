@@ -63,3 +63,36 @@ def op10_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     from riskweave.llm.sentence_pieces import digests
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return digests(docs, vocabulary("piece_bpe_32k.model"))
+
+
+@register("op1_graph_search")
+def op1_graph_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from riskweave.llm.graph_search import nearest
+    vectors = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return nearest(vectors, 10, F.col("id") % 100 == 0)
+
+
+OP4_SQL = """
+WITH valid AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS w
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+terms AS (SELECT vec_id, unnest(w) AS w, generate_subscripts(w, 1) AS t FROM valid),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(sum(q.w * c.w) AS BIGINT) AS score
+  FROM terms q JOIN terms c ON q.t = c.t AND q.vec_id <> c.vec_id
+  WHERE q.vec_id % 100 = 0 GROUP BY 1, 2),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
+
+@register("op4_exact_topk", OP4_SQL)
+def op4_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from riskweave.llm.exact_topk import exact_topk
+    vectors = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return exact_topk(vectors, 10, F.col("vec_id") % 100 == 0)
