@@ -96,3 +96,39 @@ def op4_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     from riskweave.llm.exact_topk import exact_topk
     vectors = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return exact_topk(vectors, 10, F.col("vec_id") % 100 == 0)
+
+
+OP2_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\t\n\x0b\f\r ]+'), lambda x: x <> '') AS w
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE
+    WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g
+  FROM words),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY 1),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+  FROM shingles a JOIN shingles b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE shared.n >= 0.8 * (x.n + y.n - shared.n) - 1e-9
+  UNION ALL
+  SELECT x.doc_id, y.doc_id FROM words x JOIN words y ON x.doc_id <> y.doc_id AND len(x.w) = 0 AND len(y.w) = 0),
+reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM words
+  UNION
+  SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+classes AS (SELECT a, min(b) AS class_id FROM reach GROUP BY 1),
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY 1)
+SELECT classes.a AS doc_id, class_id, coalesce(counts.n, 0) AS n_links
+FROM classes LEFT JOIN counts ON counts.a = classes.a
+"""
+
+
+@register("op2_ngram_join", OP2_SQL)
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from riskweave.llm.ngram_join import near_duplicates
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return near_duplicates(docs).select("doc_id", "class_id", "n_links")
