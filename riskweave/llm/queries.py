@@ -132,3 +132,10 @@ def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from riskweave.llm.ngram_join import near_duplicates
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return near_duplicates(docs).select("doc_id", "class_id", "n_links")
+
+
+@register("op3_toxicity")
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from riskweave.llm.toxicity import toxicity
+    return toxicity(read_table(spark, sf_dir, "documents").select("doc_id", "text"),
+                    read_table(spark, sf_dir, "labels").select("doc_id", "toxic"))
