@@ -9,7 +9,7 @@
 3. Evidence: for whole words and word beginnings, the share of toxic labels
    among labelled documents that hold them, drawn towards the base rate. Copies
    of one document count once (least word hash). A document's inputs are the
-   strongest two of its words; a logistic fit with every training document's
+   strongest three of its words; a logistic fit with every training document's
    own part taken out gives the score.
 
 The classifier is fitted on at most ``max_labelled`` labelled rows (chosen by a
@@ -44,7 +44,9 @@ IMITATIONS = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6":
               "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "<": "c", "€": "e", "£": "l", "¡": "i",
               "%": "o", "#": "h", "*": "aeiou", "?": "aeiou", "а": "a", "е": "e", "о": "o", "с": "c", "р": "p", "і": "i"}
 COST_IMITATE, COST_DROP, COST_REPEAT, COST_KEEP = 1.0, 0.7, 0.2, 6.0
-BASE_WEIGHT = 20.0
+BASE_WEIGHT = 5.0
+TOP = 3  # a document's strongest words
+LEAST_RATIO = 30.0
 WORD = re.compile(r"[^\W\d_]+")
 SUSPECT = re.compile(r"[^\W\d_](?:[^\w\s]|[\d_])|(?:[^\w\s]|[\d_])[^\W\d_]|([^\W\d_])\1\1")
 LONGEST = 40
@@ -188,15 +190,20 @@ class ToxicModel:
     base: float
     weights: np.ndarray | None
 
-    def probability(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    def word(self, word: str) -> float:
+        """A word's share: its own, or else that of its beginnings."""
+        whole, *begun = cues(word)
+        return self.share[whole] if whole in self.share else max((self.share.get(c, 0.0) for c in begun), default=0.0)
+
+    def probability(self, tops: np.ndarray) -> np.ndarray:
         if self.weights is None:
-            return np.full(len(first), self.base)
-        return 1 / (1 + np.exp(-np.clip(inputs(first, second) @ self.weights, -500, 500)))
+            return np.full(len(tops), self.base)
+        return 1 / (1 + np.exp(-np.clip(inputs(tops) @ self.weights, -500, 500)))
 
 
-def inputs(first, second):
-    logit = lambda p: np.log(p / (1 - p))
-    return np.stack([np.ones(len(first)), logit(first), logit(second)], axis=1)
+def inputs(tops: np.ndarray) -> np.ndarray:
+    p = np.clip(tops, 1e-6, 1 - 1e-6)
+    return np.concatenate([np.ones((len(p), 1)), np.log(p / (1 - p))], axis=1)
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
@@ -243,24 +250,35 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 40_000, max_cues
     often = (by_cue(by_word.filter("toxic = 1")).groupBy("cue").agg(F.count("*").alias("k")).filter("k >= 3")
              .orderBy(F.desc("k"), "cue").limit(max_cues))
     often = F.broadcast(staged(often, "toxic-cues"))  # at most max_cues rows
-    held = staged(by_word.select("row", "toxic", F.explode(cue_column("w")).alias("cue")).join(often, "cue").distinct(),
-                  "toxic-held")
-    counts = held.groupBy("cue").agg(F.sum("toxic").alias("k"), F.sum(1 - F.col("toxic")).alias("c"))
-    counts = counts.filter(F.col("k") * clean > 3.0 * toxic * F.col("c"))  # at least three times as likely in toxic ones
-    counts = F.broadcast(staged(counts, "toxic-counts"))
-    share = {r["cue"]: (r["k"] + BASE_WEIGHT * base) / (r["k"] + r["c"] + BASE_WEIGHT) for r in counts.collect()}
+    # Whole words first; beginnings then count only where the word is no evidence by itself, so that a
+    # beginning is a family of words and not the shadow of one.
+    held = by_word.withColumn("cue", F.concat(F.lit("="), F.col("w"))).join(often, "cue").select("row", "toxic", "cue")
+    whole = _beyond_chance(held, base, "toxic-whole")
+    others = by_word.join(whole.select(F.expr("substring(cue, 2)").alias("w")), "w", "left_anti")
+    held = others.select("row", "toxic", F.explode(cue_column("w")).alias("cue")).filter("cue like '^%'").join(often, "cue")
+    begun = _beyond_chance(held.distinct(), base, "toxic-begun")
+    counts = F.broadcast(whole.union(begun))
+    share = {r["cue"]: (r["k"] + BASE_WEIGHT * base) / (r["k"] + r["c"] + BASE_WEIGHT) for r in whole.union(begun).collect()}
     # Each training document without its own part in the counts.
+    drawn = (F.greatest(F.col("k") - F.col("y"), F.lit(0)) + BASE_WEIGHT * base) / (F.col("k") + F.col("c") - 1 + BASE_WEIGHT)
     by_doc = (by_word.select("row", "w", F.col("toxic").alias("y"), F.explode(cue_column("w")).alias("cue")).join(counts, "cue")
-              .select("row", "w", (F.greatest((F.col("k") - F.col("y") + BASE_WEIGHT * base), F.lit(0.0))
-                                   / (F.col("k") + F.col("c") - 1 + BASE_WEIGHT)).alias("p"))
-              .groupBy("row", "w").agg(F.max("p").alias("p"))
-              .groupBy("row").agg(F.slice(F.sort_array(F.collect_list("p"), asc=False), 1, 2).alias("top")))
+              .groupBy("row", "w").agg(F.max_by(drawn, F.struct(F.col("cue").startswith("="), drawn)).alias("p"))
+              .groupBy("row").agg(F.slice(F.sort_array(F.collect_list("p"), asc=False), 1, TOP).alias("top")))
     table = rows.select("row", "toxic").join(by_doc, "row", "left").select("toxic", "top").toPandas()
-    tops = [list(t) if t is not None else [] for t in table["top"]]
-    first = np.array([max(t[0], base) if t else base for t in tops])
-    second = np.array([max(t[1], base) if len(t) > 1 else base for t in tops])
-    first, second = (np.clip(v, 1e-6, 1 - 1e-6) for v in (first, second))
-    return ToxicModel(chars, share, base, logistic(inputs(first, second), table["toxic"].to_numpy(float)))
+    tops = np.full((len(table), TOP), base)
+    for d, t in enumerate(table["top"]):
+        if t is not None:
+            tops[d, :len(t)] = np.maximum(t, base)
+    return ToxicModel(chars, share, base, logistic(inputs(tops), table["toxic"].to_numpy(float)))
+
+
+def _beyond_chance(held: DataFrame, base: float, name: str) -> DataFrame:
+    """(cue, k toxic, c clean) of cues whose share of toxic labels is above the base rate by more than chance."""
+    counts = held.groupBy("cue").agg(F.sum("toxic").alias("k"), F.sum(1 - F.col("toxic")).alias("c"))
+    n = F.col("k") + F.col("c")
+    ratio = sum((F.when(F.col(x) > 0, 2 * F.col(x) * F.log(F.col(x) / (n * share))).otherwise(0.0)
+                 for x, share in (("k", base), ("c", 1 - base))), F.lit(0.0))
+    return staged(counts.filter((F.col("k") > base * n) & (ratio >= LEAST_RATIO)), name)
 
 
 def logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1e-2, rounds: int = 50) -> np.ndarray:
@@ -288,7 +306,7 @@ def score(docs: DataFrame, model: ToxicModel, keep: list[str]) -> DataFrame:
         restorer, memo = Restorer(m.chars), {}
 
         def strength(token):
-            return max((m.share.get(c, 0.0) for w in restorer.token(token) for c in cues(w)), default=0.0)
+            return max(map(m.word, restorer.token(token)), default=0.0)
         for batch in batches:
             for rows in text_slices(batch, "text"):
                 tokens, index, offsets = split_tokens(rows.column("text"))
@@ -299,7 +317,7 @@ def score(docs: DataFrame, model: ToxicModel, keep: list[str]) -> DataFrame:
                         memo[t] = strength(t)
                 value = np.fromiter(map(memo.__getitem__, tokens), float, len(tokens))
                 n = len(offsets) - 1
-                first, second = np.full(n, m.base), np.full(n, m.base)
+                tops = np.full((n, TOP), m.base)
                 doc = np.repeat(np.arange(n), np.diff(offsets))
                 strong = np.flatnonzero(value[index] > m.base)
                 told: dict[int, dict] = {}
@@ -307,14 +325,13 @@ def score(docs: DataFrame, model: ToxicModel, keep: list[str]) -> DataFrame:
                     told.setdefault(d, {})[tokens[k]] = value[k]
                 for d, words in restorer.spaced(tokens, index, offsets):
                     for w in words:
-                        p = max(m.share.get(c, 0.0) for c in cues(w))
+                        p = m.word(w)
                         if p > m.base:
                             told.setdefault(d, {})[w] = p
                 for d, held in told.items():
-                    top = sorted(held.values(), reverse=True)[:2]
-                    first[d], second[d] = top[0], top[1] if len(top) > 1 else m.base
-                first, second = (np.clip(v, 1e-6, 1 - 1e-6) for v in (first, second))
-                p = m.probability(first, second)
+                    top = sorted(held.values(), reverse=True)[:TOP]
+                    tops[d, :len(top)] = top
+                p = m.probability(tops)
                 yield pa.RecordBatch.from_arrays([rows.column("kept"), pa.array(p), pa.array((p >= 0.5).astype(np.int32))],
                                                  names=["kept", "score", "predicted"])
     kept = inner.schema["kept"].dataType.simpleString()
