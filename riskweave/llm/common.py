@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +28,11 @@ def shuffle_width(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def small_if(df: DataFrame, most_rows: int = 500_000) -> DataFrame:
+    """``df`` with a broadcast hint if it was counted to have few rows (of a few numbers each), else as it is."""
+    return F.broadcast(df) if df.count() <= most_rows else df
+
+
 def text_column(name: str = "text"):
     return F.coalesce(F.col(name), F.lit(""))
 
@@ -35,7 +41,7 @@ def text_slices(batch: pa.RecordBatch, column: str, max_bytes: int = 8 << 20) ->
     """Cut an Arrow batch into runs of rows with about ``max_bytes`` of text (one row at least)."""
     if not batch.num_rows:
         return
-    lengths = np.asarray(pa.compute.binary_length(batch.column(column)).fill_null(0), dtype=np.int64)
+    lengths = np.asarray(pc.binary_length(batch.column(column)).fill_null(0), dtype=np.int64)
     ends = np.cumsum(lengths)
     at = 0
     while at < batch.num_rows:

@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.llm.common import exclusive_sum, staged, text_column, text_slices
+from riskweave.llm.common import exclusive_sum, small_if, staged, text_column, text_slices
 from riskweave.llm.components import components
 from riskweave.llm.shards import runs_by
 
@@ -367,9 +367,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", similarity: float =
                     [pa.array(a), pa.array(b), pa.array([flat[x:y].tobytes() for x, y in zip(offsets, offsets[1:])], pa.binary())],
                     names=["name_a", "name_b", "items"])
     # Texts of the classes that are in a group: the document whose sketch the class has taken.
-    wanted = groups.select("source").distinct()
+    wanted = small_if(staged(groups.select("source").distinct(), "join-wanted"))
     source = docs.select(F.col(id_col).cast("long").alias("source"), text_column().alias("text"))
-    texts = source.join(wanted.hint("shuffle_hash"), source["source"].eqNullSafe(wanted["source"]), "left_semi")
+    texts = source.join(wanted, source["source"].eqNullSafe(wanted["source"]), "left_semi")
     sets = texts.mapInArrow(collect_sets, "name_a long, name_b long, items binary")
     sets = staged(sets.join(groups.select("cid", "name_a", "name_b"), ["name_a", "name_b"])
                   .select("cid", "items").dropDuplicates(["cid"]), "join-sets")

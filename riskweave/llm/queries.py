@@ -139,3 +139,10 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from riskweave.llm.toxicity import toxicity
     return toxicity(read_table(spark, sf_dir, "documents").select("doc_id", "text"),
                     read_table(spark, sf_dir, "labels").select("doc_id", "toxic"))
+
+
+@register("op7_quality")
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from riskweave.llm.kneser_ney import quality
+    return quality(read_table(spark, sf_dir, "documents").select("doc_id", "lang", "text"),
+                   read_table(spark, sf_dir, "labels").select("doc_id", "quality"))
