@@ -11,6 +11,7 @@ independent are encoded whole.
 from __future__ import annotations
 
 import os
+import struct
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +40,9 @@ class ChunkEncoder:
         self._starts, self._lengths = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
         self._store, self._used = np.zeros(1 << 16, np.uint32), 0
 
+    def split(self, texts: pa.Array) -> pa.Array:
+        return pc.split_pattern(texts, " ")
+
     def encode_chunks(self, chunks: list[str], first: bool) -> tuple[np.ndarray, np.ndarray]:
         """(flat ids, ids per chunk) of chunks that follow a space, or that begin a text."""
         raise NotImplementedError
@@ -76,7 +80,7 @@ class ChunkEncoder:
         odd = (np.asarray(pc.match_substring_regex(texts, self.whole)) if self.whole and n
                else np.zeros(n, bool))
         rows = np.flatnonzero(~odd)
-        lists = pc.split_pattern(texts if len(rows) == n else texts.take(pa.array(rows)), " ")
+        lists = self.split(texts if len(rows) == n else texts.take(pa.array(rows)))
         offsets = np.asarray(lists.offsets, dtype=np.int64)
         flat = lists.values
         coded = flat.dictionary_encode()
@@ -171,24 +175,63 @@ class ByteLevelEncoder(LibraryEncoder):
 
 
 class WordLevelEncoder(LibraryEncoder):
-    """BPE with word ends that drops white space: any space may be cut at."""
+    """BPE with word ends that drops white space and case: any white space may be cut at.
+
+    A word and the signs after it are pieces of their own to the vocabulary, so
+    a chunk's ids are those of the two; words of letters alone are told apart by
+    their word ends, other units by a control character between them.
+    """
 
     JOINT = "\x01"
+    TAIL = ".,;:!?$%&*#|)"
 
     def __init__(self, path: str, **bounds):
         super().__init__(path, **bounds)
+        lib = self.library
         joint = self._ids([self.JOINT])[0]
         if len(joint) != 1:
             raise ValueError("the vocabulary has no id of its own for the control character between chunks")
         self._joint = joint[0]
+        self._ends = np.array([(lib.id_to_token(i) or "").endswith("</w>") for i in range(lib.get_vocab_size())])
+
+    def _clear(self):
+        super()._clear()
+        self._units: dict[str, bytes] = {}
+
+    def split(self, texts):
+        return pc.ascii_split_whitespace(texts)
 
     def alone(self, chunk):
         return chunk
 
+    def _parts(self, chunk):
+        low = chunk.lower() if chunk.isascii() else chunk
+        word = low.rstrip(self.TAIL)
+        return (word, low[len(word):]) if len(word) < len(low) and word and word[-1].lower()[-1].isalnum() else (low,)
+
     def encode_chunks(self, chunks, first):
-        # A chunk that holds the joint itself makes the count differ, and its run is encoded chunk by chunk.
-        def split(ids):
+        parts = [self._parts(c) for c in chunks]
+        units = self._units
+        missing = [u for u in dict.fromkeys(u for p in parts for u in p) if u not in units]
+
+        def by_end(ids):
+            return ids, np.diff(np.append(0, np.flatnonzero(self._ends[ids]) + 1))
+
+        def by_joint(ids):  # a unit that holds the joint makes the count differ, and its run is encoded unit by unit
             at = np.flatnonzero(ids == self._joint)
-            counts = np.diff(np.append(at, len(ids))) - 1
-            return ids[ids != self._joint], counts
-        return self._joined(chunks, f" {self.JOINT} ", split)
+            return ids[ids != self._joint], np.diff(np.append(at, len(ids))) - 1
+        # Of plain lower-case letters neither normaliser nor splitter changes anything: the library's model takes them as they are.
+        plain, letters, others = [], [], []
+        for u in missing:
+            (plain if u.isascii() and u.isalpha() else letters if u.isalpha() else others).append(u)
+        tokenize = self.library.model.tokenize
+        for u in plain:
+            ids = [t.id for t in tokenize(u)]
+            units[u] = struct.pack(f"<{len(ids)}I", *ids)
+        for run, joint, cut in ((letters, " ", by_end), (others, f" {self.JOINT} ", by_joint)):
+            if run:
+                ids, counts = self._joined(run, joint, cut)
+                data, ends = ids.astype("<u4").tobytes(), (np.cumsum(counts) * 4).tolist()
+                units.update(zip(run, map(data.__getitem__, map(slice, [0, *ends[:-1]], ends))))
+        held = [b"".join(map(units.__getitem__, p)) for p in parts]
+        return np.frombuffer(b"".join(held), "<u4"), np.fromiter(map(len, held), np.int64, len(held)) // 4

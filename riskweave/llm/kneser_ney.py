@@ -214,9 +214,9 @@ class Reader:
         return total
 
 
-def perplexities(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
-    """``keep`` columns, n_chars_scored and perplexity (null without text) of every document."""
-    inner = docs.select(F.struct(*keep).alias("kept"), text_column().alias("text"))
+def perplexities(docs: DataFrame, model: Model) -> DataFrame:
+    """kept (a struct of all columns but ``text``), n_scored and perplexity (null without text) of every document."""
+    inner = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != "text")).alias("kept"), text_column().alias("text"))
     kept = inner.schema["kept"].dataType.simpleString()
 
     def run(batches):
@@ -229,7 +229,7 @@ def perplexities(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
                 mean = (total[offsets[1:]] - total[offsets[:-1]]) / np.maximum(n, 1)
                 yield pa.RecordBatch.from_arrays([rows.column("kept"), pa.array(n), pa.array(np.exp(-mean), mask=n == 0)],
                                                  names=["kept", "n_scored", "perplexity"])
-    return inner.mapInArrow(run, f"kept {kept}, n_scored long, perplexity double").select("kept.*", "n_scored", "perplexity")
+    return inner.mapInArrow(run, f"kept {kept}, n_scored long, perplexity double")
 
 
 def exclusive_sum_float(values: np.ndarray) -> np.ndarray:
@@ -244,29 +244,34 @@ def calibration(doc_id: str = "doc_id") -> Column:
 def quality(docs: DataFrame, labels: DataFrame, low: float = 0.005, high: float = 0.995, least_calibration: int = 50,
             prior: float = 100.0) -> DataFrame:
     """doc_id, lang, perplexity, low_limit, high_limit, keep of every document."""
+    return judge(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text"), labels, low, high,
+                 least_calibration, prior).select("kept.doc_id", "kept.lang", "perplexity", "low_limit", "high_limit", "keep")
+
+
+def judge(docs: DataFrame, labels: DataFrame, low: float, high: float, least_calibration: int, prior: float) -> DataFrame:
+    """kept (a struct of all columns but ``text``), perplexity, limits and keep; texts need doc_id and lang beside them."""
     trusted = staged(labels.filter("quality is not null and doc_id is not null").groupBy("doc_id")
                      .agg(F.min("quality").alias("quality")).filter("quality = 1").select("doc_id"), "kn-trusted")
-    trusted = small_if(trusted)
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text")
-    train_ids = trusted.filter(~calibration())
-    model = train(source.join(train_ids, "doc_id", "left_semi").select(text_column().alias("text")))
-    scored = staged(perplexities(source, model, ["doc_id", "lang"]), "kn-scored")
-    known = scored.filter("perplexity is not null").join(trusted.filter(calibration()), "doc_id", "left_semi")
+    train_ids = small_if(trusted.filter(~calibration()))
+    model = train(docs.select("doc_id", "text").join(train_ids, "doc_id", "left_semi").select(text_column().alias("text")))
+    scored = staged(perplexities(docs, model), "kn-scored").withColumn("lang", F.col("kept.lang")).withColumn("doc_id", F.col("kept.doc_id"))
+    known = (scored.filter("perplexity is not null").select("doc_id", "lang", "n_scored", "perplexity")
+             .join(small_if(trusted.filter(calibration())), "doc_id", "left_semi"))
     limits = lambda: F.percentile_approx("drawn", [low, high], 100_000)
     # A short text's perplexity is uncertain: its logarithm is drawn towards the language's mean by ``prior`` characters.
     means = known.groupBy("lang").agg(F.avg(F.log("perplexity")).alias("mean"), F.count("*").alias("n")).filter(
         F.col("n") >= least_calibration).select(F.col("lang").alias("of_lang"), "mean")
-    mean_all = F.broadcast(known.agg(F.avg(F.log("perplexity")).alias("mean_all")))
+    mean_all = known.agg(F.avg(F.log("perplexity"))).first()[0]  # one number
 
     def drawn(df):
-        wide = df.join(means, F.col("lang").eqNullSafe(F.col("of_lang")), "left").crossJoin(mean_all)
-        mean = F.coalesce("mean", "mean_all", F.log("perplexity"))
+        wide = df.join(means, F.col("lang").eqNullSafe(F.col("of_lang")), "left")
+        mean = F.coalesce(F.col("mean"), F.lit(mean_all).cast("double"), F.log("perplexity"))
         return wide.withColumn("drawn", F.exp(mean + (F.log("perplexity") - mean) * F.col("n_scored") / (F.col("n_scored") + prior)))
     judged = drawn(known)
     by_lang = judged.filter("mean is not null").groupBy("of_lang").agg(limits().alias("q")).withColumnRenamed("of_lang", "q_lang")
-    overall = F.broadcast(judged.agg(limits().alias("q_all")))
+    overall = F.lit(judged.agg(limits()).first()[0]).cast("array<double>")  # two numbers
     inside = (F.col("drawn") >= F.col("q")[0]) & (F.col("drawn") <= F.col("q")[1])
-    return (drawn(scored).join(by_lang, F.col("lang").eqNullSafe(F.col("q_lang")), "left").crossJoin(overall)
-            .withColumn("q", F.coalesce("q", "q_all"))
-            .select("doc_id", "lang", "perplexity", F.col("q")[0].alias("low_limit"), F.col("q")[1].alias("high_limit"),
+    return (drawn(scored).join(by_lang, F.col("lang").eqNullSafe(F.col("q_lang")), "left")
+            .withColumn("q", F.coalesce(F.col("q"), overall))
+            .select("kept", "perplexity", F.col("q")[0].alias("low_limit"), F.col("q")[1].alias("high_limit"),
                     (F.col("perplexity").isNotNull() & F.coalesce(inside, F.lit(True))).alias("keep")))

@@ -146,3 +146,99 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from riskweave.llm.kneser_ney import quality
     return quality(read_table(spark, sf_dir, "documents").select("doc_id", "lang", "text"),
                    read_table(spark, sf_dir, "labels").select("doc_id", "quality"))
+
+
+OP5_SQL = """
+WITH said AS (
+  SELECT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS said,
+         CAST(coalesce(floor(turn / 256), 0) AS BIGINT) AS part
+  FROM conversations),
+speakers AS (SELECT DISTINCT conv_id, role AS perspective FROM said WHERE role <> 'system'),
+drawn AS (
+  SELECT said.*, perspective, CASE WHEN role = 'system' THEN '<|system|>' WHEN role = perspective THEN '<|assistant|>'
+         ELSE '<|user name=' || role || '|>' END || chr(10) AS head
+  FROM said JOIN speakers ON said.conv_id IS NOT DISTINCT FROM speakers.conv_id),
+pieces AS (SELECT *, head || said || '<|end|>' || chr(10) AS piece FROM drawn),
+placed AS (
+  SELECT *, row_number() OVER w AS nth, sum(length(piece)) OVER (w ROWS UNBOUNDED PRECEDING) - 1 AS stop FROM pieces
+  WINDOW w AS (PARTITION BY conv_id, perspective, part ORDER BY turn NULLS FIRST, role, said))
+SELECT conv_id, perspective, part, count(*) AS n_turns, string_agg(piece, '' ORDER BY nth) AS text,
+       coalesce(string_agg(CASE WHEN role = perspective THEN
+         CAST(stop + 1 - length(piece) + length(head) AS BIGINT) || '-' || CAST(stop AS BIGINT) END, ',' ORDER BY nth), '') AS mask
+FROM placed GROUP BY 1, 2, 3
+"""
+
+
+@register("op5_chat_rotation", OP5_SQL)
+def op5_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from riskweave.llm.chat import rotate
+    turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    spans = F.transform("spans", lambda s: F.concat(s["start"].cast("string"), F.lit("-"), s["stop"].cast("string")))
+    return rotate(turns).select("conv_id", "perspective", "part", "n_turns", "text", F.array_join(spans, ",").alias("mask"))
+
+
+def license_sql() -> str:
+    from riskweave.llm.licenses import TEMPLATES, template_terms
+    rows = ", ".join(f"('{name}', '{w}', {n})" for name, t in template_terms(TEMPLATES).items() for w, n in t.items())
+    return f"""
+WITH files AS (SELECT doc_id, source || '/' || lang || '/' || doc_id AS path, coalesce(text, '') AS text FROM documents),
+tmpl(license, term, n) AS (VALUES {rows}),
+vocab AS (SELECT DISTINCT term FROM tmpl),
+held AS (
+  SELECT DISTINCT f.rowid AS r, term FROM (SELECT row_number() OVER () AS rowid, text FROM files) f,
+  unnest(regexp_split_to_array(lower(text), '[^a-z0-9]+')) AS u(term) WHERE term IN (SELECT term FROM vocab)),
+idf AS (
+  SELECT v.term, ln((1 + (SELECT count(*) FROM files)) / (1 + count(held.r))) + 1 AS idf
+  FROM vocab v LEFT JOIN held ON held.term = v.term GROUP BY 1),
+other AS (SELECT max(idf) AS idf FROM idf),
+norm AS (SELECT license, sqrt(sum((n * idf) * (n * idf))) AS len FROM tmpl JOIN idf USING (term) GROUP BY 1),
+units AS (
+  SELECT doc_id, path, nth AS line, words FROM files, unnest(string_split(text, chr(10))) WITH ORDINALITY AS u(words, nth)
+  UNION ALL SELECT doc_id, path, -1, text FROM files),
+tokens AS (
+  SELECT doc_id, path, line, term, count(*) AS n FROM units, unnest(regexp_split_to_array(lower(words), '[^a-z0-9]+')) AS u(term)
+  WHERE term <> '' GROUP BY 1, 2, 3, 4),
+weighed AS (SELECT t.*, t.n * coalesce(idf.idf, other.idf) AS w FROM tokens t LEFT JOIN idf USING (term), other),
+norms AS (SELECT doc_id, path, line, sqrt(sum(w * w)) AS norm FROM weighed GROUP BY 1, 2, 3),
+dots AS (
+  SELECT doc_id, path, line, license, sum(w * tmpl.n * idf.idf / norm.len) AS dot
+  FROM weighed JOIN tmpl USING (term) JOIN idf USING (term) JOIN norm USING (license) GROUP BY 1, 2, 3, 4),
+scored AS (
+  SELECT doc_id, path, line, license, round(dot / norm, 9) AS cosine, dot / norm AS exact
+  FROM dots JOIN norms USING (doc_id, path, line)),
+best AS (
+  SELECT doc_id, path, line < 0 AS whole, license, cosine,
+         row_number() OVER (PARTITION BY doc_id, path, line < 0 ORDER BY cosine DESC, license) AS k
+  FROM scored WHERE exact >= CASE WHEN line < 0 THEN 0.8 ELSE 0.6 END),
+header AS (SELECT doc_id, path, license FROM best WHERE k = 1 AND NOT whole),
+lfile AS (SELECT doc_id, path, license, cosine, regexp_extract(path, '^(.*)/[^/]*$', 1) AS dir FROM best WHERE k = 1 AND whole),
+speaks AS (
+  SELECT dir AS up, license FROM (SELECT *, row_number() OVER (PARTITION BY dir ORDER BY cosine DESC, license) AS k FROM lfile) WHERE k = 1),
+dirs AS (SELECT DISTINCT regexp_extract(path, '^(.*)/[^/]*$', 1) AS dir FROM files WHERE path IS NOT NULL),
+above AS (
+  SELECT DISTINCT dir, array_to_string(list_slice(string_split(dir, '/'), 1, k), '/') AS up
+  FROM dirs, unnest(range(0, len(string_split(dir, '/')) + 1)) AS u(k)),
+inherited AS (
+  SELECT dir, up, license FROM (SELECT dir, up, license, row_number() OVER (PARTITION BY dir ORDER BY length(up) DESC) AS k
+                                FROM above JOIN speaks USING (up)) WHERE k = 1)
+SELECT f.doc_id, f.path, coalesce(l.license, h.license, i.license) AS license,
+       CASE WHEN l.license IS NOT NULL THEN 'file' WHEN h.license IS NOT NULL THEN 'header'
+            WHEN i.license IS NOT NULL THEN 'inherited' END AS found,
+       CASE WHEN l.license IS NULL AND h.license IS NULL THEN i.up END AS from_dir
+FROM files f LEFT JOIN header h USING (doc_id, path) LEFT JOIN lfile l USING (doc_id, path)
+LEFT JOIN inherited i ON i.dir = regexp_extract(f.path, '^(.*)/[^/]*$', 1)
+"""
+
+
+@register("op9_license_scan", license_sql())
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files of a tree: source / language / id."""
+    from pyspark.sql import functions as F
+
+    from riskweave.llm.licenses import scan
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
+    files = docs.select(F.col("doc_id").alias("id"), F.concat(F.col("source"), F.lit("/"), F.col("lang"), F.lit("/"), F.col("doc_id").cast("string"))
+                        .alias("path"), "text")
+    return scan(files).withColumnRenamed("id", "doc_id")

@@ -295,11 +295,11 @@ def logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1e-2, rounds: int =
     return w
 
 
-def score(docs: DataFrame, model: ToxicModel, keep: list[str]) -> DataFrame:
-    """``keep`` columns, score and predicted of every document; whole texts, no shuffle."""
+def score(docs: DataFrame, model: ToxicModel) -> DataFrame:
+    """kept (a struct of all columns of ``docs``), score and predicted of every document; whole texts, no shuffle."""
     spark: SparkSession = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)  # bounded: 64**3 costs and at most max_cues shares
-    inner = docs.select(F.struct(*keep).alias("kept"), text_column().alias("text"))
+    inner = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("kept"), text_column().alias("text"))
 
     def run(batches):
         m = shared.value
@@ -335,11 +335,10 @@ def score(docs: DataFrame, model: ToxicModel, keep: list[str]) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([rows.column("kept"), pa.array(p), pa.array((p >= 0.5).astype(np.int32))],
                                                  names=["kept", "score", "predicted"])
     kept = inner.schema["kept"].dataType.simpleString()
-    return inner.mapInArrow(run, f"kept {kept}, score double, predicted int").select("kept.*", "score", "predicted")
+    return inner.mapInArrow(run, f"kept {kept}, score double, predicted int")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, **bounds) -> DataFrame:
     """doc_id, held_out, score, predicted of every document."""
-    model = fit(docs, labels, **bounds)
-    return score(docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), "text"),
-                 model, ["doc_id", "held_out"])
+    found = score(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), fit(docs, labels, **bounds))
+    return found.select("kept.doc_id", "score", "predicted").select("doc_id", held_out().alias("held_out"), "score", "predicted")
