@@ -8,10 +8,12 @@ their Jaccard similarity.
 
 Chosen paths: in every run a set goes to the buckets of 1 / similarity sampled
 positions on average. A bucket of at most ``limit`` classes is compared in
-full. In a larger bucket every class is compared with a pivot, and, unless all
-of them match it, the bucket splits again on newly sampled positions; what is
-still large at the last level is compared in blocks, classes that do not match
-the pivot against all. One run finds a pair of the wanted similarity with
+full. In a larger bucket every class is compared with a few pivots and loosely
+linked to them. A class is settled once it is as similar to a pivot as is
+wanted: what is similar to it is then, by the triangle inequality of Jaccard
+distances, loosely similar to that pivot too. The others split again on newly
+sampled positions; what is still large at the last level is compared in blocks,
+classes that are not settled against all. One run finds a pair of the wanted similarity with
 probability 1 - 1/e or better, and runs repeat until the target recall.
 
 An exact check follows. Candidate links (similarity estimated well below the
@@ -41,7 +43,7 @@ from riskweave.llm.common import exclusive_sum, small_if, staged, text_column, t
 from riskweave.llm.components import components
 from riskweave.llm.shards import runs_by
 
-POSITIONS = 64
+POSITIONS, PIVOTS = 64, 4
 MIX1, MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -184,11 +186,20 @@ def candidate_links(classes: DataFrame, similarity: float, recall: float, limit:
         if held and (got := compare()) is not None:
             yield got
 
-    def against_pivot(batches):
+    loose, sure = int((similarity - 0.3) * POSITIONS), math.ceil(similarity * POSITIONS)
+
+    def against_pivots(batches):
         for b in batches:
-            mine, pivot = signatures(b.column("sig")), signatures(b.column("pivot_sig"))
-            near = (mine == pivot).sum(axis=1) >= least
-            yield b.select(["node", "cid", "pivot"]).append_column("near", pa.array(near))
+            n = b.num_rows
+            mine = signatures(b.column("sig"))
+            theirs = signatures(b.column("pivot_sig")).reshape(n, PIVOTS, POSITIONS)
+            agree = (mine[:, None, :] == theirs).sum(axis=2)
+            ids = b.column("pivots").flatten().to_numpy().reshape(n, PIVOTS)
+            who, k = np.nonzero(agree >= loose)
+            yield pa.RecordBatch.from_arrays(
+                [b.column("node"), b.column("cid"), pa.array(agree.max(axis=1) >= sure),
+                 pa.ListArray.from_arrays(pa.array(exclusive_sum((agree >= loose).sum(axis=1)), pa.int32()), pa.array(ids[who, k]))],
+                names=["node", "cid", "settled", "near"])
 
     sig = classes.select("cid", "sig")
     paths = classes.select("cid", F.explode(F.array(*(F.xxhash64(F.lit(r), F.lit(p), token(p)) for r, p in chosen)))
@@ -203,16 +214,19 @@ def candidate_links(classes: DataFrame, similarity: float, recall: float, limit:
         large = alive.filter(F.col("n") > limit)
         if large.isEmpty():
             break
-        pivots = large.groupBy("node").agg(F.min_by("cid", F.xxhash64("node", "cid")).alias("pivot"))
-        pivots = pivots.join(sig.select(F.col("cid").alias("pivot"), F.col("sig").alias("pivot_sig")), "pivot")
-        judged = staged(large.join(sig, "cid").join(pivots, "node")
-                        .select("node", "cid", "pivot", "sig", "pivot_sig")
-                        .mapInArrow(against_pivot, "node long, cid long, pivot long, near boolean"), f"join-judged-{level}")
-        links.append(judged.filter("near and cid <> pivot").select(F.col("pivot").alias("a"), F.col("cid").alias("b")))
-        mixed = judged.filter("not near").select("node").distinct()
-        rest = judged.join(mixed, "node", "left_semi")
+        # The classes with the smallest hashes, so that buckets of one group tend to share their pivots.
+        pivots = large.groupBy("node").agg(*(F.min_by("cid", F.xxhash64("cid", F.lit(level * PIVOTS + k))).alias(f"p{k}")
+                                             for k in range(PIVOTS)))
+        for k in range(PIVOTS):
+            pivots = pivots.join(sig.select(F.col("cid").alias(f"p{k}"), F.col("sig").alias(f"s{k}")), f"p{k}")
+        names = [[f"{x}{k}" for k in range(PIVOTS)] for x in "ps"]
+        pivots = pivots.select("node", F.array(*names[0]).alias("pivots"), F.concat(*names[1]).alias("pivot_sig"))
+        judged = staged(large.join(sig, "cid").join(pivots, "node").select("node", "cid", "sig", "pivots", "pivot_sig")
+                        .mapInArrow(against_pivots, "node long, cid long, settled boolean, near array<long>"), f"join-judged-{level}")
+        links.append(judged.select(F.explode("near").alias("a"), F.col("cid").alias("b")).filter("a <> b").distinct())
+        rest = judged.filter("not settled").select("node", "cid")
         if level == levels:
-            links.append(_blocks(rest, sig, least, limit))
+            links.append(_blocks(judged.select("node", "cid", "settled"), sig, least, limit))
             break
         part = 10_000
         picks = F.expr(f"filter(sequence(0, {POSITIONS - 1}), p -> pmod(xxhash64(node, p), {part}) < "
@@ -227,11 +241,11 @@ def candidate_links(classes: DataFrame, similarity: float, recall: float, limit:
 
 
 def _blocks(rest: DataFrame, sig: DataFrame, least: int, limit: int) -> DataFrame:
-    """Classes that differ from their bucket's pivot against the whole bucket, block by block."""
+    """Classes that no pivot has settled against their whole bucket, block by block."""
     block = 8 * limit
     sized = rest.join(rest.groupBy("node").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks")), "node")
     own = sized.withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
-    asks = own.filter("not near").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+    asks = own.filter("not settled").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "node", "block", "other", "cid", F.lit(1).alias("asks"))
     told = own.withColumn("ask", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "node", F.col("ask").alias("block"), F.col("block").alias("other"), "cid", F.lit(0).alias("asks"))
