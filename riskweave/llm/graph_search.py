@@ -142,10 +142,11 @@ def build_graph(vectors: np.ndarray, seed: int) -> tuple[np.ndarray, int]:
     return graph, entry
 
 
-def build_index(vectors: DataFrame, k: int, id_col: str, vec_col: str, rows_per_shard: int) -> tuple[DataFrame, DataFrame, int]:
+def build_index(vectors: DataFrame, k: int, is_query: Column, id_col: str, vec_col: str,
+                rows_per_shard: int) -> tuple[DataFrame, DataFrame, int]:
     """(graph nodes by shard, valid rows, number of shards); both frames are written copies."""
     rows = staged(vectors.filter(finite(vec_col) & F.exists(vec_col, lambda x: x != 0)).select(
-        F.col(id_col).cast("long").alias("id"), F.size(vec_col).alias("dim"),
+        F.col(id_col).cast("long").alias("id"), F.coalesce(is_query, F.lit(False)).alias("query"), F.size(vec_col).alias("dim"),
         F.transform(vec_col, lambda x: x.cast("double")).alias("vec"))
         .withColumn("row", F.monotonically_increasing_id()), "graph-rows")
     # The k + 1 smallest ids of each distinct vector; in two steps, so that a vector of very many rows is spread.
@@ -190,8 +191,8 @@ class Shard:
 def nearest(vectors: DataFrame, k: int, is_query: Column, id_col: str = "vec_id", vec_col: str = "embedding",
             rows_per_shard: int = 16_384, beam: int = 128) -> DataFrame:
     """query_id, rank, vec_id, score (Euclidean distance) of the nearest found for each query row."""
-    index, rows, n_shards = build_index(vectors, k, id_col, vec_col, rows_per_shard)
-    queries = rows.filter(F.coalesce(is_query, F.lit(False))).select("dim", "id", "row", "vec")
+    index, rows, n_shards = build_index(vectors, k, is_query, id_col, vec_col, rows_per_shard)
+    queries = rows.filter("query").select("dim", "id", "row", "vec")
 
     def load(key, table):
         return Shard(table)

@@ -8,7 +8,7 @@
    character model is the restored word. Surface words stay beside it.
 3. Evidence: for whole words and word beginnings, the share of toxic labels
    among labelled documents that hold them, drawn towards the base rate. Copies
-   of one document count once (least word hash). A document's inputs are the
+   of one document count once (least hash of five words). A document's inputs are the
    strongest three of its words; a logistic fit with every training document's
    own part taken out gives the score.
 
@@ -31,11 +31,11 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm.common import exclusive_sum, staged, text_column, text_slices
+from riskweave.llm.common import staged, text_column, text_slices
+from riskweave.llm.ngram_join import shingle_sets
 
 LETTERS = "abcdefghijklmnopqrstuvwxyzàáâãäåæçèéêëìíîïñòóôõöøœùúûüýÿß"
 OTHER, SIZE = 62, 64  # symbol 0 is the edge of a word
@@ -232,8 +232,9 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 40_000, max_cues
                 for d, (a, z) in enumerate(zip(offsets, offsets[1:])):
                     got = dict.fromkeys(w for k in np.unique(index[a:z]) for w in restorer.token(tokens[k]))
                     found.append(list(got | dict.fromkeys(extra.get(d, []))))
-                group = [min((xxhash.xxh3_64_intdigest(w) for w in f), default=0) >> 1 for f in found]
-                yield pa.RecordBatch.from_arrays([rows.column("toxic"), pa.array(group, pa.int64()), pa.array(found, pa.list_(pa.string()))],
+                runs, at = shingle_sets(rows.column("text"))  # sorted: a text's least hash of five words comes first
+                group = np.append(runs, np.uint64(0))[np.where(np.diff(at) > 0, at[:-1], len(runs))].view(np.int64)
+                yield pa.RecordBatch.from_arrays([rows.column("toxic"), pa.array(group), pa.array(found, pa.list_(pa.string()))],
                                                  names=["toxic", "grp", "words"])
     source = docs.select("doc_id", text_column().alias("text")).join(known, "doc_id").select("text", "toxic")
     rows = staged(source.mapInArrow(words, "toxic int, grp long, words array<string>")
