@@ -5,43 +5,37 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Mapping, Sequence
+from itertools import chain, count
 
 from pyspark.sql import DataFrame
 
-_NON_WORD = re.compile(r"[^\w\s]")
-_BLANKS = re.compile(r"\s+")
+#: What a cleaned name replaces, and its prefix before a digit (fixed values).
+REPLACED = re.compile(r"\s+|[^\w\s]")
+DIGIT_PREFIX = "f_"
 
 
 def clean_name(name: str) -> str:
-    """Non-word characters -> '_', then every run of blanks -> '_';
-    a leading digit gets an ``f_`` prefix."""
-    clean = _BLANKS.sub("_", _NON_WORD.sub("_", name))
-    if clean and clean[0].isdigit():
-        clean = "f_" + clean
-    return clean
+    """Every run of blanks and every other non-word character becomes '_'; no name starts with a digit."""
+    clean = REPLACED.sub("_", name)
+    return DIGIT_PREFIX + clean if clean[:1].isdigit() else clean
 
 
 def clean_names(columns: Sequence[str], target: str | None = None) -> tuple[list[str], dict[str, str]]:
-    """Cleaned names in column order; a collision gets ``_1``, ``_2`` … (first
-    free suffix, checked against every name produced so far). The target
-    column keeps its name and is left out of the mapping."""
-    out: list[str] = []
-    mapping: dict[str, str] = {}
-    taken: set[str] = set()
-    for col in columns:
-        if target is not None and col == target:
-            out.append(col)
-            taken.add(col)
-            continue
-        base = clean_name(col)
-        new, suffix = base, 1
-        while new in taken:
-            new = f"{base}_{suffix}"
-            suffix += 1
-        mapping[col] = new
-        out.append(new)
-        taken.add(new)
-    return out, mapping
+    """Cleaned names in column order, and original -> cleaned without the target.
+
+    Names are handed out once: of columns that clean to the same name the first
+    gets it, the others its first free number (``_1``, ``_2`` ...). The target's
+    name is its own and is not handed out.
+    """
+    owner: dict[str, str] = {target: target} if target in columns else {}
+
+    def hand_out(column: str) -> str:
+        base = clean_name(column)
+        free = next(n for n in chain([base], (f"{base}_{k}" for k in count(1))) if n not in owner)
+        owner[free] = column
+        return free
+    names = [c if c == target else hand_out(c) for c in columns]
+    return names, {column: name for name, column in owner.items() if column != target}
 
 
 def clean_feature_names(df: DataFrame, target: str | None = None) -> tuple[DataFrame, dict[str, str]]:
@@ -50,20 +44,9 @@ def clean_feature_names(df: DataFrame, target: str | None = None) -> tuple[DataF
 
 
 def revert_names(names: Iterable[str], mapping: Mapping[str, str]) -> list[str]:
-    """Cleaned -> original; the first original that maps to a cleaned name wins."""
-    reverse: dict[str, str] = {}
-    for orig, new in mapping.items():
-        reverse.setdefault(new, orig)
-    return [reverse.get(n, n) for n in names]
-
-
-def revert_feature_names(df: DataFrame, mapping: Mapping[str, str],
-                         exclude: Iterable[str] = ()) -> DataFrame:
-    ex = set(exclude)
-    reverse: dict[str, str] = {}
-    for orig, new in mapping.items():
-        reverse.setdefault(new, orig)
-    return df.withColumnsRenamed({c: reverse[c] for c in df.columns if c in reverse and c not in ex})
+    """Cleaned -> original; of originals with one cleaned name the first in the mapping."""
+    original = {new: old for old, new in reversed(mapping.items())}
+    return [original.get(n, n) for n in names]
 
 
 def rename_by_map(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:

@@ -6,7 +6,6 @@ Each helper returns a ``Column`` so it composes inside ``select`` /
 
 from __future__ import annotations
 
-import math
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -106,19 +105,9 @@ def l2_distance(cols: list[str], probe: dict[str, float] | dict[str, Column]) ->
     return F.sqrt(total)
 
 
-def nan_to_null(x) -> Column:
-    """NaN (pandas' missing) → NULL; Spark's max/avg would otherwise return NaN."""
-    x = _c(x)
-    return F.when(F.isnan(x), F.lit(None)).otherwise(x)
-
-
 def missing_tokens_to_null(x, tokens=("", "NA", "N/A", "NaN", "nan", "null", "NULL", "None",
-                                      "#N/A", "-NaN", "-nan", "<NA>", "n/a", "#NA", "NA")) -> Column:
+                                      "#N/A", "-NaN", "-nan", "<NA>", "n/a", "#NA", "#N/A N/A",
+                                      "-1.#IND", "-1.#QNAN", "1.#IND", "1.#QNAN")) -> Column:
     """CSV missing tokens → NULL (``nullValue`` takes only one token)."""
     x = _c(x)
     return F.when(F.trim(x).isin(list(dict.fromkeys(tokens))), F.lit(None)).otherwise(x)
-
-
-def is_finite_number(x) -> Column:
-    x = _c(x)
-    return x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(math.inf))

@@ -192,7 +192,7 @@ def category_shares(df: DataFrame, key: str, col: str, values: Sequence | None =
                 .groupBy(key).pivot(col, list(values)).agg(F.first("__n")))
     out = base.join(counts, key, "left")
     return out.select(*[c for c in base.columns if c != "__rows"], *[
-        (F.coalesce(F.col(f"`{v}`"), F.lit(0)).cast("double") / F.col("__rows")).alias(n)
+        (F.coalesce(counts[f"`{str(v).replace('`', '``')}`"], F.lit(0)).cast("double") / F.col("__rows")).alias(n)
         for v, n in zip(values, names)])
 
 
@@ -244,14 +244,14 @@ def round_fixed(c: Column, digits: int | None = None) -> Column:
     The same double comes out of any engine that computed the same x up to
     float noise, unlike ``round(x, d)`` (Spark rounds the shortest decimal
     form, other engines the binary value). By default the scale s keeps ~9
-    significant digits (``GRID_BANDS``); non-finite and huge values pass.
+    significant digits (``GRID_BANDS``); non-finite and huge values pass. With
+    ``digits`` it is plain half-up rounding for display.
     One small expression per column keeps wide projections inside the
     generated-code size limit.
     """
     x = c.cast("double")
-    if digits is not None:
-        sc = F.lit(float(10 ** digits))
-        return F.floor(x * sc + F.lit(GRID_CUT)).cast("double") / sc
+    if digits is not None:  # display rounding: half up, on the decimal form
+        return F.round(x.cast("decimal(38,10)"), digits).cast("double")
     ax = F.abs(x)
     sc = None
     for bound, scale in GRID_BANDS:

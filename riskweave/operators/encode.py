@@ -14,13 +14,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from riskweave.functions.scalar import raw_ratio
+from riskweave.session import scratch_path
 
 UNKNOWN = "Unknown"           # fill value of a missing category
 AGG_BLOCK = 250               # expressions per aggregate pass (measured: 300 wide costs the same CPU
                               # as 3 x 100 and saves two scans; 1000 wide is ~2x slower per expression)
 MAX_INLINE_VALUES = 256       # category values looked up in a literal array (linear per row)
 MAX_CATEGORY_VALUES = 10_000  # one-hot / share columns: one output column per value
-MAX_BROADCAST_VALUES = 2_000_000
 
 
 def string_columns(df: DataFrame, exclude: Iterable[str] = ()) -> list[str]:
@@ -63,7 +63,7 @@ def label_encode(df: DataFrame, cols: Sequence[str], fill: str = UNKNOWN) -> Dat
 
     Few values: the sorted values are inlined and looked up with
     ``array_position`` (no join). Many values: a ranked distinct table is
-    joined (broadcast only below a checked row count).
+    joined. Codes and column order are the same either way.
     """
     out = df
     for c in cols:
@@ -74,11 +74,9 @@ def label_encode(df: DataFrame, cols: Sequence[str], fill: str = UNKNOWN) -> Dat
             out = out.withColumn(c, (F.array_position(arr, filled) - 1).cast("int"))
             continue
         codes = dense_codes(out.select(filled.alias("_v")), "_v", "_code")
-        n = codes.count()
-        side = F.broadcast(codes) if n <= MAX_BROADCAST_VALUES else codes
-        out = (out.withColumn("_v", filled).join(side, "_v", "left")
+        out = (out.withColumn("_v", filled).join(codes, "_v", "left")
                   .drop("_v", c).withColumnRenamed("_code", c))
-    return out
+    return out.select(*(F.col(f"`{c}`") for c in df.columns))
 
 
 def dense_codes(df: DataFrame, col: str, out: str = "code") -> DataFrame:
@@ -86,9 +84,14 @@ def dense_codes(df: DataFrame, col: str, out: str = "code") -> DataFrame:
     JVM and without a global window: the distinct values are range-partitioned
     (partition i holds smaller values than partition i + 1), numbered inside
     each partition, and offset by the counts of the earlier partitions (one
-    number per partition)."""
+    number per partition). The ranges come from a sample, so the partitioned
+    values are written once to the shared folder; counts and numbers both read
+    that copy."""
     ranged = (df.select(col).where(F.col(col).isNotNull()).distinct()
                 .repartitionByRange(col).withColumn("_pid", F.spark_partition_id()))
+    path = scratch_path(df.sparkSession, "dense-codes")
+    ranged.write.parquet(path)
+    ranged = df.sparkSession.read.schema(ranged.schema).parquet(path)
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(
         Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
@@ -101,25 +104,23 @@ def dense_codes(df: DataFrame, col: str, out: str = "code") -> DataFrame:
 # --- F15: one-hot -----------------------------------------------------------------
 
 def one_hot(df: DataFrame, cols: Sequence[str], fill: str = UNKNOWN,
-            values: Mapping[str, Sequence] | None = None) -> DataFrame:
+            values: Mapping[str, Sequence] | None = None, max_values: int = MAX_CATEGORY_VALUES) -> DataFrame:
     """``{col}_{value}`` 0/1 int columns, source dropped, new columns last,
-    per source column in value order (pandas ``get_dummies``)."""
+    per source column in value order (pandas ``get_dummies``).
+
+    Every value is an output column, so a source column with more than
+    ``max_values`` values raises; pass more, or ``values``, to go beyond."""
     new_cols: list[Column] = []
     for c in cols:
-        vals = values[c] if values and c in values else distinct_values(df, c, fill)
+        vals = values[c] if values and c in values else distinct_values(df, c, fill, max_values)
         if vals is None:
-            raise ValueError(f"{c}: too many distinct values to one-hot encode")
+            raise ValueError(f"{c}: more than {max_values} values to one-hot encode")
         filled = F.coalesce(F.col(c), F.lit(fill))
         new_cols += [(filled == F.lit(v)).cast("int").alias(f"{c}_{v}") for v in vals]
     keep = [F.col(f"`{n}`") for n in df.columns if n not in set(cols)]
     return df.select(*keep, *new_cols)
 
 
-def fill_unknown(df: DataFrame, cols: Sequence[str] | None = None, fill: str = UNKNOWN) -> DataFrame:
-    cols = list(cols) if cols is not None else string_columns(df)
-    return df.na.fill(fill, subset=cols) if cols else df
-
-
 # --- A12 / F6: missing shares --------------------------------------------------------
 
 def missing_shares(df: DataFrame, cols: Sequence[str] | None = None) -> dict[str, float]:
@@ -139,6 +140,7 @@ def drop_high_missing(df: DataFrame, threshold: float, exclude: Iterable[str] =
 
 # --- A13 / F5 / F2: medians ----------------------------------------------------------
 
+INTEGERS = ("tinyint", "smallint", "int", "bigint")
 SELECT_BUCKETS = 4096       # range buckets per narrowing pass of the exact median
 SELECT_FINAL_ROWS = 200_000 # candidate rows per column finished with a window
 
@@ -178,7 +180,7 @@ def exact_medians(df: DataFrame, cols: Sequence[str], buckets: int = SELECT_BUCK
 
     cols = list(cols)
     x = {c: F.col(f"`{c}`").cast("double") for c in cols}
-    n = column_stats(df, {c: F.count(x[c]) for c in cols})
+    n = column_stats(df, {c: F.count(F.when(~F.isnan(x[c]), x[c])) for c in cols})
     out: dict[str, float] = {c: None for c in cols}
     state = {}
     for c in cols:
@@ -197,7 +199,7 @@ def exact_medians(df: DataFrame, cols: Sequence[str], buckets: int = SELECT_BUCK
             cond = cond & (x[c] < F.lit(st["hi"]))
         return cond
 
-    for _ in range(16):
+    while True:
         open_cols = [c for c in state if state[c]["count"] > final_rows]
         if not open_cols:
             break
@@ -247,7 +249,7 @@ def exact_medians(df: DataFrame, cols: Sequence[str], buckets: int = SELECT_BUCK
                     break
                 cum += nb
             if b1 is None or b2 is None:
-                continue
+                raise RuntimeError(f"{c}: the ranks of its median are in no bucket; the input changed between passes")
             # bucket b holds e[b-1] <= x < e[b] (edge list padded by -inf / inf)
             st["lo"] = e[b1 - 1] if b1 >= 1 else st["lo"]
             st["hi"] = e[b2] if b2 < len(e) else st["hi"]
@@ -282,12 +284,14 @@ def median_impute(df: DataFrame, cols: Sequence[str], stats_df: DataFrame | None
     in ``df`` (one counting pass first); filling the others is a no-op."""
     if not cols:
         return df
-    nulls = column_stats(df, {c: F.count_if(F.col(f"`{c}`").isNull()) for c in cols})
+    nulls = column_stats(df, {c: F.count_if(F.col(f"`{c}`").isNull() | F.isnan(F.col(f"`{c}`").cast("double"))) for c in cols})
     need = [c for c in cols if nulls[c]]
     if not need:
         return df
     med = medians(stats_df if stats_df is not None else df, need, approx)
-    fills = {c: F.coalesce(F.col(c), F.lit(med[c]).cast(t))
+    # An integer column with gaps becomes double: its median may lie between two integers.
+    fills = {c: F.coalesce(F.when(~F.isnan(F.col(c).cast("double")), F.col(c)).cast("double" if t in INTEGERS else t),
+                           F.lit(med[c]).cast("double" if t in INTEGERS else t))
              for c, t in df.select(*need).dtypes if med.get(c) is not None}
     return df.withColumns(fills)
 

@@ -12,10 +12,12 @@ inside each range.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from riskweave.functions.scalar import FN_COST, FP_COST
@@ -25,7 +27,7 @@ THRESHOLDS = (0.2, 0.25, 0.3, 0.35, 0.4, 0.45, 0.5)   # sweep of the reference (
 START_THRESHOLD = 0.5
 
 
-def _range_buckets(df: DataFrame, order_col: str, n_buckets: int, part: Sequence[str] = ()) -> DataFrame:
+def _range_buckets(df: DataFrame, order_col: str, n_buckets: int) -> DataFrame:
     qs = [i / n_buckets for i in range(1, n_buckets)]
     bounds = df.agg(F.percentile_approx(F.col(order_col).cast("double"), qs, 10_000).alias("b")).first()["b"]
     splits = sorted({float(b) for b in (bounds or []) if b is not None})
@@ -46,7 +48,7 @@ def prefix_before(df: DataFrame, order_cols: Sequence[str], values: Sequence[str
     single order value is that frequent (pre-aggregate per value first).
     """
     part = list(part)
-    bucketed = _range_buckets(df, order_cols[0], n_buckets, part)
+    bucketed = _range_buckets(df, order_cols[0], n_buckets)
     totals = bucketed.groupBy(*part, "_bucket").agg(*[F.sum(v).alias(f"_t_{v}") for v in values])
     w_tot = Window.partitionBy(*part).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     # At most n_buckets rows per partition value: a bounded, broadcastable table.
@@ -58,7 +60,11 @@ def prefix_before(df: DataFrame, order_cols: Sequence[str], values: Sequence[str
     # a proven bound, so it is broadcast. With one, its size grows with the
     # number of partition values (classes, folds); AQE decides from its size.
     side = F.broadcast(offsets) if not part else offsets
-    joined = bucketed.join(side, [*part, "_bucket"], "left")
+    # Null-safe: rows with a NULL class or order value keep their place among themselves.
+    keys = [*part, "_bucket"]
+    side = side.withColumnsRenamed({k: f"_k_{k}" for k in keys})
+    same = [bucketed[k].eqNullSafe(F.col(f"_k_{k}")) for k in keys]
+    joined = bucketed.join(side, same[0] if len(same) == 1 else reduce(lambda a, b: a & b, same), "left")
     return joined.select(*df.columns, *[
         (F.col(f"_o_{v}") + F.coalesce(F.sum(v).over(w_in), F.lit(0))).alias(f"{v}_before")
         for v in values])
@@ -69,13 +75,14 @@ def stratified_folds(df: DataFrame, id_col: str, label_col: str, k: int = 5,
     """M5: fold = (position of the row within its class) mod k.
 
     Position order is by id, or by ``xxhash64(id, seed)`` then id when a seed
-    is given (a shuffled split, not numpy's permutation). Every class is
+    is given or the id is not a number (a shuffled split, not numpy's permutation). Every class is
     spread evenly over the folds; no task holds a whole class.
     """
     order = id_col
     d = df
-    if seed is not None:
-        d = d.withColumn("_h", F.xxhash64(F.col(id_col), F.lit(seed)))
+    numeric = isinstance(df.schema[id_col].dataType, T.NumericType)
+    if seed is not None or not numeric:  # ids that are not numbers have no ranges to cut: their hash has
+        d = d.withColumn("_h", F.xxhash64(F.col(id_col), F.lit(seed or 0)))
         order = "_h"
     d = d.withColumn("_one", F.lit(1))
     pos = prefix_before(d, [order, id_col], ["_one"], part=[label_col], n_buckets=n_buckets)

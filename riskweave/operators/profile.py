@@ -40,7 +40,8 @@ def _pair_corr(x: str, y: str) -> Column:
     sx = F.stddev_pop(F.when(both, xc))
     sy = F.stddev_pop(F.when(both, yc))
     den = sx * sy
-    return F.try_divide(cov, F.when(den != 0, den))
+    varies = (F.min(F.when(both, xc)) < F.max(F.when(both, xc))) & (F.min(F.when(both, yc)) < F.max(F.when(both, yc)))
+    return F.try_divide(cov, F.when(varies & (den != 0), den))
 
 
 GRAM_MIN_COLS = 3    # measured: the Gram pass beats per-pair aggregates already at 8 columns
@@ -70,9 +71,12 @@ def correlation_pairs_gram(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     Values are shifted by the column mean first (one small aggregate), which
     keeps Σx² - (Σx)²/n from cancelling catastrophically. Memory per task is
     4 p x p doubles (p = 500: 8 MB); the shuffle carries p(p-1)/2 rows per
-    map task, pre-combined per executor."""
+    map task."""
     p = len(cols)
-    means = column_stats(df, {c: F.avg(F.col(c).cast("double")) for c in cols})
+    x = {c: F.col(c).cast("double") for c in cols}
+    stats = column_stats(df, {f"{kind}:{c}": f(x[c]) for c in cols for kind, f in (("mean", F.avg), ("lo", F.min), ("hi", F.max))})
+    means = {c: stats[f"mean:{c}"] for c in cols}
+    constant = [k for k, c in enumerate(cols) if stats[f"lo:{c}"] == stats[f"hi:{c}"]]
     shifted = df.select(*[(F.col(c).cast("double") - F.lit(means[c] or 0.0)).alias(f"x{k}")
                           for k, c in enumerate(cols)])
     names = [f"x{k}" for k in range(p)]
@@ -106,7 +110,9 @@ def correlation_pairs_gram(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     vx = F.col("sxx") - sx * sx / n
     vy = F.col("syy") - sy * sy / n
     den = F.sqrt(vx * vy)
-    r = F.when((n > 0) & (vx > 0) & (vy > 0), cov / den)
+    # A constant column leaves float noise in its variance: what is far below its sum of squares is none.
+    r = F.when((n > 0) & (vx > 1e-12 * F.col("sxx")) & (vy > 1e-12 * F.col("syy"))
+               & ~F.col("i").isin(constant) & ~F.col("j").isin(constant), cov / den)
     names_map = F.create_map(*[e for k, c in enumerate(cols) for e in (F.lit(k), F.lit(c))])
     return sums.select("i", "j", names_map[F.col("i")].alias("col_i"), names_map[F.col("j")].alias("col_j"),
                        r.alias("r"), F.abs(r).alias("abs_r"))

@@ -8,10 +8,12 @@ current best score), and candidate fits run from a thread pool.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
+from pyspark.errors import IllegalArgumentException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -63,7 +65,7 @@ def select_by_univariate(df: DataFrame, target: str, k: int = 100, method: str =
     elif method == "mutual_info":
         scores = PR.mutual_info_binned(df, cols, target).withColumnRenamed("mi", "score")
     else:
-        raise ValueError("method must be one of 'f_classif' or 'mutual_info'")
+        raise ValueError(f"no score called {method!r}: known are f_classif and mutual_info")
     best = PR.top_k_by_score(scores, k, "score").collect()
     return [r["feature"] for r in best], scores
 
@@ -118,7 +120,8 @@ def forward_selection(df: DataFrame, target: str, k: int = 30, spec: S.ModelSpec
         def evaluate(c):
             try:
                 return c, S.cv_auc(df, selected + [c], target, spec, fold_col, parallelism=1)
-            except Exception:  # noqa: BLE001 - a failing candidate is skipped, like the reference
+            except IllegalArgumentException as e:  # the learner refuses the data; lost executors are Spark's to retry
+                warnings.warn(f"{c} is left out: {e}", stacklevel=2)
                 return c, None
 
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
@@ -183,11 +186,12 @@ def compare_methods(df: DataFrame, target: str, methods: Mapping[str, Sequence[s
         for spec in specs:
             try:
                 r = S.cross_validate(df, list(feats), target, spec, fold_col)
-            except Exception:  # noqa: BLE001
+            except IllegalArgumentException as e:  # the learner refuses the data; lost executors are Spark's to retry
+                warnings.warn(f"{name} with {spec.name} is left out: {e}", stacklevel=2)
                 continue
-            rows.append((name, spec.name, len(feats), r["mean_auc"], r["std_auc"]))
+            rows.append((len(rows), name, spec.name, len(feats), r["mean_auc"], r["std_auc"]))
     return df.sparkSession.createDataFrame(
-        rows, "Method string, Model string, Num_Features int, Mean_roc_auc double, Std_roc_auc double")
+        rows, "pos int, Method string, Model string, Num_Features int, Mean_roc_auc double, Std_roc_auc double")
 
 
 def select_optimal_features(train: DataFrame, target: str, id_col: str, fold_col: str = "fold",
@@ -213,7 +217,7 @@ def select_optimal_features(train: DataFrame, target: str, id_col: str, fold_col
     methods = {"univariate": uni, "importance": imp, "forward": fwd, "importance_cut": cut}
     methods = {k: v for k, v in methods.items() if v}
     table = compare_methods(df, target, methods, specs=compare_specs, fold_col=mapped_keep[1])
-    best = table.orderBy(F.col("Mean_roc_auc").desc_nulls_last(), "Method", "Model").first()
+    best = table.orderBy(F.col("Mean_roc_auc").desc_nulls_last(), "pos").first()
     chosen = methods[best["Method"]] if best else []
     features = N.revert_names(chosen, mapping)
     out = {"dropped": {"missing": miss, "variance": low, "correlation": corr},

@@ -83,8 +83,7 @@ def rnd(expr: str, digits: int | None = None) -> str:
     x = f"CAST({expr} AS DOUBLE)"
     cut = f"CAST({GRID_CUT} AS DOUBLE)"
     if digits is not None:
-        sc = f"CAST({float(10 ** digits)!r} AS DOUBLE)"
-        return f"(CAST(floor({x} * {sc} + {cut}) AS DOUBLE) / {sc})"
+        return f"CAST(round(CAST({x} AS DECIMAL(38,10)), {digits}) AS DOUBLE)"
     sc = "CASE " + " ".join(f"WHEN abs({x}) < CAST({b!r} AS DOUBLE) THEN CAST({s!r} AS DOUBLE)"
                             for b, s in GRID_BANDS) + " END"
     return (f"(CASE WHEN isnan({x}) OR ({sc}) IS NULL THEN {x} "
