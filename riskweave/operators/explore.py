@@ -32,6 +32,16 @@ def with_band(df: DataFrame, proba_col: str = "TARGET_proba") -> DataFrame:
     return df.withColumns({"score_pct": percent_score(proba_col, 1), "band": risk_band(proba_col)})
 
 
+def client_by_id(df: DataFrame, client_id, id_col: str = "SK_ID_CURR") -> DataFrame:
+    """The rows of one client; none if the id is not there (a null id finds nothing)."""
+    return df.where(F.col(id_col) == F.lit(client_id))
+
+
+def client_ids(df: DataFrame, id_col: str = "SK_ID_CURR") -> DataFrame:
+    """The sorted list of the (filtered) clients' ids, each once; empty if the filter leaves none."""
+    return df.select(id_col).where(F.col(id_col).isNotNull()).distinct().orderBy(id_col)
+
+
 def first_client(df: DataFrame, id_col: str = "SK_ID_CURR") -> DataFrame:
     """The first client id of the (filtered) list; empty if none."""
     return df.orderBy(id_col).limit(1)

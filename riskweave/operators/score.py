@@ -10,7 +10,7 @@ reduced by the exact AUC / cost operators, so no predictions are collected.
 from __future__ import annotations
 
 import time
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -19,7 +19,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskweave.functions.scalar import threshold_label
@@ -38,13 +38,19 @@ class ModelSpec:
     num_trees: int = 50
     max_depth: int = 5
     seed: int = 42
+    c: float = 1.0            # inverse strength of the logistic regression's L2 penalty
 
-    def estimator(self):
+    def estimator(self, total_weight: float | None = None):
+        """The learner. ``total_weight`` (of the training rows) scales the L2 penalty:
+        C times the summed loss plus half the squared norm is the mean loss plus
+        1 / (C * total weight) of that norm."""
         common = dict(featuresCol=FEATURES_COL, labelCol="label")
         if self.weighting != "none":
             common["weightCol"] = WEIGHT_COL
         if self.kind == "logreg":
-            return LogisticRegression(maxIter=self.max_iter, **common)
+            penalty = 1.0 / (self.c * total_weight) if total_weight else 0.0
+            return LogisticRegression(maxIter=self.max_iter, regParam=penalty, elasticNetParam=0.0,
+                                      standardization=False, **common)
         if self.kind == "forest":
             return RandomForestClassifier(numTrees=self.num_trees, maxDepth=self.max_depth,
                                           seed=self.seed, **common)
@@ -101,6 +107,31 @@ def prepare(df: DataFrame, features: Sequence[str], label: str, scale: bool = Tr
     return out, params
 
 
+def learner(spec: ModelSpec, data: DataFrame):
+    """The learner of ``spec`` for ``data``; only a penalised one needs the rows' total weight."""
+    if spec.kind != "logreg":
+        return spec.estimator()
+    weight = F.col(WEIGHT_COL) if WEIGHT_COL in data.columns else F.lit(1.0)
+    return spec.estimator(data.agg(F.sum(weight)).first()[0])
+
+
+def save_scorer(model: PipelineModel, features: Sequence[str], params: Mapping[str, tuple[float, float]],
+                threshold: float, path: str) -> None:
+    """All that scoring needs, in one folder: model, feature contract, scaler parameters, threshold."""
+    spark = SparkSession.active()
+    model.write().overwrite().save(f"{path}/model")
+    rows = [(k, f, *map(float, params.get(f, (0.0, 1.0))), float(threshold)) for k, f in enumerate(features)]
+    (spark.createDataFrame(rows, "pos int, feature string, mean double, sd double, threshold double")
+     .coalesce(1).write.mode("overwrite").parquet(f"{path}/contract"))
+
+
+def load_scorer(spark: SparkSession, path: str) -> tuple[PipelineModel, list[str], dict[str, tuple[float, float]], float]:
+    """(model, features, scaler parameters, threshold) of a folder written by :func:`save_scorer`."""
+    rows = spark.read.parquet(f"{path}/contract").orderBy("pos").collect()  # a row per feature
+    return (PipelineModel.load(f"{path}/model"), [r["feature"] for r in rows],
+            {r["feature"]: (r["mean"], r["sd"]) for r in rows}, rows[0]["threshold"])
+
+
 def assembler(features: Sequence[str]) -> VectorAssembler:
     return VectorAssembler(inputCols=list(features), outputCol=FEATURES_COL, handleInvalid="keep")
 
@@ -122,7 +153,7 @@ def cross_validate(df: DataFrame, features: Sequence[str], label: str, spec: Mod
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
 
     def fit(f: int):
-        return spec.estimator().fit(data.where(F.col(fold_col) != f))
+        return learner(spec, part := data.where(F.col(fold_col) != f)).fit(part)
 
     t0 = time.time()
     try:
@@ -171,7 +202,7 @@ def out_of_fold(df: DataFrame, features: Sequence[str], label: str, spec: ModelS
         *keep, FEATURES_COL, "label", fold_col, *([WEIGHT_COL] if spec.weighting != "none" else []))
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        models = list(pool.map(lambda f: spec.estimator().fit(data.where(F.col(fold_col) != f)), range(k)))
+        models = list(pool.map(lambda f: learner(spec, part := data.where(F.col(fold_col) != f)).fit(part), range(k)))
     oof = None
     for f, m in enumerate(models):
         part = positive_proba(m.transform(data.where(F.col(fold_col) == f))).select(
@@ -209,7 +240,7 @@ def fit_pipeline(df: DataFrame, features: Sequence[str], label: str, spec: Model
         keep = [*features, "label", *([WEIGHT_COL] if spec.weighting != "none" else [])]
         prep = prep.select(*keep).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            model = Pipeline(stages=[assembler(features), spec.estimator()]).fit(prep)
+            model = Pipeline(stages=[assembler(features), learner(spec, prep)]).fit(prep)
         finally:
             prep.unpersist()
     finally:

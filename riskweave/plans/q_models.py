@@ -161,20 +161,18 @@ def final_importances(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("batch_score")
 def batch_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fit on labelled documents, save / load the pipeline,
-    score every document under the feature contract, threshold 0.5."""
-    from pyspark.ml import PipelineModel
-
+    """Fit on labelled documents and save model, scaler, contract and
+    threshold; every document is scored with what is loaded from disk alone."""
     from riskweave.operators import contract as C
     from riskweave.session import scratch_path
     train = labelled(spark, sf_dir)
     model, params = S.fit_pipeline(train, DOC_FEATURES, LABEL, S.BOOSTED)
     path = scratch_path(spark, "model")
-    model.write().overwrite().save(path)
-    loaded = PipelineModel.load(path)
+    S.save_scorer(model, DOC_FEATURES, params, EV.START_THRESHOLD, path)
+    loaded, features, params, threshold = S.load_scorer(spark, path)
     alldocs = C.enforce_columns(document_features(V.read_table(spark, sf_dir, "documents")),
-                                DOC_FEATURES, keep=[ID])
-    return S.score(alldocs, loaded, DOC_FEATURES, params, 0.5, id_col=ID)
+                                features, keep=[ID])
+    return S.score(alldocs, loaded, features, params, threshold, id_col=ID)
 
 
 @register("stream_score")

@@ -88,3 +88,44 @@ def test_names():
 def test_rename_by_map(spark):
     df = spark.createDataFrame([(1, 2)], "a int, b int")
     assert N.rename_by_map(df, {"a": "x", "zz": "q"}).columns == ["x", "b"]
+
+
+def test_logistic_penalty_is_that_of_c(spark):
+    """On one 0/1 column the penalised optimum is found by hand (Newton steps on two numbers)."""
+    from riskweave.operators import score as S
+    rows = [(1.0, 1.0)] * 30 + [(1.0, 0.0)] * 10 + [(0.0, 1.0)] * 10 + [(0.0, 0.0)] * 50
+    df = S.assembler(["x"]).transform(spark.createDataFrame(rows, "x double, label double"))
+    spec = S.ModelSpec("lr", "logreg", weighting="none", max_iter=500, c=0.1)
+    model = S.learner(spec, df).fit(df)
+    x, y = np.array(rows).T
+    a = b = 0.0
+    for _ in range(200):
+        p = 1 / (1 + np.exp(-(a + b * x)))
+        h = np.array([[(p * (1 - p)).sum(), (p * (1 - p) * x).sum()], [(p * (1 - p) * x).sum(), (p * (1 - p) * x * x).sum() + 1 / 0.1]])
+        g = np.array([(y - p).sum(), ((y - p) * x).sum() - b / 0.1])
+        a, b = np.array([a, b]) + np.linalg.solve(h, g)
+    assert abs(model.intercept - a) < 1e-3 and abs(model.coefficients[0] - b) < 1e-3
+
+
+def test_scorer_survives_a_restart(spark, tmp_path):
+    from riskweave.operators import score as S
+    df = spark.createDataFrame([(i, float(i % 7), float(i % 3), i % 2) for i in range(60)], "SK_ID_CURR long, u double, v double, y int")
+    model, params = S.fit_pipeline(df, ["u", "v"], "y", S.LOGREG)
+    S.save_scorer(model, ["u", "v"], params, 0.35, str(tmp_path / "scorer"))
+    loaded = S.load_scorer(spark, str(tmp_path / "scorer"))
+    assert loaded[1:] == (["u", "v"], params, 0.35)
+    a = S.score(df, model, ["u", "v"], params, 0.35).collect()
+    b = S.score(df, loaded[0], *loaded[1:]).collect()
+    assert sorted(a) == sorted(b)
+
+
+def test_client_lookup_and_lists(spark):
+    from riskweave.operators import explore as X
+    df = spark.createDataFrame([(3, 0.5), (1, 0.9), (3, 0.4), (None, 0.5)], "SK_ID_CURR long, TARGET_proba double")
+    assert [r["TARGET_proba"] for r in X.client_by_id(df, 1).collect()] == [0.9]
+    assert X.client_by_id(df, 7).collect() == [] and X.client_by_id(df, None).collect() == []
+    assert [r[0] for r in X.client_ids(df).collect()] == [1, 3]
+    assert X.client_ids(X.band_filter(df, "Low Risk")).collect() == []
+    card = X.card_display(spark.createDataFrame([(1, 0, "TOTAL_PRICE", 1234.5), (1, 1, "SCORE_PCT", 45.66), (1, 2, "N", 2.0)],
+                                                "SK_ID_CURR long, pos int, feature string, value double"))
+    assert [r["display"] for r in card.orderBy("pos").collect()] == ["1,234", "45.7%", "2.00"]
