@@ -249,12 +249,19 @@ def quality(docs: DataFrame, labels: DataFrame, low: float = 0.005, high: float
 
 
 def judge(docs: DataFrame, labels: DataFrame, low: float, high: float, least_calibration: int, prior: float) -> DataFrame:
-    """kept (a struct of all columns but ``text``), perplexity, limits and keep; texts need doc_id and lang beside them."""
+    """kept (a struct of all columns but ``text``), perplexity, limits and keep; texts need doc_id and lang beside them.
+
+    The limits come from a written table of perplexities. Where ``docs`` has
+    further columns, its texts are scored once more rather than written beside
+    their perplexities.
+    """
     trusted = staged(labels.filter("quality is not null and doc_id is not null").groupBy("doc_id")
                      .agg(F.min("quality").alias("quality")).filter("quality = 1").select("doc_id"), "kn-trusted")
     train_ids = small_if(trusted.filter(~calibration()))
     model = train(docs.select("doc_id", "text").join(train_ids, "doc_id", "left_semi").select(text_column().alias("text")))
-    scored = staged(perplexities(docs, model), "kn-scored").withColumn("lang", F.col("kept.lang")).withColumn("doc_id", F.col("kept.doc_id"))
+    keyed = lambda df: df.withColumn("lang", F.col("kept.lang")).withColumn("doc_id", F.col("kept.doc_id"))
+    scored = keyed(staged(perplexities(docs.select("doc_id", "lang", "text"), model), "kn-scored"))
+    result = scored if set(docs.columns) == {"doc_id", "lang", "text"} else keyed(perplexities(docs, model))
     known = (scored.filter("perplexity is not null").select("doc_id", "lang", "n_scored", "perplexity")
              .join(small_if(trusted.filter(calibration())), "doc_id", "left_semi"))
     limits = lambda: F.percentile_approx("drawn", [low, high], 100_000)
@@ -271,7 +278,7 @@ def judge(docs: DataFrame, labels: DataFrame, low: float, high: float, least_cal
     by_lang = judged.filter("mean is not null").groupBy("of_lang").agg(limits().alias("q")).withColumnRenamed("of_lang", "q_lang")
     overall = F.lit(judged.agg(limits()).first()[0]).cast("array<double>")  # two numbers
     inside = (F.col("drawn") >= F.col("q")[0]) & (F.col("drawn") <= F.col("q")[1])
-    return (drawn(scored).join(by_lang, F.col("lang").eqNullSafe(F.col("q_lang")), "left")
+    return (drawn(result).join(by_lang, F.col("lang").eqNullSafe(F.col("q_lang")), "left")
             .withColumn("q", F.coalesce(F.col("q"), overall))
             .select("kept", "perplexity", F.col("q")[0].alias("low_limit"), F.col("q")[1].alias("high_limit"),
                     (F.col("perplexity").isNotNull() & F.coalesce(inside, F.lit(True))).alias("keep")))

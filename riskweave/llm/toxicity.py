@@ -137,7 +137,7 @@ def count_characters(docs: DataFrame) -> CharModel:
 class Restorer:
     """Words of texts: surface words and decoded ones, with a bounded memo by token."""
 
-    def __init__(self, model: CharModel, most: int = 300_000):
+    def __init__(self, model: CharModel, most: int = 200_000):
         self.model, self.most, self.memo = model, most, {}
 
     def token(self, t: str) -> tuple[str, ...]:
@@ -311,7 +311,7 @@ def score(docs: DataFrame, model: ToxicModel) -> DataFrame:
         for batch in batches:
             for rows in text_slices(batch, "text"):
                 tokens, index, offsets = split_tokens(rows.column("text"))
-                if len(memo) > 300_000:
+                if len(memo) > 200_000:
                     memo.clear()
                 for t in tokens:
                     if t not in memo:
