@@ -82,7 +82,7 @@ def count_ngrams(texts: DataFrame) -> DataFrame:
             codes, where = np.unique(np.concatenate([c for c, _ in held]), return_inverse=True)
             return codes, np.bincount(where, np.concatenate([n for _, n in held])).astype(np.int64)
         for batch in batches:
-            for rows in text_slices(batch, "text", 4 << 20):
+            for rows in text_slices(batch, "text", 1 << 20):
                 code, _ = ngram_codes(rows.column("text").to_pylist())
                 if len(code):
                     held.append(np.unique(code, return_counts=True))
@@ -222,7 +222,7 @@ def perplexities(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches):
         reader = Reader(model) if model.folder else None
         for batch in batches:
-            for rows in text_slices(batch, "text", 4 << 20):
+            for rows in text_slices(batch, "text", 1 << 20):
                 code, offsets = ngram_codes(rows.column("text").to_pylist())
                 total = exclusive_sum_float(reader.log_probabilities(code)) if reader else np.zeros(len(code) + 1)
                 n = np.diff(offsets)
@@ -264,7 +264,11 @@ def judge(docs: DataFrame, labels: DataFrame, low: float, high: float, least_cal
     result = scored if set(docs.columns) == {"doc_id", "lang", "text"} else keyed(perplexities(docs, model))
     known = (scored.filter("perplexity is not null").select("doc_id", "lang", "n_scored", "perplexity")
              .join(small_if(trusted.filter(calibration())), "doc_id", "left_semi"))
-    limits = lambda: F.percentile_approx("drawn", [low, high], 100_000)
+    def limits():
+        """The two quantiles, wider by what so few documents leave open: four standard errors of the logarithm."""
+        q = F.percentile_approx("drawn", [low, high], 100_000)
+        margin = F.exp(4 * F.stddev_pop(F.log("drawn")) / F.sqrt(F.count("drawn")))
+        return F.array(q[0] / margin, q[1] * margin)
     # A short text's perplexity is uncertain: its logarithm is drawn towards the language's mean by ``prior`` characters.
     means = known.groupBy("lang").agg(F.avg(F.log("perplexity")).alias("mean"), F.count("*").alias("n")).filter(
         F.col("n") >= least_calibration).select(F.col("lang").alias("of_lang"), "mean")

@@ -352,7 +352,7 @@ def exact_links(groups: DataFrame, sets: DataFrame, similarity: float, block: in
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", similarity: float = 0.8, width: int = 5,
-                    recall: float = 0.9999, limit: int = 64, levels: int = 6, slack: float = 0.25, block: int = 512) -> DataFrame:
+                    recall: float = 0.9999, limit: int = 64, levels: int = 2, slack: float = 0.25, block: int = 512) -> DataFrame:
     """One row per document: id, class_id, n_links, n_text_links, first.
 
     class_id: smallest id among the documents joined by chains of links;
