@@ -12,8 +12,8 @@ full. In a larger bucket every class is compared with a few pivots and loosely
 linked to them. A class is settled once it is as similar to a pivot as is
 wanted: what is similar to it is then, by the triangle inequality of Jaccard
 distances, loosely similar to that pivot too. The others split again on newly
-sampled positions; what is still large at the last level is compared in blocks,
-classes that are not settled against all. One run finds a pair of the wanted similarity with
+sampled positions as long as they are many; then, or at the last level, they are
+compared with their whole bucket in blocks. One run finds a pair of the wanted similarity with
 probability 1 - 1/e or better, and runs repeat until the target recall.
 
 An exact check follows. Candidate links (similarity estimated well below the
@@ -225,7 +225,11 @@ def candidate_links(classes: DataFrame, similarity: float, recall: float, limit:
                         .mapInArrow(against_pivots, "node long, cid long, settled boolean, near array<long>"), f"join-judged-{level}")
         links.append(judged.select(F.explode("near").alias("a"), F.col("cid").alias("b")).filter("a <> b").distinct())
         rest = judged.filter("not settled").select("node", "cid")
-        if level == levels:
+        # Further splits are worth their shuffle only where blocks alone would be many.
+        most = rest.groupBy("node").count().agg(F.max("count")).first()[0]
+        if most is None:
+            break
+        if level == levels or most <= 8 * limit:
             links.append(_blocks(judged.select("node", "cid", "settled"), sig, least, limit))
             break
         part = 10_000
@@ -243,12 +247,13 @@ def candidate_links(classes: DataFrame, similarity: float, recall: float, limit:
 def _blocks(rest: DataFrame, sig: DataFrame, least: int, limit: int) -> DataFrame:
     """Classes that no pivot has settled against their whole bucket, block by block."""
     block = 8 * limit
-    sized = rest.join(rest.groupBy("node").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks")), "node")
-    own = sized.withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
-    asks = own.filter("not settled").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "node", "block", "other", "cid", F.lit(1).alias("asks"))
-    told = own.withColumn("ask", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "node", F.col("ask").alias("block"), F.col("block").alias("other"), "cid", F.lit(0).alias("asks"))
+    counts = rest.groupBy("node").agg(F.ceil(F.count("*") / block).cast("int").alias("all"),
+                                      F.ceil(F.count_if(~F.col("settled")) / block).cast("int").alias("open")).filter("open > 0")
+    own = rest.join(counts, "node")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    place = lambda n: F.pmod(F.xxhash64("cid"), F.col(n)).cast("int")
+    asks = own.filter("not settled").select("node", place("open").alias("block"), every("all").alias("other"), "cid", F.lit(1).alias("asks"))
+    told = own.select("node", every("open").alias("block"), place("all").alias("other"), "cid", F.lit(0).alias("asks"))
 
     def run(batches):
         held, now = [], None
@@ -352,7 +357,7 @@ def exact_links(groups: DataFrame, sets: DataFrame, similarity: float, block: in
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", similarity: float = 0.8, width: int = 5,
-                    recall: float = 0.9999, limit: int = 64, levels: int = 2, slack: float = 0.25, block: int = 512) -> DataFrame:
+                    recall: float = 0.9999, limit: int = 64, levels: int = 6, slack: float = 0.25, block: int = 512) -> DataFrame:
     """One row per document: id, class_id, n_links, n_text_links, first.
 
     class_id: smallest id among the documents joined by chains of links;
