@@ -10,11 +10,14 @@ Chosen paths: in every run a set goes to the buckets of 1 / similarity sampled
 positions on average. A bucket of at most ``limit`` classes is compared in
 full. In a larger bucket every class is compared with a few pivots and loosely
 linked to them. A class is settled once it is as similar to a pivot as is
-wanted: what is similar to it is then, by the triangle inequality of Jaccard
-distances, loosely similar to that pivot too. The others split again on newly
-sampled positions as long as they are many; then, or at the last level, they are
-compared with their whole bucket in blocks. One run finds a pair of the wanted similarity with
-probability 1 - 1/e or better, and runs repeat until the target recall.
+wanted: what is similar to it then shares, by the triangle inequality of
+signatures, many positions with that pivot too, and is linked to the pivot or
+else, as doubtful, compared with the settled classes in blocks. The unsettled
+ones split again on newly sampled positions as long as they are many; then, or
+at the last level, they are compared with their whole bucket in blocks. A node
+has one child at least, and as many on average as keep the chance that all paths
+of a pair end early below what the target recall allows at the last level
+(:func:`missed`).
 
 An exact check follows. Candidate links (similarity estimated well below the
 threshold) make groups; inside a group the sets themselves are compared, in
@@ -151,6 +154,39 @@ def signatures(column) -> np.ndarray:
     return np.frombuffer(joined, np.uint32).reshape(-1, POSITIONS)
 
 
+def missed(similarity: float, roots: int, depth: int, children: float) -> float:
+    """Chance that no path of a pair lasts ``depth`` splits.
+
+    ``roots`` distinct positions, then by node ``children`` positions on average
+    (the whole number below it or one more). Exact by the number of positions in
+    which the pair agrees, but for positions a node draws once at most.
+    """
+    out, n, more = 0.0, int(children), children - int(children)
+    for agree in range(POSITIONS + 1):
+        share, lasts = agree / POSITIONS, 1.0
+        for _ in range(depth):
+            lasts = 1 - (1 - share * lasts) ** n * (1 - more * share * lasts)
+        ends = sum(math.comb(agree, k) * math.comb(POSITIONS - agree, roots - k) * (1 - lasts) ** k
+                   for k in range(roots + 1)) / math.comb(POSITIONS, roots)
+        out += math.comb(POSITIONS, agree) * similarity ** agree * (1 - similarity) ** (POSITIONS - agree) * ends
+    return out
+
+
+def children_needed(similarity: float, roots: int, depth: int, chance: float) -> float:
+    """The least mean number of children, in eighths, at which pairs are missed with ``chance`` at most."""
+    return next((k / 8 for k in range(8, 8 * POSITIONS) if missed(similarity, roots, depth, k / 8) <= chance), float(POSITIONS))
+
+
+def agreement_needed(similarity: float, chance: float) -> int:
+    """Positions in which a pair agrees, but for a ``chance``."""
+    below = 0.0
+    for agree in range(POSITIONS + 1):
+        below += math.comb(POSITIONS, agree) * similarity ** agree * (1 - similarity) ** (POSITIONS - agree)
+        if below > chance:
+            return agree
+    return POSITIONS
+
+
 def candidate_links(classes: DataFrame, similarity: float, recall: float, limit: int, levels: int, slack: float) -> DataFrame:
     """(a, b) of classes that may be similar: a spanning forest of every bucket, not all pairs."""
     least = int((similarity - slack) * POSITIONS)
@@ -161,6 +197,8 @@ def candidate_links(classes: DataFrame, similarity: float, recall: float, limit:
     for r in range(runs):  # 1 / similarity positions a run on average, new ones as long as there are some
         for _ in range(1 + (rng.random() < extra)):
             chosen.append((r, order[len(chosen) % POSITIONS]))
+    spare = max(1 - recall, 1e-9) / 2  # half for paths that end early, half for pairs that agree in few positions
+    fan = children_needed(similarity, min(len(chosen), POSITIONS), levels, spare)
     schema = "a long, b long"
 
     def brute(batches):
@@ -187,6 +225,8 @@ def candidate_links(classes: DataFrame, similarity: float, recall: float, limit:
             yield got
 
     loose, sure = int((similarity - 0.3) * POSITIONS), math.ceil(similarity * POSITIONS)
+    # What agrees enough with a settled class agrees so much with its pivot.
+    doubt = sure + agreement_needed(similarity, spare) - POSITIONS
 
     def against_pivots(batches):
         for b in batches:
@@ -198,8 +238,9 @@ def candidate_links(classes: DataFrame, similarity: float, recall: float, limit:
             who, k = np.nonzero(agree >= loose)
             yield pa.RecordBatch.from_arrays(
                 [b.column("node"), b.column("cid"), pa.array(agree.max(axis=1) >= sure),
+                 pa.array(((agree >= doubt) & (agree < loose)).any(axis=1)),
                  pa.ListArray.from_arrays(pa.array(exclusive_sum((agree >= loose).sum(axis=1)), pa.int32()), pa.array(ids[who, k]))],
-                names=["node", "cid", "settled", "near"])
+                names=["node", "cid", "settled", "doubtful", "near"])
 
     sig = classes.select("cid", "sig")
     paths = classes.select("cid", F.explode(F.array(*(F.xxhash64(F.lit(r), F.lit(p), token(p)) for r, p in chosen)))
@@ -222,19 +263,22 @@ def candidate_links(classes: DataFrame, similarity: float, recall: float, limit:
         names = [[f"{x}{k}" for k in range(PIVOTS)] for x in "ps"]
         pivots = pivots.select("node", F.array(*names[0]).alias("pivots"), F.concat(*names[1]).alias("pivot_sig"))
         judged = staged(large.join(sig, "cid").join(pivots, "node").select("node", "cid", "sig", "pivots", "pivot_sig")
-                        .mapInArrow(against_pivots, "node long, cid long, settled boolean, near array<long>"), f"join-judged-{level}")
+                        .mapInArrow(against_pivots, "node long, cid long, settled boolean, doubtful boolean, near array<long>"), f"join-judged-{level}")
         links.append(judged.select(F.explode("near").alias("a"), F.col("cid").alias("b")).filter("a <> b").distinct())
         rest = judged.filter("not settled").select("node", "cid")
         # Further splits are worth their shuffle only where blocks alone would be many.
         most = rest.groupBy("node").count().agg(F.max("count")).first()[0]
-        if most is None:
-            break
-        if level == levels or most <= 8 * limit:
-            links.append(_blocks(judged.select("node", "cid", "settled"), sig, least, limit))
+        if most is None or level == levels or most <= 8 * limit:
+            links.append(_blocks(judged.select("node", "cid", F.expr("doubtful or not settled").alias("asks")), sig, least, limit))
             break
+        # A settled class goes no further: what may be similar to it and has no link to its pivot meets it here.
+        links.append(_blocks(judged.filter("settled or doubtful").select("node", "cid", F.col("doubtful").alias("asks")),
+                             sig, least, limit))
+        # Distinct positions, as an odd step is no divisor of their number.
         part = 10_000
-        picks = F.expr(f"filter(sequence(0, {POSITIONS - 1}), p -> pmod(xxhash64(node, p), {part}) < "
-                       f"{int(part / (similarity * POSITIONS))})")
+        picks = F.expr(f"transform(sequence(1, {int(fan)} + int(pmod(xxhash64(node, 0), {part}) < {int(part * (fan % 1))})), "
+                       f"k -> int(pmod(pmod(xxhash64(node, 1), {POSITIONS}) + k * (2 * pmod(xxhash64(node, 2), {POSITIONS // 2}) + 1), "
+                       f"{POSITIONS})))")
         children = rest.select("node", "cid", picks.alias("picks")).join(sig, "cid").select(
             "node", "cid", "sig", F.explode("picks").alias("p"))
         paths = children.select("cid", F.xxhash64("node", "p", token("p")).alias("node"))
@@ -245,14 +289,14 @@ def candidate_links(classes: DataFrame, similarity: float, recall: float, limit:
 
 
 def _blocks(rest: DataFrame, sig: DataFrame, least: int, limit: int) -> DataFrame:
-    """Classes that no pivot has settled against their whole bucket, block by block."""
+    """Classes that ask (``asks``) against all classes of their bucket, block by block."""
     block = 8 * limit
     counts = rest.groupBy("node").agg(F.ceil(F.count("*") / block).cast("int").alias("all"),
-                                      F.ceil(F.count_if(~F.col("settled")) / block).cast("int").alias("open")).filter("open > 0")
+                                      F.ceil(F.count_if("asks") / block).cast("int").alias("open")).filter("open > 0")
     own = rest.join(counts, "node")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     place = lambda n: F.pmod(F.xxhash64("cid"), F.col(n)).cast("int")
-    asks = own.filter("not settled").select("node", place("open").alias("block"), every("all").alias("other"), "cid", F.lit(1).alias("asks"))
+    asks = own.filter("asks").select("node", place("open").alias("block"), every("all").alias("other"), "cid", F.lit(1).alias("asks"))
     told = own.select("node", every("open").alias("block"), place("all").alias("other"), "cid", F.lit(0).alias("asks"))
 
     def run(batches):

@@ -103,3 +103,39 @@ def test_queries_match_their_sql(spark, name):
     assert sorted(got.columns) == columns and len(got) == len(want)
     key = lambda d: sorted(map(str, d[columns].astype(object).where(d[columns].notna(), None).itertuples(index=False, name=None)))
     assert key(got) == key(want)
+
+
+def test_recall_after_many_splits(spark):
+    """Pairs whose tokens are all common: buckets of a quarter of the classes are split three times or more."""
+    from riskweave.llm import ngram_join
+    rng = np.random.default_rng(4)
+    pairs = 1500
+    one = rng.integers(0, 4, (pairs, 64)).astype(np.uint32)
+    two = np.where(rng.random(one.shape) < 0.8, one, (one + rng.integers(1, 4, one.shape)) % 4).astype(np.uint32)
+    classes = [(2 * k + j, bytearray(sig[k].tobytes())) for k in range(pairs) for j, sig in enumerate((one, two))]
+    frame = spark.createDataFrame(classes, "cid long, sig binary").localCheckpoint()
+    links = ngram_join.candidate_links(frame, 0.8, 0.9999, limit=2, levels=6, slack=0.25)
+    label = {r["node"]: r["label"] for r in components(links).collect()}
+    lost = sum((one[k] == two[k]).sum() >= 35 and label.get(2 * k, -1) != label.get(2 * k + 1, -2) for k in range(pairs))
+    assert lost <= 1
+    chance = (1 - 0.9999) / 2
+    assert ngram_join.missed(0.8, 13, 6, ngram_join.children_needed(0.8, 13, 6, chance)) <= chance
+    assert 0.008 < ngram_join.missed(0.8, 13, 6, 1.25)
+    assert ngram_join.missed(0.8, 13, 0, 1.0) == pytest.approx(0.2 ** 13)
+
+
+def test_doubtful_classes_meet_the_settled_ones(spark):
+    """A class that agrees enough with a settled one but is not linked to the settled one's pivot."""
+    from riskweave.llm import ngram_join
+    order = np.random.default_rng(20).permutation(64)  # the first 13 are the positions of level 0
+    base = np.arange(64, dtype=np.uint32)
+    settled, far = base.copy(), base.copy()
+    settled[order[52:]] += 1000  # 52 of 64 with the pivots
+    far[order[27:52]] += 2000  # 27 with the pivots, 39 with the settled one
+    far[order[52:]] += 1000
+    others = [np.where(np.isin(base, order[:13]), base, base + 10_000 * (k + 1)).astype(np.uint32) for k in range(20)]
+    sigs = [base] * 60 + [settled, far, *others]
+    frame = spark.createDataFrame([(k, bytearray(s.tobytes())) for k, s in enumerate(sigs)], "cid long, sig binary").localCheckpoint()
+    links = ngram_join.candidate_links(frame, 0.8, 0.9999, limit=1, levels=6, slack=0.25)
+    label = {r["node"]: r["label"] for r in components(links).collect()}
+    assert label[60] == label[61]
