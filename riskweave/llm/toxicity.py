@@ -2,10 +2,12 @@
 
 1. A character trigram model is counted over the words of all documents.
 2. A suspicious token (digits or signs between letters, separators inside, a
-   letter three times in a row, or a run of single letters) becomes a lattice:
-   each character may stand for itself, for a letter it imitates, for a
-   repetition, or for nothing. The Viterbi path under channel costs and the
-   character model is the restored word. Surface words stay beside it.
+   letter two times in a row, look-alike letters, or a run of single letters)
+   of any length becomes a lattice: each character may stand for itself, for a
+   letter it imitates, for a repetition, or for nothing. The Viterbi path under
+   channel costs and the character model is the restored word; parts between
+   separators are restored by themselves too. Surface words stay beside it, and
+   two or three neighbouring tokens count as the evidence word they make up.
 3. Evidence: for whole words and word beginnings, the share of toxic labels
    among labelled documents that hold them, drawn towards the base rate. Copies
    of one document count once (least hash of five words). A document's inputs are the
@@ -27,6 +29,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from itertools import groupby, product
 
 import numpy as np
 import pyarrow as pa
@@ -48,8 +51,9 @@ BASE_WEIGHT = 5.0
 TOP = 3  # a document's strongest words
 LEAST_RATIO = 30.0
 WORD = re.compile(r"[^\W\d_]+")
-SUSPECT = re.compile(r"[^\W\d_](?:[^\w\s]|[\d_])|(?:[^\w\s]|[\d_])[^\W\d_]|([^\W\d_])\1\1")
-LONGEST = 40
+SUSPECT = re.compile(r"[^\W\d_](?:[^\w\s]|[\d_])|(?:[^\w\s]|[\d_])[^\W\d_]|([^\W\d_])\1")
+LOOKALIKES = frozenset(c for c in IMITATIONS if c.isalpha())
+SEPARATORS = re.compile(r"[._,;:/\\~=&'\"-]+")
 
 
 def symbol_table() -> np.ndarray:
@@ -73,7 +77,8 @@ class CharModel:
 
     def decode(self, token: str) -> str:
         """The cheapest reading of a token's lattice."""
-        paths = {(0, 0): (0.0, "")}
+        token = re.sub(r"([^\W\d_])\1{3,}", r"\1\1\1", token)
+        paths = {(0, 0): (0.0, None)}  # cost, and the letters so far, last one first
         edge = re.match(r"\W*", token).end(), len(token) - len(re.search(r"\W*$", token).group())
         for i, c in enumerate(token):
             step: dict = {}
@@ -84,15 +89,34 @@ class CharModel:
             letter = self.code.get(c, OTHER if c.isalpha() else 0)
             for (a, b), (cost, text) in paths.items():
                 if letter and c not in IMITATIONS:
-                    put((b, letter), cost + self.cost[a, b, letter], text + c)
-                    if text and text[-1] == c and i and token[i - 1] == c:
+                    put((b, letter), cost + self.cost[a, b, letter], (c, text))
+                    if text and text[0] == c and i and token[i - 1] == c:
                         put((a, b), cost + COST_REPEAT, text)
                 else:
                     for x in IMITATIONS.get(c, ""):
-                        put((b, self.code[x]), cost + COST_IMITATE + self.cost[a, b, self.code[x]], text + x)
+                        put((b, self.code[x]), cost + COST_IMITATE + self.cost[a, b, self.code[x]], (x, text))
                     put((a, b), cost + (COST_DROP if not c.isalnum() or not edge[0] <= i < edge[1] else COST_KEEP), text)
             paths = dict(sorted(step.items(), key=lambda p: p[1][0])[:24])
-        return min(((cost + self.cost[a, b, 0], text) for (a, b), (cost, text) in paths.items()))[1]
+        def spelled(text):
+            letters = []
+            while text:
+                letters.append(text[0])
+                text = text[1]
+            return "".join(reversed(letters))
+        ends = [(cost + self.cost[a, b, 0], text) for (a, b), (cost, text) in paths.items()]
+        least = min(cost for cost, _ in ends)
+        return min(spelled(text) for cost, text in ends if cost == least)
+
+
+def suspicious(token: str) -> bool:
+    """Whether a token may be a disguised word; look-alike letters count beside Latin ones or alone."""
+    return bool(SUSPECT.search(token)) or (not LOOKALIKES.isdisjoint(token) and all(
+        c in LOOKALIKES or c in LETTERS or not c.isalpha() for c in token))
+
+
+def stretches(word: str) -> list[str]:
+    """A long run may hold several words: the whole and every stretch of 3 to 20 letters."""
+    return list(dict.fromkeys([word, *(word[i:i + n] for n in range(3, min(21, len(word))) for i in range(len(word) - n + 1))]))
 
 
 def surface_words(token: str) -> list[str]:
@@ -148,8 +172,16 @@ class Restorer:
             words = surface_words(t)
             bare = re.sub(r"^([^\w\s])\1+|([^\w\s])\2+$", "", t)  # rows of one sign around a word are decoration
             bare = bare.strip(".,;:\"'()[]{}")
-            if len(bare) <= LONGEST and SUSPECT.search(bare):
+            if suspicious(bare):
                 words = [*words, *surface_words(self.model.decode(bare))]
+                parts = SEPARATORS.split(bare)
+                if len(parts) > 1:
+                    for part in parts:
+                        if len(part) > 1 and suspicious(part):
+                            words += surface_words(self.model.decode(part))
+                    for single, run in groupby(parts, lambda part: len(part) == 1):
+                        if single and len(run := "".join(run)) >= 3:
+                            words += stretches(self.model.decode(run))
             got = self.memo[t] = tuple(dict.fromkeys(words))
         return got
 
@@ -165,12 +197,37 @@ class Restorer:
                 z += 1
             if z - a >= 3:
                 joint = "".join(tokens[k].strip(".,;:-_") for k in index[a:z])
-                # A long run may hold several words: every stretch of 4 to 12 letters is offered besides the whole.
-                whole = self.model.decode(joint) if z - a <= LONGEST else joint
-                parts = [whole[i:i + n] for n in range(4, min(13, len(whole))) for i in range(len(whole) - n + 1)]
-                out.append((int(doc[a]), tuple(dict.fromkeys([whole, *parts]))))
+                out.append((int(doc[a]), tuple(stretches(self.model.decode(joint)))))
         return out
 
+    def broken(self, tokens: list[str], index: np.ndarray, offsets: np.ndarray, ends: "Endings") -> list[tuple[int, str]]:
+        """(document, evidence word) where two or three neighbouring tokens make up an evidence word."""
+        forms = [{t.strip(".,;:-_\"'()[]{}"), *self.token(t)} - {""} for t in tokens]
+        first, middle, last = (np.array([any(w in part for w in f) for f in forms], bool)[index]
+                               for part in (ends.first, ends.middle, ends.last))
+        doc = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+        out = []
+        for n in (2, 3):
+            if len(index) < n:
+                continue
+            at = first[:len(index) - n + 1] & last[n - 1:] & (doc[:len(index) - n + 1] == doc[n - 1:])
+            for k in np.flatnonzero(at & middle[1:-1] if n == 3 else at).tolist():
+                raw = [forms[j] for j in index[k:k + n]]
+                joint = {"".join(x) for x in product(*raw)}
+                joint.update(self.token("".join(tokens[j] for j in index[k:k + n])))
+                out += [(int(doc[k]), w) for w in joint if w in ends.words]
+        return out
+
+
+class Endings:
+    """Proper beginnings, middles and ends of the evidence words of four letters or more."""
+
+    def __init__(self, share: dict[str, float], base: float):
+        self.words = {c[1:] for c, p in share.items() if c[0] == "=" and p > base and len(c) > 4}
+        self.first = {w[:k] for w in self.words for k in range(1, len(w))}
+        self.last = {w[k:] for w in self.words for k in range(1, len(w))}
+        self.middle = {w[i:j] for w in self.words for i in range(1, len(w)) for j in range(i + 1, len(w))}
+
 
 def cues(word: str) -> list[str]:
     """What may be evidence of a word: itself and its beginnings."""
@@ -304,7 +361,7 @@ def score(docs: DataFrame, model: ToxicModel) -> DataFrame:
 
     def run(batches):
         m = shared.value
-        restorer, memo = Restorer(m.chars), {}
+        restorer, memo, ends = Restorer(m.chars), {}, Endings(m.share, m.base)
 
         def strength(token):
             return max(map(m.word, restorer.token(token)), default=0.0)
@@ -329,6 +386,8 @@ def score(docs: DataFrame, model: ToxicModel) -> DataFrame:
                         p = m.word(w)
                         if p > m.base:
                             told.setdefault(d, {})[w] = p
+                for d, w in restorer.broken(tokens, index, offsets, ends):
+                    told.setdefault(d, {}).setdefault(w, m.share["=" + w])
                 for d, held in told.items():
                     top = sorted(held.values(), reverse=True)[:TOP]
                     tops[d, :len(top)] = top

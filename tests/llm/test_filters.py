@@ -187,3 +187,21 @@ def test_discounts_stay_in_range(spark):
     for counts in ([], [1], [1, 1, 2], [5, 6], [1, 2, 2, 2, 3, 4]):
         d = discounts(spark.createDataFrame([(i, c) for i, c in enumerate(counts)], "code long, n long"))
         assert all(0 < x < k + 1e-9 for k, x in enumerate(d, 1))
+
+
+def test_disguises_of_every_form(spark, corpus):
+    docs, labels = _frames(spark, corpus)
+    restorer = Restorer(count_characters(docs))
+    for token, word in (("st" + "u" * 60 + "pid", "stupid"), ("stuupid", "stupid"), ("idiiot", "idiot"), ("іdіоt", "idiot"),
+                        ("weather_" * 5 + "1d10t_m0ron", "moron"), ("s.t.u.p.i.d.m.o.r.o.n." * 3, "moron")):
+        assert word in restorer.token(token), (token, restorer.token(token))
+    spelled = "the river runs over 1d10t stones while people walk along its bank".replace(" ", "")
+    offsets = np.array([0, len(spelled)])
+    (_, words), = restorer.spaced(list(spelled), np.arange(len(spelled)), offsets)
+    assert len(spelled) > 40 and "idiot" in words
+    rng = random.Random(3)
+    forms = ["stu pid", "id iot", "st up id", "stuupid", "іdіоt", "st" + "u" * 60 + "pid"]
+    more = [(3000 + k, _text(rng, 15) + " " + x + " " + _text(rng, 15), "en", 1, "y", 0) for k, x in enumerate(forms)]
+    found = {r["doc_id"]: r["predicted"] for r in toxicity(docs.union(spark.createDataFrame(more, docs.schema)), labels).collect()}
+    assert [found[3000 + k] for k in range(len(forms))] == [1] * len(forms)
+    assert found[1012] == 0
