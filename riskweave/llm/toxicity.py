@@ -27,6 +27,7 @@ empty table gives no rows.
 
 from __future__ import annotations
 
+import math
 import re
 from dataclasses import dataclass
 from itertools import groupby, product
@@ -37,7 +38,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm.common import staged, text_column, text_slices
+from riskweave.llm.common import small_if, staged, text_column, text_slices
 from riskweave.llm.ngram_join import shingle_sets
 
 LETTERS = "abcdefghijklmnopqrstuvwxyzàáâãäåæçèéêëìíîïñòóôõöøœùúûüýÿß"
@@ -305,16 +306,18 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 40_000, max_cues
         return ToxicModel(chars, {}, base, None)
     by_word = rows.select("row", "toxic", F.explode("words").alias("w"))
     by_cue = lambda d: d.select("row", "toxic", F.explode(cue_column("w")).alias("cue")).distinct()
-    often = (by_cue(by_word.filter("toxic = 1")).groupBy("cue").agg(F.count("*").alias("k")).filter("k >= 3")
-             .orderBy(F.desc("k"), "cue").limit(max_cues))
-    often = F.broadcast(staged(often, "toxic-cues"))  # at most max_cues rows
+    # No cue of fewer toxic documents can pass the test, even without a clean one; all others are tested.
+    fewest = math.ceil(LEAST_RATIO / (2 * math.log(1 / base)))
+    often = (by_cue(by_word.filter("toxic = 1")).groupBy("cue").agg(F.count("*").alias("k")).filter(F.col("k") >= fewest)
+             .select("cue"))
+    often = small_if(staged(often, "toxic-cues"))
     # Whole words first; beginnings then count only where the word is no evidence by itself, so that a
     # beginning is a family of words and not the shadow of one.
     held = by_word.withColumn("cue", F.concat(F.lit("="), F.col("w"))).join(often, "cue").select("row", "toxic", "cue")
-    whole = _beyond_chance(held, base, "toxic-whole")
+    whole = _beyond_chance(held, base, max_cues, "toxic-whole")
     others = by_word.join(whole.select(F.expr("substring(cue, 2)").alias("w")), "w", "left_anti")
     held = others.select("row", "toxic", F.explode(cue_column("w")).alias("cue")).filter("cue like '^%'").join(often, "cue")
-    begun = _beyond_chance(held.distinct(), base, "toxic-begun")
+    begun = _beyond_chance(held.distinct(), base, max_cues, "toxic-begun")
     counts = F.broadcast(whole.union(begun))
     share = {r["cue"]: (r["k"] + BASE_WEIGHT * base) / (r["k"] + r["c"] + BASE_WEIGHT) for r in whole.union(begun).collect()}
     # Each training document without its own part in the counts.
@@ -330,13 +333,17 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 40_000, max_cues
     return ToxicModel(chars, share, base, logistic(inputs(tops), table["toxic"].to_numpy(float)))
 
 
-def _beyond_chance(held: DataFrame, base: float, name: str) -> DataFrame:
-    """(cue, k toxic, c clean) of cues whose share of toxic labels is above the base rate by more than chance."""
+def _beyond_chance(held: DataFrame, base: float, most: int, name: str) -> DataFrame:
+    """(cue, k toxic, c clean) of cues whose share of toxic labels is above the base rate by more than chance.
+
+    If more than ``most`` are, those of the largest likelihood ratio.
+    """
     counts = held.groupBy("cue").agg(F.sum("toxic").alias("k"), F.sum(1 - F.col("toxic")).alias("c"))
     n = F.col("k") + F.col("c")
     ratio = sum((F.when(F.col(x) > 0, 2 * F.col(x) * F.log(F.col(x) / (n * share))).otherwise(0.0)
                  for x, share in (("k", base), ("c", 1 - base))), F.lit(0.0))
-    return staged(counts.filter((F.col("k") > base * n) & (ratio >= LEAST_RATIO)), name)
+    passed = counts.withColumn("ratio", ratio).filter((F.col("k") > base * n) & (F.col("ratio") >= LEAST_RATIO))
+    return staged(passed.orderBy(F.desc("ratio"), "cue").limit(most).drop("ratio"), name)
 
 
 def logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1e-2, rounds: int = 50) -> np.ndarray:
@@ -356,7 +363,7 @@ def logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1e-2, rounds: int =
 def score(docs: DataFrame, model: ToxicModel) -> DataFrame:
     """kept (a struct of all columns of ``docs``), score and predicted of every document; whole texts, no shuffle."""
     spark: SparkSession = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)  # bounded: 64**3 costs and at most max_cues shares
+    shared = spark.sparkContext.broadcast(model)  # bounded: 64**3 costs and at most 2 * max_cues shares
     inner = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("kept"), text_column().alias("text"))
 
     def run(batches):

@@ -205,3 +205,9 @@ def test_disguises_of_every_form(spark, corpus):
     found = {r["doc_id"]: r["predicted"] for r in toxicity(docs.union(spark.createDataFrame(more, docs.schema)), labels).collect()}
     assert [found[3000 + k] for k in range(len(forms))] == [1] * len(forms)
     assert found[1012] == 0
+
+
+def test_evidence_is_bounded_by_its_ratio(spark, corpus):
+    docs, labels = _frames(spark, corpus)
+    model = fit(docs, labels, max_cues=3)
+    assert {"=" + w for w in BAD} <= set(model.share) and "=river" not in model.share
