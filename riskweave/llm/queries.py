@@ -242,3 +242,31 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = docs.select(F.col("doc_id").alias("id"), F.concat(F.col("source"), F.lit("/"), F.col("lang"), F.lit("/"), F.col("doc_id").cast("string"))
                         .alias("path"), "text")
     return scan(files).withColumnRenamed("id", "doc_id")
+
+
+TERMS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), " \
+        r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+OP13_SQL = f"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, {TERMS} AS w FROM documents),
+items AS (SELECT DISTINCT item_id, unnest({TERMS}) AS t FROM benchmark),
+whole AS (SELECT count(*) FILTER (len(w) > 0) AS nd, CAST(sum(len(w)) AS BIGINT) AS l FROM docs),
+held AS (
+  SELECT r, doc_id, n, t, count(*) AS tf FROM (SELECT r, doc_id, len(w) AS n, unnest(w) AS t FROM docs)
+  WHERE t IN (SELECT t FROM items) GROUP BY ALL),
+df AS (SELECT t, count(*) AS df FROM held GROUP BY t),
+gains AS (
+  SELECT r, doc_id, t, CAST(floor(1000 * ln((2 * nd + 2) / (2 * df + 1))) AS BIGINT)
+                       * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * nd) // l))) AS gain
+  FROM held JOIN df USING (t), whole),
+scores AS (SELECT item_id, r, doc_id, CAST(sum(gain) AS BIGINT) AS score FROM gains JOIN items USING (t) GROUP BY 1, 2, 3),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scores WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM placed WHERE rank <= 10
+"""
+
+
+@register("op13_shared_ranking", OP13_SQL)
+def op13_shared_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from riskweave.llm.shared_ranking import ranked
+    return ranked(read_table(spark, sf_dir, "documents").select("doc_id", "text"),
+                  read_table(spark, sf_dir, "benchmark").select("item_id", "text"), 10)
