@@ -270,3 +270,44 @@ def op13_shared_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     from riskweave.llm.shared_ranking import ranked
     return ranked(read_table(spark, sf_dir, "documents").select("doc_id", "text"),
                   read_table(spark, sf_dir, "benchmark").select("item_id", "text"), 10)
+
+
+def fingerprint_sql(k: int = 128) -> str:
+    held = "list_filter(regexp_split_to_array(lower({}), '[\\t\\n\\x0b\\f\\r ]+'), lambda x: x <> '')"
+    runs = ("CASE WHEN len({0}) >= 5 THEN list_transform(range(1, len({0}) - 3), lambda i: array_to_string({0}[i:i + 4], ' ')) "
+            "WHEN len({0}) > 0 THEN [array_to_string({0}, ' ')] ELSE [] END")
+    sketch = f"list_sort(list_distinct(list_transform({runs}, lambda s: md5(s)[1:16])))[1:{k}]"
+    like = (f"CASE WHEN len({{0}}) = 0 AND len({{1}}) = 0 THEN 1.0 ELSE len(list_intersect(list_intersect({{0}}, {{1}}), "
+            f"list_sort(list_distinct(list_concat({{0}}, {{1}})))[1:{k}])) / len(list_sort(list_distinct(list_concat({{0}}, {{1}})))[1:{k}]) END")
+    last = f"least(CASE WHEN len(a) < {k} THEN 'g' ELSE a[-1] END, CASE WHEN len(b) < {k} THEN 'g' ELSE b[-1] END)"
+    return f"""
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS text, row_number() OVER w AS nth, count(*) OVER () AS total FROM documents
+              WINDOW w AS (ORDER BY doc_id NULLS FIRST, sha256(coalesce(text, '')))),
+edit AS (
+  SELECT d.doc_id, d.text, length(d.text) AS n, n.text AS next_text,
+         left(d.text, length(d.text) - length(d.text) // 4) || left(n.text, length(d.text) // 4) AS edited
+  FROM docs d JOIN docs n ON n.nth = d.nth % d.total + 1),
+cut AS (SELECT *, {held.format('text')} AS w, {held.format('edited')} AS we, {held.format('next_text')} AS wn FROM edit),
+held AS (SELECT *, {sketch.format('w')} AS a, {sketch.format('we')} AS b, {sketch.format('wn')} AS c FROM cut)
+SELECT doc_id, CAST(n AS BIGINT) AS n_chars, sha256(edited) AS edited_sha256, array_to_string(a, '') AS fingerprint,
+       array_to_string(b, '') AS edited_fingerprint, {like.format('a', 'b')} AS near_edited, {like.format('a', 'c')} AS near_next,
+       CASE WHEN len(list_filter(a, lambda h: h <= {last})) = 0 THEN 1.0 ELSE
+         len(list_filter(list_intersect(a, b), lambda h: h <= {last})) / len(list_filter(a, lambda h: h <= {last})) END AS contained_edited,
+       CASE WHEN len(a) < {k} THEN len(a)
+            ELSE CAST(round({k - 1}.0::DOUBLE / ((CAST('0x' || a[-1][1:13] AS BIGINT)::DOUBLE + 1) / {16 ** 13}.0::DOUBLE)) AS BIGINT) END AS n_shingles
+FROM held
+"""
+
+
+@register("op12_fingerprints", fingerprint_sql())
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from riskweave.llm.fingerprints import containment, distinct_shingles, fingerprints, resemblance
+    k = 128
+    found = fingerprints(read_table(spark, sf_dir, "documents").select("doc_id", "text"), k)
+    own, edited = F.col("sketch"), F.col("edited_sketch")
+    return found.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), F.array_join(own, "").alias("fingerprint"),
+                        F.array_join(edited, "").alias("edited_fingerprint"), resemblance(own, edited, k).alias("near_edited"),
+                        resemblance(own, F.col("next_sketch"), k).alias("near_next"),
+                        containment(own, edited, k).alias("contained_edited"), distinct_shingles(own, k).alias("n_shingles"))
