@@ -311,3 +311,45 @@ def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.array_join(edited, "").alias("edited_fingerprint"), resemblance(own, edited, k).alias("near_edited"),
                         resemblance(own, F.col("next_sketch"), k).alias("near_next"),
                         containment(own, edited, k).alias("contained_edited"), distinct_shingles(own, k).alias("n_shingles"))
+
+
+OP11_SQL = """
+WITH said AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+turns AS (
+  SELECT conv_id, role, text, row_number() OVER (
+    PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(length(role) || ':' || role || text)) AS nth FROM said),
+convs AS (
+  SELECT conv_id, conv_id - conv_id % 100 AS base,
+         xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+           lambda a, b: list_reduce(list_concat([xor(a, b)], range(8)),
+             lambda u, i: CASE WHEN u & 1 = 1 THEN xor(u >> 1, 3988292384::BIGINT) ELSE u >> 1 END)), 4294967295::BIGINT) % 6 AS h
+  FROM (SELECT DISTINCT conv_id FROM turns)),
+mixed AS (
+  SELECT convs.conv_id, nth, role, text FROM convs JOIN turns ON turns.conv_id = base AND nth <= h
+  UNION ALL SELECT conv_id, nth, role, text FROM convs JOIN turns USING (conv_id) WHERE nth > h),
+paths AS (
+  SELECT conv_id, row_number() OVER w AS depth, length(text) AS chars,
+         string_agg(length(role) || ':' || role || length(text) || ':' || text, '') OVER w AS path
+  FROM mixed WINDOW w AS (PARTITION BY conv_id ORDER BY nth ROWS UNBOUNDED PRECEDING)
+  UNION ALL SELECT conv_id, 0, 0, '' FROM convs),
+nodes AS (SELECT depth, path, min(conv_id) AS conv_id, count(*) AS n_convs, min(chars) AS chars FROM paths GROUP BY 1, 2),
+member AS (SELECT p.conv_id AS member, depth, n.conv_id, max(depth) OVER (PARTITION BY p.conv_id) AS last
+           FROM paths p JOIN nodes n USING (depth, path)),
+tied AS (SELECT n.*, m.conv_id AS parent_conv_id FROM nodes n LEFT JOIN member m ON m.member = n.conv_id AND m.depth = n.depth - 1),
+kids AS (SELECT depth - 1 AS depth, parent_conv_id AS conv_id, count(*) AS n_children FROM tied WHERE depth > 0 GROUP BY 1, 2),
+whole AS (SELECT tied.*, coalesce(n_children, 0) AS n_children FROM tied LEFT JOIN kids USING (depth, conv_id)),
+below AS (
+  SELECT m.conv_id, m.depth, count(*) FILTER (w.n_children = 0) AS n_leaves, sum((w.n_convs - 1) * w.chars) AS saved_tokens
+  FROM whole w JOIN member m ON m.member = w.conv_id AND m.depth <= w.depth GROUP BY 1, 2),
+ends AS (SELECT conv_id, depth, string_agg(member::VARCHAR, ',' ORDER BY member) AS ids FROM member WHERE depth = last GROUP BY 1, 2)
+SELECT conv_id, CAST(depth AS BIGINT) AS depth, parent_conv_id, n_convs, n_children, n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens,
+       sha256(coalesce(ids, '')) AS ends_sha256
+FROM whole JOIN below USING (conv_id, depth) LEFT JOIN ends USING (conv_id, depth)
+"""
+
+
+@register("op11_prefix_trie", OP11_SQL)
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from riskweave.llm.prefix_trie import grafted, numbered, trie
+    turns = numbered(read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
+    return trie(*grafted(turns))
