@@ -41,7 +41,7 @@ def _smallest(hashes: Column, k: int) -> Column:
 
 
 def sketch_of_words(held: Column, k: int, width: int = WIDTH) -> Column:
-    """The k smallest hashes of the runs of ``width`` words, part by part."""
+    """The k smallest hashes of the runs of ``width`` words, part by part. ``held`` should be a plain column (:func:`sketched`)."""
     n = F.greatest(F.size(held) - (width - 1), F.least(F.size(held), F.lit(1)))  # runs
 
     def hashed(part):
@@ -53,6 +53,12 @@ def sketch_of_words(held: Column, k: int, width: int = WIDTH) -> Column:
     return F.when(n > 0, F.aggregate(parts, none, lambda least, part: _smallest(F.concat(least, hashed(part)), k))).otherwise(none)
 
 
+def sketched(df: DataFrame, text_col: str, name: str, k: int) -> DataFrame:
+    """``df`` with the sketch of a text column; words are a column of their own, so a text is split once, not for every run."""
+    held = f"{name}_words"
+    return df.withColumn(held, words(F.col(text_col))).withColumn(name, sketch_of_words(F.col(held), k)).drop(held)
+
+
 def merge(a: Column, b: Column, k: int) -> Column:
     """The sketch of two sketched parts together."""
     return _smallest(F.concat(a, b), k)
@@ -128,13 +134,12 @@ def fingerprints(docs: DataFrame, k: int = 128, id_col: str = "doc_id", text_col
     dealt = (rows.select(block.alias("block"), F.lit(0).alias("copy"), "id", "text")
              .unionByName(copies.select("block", F.lit(1).alias("copy"), "id", "text")).repartition("block")
              .withColumn("sha", F.sha2("text", 256)).sortWithinPartitions("block", "copy", F.col("id").asc_nulls_first(), "sha"))
-    sketched = dealt.withColumn("words", words(F.col("text"))).withColumn("sketch", sketch_of_words(F.col("words"), k)).drop("words")
     order = Window.partitionBy("block").orderBy("copy", F.col("id").asc_nulls_first(), "sha")
     n = F.length("text")
     quarter = F.floor(F.col("n_chars") / 4).cast("int")
-    beside = (sketched.select("*", n.cast("long").alias("n_chars"), F.lead("text").over(order).alias("next_text"),
+    beside = (sketched(dealt, "text", "sketch", k).select("*", n.cast("long").alias("n_chars"), F.lead("text").over(order).alias("next_text"),
                               F.lead("sketch").over(order).alias("next_sketch")).filter("copy = 0")
               .withColumn("edited", F.concat(F.substring(F.col("text"), F.lit(1), F.col("n_chars").cast("int") - quarter),
                                              F.substring(F.col("next_text"), F.lit(1), quarter))))
-    return (beside.withColumn("words", words(F.col("edited"))).withColumn("edited_sketch", sketch_of_words(F.col("words"), k))
-            .select(F.col("id").alias(id_col), "text", "n_chars", "edited", "sketch", "edited_sketch", "next_sketch"))
+    return sketched(beside, "edited", "edited_sketch", k).select(
+        F.col("id").alias(id_col), "text", "n_chars", "edited", "sketch", "edited_sketch", "next_sketch")
