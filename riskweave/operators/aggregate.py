@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskweave.operators.exact import exact_mean, exact_sum, exact_var_pop, exact_var_samp
+
 AggSpec = Mapping[str, Sequence[str]]
 
 
@@ -29,25 +31,35 @@ AGG_BUILDERS: dict[str, Callable[[Column], Column]] = {
     "mean": F.avg,
     "sum": _sum0,
     "sum_null": F.sum,
-    "var": F.var_samp,
-    "var_pop": F.var_pop,
-    "std_pop": F.stddev_pop,
+    "var": exact_var_samp,
+    "var_pop": exact_var_pop,
+    "std_pop": lambda c: F.sqrt(exact_var_pop(c)),
     "median": F.median,
     "size": lambda c: F.count(F.lit(1)),
     "count": F.count,
     "nunique": F.count_distinct,
 }
 
+# Of doubles, whose plain sums depend on the order of rows.
+DOUBLE_BUILDERS: dict[str, Callable[[Column], Column]] = {
+    "mean": exact_mean,
+    "sum": lambda c: F.coalesce(exact_sum(c), F.lit(0.0)),
+    "sum_null": exact_sum,
+}
+
 
 def agg_name(prefix: str, col: str, agg: str) -> str:
     return f"{prefix}{col}_{agg.upper()}"
 
 
-def agg_exprs(spec: AggSpec, prefix: str = "", zero_sum: bool = True) -> list[Column]:
+def agg_exprs(df: DataFrame, spec: AggSpec, prefix: str = "", zero_sum: bool = True) -> list[Column]:
+    """Aggregates of a spec; sums, means and variances of doubles do not depend on the order of rows."""
+    doubles = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
     out = []
     for col, aggs in spec.items():
         for a in aggs:
-            fn = AGG_BUILDERS["sum_null" if (a == "sum" and not zero_sum) else a]
+            kind = "sum_null" if (a == "sum" and not zero_sum) else a
+            fn = DOUBLE_BUILDERS[kind] if col in doubles and kind in DOUBLE_BUILDERS else AGG_BUILDERS[kind]
             out.append(fn(F.col(col)).alias(agg_name(prefix, col, a)))
     return out
 
@@ -62,7 +74,7 @@ def grouped_agg(df: DataFrame, key: str | Sequence[str], spec: AggSpec, prefix:
     cond = None
     for k in keys:
         cond = F.col(k).isNotNull() if cond is None else cond & F.col(k).isNotNull()
-    return df.where(cond).groupBy(*keys).agg(*agg_exprs(spec, prefix, zero_sum), *extra)
+    return df.where(cond).groupBy(*keys).agg(*agg_exprs(df, spec, prefix, zero_sum), *extra)
 
 
 # --- A2: rule-driven spec -------------------------------------------------
@@ -139,7 +151,7 @@ def two_level_aggs(children: Sequence[tuple[DataFrame, AggSpec, str]], link: Dat
         parts.append((prefix, cols))
     exprs = []
     for prefix, cols in parts:
-        exprs += agg_exprs(cols, prefix=f"{prefix}_", zero_sum=False)
+        exprs += agg_exprs(linked, cols, prefix=f"{prefix}_", zero_sum=False)
     keys = F.col(parent_key).isNotNull()
     return linked.where(keys).groupBy(parent_key).agg(*exprs)
 

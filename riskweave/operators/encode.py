@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from riskweave.functions.scalar import raw_ratio
+from riskweave.operators.exact import exact_mean, exact_var_pop
 from riskweave.session import scratch_path
 
 UNKNOWN = "Unknown"           # fill value of a missing category
@@ -34,11 +35,11 @@ def _blocks(items: Sequence, size: int | None = None):
         yield items[i:i + size]
 
 
-def column_stats(df: DataFrame, exprs: Mapping[str, Column]) -> dict:
-    """Evaluate named aggregate expressions, ``AGG_BLOCK`` at a time."""
+def column_stats(df: DataFrame, exprs: Mapping[str, Column], size: int | None = None) -> dict:
+    """Evaluate named aggregate expressions, ``size`` (``AGG_BLOCK``) at a time."""
     names = list(exprs)
     out: dict = {}
-    for blk in _blocks(names):
+    for blk in _blocks(names, size):
         row = df.agg(*[exprs[n].alias(f"_s{i}") for i, n in enumerate(blk)]).first()
         out.update({n: row[f"_s{i}"] for i, n in enumerate(blk)})
     return out
@@ -352,9 +353,9 @@ def narrow_types(df: DataFrame, floats_to_float: bool = False) -> DataFrame:
 def standardise_params(df: DataFrame, cols: Sequence[str]) -> dict[str, tuple[float, float]]:
     ex = {}
     for c in cols:
-        ex[f"{c}\x00m"] = F.avg(c)
-        ex[f"{c}\x00s"] = F.stddev_pop(c)
-    st = column_stats(df, ex)
+        ex[f"{c}\x00m"] = exact_mean(F.col(c))
+        ex[f"{c}\x00s"] = F.sqrt(exact_var_pop(F.col(c)))
+    st = column_stats(df, ex, size=AGG_BLOCK // 6)  # about twelve sums a column
     out = {}
     for c in cols:
         s = st[f"{c}\x00s"]

@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from riskweave.functions.scalar import FN_COST, FP_COST
+from riskweave.operators.exact import exact_var_pop
 
 DEFAULT_BUCKETS = 512
 THRESHOLDS = (0.2, 0.25, 0.3, 0.35, 0.4, 0.45, 0.5)   # sweep of the reference (0.20 … 0.50)
@@ -142,7 +143,7 @@ def threshold_sweep(df: DataFrame, score_col: str, label_col: str, fold_col: str
     scan from the start value with strict improvement)."""
     per_fold = business_cost(df, score_col, label_col, thresholds, group=[fold_col])
     summ = per_fold.groupBy("threshold").agg(F.avg("cost").alias("mean_cost"),
-                                             F.stddev_pop("cost").alias("std_cost"),
+                                             F.sqrt(exact_var_pop(F.col("cost"))).alias("std_cost"),
                                              F.count(F.lit(1)).alias("n_folds"))
     # len(thresholds) rows: ranking them in one task is bounded work.
     w = Window.orderBy(F.col("mean_cost").asc_nulls_last(),

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from riskweave.functions.scalar import RISK_BAND_EDGES, l2_distance, percent_score, risk_band
+from riskweave.operators.exact import exact_mean
 
 BANDS = {"All": (None, None), "Low Risk": (None, RISK_BAND_EDGES[0]),
          "Moderate Risk": RISK_BAND_EDGES, "High Risk": (RISK_BAND_EDGES[1], None)}
@@ -56,7 +57,7 @@ def client_card(client: DataFrame, features: Sequence[str], id_col: str = "SK_ID
 
 def feature_mean(df: DataFrame, col: str) -> DataFrame:
     """Mean of a column over the (filtered) clients, shown with 2 digits."""
-    return df.agg(F.avg(col).alias("mean"))
+    return df.agg(exact_mean(F.col(col)).alias("mean"))
 
 
 def nearest_clients(df: DataFrame, probe: DataFrame, cols: Sequence[str], k: int = 10,

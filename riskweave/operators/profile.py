@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from riskweave.operators.encode import column_stats
+from riskweave.operators.encode import AGG_BLOCK, _blocks, column_stats
+from riskweave.operators.exact import exact_mean, exact_sum, exact_var_pop
 
 # --- A16 -------------------------------------------------------------------------
 
@@ -21,10 +22,8 @@ from riskweave.operators.encode import column_stats
 def variance_table(df: DataFrame, cols: Sequence[str], threshold: float = 0.01) -> DataFrame:
     """(pos, column_name, variance, kept): population variance, nulls skipped,
     kept when strictly above the threshold (a constant column is dropped)."""
-    wide = df.agg(*[F.var_pop(F.col(c).cast("double")).alias(f"v{i}") for i, c in enumerate(cols)])
-    long = wide.select(F.inline(F.array(*[
-        F.struct(F.lit(i).alias("pos"), F.lit(c).alias("column_name"), F.col(f"v{i}").alias("variance"))
-        for i, c in enumerate(cols)])))
+    found = column_stats(df, {c: exact_var_pop(F.col(c)) for c in cols}, size=AGG_BLOCK // 8)  # eight sums a variance
+    long = df.sparkSession.createDataFrame([(i, c, found[c]) for i, c in enumerate(cols)], "pos int, column_name string, variance double")
     return long.withColumn("kept", F.coalesce(F.col("variance") > F.lit(threshold), F.lit(False)))
 
 
@@ -132,30 +131,28 @@ def correlated_to_drop(pairs: DataFrame, cols: Sequence[str], threshold: float =
 def anova_f(df: DataFrame, cols: Sequence[str], label_col: str) -> DataFrame:
     """(pos, feature, f_score) with classes of ``label_col`` as groups.
 
-    One group-by on the label gives, per class and feature, n, mean and
-    population variance; F = (SSB / (k - 1)) / (SSW / (n - k)). No spread
+    Group-bys on the label (a block of columns each) give, per class and feature,
+    n, mean and population variance; F = (SSB / (k - 1)) / (SSW / (n - k)). No spread
     within classes: +Infinity when the class means differ, NULL when the
     column is constant (ranked last).
     """
     present = df.where(F.col(label_col).isNotNull())
-    per_class = present.groupBy(label_col).agg(*[
-        e for i, c in enumerate(cols) for e in (
-            F.count(F.col(c)).alias(f"n{i}"), F.avg(F.col(c).cast("double")).alias(f"m{i}"),
-            F.var_pop(F.col(c).cast("double")).alias(f"v{i}"),
-            F.min(F.col(c).cast("double")).alias(f"lo{i}"), F.max(F.col(c).cast("double")).alias(f"hi{i}"))])
-    long = per_class.select(label_col, F.inline(F.array(*[
-        F.struct(F.lit(i).alias("pos"), F.lit(c).alias("feature"), F.col(f"n{i}").alias("n"),
-                 F.col(f"m{i}").alias("m"), F.col(f"v{i}").alias("v"),
-                 F.col(f"lo{i}").alias("lo"), F.col(f"hi{i}").alias("hi"))
-        for i, c in enumerate(cols)]))).where(F.col("n") > 0)
-    w = Window.partitionBy("pos")
+    x = {i: F.col(c).cast("double") for i, c in enumerate(cols)}
+    long = None
+    for block in _blocks(list(x), AGG_BLOCK // 12):  # about twelve aggregates a column
+        per_class = present.groupBy(label_col).agg(*[e for i in block for e in (
+            F.count(x[i]).alias(f"n{i}"), exact_mean(x[i]).alias(f"m{i}"), exact_var_pop(x[i]).alias(f"v{i}"),
+            F.min(x[i]).alias(f"lo{i}"), F.max(x[i]).alias(f"hi{i}"))])
+        rows = per_class.select(label_col, F.inline(F.array(*[
+            F.struct(F.lit(i).alias("pos"), F.lit(cols[i]).alias("feature"), *(F.col(f"{s}{i}").alias(s) for s in ("n", "m", "v", "lo", "hi")))
+            for i in block]))).where(F.col("n") > 0)
+        long = rows if long is None else long.unionByName(rows)
     # k classes x p features rows: small, bounded by the label cardinality.
-    g = long.select("pos", "feature", "n", "m", "v", "lo", "hi",
-                    (F.sum(F.col("n") * F.col("m")).over(w) / F.sum("n").over(w)).alias("gm"))
-    s = g.groupBy("pos", "feature").agg(
-        F.sum(F.col("n") * (F.col("m") - F.col("gm")) * (F.col("m") - F.col("gm"))).alias("ssb"),
-        F.sum(F.col("n") * F.col("v")).alias("ssw"),
-        F.sum("n").alias("n"), F.count(F.lit(1)).alias("k"),
+    n, m, gm = F.col("n").cast("double"), F.col("m"), F.col("gm")
+    means = long.groupBy("pos").agg((exact_sum(n * m) / F.sum("n").cast("double")).alias("gm"))
+    s = long.join(means, "pos").groupBy("pos", "feature").agg(
+        exact_sum(n * (m - gm) * (m - gm)).alias("ssb"), exact_sum(n * F.col("v")).alias("ssw"),
+        F.sum("n").cast("double").alias("n"), F.count(F.lit(1)).alias("k"),
         (F.min("lo") == F.max("hi")).alias("constant"))
     f = F.try_divide(F.col("ssb") / (F.col("k") - 1), F.col("ssw") / (F.col("n") - F.col("k")))
     # A constant column: no score, whatever float noise the class means carry.
@@ -176,34 +173,58 @@ def top_k_by_score(scores: DataFrame, k: int, score_col: str = "f_score") -> Dat
 # --- A19 -------------------------------------------------------------------------
 
 
-def mutual_info_binned(df: DataFrame, cols: Sequence[str], label_col: str, bins: int = 10) -> DataFrame:
-    """(pos, feature, mi): mutual information (nats) between equal-width bins
-    of each feature over [min, max] and the label. A re-aim of the
-    nearest-neighbour estimator, which has no distributed form; values differ
-    from it by design."""
-    mm = column_stats(df, {**{f"lo{i}": F.min(F.col(c).cast("double")) for i, c in enumerate(cols)},
-                           **{f"hi{i}": F.max(F.col(c).cast("double")) for i, c in enumerate(cols)}})
-    binned = []
-    for i, c in enumerate(cols):
-        lo, hi = mm[f"lo{i}"], mm[f"hi{i}"]
-        x = F.col(c).cast("double")
-        if lo is None or hi is None or hi == lo:
-            b = F.when(x.isNotNull(), F.lit(0))
-        else:
-            b = F.least(F.floor((x - F.lit(lo)) / F.lit(hi - lo) * F.lit(float(bins))), F.lit(bins - 1))
-        binned.append(F.struct(F.lit(i).alias("pos"), F.lit(c).alias("feature"), b.cast("int").alias("bin")))
-    cells = (df.where(F.col(label_col).isNotNull())
-               .select(F.col(label_col).alias("y"), F.inline(F.array(*binned)))
-               .where(F.col("bin").isNotNull())
-               .groupBy("pos", "feature", "bin", "y").agg(F.count(F.lit(1)).alias("nxy")))
-    wx = Window.partitionBy("pos", "bin")
-    wy = Window.partitionBy("pos", "y")
-    wt = Window.partitionBy("pos")
+LOG_UNIT = float(2 ** 40)   # terms with a logarithm are cut to multiples of 1 / this: engines' logarithms differ in the last bit
+
+
+def _below(cells: DataFrame, edges: DataFrame) -> DataFrame:
+    """Rows with a smaller value of the same feature, for each distinct value.
+
+    ``cells``: pos, v, n, .... ``edges``: pos, edges (sorted). Values between two
+    edges are counted in one window; what lies before is a sum over the at most
+    ``len(edges) + 1`` stretches of the feature.
+    """
+    cut = cells.join(F.broadcast(edges), "pos").withColumn(
+        "stretch", F.size(F.filter("edges", lambda e: e <= F.col("v")))).drop("edges")
+    stretches = cut.groupBy("pos", "stretch").agg(F.sum("n").alias("inside"))
+    before = Window.partitionBy("pos").orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
+    stretches = stretches.select("pos", "stretch", F.coalesce(F.sum("inside").over(before), F.lit(0)).alias("ahead"),
+                                 F.sum("inside").over(Window.partitionBy("pos")).alias("total"))
+    within = Window.partitionBy("pos", "stretch").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
+    return (cut.withColumn("within", F.coalesce(F.sum("n").over(within), F.lit(0))).join(stretches, ["pos", "stretch"])
+            .withColumn("below", F.col("ahead") + F.col("within")).drop("stretch", "within", "ahead"))
+
+
+def mutual_info_binned(df: DataFrame, cols: Sequence[str], label_col: str, bins: int = 10, stretches: int = 64) -> DataFrame:
+    """(pos, feature, mi): mutual information (nats) between quantile bins of
+    each feature and the label. A re-aim of the nearest-neighbour estimator,
+    which has no distributed form; values differ from it by design.
+
+    The bin of a value is ``bins`` times the share of rows (with a label) whose
+    value is smaller, rounded down: bins hold about equally many rows, equal
+    values share a bin, and monotone transforms change nothing. The shares are
+    exact: one pass of mergeable quantile sketches over all columns only deals
+    the distinct values into ``stretches`` of about equal weight, in which they
+    are counted. NaN and NULL are left out.
+    """
+    x = {i: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for i, c in enumerate(cols)}
+    known = df.where(F.col(label_col).isNotNull())
+    shares = [k / stretches for k in range(1, stretches)]
+    sketches = column_stats(known, {str(i): F.percentile_approx(x[i], shares, 10_000) for i in x}, size=32)
+    spark = df.sparkSession
+    edges = spark.createDataFrame([(i, sorted(set(sketches[str(i)] or []))) for i in x], "pos int, edges array<double>")
+    cells = (known.select(F.col(label_col).alias("y"), F.inline(F.array(*[
+        F.struct(F.lit(i).alias("pos"), F.lit(c).alias("feature"), x[i].alias("v")) for i, c in enumerate(cols)])))
+        .where(F.col("v").isNotNull()).groupBy("pos", "feature", "v", "y").agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("pos", "feature", "v").agg(F.sum("n").alias("n"), F.collect_list(F.struct("y", F.col("n").alias("nxy"))).alias("classes")))
+    placed = _below(cells, edges).withColumn("bin", F.floor(F.col("below") * bins / F.col("total")))
+    binned = (placed.select("pos", "feature", "bin", F.inline("classes")).groupBy("pos", "feature", "bin", "y")
+              .agg(F.sum("nxy").alias("nxy")))
     # features x bins x classes rows: bounded by construction.
-    t = cells.select("pos", "feature", "nxy", F.sum("nxy").over(wx).alias("nx"),
-                     F.sum("nxy").over(wy).alias("ny"), F.sum("nxy").over(wt).alias("n"))
-    term = (F.col("nxy") / F.col("n")) * F.log((F.col("nxy") * F.col("n")) / (F.col("nx") * F.col("ny")))
-    return t.groupBy("pos", "feature").agg(F.sum(term).alias("mi"))
+    t = binned.select("pos", "feature", "nxy", F.sum("nxy").over(Window.partitionBy("pos", "bin")).alias("nx"),
+                      F.sum("nxy").over(Window.partitionBy("pos", "y")).alias("ny"), F.sum("nxy").over(Window.partitionBy("pos")).alias("n"))
+    nxy, nx, ny, n = (F.col(c).cast("double") for c in ("nxy", "nx", "ny", "n"))
+    term = (nxy / n) * F.log((nxy * n) / (nx * ny))
+    return t.groupBy("pos", "feature").agg(exact_sum(F.floor(term * F.lit(LOG_UNIT) + F.lit(0.5)).cast("double") / F.lit(LOG_UNIT)).alias("mi"))
 
 
 # --- A22 -------------------------------------------------------------------------

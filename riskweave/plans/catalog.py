@@ -1,9 +1,9 @@
 """Registered queries on the driver's test tables, each with its DuckDB oracle.
 
 Every query reads whole tables (or views Spark derives from them); nothing is
-sampled, capped or filtered by id to make the check cheap. Double outputs
-are rounded to 6 digits on both sides so engine summation order does not
-matter.
+sampled, capped or filtered by id to make the check cheap. Sums, means and
+variances do not depend on the order of rows (``operators.exact``), so doubles
+are compared as they are; only ``correlation_pairs`` is quantised on both sides.
 """
 
 from __future__ import annotations

@@ -67,18 +67,48 @@ def out_type(agg: str, src: str) -> str:
     return src
 
 
-def agg_sql(agg: str, col: str, zero_sum: bool = True) -> str:
+def xsum(x: str, wide: bool = False) -> str:
+    """Twin of ``exact.exact_sum``."""
+    x, high, low = f"CAST({x} AS DOUBLE)", "CAST(67108864 AS DOUBLE)", "CAST(134217728 AS DOUBLE)"
+    if wide:
+        top = f"floor({x} / {high})"
+        return f"(sum({top}) * {high} + {xsum(f'({x} - {top} * {high})')})"
+    scaled = f"(({x} - floor({x})) * {high})"
+    return (f"(sum(floor({x})) + (sum(floor({scaled})) + sum(floor(({scaled} - floor({scaled})) * {low})) / {low}) / {high})")
+
+
+def xmean(x: str) -> str:
+    return f"({xsum(x)} / nullif(CAST(count({x}) AS DOUBLE), 0))"
+
+
+def xvar(x: str, less: int = 0) -> str:
+    """Twin of ``exact.exact_var_pop`` (less 0) and ``exact_var_samp`` (less 1)."""
+    n = f"CAST(count({x}) AS DOUBLE)"
+    spread = f"greatest(CAST(0 AS DOUBLE), {xsum(f'CAST({x} AS DOUBLE) * CAST({x} AS DOUBLE)', True)} - {xsum(x)} * {xsum(x)} / nullif({n}, 0))"
+    return f"(CASE WHEN min({x}) = max({x}) THEN CAST(0 AS DOUBLE) ELSE {spread} END / nullif({n} - CAST({less} AS DOUBLE), 0))"
+
+
+def agg_sql(agg: str, col: str, zero_sum: bool = True, typ: str = "int") -> str:
     c = f'"{col}"'
+    if typ == "double" and agg in ("mean", "sum"):
+        total = xsum(c) if agg == "sum" else xmean(c)
+        return f"coalesce({total}, CAST(0 AS DOUBLE))" if agg == "sum" and zero_sum else total
     return {
         "min": f"min({c})", "max": f"max({c})", "mean": f"avg({c})",
         "sum": f"coalesce(sum({c}), 0)" if zero_sum else f"sum({c})",
-        "var": f"var_samp({c})", "var_pop": f"var_pop({c})", "std_pop": f"stddev_pop({c})",
+        "var": xvar(c, 1), "var_pop": xvar(c), "std_pop": f"sqrt({xvar(c)})",
         "median": f"median({c})", "size": "count(*)", "count": f"count({c})",
         "nunique": f"count(DISTINCT {c})",
     }[agg]
 
 
 def rnd(expr: str, digits: int | None = None) -> str:
+    if digits is not None:
+        return f"CAST(round(CAST(CAST({expr} AS DOUBLE) AS DECIMAL(38,10)), {digits}) AS DOUBLE)"
+    return f"CAST({expr} AS DOUBLE)"
+
+
+def grid(expr: str, digits: int | None = None) -> str:
     """Twin of ``aggregate.round_fixed`` (same grid, same cut, same bands)."""
     x = f"CAST({expr} AS DOUBLE)"
     cut = f"CAST({GRID_CUT} AS DOUBLE)"
@@ -108,7 +138,7 @@ def spec_select(spec: Mapping[str, Sequence[str]], types: Mapping[str, str], pre
         for a in aggs:
             name = f"{prefix}{col}_{a.upper()}"
             t = out_type(a, types[col])
-            e = agg_sql(a, col, zero_sum)
+            e = agg_sql(a, col, zero_sum, types[col])
             items.append(f'{typed(e, t) if round_out else e} AS "{name}"')
             out[name] = t
     return items, out

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskweave.operators import aggregate as agg
-from riskweave.operators.aggregate import round_doubles
 from riskweave.plans import features as feat
 from riskweave.plans import oracle as O
 from riskweave.plans import testdata_views as V
@@ -27,7 +26,7 @@ TWO_LEVEL_SQL = O.two_level_sql(
 def two_level_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
     """56 client columns ``INS_INS_{COL}_{AGG}_{MEAN|MAX}``."""
     out = feat.instalments_client_agg(V.instalments(spark, sf_dir), V.loan_links(spark, sf_dir))
-    return round_doubles(out)
+    return out
 
 
 # --- A1, A3-A6, P9 -------------------------------------------------------------
@@ -47,21 +46,21 @@ _MULTI_TYPES = {"l_quantity": "double", "l_extendedprice": "double", "l_partkey"
           f"FROM lineitem WHERE l_suppkey IS NOT NULL GROUP BY l_suppkey")
 def grouped_multi_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = V.read_table(spark, sf_dir, "lineitem")
-    return round_doubles(agg.grouped_agg(li, "l_suppkey", MULTI_SPEC, prefix="LI_"))
+    return agg.grouped_agg(li, "l_suppkey", MULTI_SPEC, prefix="LI_")
 
 
 # --- A2, F1, F14, J4, A9: bureau loans per client --------------------------------
 
 @register("rule_driven_agg", O.bureau_agg_sql(None))
 def rule_driven_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return round_doubles(feat.bureau_client_agg(V.bureau(spark, sf_dir), None))
+    return feat.bureau_client_agg(V.bureau(spark, sf_dir), None)
 
 
 @register("balance_rollup", O.bureau_agg_sql(O.RETURN_FLAGS))
 def balance_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Monthly balance stats joined to their loan, then rolled up per client."""
     bb = feat.bureau_balance_agg(V.bureau_balance_from_lineitem(spark, sf_dir))
-    return round_doubles(feat.bureau_client_agg(V.bureau(spark, sf_dir), bb))
+    return feat.bureau_client_agg(V.bureau(spark, sf_dir), bb)
 
 
 # --- A7, A8, F13 -----------------------------------------------------------------
@@ -72,7 +71,7 @@ def balance_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
           f"{', '.join(O.shares_sql('STATUS', O.EVENT_TYPES, 'STATUS_'))} "
           f"FROM bb WHERE SK_ID_BUREAU IS NOT NULL GROUP BY SK_ID_BUREAU")
 def category_share(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return round_doubles(feat.bureau_balance_agg(V.bureau_balance_from_events(spark, sf_dir)))
+    return feat.bureau_balance_agg(V.bureau_balance_from_events(spark, sf_dir))
 
 
 # --- A9, K1, T7 ------------------------------------------------------------------
@@ -99,7 +98,7 @@ def latest_value(spark: SparkSession, sf_dir: str) -> DataFrame:
          .otherwise(F.col("o_orderstatus")).alias("STATUS"))
     exprs = agg.latest_non_null(o, "o_custkey", "DAYS_ORDER", "o_orderkey",
                                 ["DAYS_ORDER", "PRICE", "STATUS"], prefix="RECENT_")
-    return round_doubles(agg.grouped_agg(o, "o_custkey", {}, extra=exprs))
+    return agg.grouped_agg(o, "o_custkey", {}, extra=exprs)
 
 
 # --- A10, J5, A4 ----------------------------------------------------------------
@@ -107,7 +106,7 @@ def latest_value(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("conditional_rate", O.prev_agg_sql(1))
 def conditional_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Previous applications per client; approval rate = share of status code 1."""
-    return round_doubles(feat.previous_client_agg(V.previous_applications(spark, sf_dir), 1))
+    return feat.previous_client_agg(V.previous_applications(spark, sf_dir), 1)
 
 
 # --- J2 ---------------------------------------------------------------------------
@@ -123,4 +122,4 @@ def link_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(client, loan) pairs with their loan-level stats; loans without rows keep NULLs."""
     ins = feat.instalment_row_features(V.instalments(spark, sf_dir))
     lvl1 = agg.grouped_agg(ins, "SK_ID_PREV", INS_SPEC, prefix="INS_")
-    return round_doubles(V.loan_links(spark, sf_dir).join(lvl1, "SK_ID_PREV", "left"))
+    return V.loan_links(spark, sf_dir).join(lvl1, "SK_ID_PREV", "left")

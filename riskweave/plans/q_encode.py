@@ -11,7 +11,6 @@ from riskweave.functions.scalar import (abs_widened, days_to_years, null_if_sent
                                         sentinel_flag)
 from riskweave.operators import contract as C
 from riskweave.operators import encode as E
-from riskweave.operators.aggregate import round_doubles
 from riskweave.plans import features as feat
 from riskweave.plans import oracle as O
 from riskweave.plans import testdata_views as V
@@ -51,7 +50,7 @@ _ONEHOT_SQL = ("SELECT c_custkey, " + O.rnd("c_acctbal") + " AS c_acctbal, "
 @register("one_hot", _ONEHOT_SQL)
 def one_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = V.read_table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", "c_mktsegment")
-    return round_doubles(E.one_hot(c, ["c_mktsegment"]))
+    return E.one_hot(c, ["c_mktsegment"])
 
 
 # --- A12, F6, M1 ------------------------------------------------------------------
@@ -95,10 +94,10 @@ def missing_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     long = wide.select(F.inline(F.array(*[
         F.struct(F.lit(i).alias("pos"), F.lit(c).alias("column_name"), F.col(c).alias("missing_share"))
         for i, c in enumerate(cols)])))
-    return round_doubles(long.select(
+    return long.select(
         "pos", "column_name", "missing_share",
         (F.col("missing_share") > F.lit(0.75)).alias("dropped_75"),
-        (F.col("missing_share") > F.lit(0.9)).alias("dropped_90")))
+        (F.col("missing_share") > F.lit(0.9)).alias("dropped_90"))
 
 
 # P_RARE has ~93 % missing: above both thresholds in the test tables.
@@ -106,7 +105,7 @@ def missing_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
           f"{O.rnd('P_LOW')} AS P_LOW, {O.rnd('P_OPEN')} AS P_OPEN, DAYS_ORDER FROM o")
 def drop_high_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     df, _dropped = E.drop_high_missing(_nulled_orders(spark, sf_dir), 0.75)
-    return round_doubles(df)
+    return df
 
 
 # --- A13, F5, F2 -----------------------------------------------------------------
@@ -117,7 +116,7 @@ SELECT o_orderkey, {O.rnd('coalesce(P_LOW, m_low)')} AS P_LOW, {O.rnd('coalesce(
        {O.rnd('coalesce(P_RARE, m_rare)')} AS P_RARE FROM o, m""")
 def median_impute(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = _nulled_orders(spark, sf_dir).select("o_orderkey", "P_LOW", "P_OPEN", "P_RARE")
-    return round_doubles(E.median_impute(o, ["P_LOW", "P_OPEN", "P_RARE"]))
+    return E.median_impute(o, ["P_LOW", "P_OPEN", "P_RARE"])
 
 
 @register("ratio_impute", f"""WITH {_NULLED_CTE},
@@ -129,8 +128,7 @@ def ratio_impute(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = _nulled_orders(spark, sf_dir).select(
         "o_orderkey", "PRICE",
         F.when(F.col("P_LOW").isNull(), F.lit(0)).otherwise(F.col("DAYS_ORDER")).alias("DEN"))
-    return round_doubles(E.ratio_impute(o, {"PRICE_DAY_RATIO": ("PRICE", "DEN")})
-                         .select("o_orderkey", "PRICE_DAY_RATIO"))
+    return E.ratio_impute(o, {"PRICE_DAY_RATIO": ("PRICE", "DEN")}).select("o_orderkey", "PRICE_DAY_RATIO")
 
 
 # --- F7-F9 -------------------------------------------------------------------------
@@ -149,11 +147,11 @@ def sentinel_flag_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = p.select("p_partkey",
                  abs_widened(F.when(size > 45, F.lit(365243)).otherwise(-(size * 97)), False).alias("DE"),
                  abs_widened(-(F.lit(7000) + size * 300), False).alias("DAYS_BIRTH"))
-    return round_doubles(d.select(
+    return d.select(
         "p_partkey", "DAYS_BIRTH", days_to_years("DAYS_BIRTH").alias("AGE_YEARS"),
         days_to_years("DE").alias("EMPLOYMENT_YEARS"),
         sentinel_flag("DE").alias("DAYS_EMPLOYED_ANOM"),
-        null_if_sentinel("DE").alias("DAYS_EMPLOYED")))
+        null_if_sentinel("DE").alias("DAYS_EMPLOYED"))
 
 
 # --- U1, P5, F2, F5, F6, F7-F9: whole application stage ----------------------------
@@ -192,7 +190,7 @@ def application_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Union of train and test, > 75 % missing columns dropped (OWN_CAR_AGE here),
     medians filled, days made positive, years, sentinel, ratios with median fill."""
     train, test = V.applications(spark, sf_dir)
-    return round_doubles(feat.application_features(train, test))
+    return feat.application_features(train, test)
 
 
 # --- U1, P5 --------------------------------------------------------------------------
@@ -214,7 +212,7 @@ def union_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     tr, te = feat.split_train_test(both)
     out = (tr.withColumn("split", F.lit("train"))
              .unionByName(te.withColumn("split", F.lit("test")), allowMissingColumns=True))
-    return round_doubles(out)
+    return out
 
 
 # --- J3, F3: star of left joins ------------------------------------------------------
@@ -247,7 +245,7 @@ def star_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = [feat.bureau_client_agg(V.bureau(spark, sf_dir), None),
              feat.previous_client_agg(V.previous_applications(spark, sf_dir), 1),
              feat.instalments_client_agg(V.instalments(spark, sf_dir), V.loan_links(spark, sf_dir))]
-    return round_doubles(feat.merge_features(V.clients(spark, sf_dir), parts))
+    return feat.merge_features(V.clients(spark, sf_dir), parts)
 
 
 # --- A14, F16 --------------------------------------------------------------------------
@@ -276,21 +274,21 @@ def type_narrow(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = E.narrow_plan(li, [c for c, _ in _NARROW_COLS])
     rows = [(n, types[n], float(lo), float(hi), t) for n, lo, hi, t in plan]
     # The plan holds one row per column (p values, not data rows).
-    return round_doubles(spark.createDataFrame(
-        rows, "column_name string, source_type string, min_value double, max_value double, narrow_type string"))
+    return spark.createDataFrame(
+        rows, "column_name string, source_type string, min_value double, max_value double, narrow_type string")
 
 
 # --- F17 ---------------------------------------------------------------------------------
 
 @register("standardise", f"""WITH c AS (SELECT c_custkey, c_acctbal, CAST(c_nationkey >= 0 AS INTEGER) * 1.0 AS k FROM customer),
-s AS (SELECT avg(c_acctbal) AS m1, stddev_pop(c_acctbal) AS s1, avg(k) AS m2, stddev_pop(k) AS s2 FROM c)
+s AS (SELECT {O.xmean('c_acctbal')} AS m1, sqrt({O.xvar('c_acctbal')}) AS s1, {O.xmean('k')} AS m2, sqrt({O.xvar('k')}) AS s2 FROM c)
 SELECT c_custkey, {O.rnd('(c_acctbal - m1) / CASE WHEN s1 = 0 OR s1 IS NULL THEN 1.0 ELSE s1 END')} AS c_acctbal,
        {O.rnd('(k - m2) / CASE WHEN s2 = 0 OR s2 IS NULL THEN 1.0 ELSE s2 END')} AS k FROM c, s""")
 def standardise(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(x - mean) / population sd; a constant column (k) has sd 0 -> divides by 1."""
     c = V.read_table(spark, sf_dir, "customer").select(
         "c_custkey", "c_acctbal", ((F.col("c_nationkey") >= 0).cast("int") * F.lit(1.0)).alias("k"))
-    return round_doubles(E.standardise(c, ["c_acctbal", "k"]))
+    return E.standardise(c, ["c_acctbal", "k"])
 
 
 # --- P6-P8, F21 ---------------------------------------------------------------------------
@@ -346,7 +344,7 @@ def contract_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows checked against an ordered contract; missing values listed per row
     (accepted rows have NULL), extra columns dropped, contract order kept."""
     df = C.enforce_columns(_nulled_orders(spark, sf_dir), _CONTRACT, keep=["o_orderkey"])
-    return round_doubles(df.withColumn("missing_features", C.missing_features(_CONTRACT)))
+    return df.withColumn("missing_features", C.missing_features(_CONTRACT))
 
 
 # --- S1-S5, P1, P2, P10, P11, A24 ----------------------------------------------------------
@@ -368,8 +366,8 @@ def io_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     back_pq = io.read_stage(spark, pq_path)
     assert io.profile(back_pq)[1] == len(cust.columns)
     cols = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
-    return round_doubles(back_csv.select(*cols).withColumn("via", F.lit("csv"))
-                         .unionByName(back_pq.select(*cols).withColumn("via", F.lit("parquet"))))
+    return (back_csv.select(*cols).withColumn("via", F.lit("csv"))
+            .unionByName(back_pq.select(*cols).withColumn("via", F.lit("parquet"))))
 
 
 # --- §3.1 end to end ---------------------------------------------------------------------
@@ -386,4 +384,4 @@ def feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Stage shapes, counted while the stages were written, go to the run table
     runs.log_run(spark, runs.run_table_path(spark), "feature_pipeline", "shapes", {},
                  {f"{k}_{d}": v for k, (r, c) in shapes.items() for d, v in (("rows", r), ("columns", c))})
-    return round_doubles(out)
+    return out

@@ -42,11 +42,11 @@ _LI_CTE = """li AS (
 # --- A16, M2 ---------------------------------------------------------------------
 
 @register("variance_filter", f"WITH {_LI_CTE}\n" + "\nUNION ALL ".join(
-    f"SELECT CAST({i} AS INTEGER) AS pos, '{c}' AS column_name, {O.rnd(f'var_pop(CAST({c} AS DOUBLE))')} AS variance, "
-    f"coalesce(var_pop(CAST({c} AS DOUBLE)) > CAST(0.01 AS DOUBLE), false) AS kept FROM li"
+    f"SELECT CAST({i} AS INTEGER) AS pos, '{c}' AS column_name, {O.xvar(c)} AS variance, "
+    f"coalesce({O.xvar(c)} > CAST(0.01 AS DOUBLE), false) AS kept FROM li"
     for i, c in enumerate(FEATURES)))
 def variance_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return round_doubles(PR.variance_table(lineitem_features(spark, sf_dir), FEATURES, 0.01))
+    return PR.variance_table(lineitem_features(spark, sf_dir), FEATURES, 0.01)
 
 
 # --- A17, M3 ---------------------------------------------------------------------
@@ -66,7 +66,7 @@ _PAIRS_SQL = f"WITH {_LI_CTE},\npairs AS (" + "\nUNION ALL ".join(
     for i, j in _PAIRS) + ")"
 
 
-@register("correlation_pairs", _PAIRS_SQL + f"\nSELECT i, j, col_i, col_j, {O.rnd('r')} AS r, {O.rnd('abs(r)')} AS abs_r FROM pairs")
+@register("correlation_pairs", _PAIRS_SQL + f"\nSELECT i, j, col_i, col_j, {O.grid('r')} AS r, {O.grid('abs(r)')} AS abs_r FROM pairs")
 def correlation_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pearson r of every column pair over pairwise-complete rows."""
     return round_doubles(PR.correlation_pairs(lineitem_features(spark, sf_dir), FEATURES))
@@ -86,13 +86,13 @@ def correlation_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- A18, K4, M4 -------------------------------------------------------------------
 
 _ANOVA_SQL = f"""WITH {_LI_CTE},
-pc AS (SELECT TARGET, {', '.join(f'count({c}) AS n{i}, avg(CAST({c} AS DOUBLE)) AS m{i}, var_pop(CAST({c} AS DOUBLE)) AS v{i}, min(CAST({c} AS DOUBLE)) AS lo{i}, max(CAST({c} AS DOUBLE)) AS hi{i}' for i, c in enumerate(FEATURES))}
+pc AS (SELECT TARGET, {', '.join(f'count({c}) AS n{i}, {O.xmean(c)} AS m{i}, {O.xvar(c)} AS v{i}, min(CAST({c} AS DOUBLE)) AS lo{i}, max(CAST({c} AS DOUBLE)) AS hi{i}' for i, c in enumerate(FEATURES))}
        FROM li WHERE TARGET IS NOT NULL GROUP BY TARGET),
 lg AS ({' UNION ALL '.join(f"SELECT CAST({i} AS INTEGER) AS pos, '{c}' AS feature, n{i} AS n, m{i} AS m, v{i} AS v, lo{i} AS lo, hi{i} AS hi FROM pc" for i, c in enumerate(FEATURES))}),
-g AS (SELECT *, sum(n * m) OVER (PARTITION BY pos) / sum(n) OVER (PARTITION BY pos) AS gm FROM lg WHERE n > 0),
-s AS (SELECT pos, feature, sum(n * (m - gm) * (m - gm)) AS ssb, sum(n * v) AS ssw, sum(n) AS n, count(*) AS k,
-             min(lo) = max(hi) AS constant
-      FROM g GROUP BY pos, feature),
+gm AS (SELECT pos, {O.xsum('n * m')} / CAST(sum(n) AS DOUBLE) AS gm FROM lg WHERE n > 0 GROUP BY pos),
+s AS (SELECT pos, feature, {O.xsum('n * (m - gm) * (m - gm)')} AS ssb, {O.xsum('n * v')} AS ssw, CAST(sum(n) AS DOUBLE) AS n,
+             count(*) AS k, min(lo) = max(hi) AS constant
+      FROM lg JOIN gm USING (pos) WHERE n > 0 GROUP BY pos, feature),
 f AS (SELECT pos, feature, CASE WHEN constant THEN CAST(NULL AS DOUBLE)
                              WHEN ssw = 0 AND ssb > 0 THEN CAST('Infinity' AS DOUBLE)
                              WHEN ssw = 0 THEN CAST(NULL AS DOUBLE)
@@ -101,7 +101,7 @@ f AS (SELECT pos, feature, CASE WHEN constant THEN CAST(NULL AS DOUBLE)
 
 @register("anova_f", _ANOVA_SQL + f"\nSELECT pos, feature, {O.rnd('f_score')} AS f_score FROM f")
 def anova_f(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return round_doubles(PR.anova_f(lineitem_features(spark, sf_dir), FEATURES, TARGET))
+    return PR.anova_f(lineitem_features(spark, sf_dir), FEATURES, TARGET)
 
 
 @register("univariate_topk", _ANOVA_SQL + f"\nSELECT pos, feature, {O.rnd('f_score')} AS f_score FROM f "
@@ -109,27 +109,29 @@ def anova_f(spark: SparkSession, sf_dir: str) -> DataFrame:
 def univariate_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Top 3 by F (the limit is the operator), reported in column order."""
     scores = PR.anova_f(lineitem_features(spark, sf_dir), FEATURES, TARGET)
-    return round_doubles(PR.top_k_by_score(scores, 3))
+    return PR.top_k_by_score(scores, 3)
 
 
 # --- A19 ----------------------------------------------------------------------------
 
+_MI_TERM = ("floor((CAST(nxy AS DOUBLE) / CAST(n AS DOUBLE)) * ln((CAST(nxy AS DOUBLE) * CAST(n AS DOUBLE)) / (CAST(nx AS DOUBLE) * CAST(ny AS DOUBLE)))"
+            f" * CAST({int(PR.LOG_UNIT)} AS DOUBLE) + CAST(0.5 AS DOUBLE)) / CAST({int(PR.LOG_UNIT)} AS DOUBLE)")
 _MI_SQL = f"""WITH {_LI_CTE},
-mm AS (SELECT {', '.join(f'min(CAST({c} AS DOUBLE)) AS lo{i}, max(CAST({c} AS DOUBLE)) AS hi{i}' for i, c in enumerate(FEATURES))} FROM li),
 b AS ({' UNION ALL '.join(
-    f"SELECT CAST({i} AS INTEGER) AS pos, '{c}' AS feature, TARGET AS y, "
-    f"CAST(CASE WHEN {c} IS NULL THEN NULL WHEN hi{i} = lo{i} THEN 0 ELSE least(floor((CAST({c} AS DOUBLE) - lo{i}) / (hi{i} - lo{i}) * CAST(10.0 AS DOUBLE)), 9) END AS INTEGER) AS bin FROM li, mm"
-    for i, c in enumerate(FEATURES))}),
-cells AS (SELECT pos, feature, bin, y, count(*) AS nxy FROM b WHERE bin IS NOT NULL AND y IS NOT NULL GROUP BY ALL),
+    f"SELECT CAST({i} AS INTEGER) AS pos, '{c}' AS feature, CAST({c} AS DOUBLE) AS v, TARGET AS y FROM li" for i, c in enumerate(FEATURES))}),
+vals AS (SELECT pos, v, count(*) AS n FROM b WHERE v IS NOT NULL AND y IS NOT NULL GROUP BY ALL),
+below AS (SELECT pos, v, coalesce(sum(n) OVER (PARTITION BY pos ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below,
+                 sum(n) OVER (PARTITION BY pos) AS total FROM vals),
+cells AS (SELECT pos, feature, (10 * below) // total AS bin, y, count(*) AS nxy FROM b JOIN below USING (pos, v)
+          WHERE y IS NOT NULL GROUP BY ALL),
 t AS (SELECT *, sum(nxy) OVER (PARTITION BY pos, bin) AS nx, sum(nxy) OVER (PARTITION BY pos, y) AS ny,
              sum(nxy) OVER (PARTITION BY pos) AS n FROM cells)
-SELECT pos, feature, {O.rnd('sum((CAST(nxy AS DOUBLE) / n) * ln((CAST(nxy AS DOUBLE) * n) / (CAST(nx AS DOUBLE) * ny)))')} AS mi
-FROM t GROUP BY pos, feature"""
+SELECT pos, feature, {O.xsum(_MI_TERM)} AS mi FROM t GROUP BY pos, feature"""
 
 
 @register("mutual_info_binned", _MI_SQL)
 def mutual_info_binned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return round_doubles(PR.mutual_info_binned(lineitem_features(spark, sf_dir), FEATURES, TARGET, 10))
+    return PR.mutual_info_binned(lineitem_features(spark, sf_dir), FEATURES, TARGET, 10)
 
 
 # --- A23 ------------------------------------------------------------------------------
@@ -138,7 +140,7 @@ def mutual_info_binned(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT quality, n, {O.rnd('CAST(sum(n) OVER () AS DOUBLE) / (count(*) OVER () * n)')} AS weight_balanced,
        CASE WHEN quality = 1 THEN CAST(10.0 AS DOUBLE) ELSE CAST(1.0 AS DOUBLE) END AS weight_pos FROM c""")
 def class_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return round_doubles(EV.class_weights(V.read_table(spark, sf_dir, "labels"), "quality", 10.0))
+    return EV.class_weights(V.read_table(spark, sf_dir, "labels"), "quality", 10.0)
 
 
 # --- M5 --------------------------------------------------------------------------------
@@ -159,7 +161,7 @@ SELECT {O.rnd('sum(pos * (nb + neg * 0.5)) / (CAST(sum(pos) AS DOUBLE) * CAST(su
        CAST(sum(pos) AS BIGINT) AS n_pos, CAST(sum(neg) AS BIGINT) AS n_neg FROM q""")
 def roc_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact AUC of the discount as a score for the 'R' flag (heavy ties)."""
-    return round_doubles(EV.roc_auc(lineitem_features(spark, sf_dir), "SCORE", TARGET))
+    return EV.roc_auc(lineitem_features(spark, sf_dir), "SCORE", TARGET)
 
 
 # --- A20, F19 ---------------------------------------------------------------------------
@@ -188,7 +190,7 @@ _FOLDS_SQL = """of AS (SELECT o_orderkey,
 
 _SWEEP_SQL = f"""WITH {_FOLDS_SQL}, {_LI_CTE.replace('FROM lineitem)', ', of.fold FROM lineitem JOIN of ON l_orderkey = of.o_orderkey)')},
 c AS ({_cost_sql('fold')}),
-s AS (SELECT threshold, avg(10 * fn + fp) AS mean_cost, stddev_pop(10 * fn + fp) AS std_cost,
+s AS (SELECT threshold, avg(10 * fn + fp) AS mean_cost, sqrt({O.xvar('(10 * fn + fp)')}) AS std_cost,
              CAST(count(*) AS BIGINT) AS n_folds FROM c GROUP BY threshold)"""
 
 
@@ -209,7 +211,7 @@ FROM s""")
 def threshold_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-fold cost at every threshold, mean and sd over 5 folds, best marked."""
     df = _lines_with_folds(spark, sf_dir)
-    return round_doubles(EV.threshold_sweep(df, "SCORE", TARGET, "fold"))
+    return EV.threshold_sweep(df, "SCORE", TARGET, "fold")
 
 
 # --- S7, S8, K6 ---------------------------------------------------------------------------
@@ -230,4 +232,4 @@ def best_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     runs.append_runs(long, path)
     wide = runs.read_runs(spark, path, experiment="threshold_sweep")
     best = runs.best_run(wide, "mean_cost", ascending=True, prefer={"threshold": EV.START_THRESHOLD})
-    return round_doubles(best.select("run_name", F.col("threshold").cast("double").alias("threshold"), "mean_cost"))
+    return best.select("run_name", F.col("threshold").cast("double").alias("threshold"), "mean_cost")

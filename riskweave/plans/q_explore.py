@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from riskweave.operators import explore as X
 from riskweave.operators import profile as PR
-from riskweave.operators.aggregate import round_doubles
+from riskweave.operators.exact import exact_sum
 from riskweave.plans import oracle as O
 from riskweave.plans import testdata_views as V
 from riskweave.plans.catalog import register
@@ -23,7 +23,7 @@ def scored_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
     value derived from the tables (the model scores come from M21)."""
     o = V.read_table(spark, sf_dir, "orders")
     per_client = o.groupBy(F.col("o_custkey").alias("SK_ID_CURR")).agg(
-        F.count(F.lit(1)).alias("N_ORDERS"), F.sum("o_totalprice").alias("TOTAL_PRICE"),
+        F.count(F.lit(1)).alias("N_ORDERS"), exact_sum(F.col("o_totalprice")).alias("TOTAL_PRICE"),
         F.min(V.days_before("o_orderdate")).alias("DAYS_FIRST_ORDER"),
         F.avg((F.col("o_orderstatus") == "F").cast("double")).alias("TARGET_proba"))
     c = V.read_table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("SK_ID_CURR"), "c_acctbal")
@@ -33,7 +33,7 @@ def scored_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
 _SCORED_CTE = f"""sc AS (
   SELECT c.c_custkey AS SK_ID_CURR, c.c_acctbal, o.N_ORDERS, o.TOTAL_PRICE, o.DAYS_FIRST_ORDER, o.TARGET_proba
   FROM customer c JOIN (
-    SELECT o_custkey, count(*) AS N_ORDERS, sum(o_totalprice) AS TOTAL_PRICE,
+    SELECT o_custkey, count(*) AS N_ORDERS, {O.xsum('o_totalprice')} AS TOTAL_PRICE,
            CAST(min({O.days_before('o_orderdate')}) AS INTEGER) AS DAYS_FIRST_ORDER,
            avg(CASE WHEN o_orderstatus = 'F' THEN CAST(1.0 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END) AS TARGET_proba
     FROM orders GROUP BY o_custkey) o ON c.c_custkey = o.o_custkey)"""
@@ -49,7 +49,7 @@ def risk_band(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = X.band_filter(scored_clients(spark, sf_dir), "Moderate Risk")
     out = X.with_band(df).select("SK_ID_CURR", "TARGET_proba",
                                  (F.col("TARGET_proba") * F.lit(100.0)).alias("score_pct"), "band")
-    return round_doubles(out.withColumn("score_pct", _round1(F.col("score_pct"))))
+    return out.withColumn("score_pct", _round1(F.col("score_pct")))
 
 
 def _round1(c):
@@ -66,7 +66,7 @@ UNION ALL SELECT SK_ID_CURR, 2, 'TOTAL_PRICE', {O.rnd('TOTAL_PRICE')} FROM f
 UNION ALL SELECT SK_ID_CURR, 3, 'DAYS_FIRST_ORDER', {O.rnd('DAYS_FIRST_ORDER')} FROM f
 UNION ALL SELECT SK_ID_CURR, 4, 'YEARS_SINCE_FIRST_ORDER', {O.rnd('floor(abs(DAYS_FIRST_ORDER) / 365)')} FROM f
 UNION ALL SELECT SK_ID_CURR, 5, 'SCORE_PCT', {O.rnd('TARGET_proba * 100.0', 1)} FROM f
-UNION ALL SELECT (SELECT SK_ID_CURR FROM f), 6, 'BAND_MEAN_TOTAL_PRICE', {O.rnd('avg(TOTAL_PRICE)', 2)} FROM m""")
+UNION ALL SELECT (SELECT SK_ID_CURR FROM f), 6, 'BAND_MEAN_TOTAL_PRICE', {O.rnd(O.xmean('TOTAL_PRICE'), 2)} FROM m""")
 def client_card(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First moderate-risk client: card values transposed, whole years, percent
     score, and the band's mean of the compared feature."""
@@ -84,7 +84,7 @@ def client_card(spark: SparkSession, sf_dir: str) -> DataFrame:
     extra = spark.createDataFrame([(cid["SK_ID_CURR"] if cid else None, 6, "BAND_MEAN_TOTAL_PRICE", mean_val)],
                                   "SK_ID_CURR long, pos int, feature string, value double")
     extra = extra.withColumn("value", round_fixed(F.col("value"), 2))
-    return round_doubles(card).unionByName(extra)
+    return card.unionByName(extra)
 
 
 @register("histogram", f"""WITH mm AS (SELECT min(o_totalprice) AS lo, max(o_totalprice) AS hi FROM orders),
@@ -99,7 +99,7 @@ def histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     """50 equal-width bins of the order price; the first order's bin marked."""
     o = V.read_table(spark, sf_dir, "orders")
     probe = o.orderBy("o_orderkey").select("o_totalprice").first()
-    return round_doubles(PR.histogram(o, "o_totalprice", 50, probe=probe[0] if probe else None))
+    return PR.histogram(o, "o_totalprice", 50, probe=probe[0] if probe else None)
 
 
 @register("nearest_clients", f"""WITH {_SCORED_CTE},
@@ -117,4 +117,4 @@ def nearest_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ten clients closest to the first client (itself included)."""
     sc = scored_clients(spark, sf_dir).select("SK_ID_CURR", "TARGET_proba", *NEAR_COLS)
     probe = X.first_client(sc)
-    return round_doubles(X.nearest_clients(sc, probe, NEAR_COLS, 10))
+    return X.nearest_clients(sc, probe, NEAR_COLS, 10)
