@@ -385,3 +385,79 @@ def feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     runs.log_run(spark, runs.run_table_path(spark), "feature_pipeline", "shapes", {},
                  {f"{k}_{d}": v for k, (r, c) in shapes.items() for d, v in (("rows", r), ("columns", c))})
     return out
+
+
+# --- F4, F5, F14, F15, F17 fitted, saved and loaded ------------------------------------------
+
+_FITTED_COLS = ("c_custkey", "c_name", "segment", "balance")
+_FITTED_SQL = f"""WITH c AS (
+  SELECT c_custkey, c_name, CASE WHEN c_nationkey = 3 THEN NULL ELSE c_mktsegment END AS segment,
+         CASE WHEN c_nationkey = 5 THEN NULL ELSE c_acctbal END AS balance, c_mktsegment <> 'BUILDING' AND c_custkey % 2 = 0 AS train FROM customer),
+names AS (SELECT v, CAST(row_number() OVER (ORDER BY v) - 1 AS INTEGER) AS code FROM (SELECT DISTINCT coalesce(c_name, 'Unknown') AS v FROM c WHERE train)),
+m AS (SELECT median(balance) AS med FROM c WHERE train),
+filled AS (SELECT c.*, coalesce(balance, med) AS b FROM c, m),
+s AS (SELECT {O.xmean('b')} AS mean, sqrt({O.xvar('b')}) AS sd FROM filled WHERE train)
+SELECT c_custkey, coalesce(names.code, -1) AS c_name, (b - mean) / CASE WHEN sd = 0 THEN 1.0 ELSE sd END AS balance,
+       {', '.join(f"CAST(coalesce(segment, 'Unknown') = '{v}' AS INTEGER) AS segment_{v}" for v in ("AUTOMOBILE", "FURNITURE", "HOUSEHOLD", "MACHINERY", "Unknown"))}
+FROM filled LEFT JOIN names ON coalesce(c_name, 'Unknown') = names.v, s"""
+
+
+@register("fitted_encoders", _FITTED_SQL)
+def fitted_encoders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encoders learn from half of the clients without one segment; all clients are encoded from disk alone.
+
+    The other half's names and the left-out segment are unseen."""
+    from pyspark.ml import Pipeline, PipelineModel
+
+    from riskweave.operators.fitted import CategoryEncoder, MedianFill, PopulationScaler
+    from riskweave.session import scratch_path
+    c = V.read_table(spark, sf_dir, "customer").select(
+        "c_custkey", "c_name", F.when(F.col("c_nationkey") != 3, F.col("c_mktsegment")).alias("segment"),
+        F.when(F.col("c_nationkey") != 5, F.col("c_acctbal")).alias("balance"), "c_mktsegment")
+    train = c.where((F.col("c_mktsegment") != "BUILDING") & (F.col("c_custkey") % 2 == 0))
+    path = scratch_path(spark, "encoders")
+    Pipeline(stages=[MedianFill(["balance"]), PopulationScaler(["balance"]), CategoryEncoder(["c_name"]),
+                     CategoryEncoder(["segment"], kind="onehot")]).fit(train).write().save(path)
+    return PipelineModel.load(path).transform(c.select(*_FITTED_COLS))
+
+
+# --- S1: malformed records ---------------------------------------------------------------------
+
+@register("csv_rejects", """SELECT 'row' AS kind, o_orderkey AS id, CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE o_totalprice END AS price,
+       CAST(NULL AS VARCHAR) AS cause, CAST(NULL AS BIGINT) AS records
+FROM orders WHERE o_orderstatus <> 'P' AND o_custkey % 7 <> 0
+UNION ALL SELECT 'cause', NULL, NULL, 'price', count(*) FROM orders WHERE o_orderstatus = 'P' HAVING count(*) > 0
+UNION ALL SELECT 'cause', NULL, NULL, 'day', count(*) FROM orders WHERE o_custkey % 7 = 0 HAVING count(*) > 0""")
+def csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as CSV with missing tokens and malformed prices and days: the rows that fit, and the rejects by cause."""
+    from riskweave.session import scratch_path
+    from riskweave.sources import io
+    o = V.read_table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("id"),
+        F.when(F.col("o_orderstatus") == "P", F.lit("12,5O")).when(F.col("o_orderpriority") == "5-LOW", F.lit("NA"))
+        .otherwise(F.col("o_totalprice").cast("string")).alias("price"),
+        F.when(F.col("o_custkey") % 7 == 0, F.lit("yesterday")).otherwise(V.days_before("o_orderdate").cast("string")).alias("day"))
+    path = scratch_path(spark, "malformed")
+    io.write_csv(o, path)
+    rows, rejects = io.read_csv_checked(spark, path, "id long, price double, day int")
+    none = lambda t: F.lit(None).cast(t)
+    return rows.select(F.lit("row").alias("kind"), "id", "price", none("string").alias("cause"), none("long").alias("records")).unionByName(
+        io.reject_counts(rejects).select(F.lit("cause").alias("kind"), none("long").alias("id"), none("double").alias("price"), "cause", "records"))
+
+
+# --- F16 applied -----------------------------------------------------------------------------------
+
+@register("narrowed_table", """SELECT n AS column_name, t AS type, total FROM (
+  SELECT 'l_orderkey' AS n, CASE WHEN max(l_orderkey) <= 127 THEN 'tinyint' WHEN max(l_orderkey) <= 32767 THEN 'smallint'
+         WHEN max(l_orderkey) <= 2147483647 THEN 'int' ELSE 'bigint' END AS t, CAST(sum(l_orderkey) AS BIGINT) AS total FROM lineitem
+  UNION ALL SELECT 'l_linenumber', CASE WHEN max(l_linenumber) <= 127 THEN 'tinyint' ELSE 'smallint' END, CAST(sum(l_linenumber) AS BIGINT) FROM lineitem
+  UNION ALL SELECT 'l_quantity', 'double', CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) FROM lineitem)""")
+def narrowed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns cast to their narrowest types, written, read back and summed: the types hold on disk and no value changes."""
+    from riskweave.session import scratch_path
+    from riskweave.sources import io
+    cols = ["l_orderkey", "l_linenumber", "l_quantity"]
+    narrow = io.checkpoint_stage(spark, E.narrow_types(V.read_table(spark, sf_dir, "lineitem").select(*cols)), scratch_path(spark, "narrow"))
+    totals = narrow.agg(*(F.sum(F.col(c).cast("long")).alias(c) for c in cols))
+    return totals.select(F.inline(F.array(*(F.struct(F.lit(c).alias("column_name"), F.lit(t).alias("type"), F.col(c).alias("total"))
+                                            for c, t in narrow.dtypes))))

@@ -118,3 +118,28 @@ def nearest_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
     sc = scored_clients(spark, sf_dir).select("SK_ID_CURR", "TARGET_proba", *NEAR_COLS)
     probe = X.first_client(sc)
     return X.nearest_clients(sc, probe, NEAR_COLS, 10)
+
+
+def _money(x: str) -> str:
+    """Twin of ``format_number(x, 0)``: half to even, commas between thousands."""
+    return f"format('{{:,}}', CAST(round_even({x}, 0) AS BIGINT))"
+
+
+@register("client_lookup", f"""WITH {_SCORED_CTE},
+ids AS (SELECT SK_ID_CURR FROM sc WHERE TARGET_proba >= 0.7),
+last AS (SELECT * FROM sc WHERE SK_ID_CURR = (SELECT max(SK_ID_CURR) FROM ids))
+SELECT 'id' AS kind, SK_ID_CURR, CAST(NULL AS VARCHAR) AS feature, CAST(NULL AS VARCHAR) AS display FROM ids
+UNION ALL SELECT 'card', SK_ID_CURR, 'c_acctbal', {_money('c_acctbal')} FROM last
+UNION ALL SELECT 'card', SK_ID_CURR, 'TOTAL_PRICE', {_money('TOTAL_PRICE')} FROM last
+UNION ALL SELECT 'card', SK_ID_CURR, 'SCORE_PCT', printf('%.1f', {O.rnd('TARGET_proba * 100.0', 1)}) || '%' FROM last
+UNION ALL SELECT 'card', SK_ID_CURR, 'N_ORDERS', printf('%.2f', CAST(N_ORDERS AS DOUBLE)) FROM last""")
+def client_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ids of the high-risk band, and the last of them looked up and shown as display strings."""
+    scored = scored_clients(spark, sf_dir)
+    ids = X.client_ids(X.band_filter(scored, "High Risk"))
+    none = F.lit(None).cast("string")
+    out = ids.select(F.lit("id").alias("kind"), "SK_ID_CURR", none.alias("feature"), none.alias("display"))
+    last = ids.agg(F.max("SK_ID_CURR")).first()[0]  # one id
+    client = X.client_by_id(scored, last).withColumn("SCORE_PCT", _round1(F.col("TARGET_proba") * F.lit(100.0)))
+    card = X.card_display(X.client_card(client, ["c_acctbal", "TOTAL_PRICE", "SCORE_PCT", "N_ORDERS"]))
+    return out.unionByName(card.select(F.lit("card").alias("kind"), "SK_ID_CURR", "feature", "display"))

@@ -33,6 +33,40 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
                         for f in st.fields])
 
 
+RECORD, BAD = "record", "bad_columns"
+
+
+def read_csv_checked(spark: SparkSession, path: str, schema: T.StructType | str, header: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(rows, rejects) of a CSV whose records need not fit the schema.
+
+    A record is rejected as a whole if a value that is not a missing token does
+    not cast to its type (``bad_columns`` names these), or if it has more or
+    fewer fields than the schema (``bad_columns`` is empty). Rejects keep the
+    record as it stood in the file; nothing turns into NULL unnoticed. Both
+    frames read the files once each and only what they show.
+    """
+    st = schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
+    raw_schema = T.StructType([*(T.StructField(f.name, T.StringType(), True) for f in st.fields), T.StructField(RECORD, T.StringType(), True)])
+    raw = (spark.read.option("header", header).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", RECORD)
+           .option("enforceSchema", True).schema(raw_schema).csv(path))
+    texts = {f.name: missing_tokens_to_null(F.col(f"`{f.name}`")) for f in st.fields}
+    typed = {f.name: texts[f.name] if isinstance(f.dataType, T.StringType) else texts[f.name].try_cast(f.dataType) for f in st.fields}
+    bad = F.filter(F.array(*(F.when(texts[n].isNotNull() & typed[n].isNull(), F.lit(n)) for n in texts)), lambda n: n.isNotNull())
+    marked = raw.withColumn(BAD, bad)
+    fits = F.col(RECORD).isNull() & (F.size(BAD) == 0)
+    rows = marked.where(fits).select(*(c.alias(n) for n, c in typed.items()))
+    quoted = F.concat_ws(",", *(F.coalesce(F.col(f"`{f.name}`"), F.lit("")) for f in st.fields))
+    rejects = marked.where(~fits).select(F.coalesce(RECORD, quoted).alias(RECORD),
+                                         F.when(F.col(RECORD).isNotNull(), F.array().cast("array<string>")).otherwise(F.col(BAD)).alias(BAD))
+    return rows, rejects
+
+
+def reject_counts(rejects: DataFrame) -> DataFrame:
+    """Rejected records by cause: a column's name, or ``fields`` for a wrong number of fields; one record may count for several."""
+    causes = F.when(F.size(BAD) > 0, F.col(BAD)).otherwise(F.array(F.lit("fields")))
+    return rejects.select(F.explode(causes).alias("cause")).groupBy("cause").agg(F.count(F.lit(1)).alias("records"))
+
+
 def normalise_missing(df: DataFrame) -> DataFrame:
     """NaN (pandas' missing) -> NULL in every float / double column, once at
     ingest: a NaN left in makes max / avg / median return NaN and compares

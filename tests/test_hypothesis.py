@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 
 from riskweave.functions.scalar import safe_ratio
 from riskweave.operators.aggregate import round_doubles
-from riskweave.plans.oracle import rnd
+from riskweave.plans.oracle import grid
 
 finite = st.floats(allow_nan=False, allow_infinity=False, width=64)
 # decimal data with 7 digits: lands on halves of the kept digit
@@ -23,7 +23,7 @@ def test_quantiser_twin_agrees(spark, xs):
     con = duckdb.connect()
     con.execute("CREATE TABLE t (i INTEGER, x DOUBLE)")
     con.executemany("INSERT INTO t VALUES (?, ?)", [(i, float(x)) for i, x in enumerate(xs)])
-    exp = [r[0] for r in con.execute(f"SELECT {rnd('x')} FROM t ORDER BY i").fetchall()]
+    exp = [r[0] for r in con.execute(f"SELECT {grid('x')} FROM t ORDER BY i").fetchall()]
     assert got == exp
 
 

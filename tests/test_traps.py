@@ -96,9 +96,9 @@ def test_grid_rounding_matches_duckdb_on_halves(spark):
     vals = [0.0003125, 54831.7743625, -2.5e-7, 1234567.0005, 828330840.4108475, 1e16, 0.1 + 0.2]
     df = spark.createDataFrame([(v,) for v in vals], "x double")
     got = [r[0] for r in agg.round_doubles(df).collect()]
-    from riskweave.plans.oracle import rnd
+    from riskweave.plans.oracle import grid
     con = duckdb.connect()
-    exp = [con.execute(f"SELECT {rnd('x')} FROM (SELECT CAST(? AS DOUBLE) AS x)", [v]).fetchone()[0] for v in vals]
+    exp = [con.execute(f"SELECT {grid('x')} FROM (SELECT CAST(? AS DOUBLE) AS x)", [v]).fetchone()[0] for v in vals]
     assert got == exp
 
 
