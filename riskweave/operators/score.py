@@ -259,6 +259,43 @@ def score(df: DataFrame, model: PipelineModel, features: Sequence[str], params:
                        F.lit(float(threshold)).alias("threshold"))
 
 
+def fit_whole(df: DataFrame, features: Sequence[str], label: str, spec: ModelSpec, encoders: Sequence = ()) -> PipelineModel:
+    """Encoders, scaler and learner fitted as one pipeline, which scores rows as they come (F14, F17 with the model)."""
+    from riskweave.operators.fitted import PopulationScaler
+    src = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        prep, _ = prepare(src, features, label, scale=False, weighting=spec.weighting)
+        first = Pipeline(stages=[*encoders, PopulationScaler(list(features))]).fit(prep)
+        ready = assembler(features).transform(first.transform(prep)).select(
+            FEATURES_COL, "label", *([WEIGHT_COL] if spec.weighting != "none" else [])).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            fitted = learner(spec, ready).fit(ready)
+        finally:
+            ready.unpersist()
+    finally:
+        src.unpersist()
+    return PipelineModel([*first.stages, assembler(features), fitted])
+
+
+def save_whole(model: PipelineModel, features: Sequence[str], threshold: float, path: str) -> None:
+    """A pipeline of :func:`fit_whole`, its feature contract and its threshold, in one folder."""
+    spark = SparkSession.active()
+    model.write().overwrite().save(f"{path}/model")
+    (spark.createDataFrame([(k, f, float(threshold)) for k, f in enumerate(features)], "pos int, feature string, threshold double")
+     .coalesce(1).write.mode("overwrite").parquet(f"{path}/contract"))
+
+
+def load_whole(spark: SparkSession, path: str) -> tuple[PipelineModel, list[str], float]:
+    rows = spark.read.parquet(f"{path}/contract").orderBy("pos").collect()  # a row per feature
+    return PipelineModel.load(f"{path}/model"), [r["feature"] for r in rows], rows[0]["threshold"]
+
+
+def score_whole(df: DataFrame, model: PipelineModel, threshold: float, id_col: str) -> DataFrame:
+    """Probability and label of rows as they come."""
+    return positive_proba(model.transform(df)).select(
+        id_col, "TARGET_proba", threshold_label("TARGET_proba", threshold).alias("TARGET"), F.lit(float(threshold)).alias("threshold"))
+
+
 def importances(model, features: Sequence[str]) -> list[tuple[str, float]]:
     """Tree-model importances in column order (gain-based in Spark)."""
     stage = model.stages[-1] if isinstance(model, PipelineModel) else model

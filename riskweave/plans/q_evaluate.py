@@ -220,16 +220,16 @@ def threshold_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT 'threshold=' || CAST(threshold AS VARCHAR) AS run_name, threshold, {O.rnd('mean_cost')} AS mean_cost
 FROM s ORDER BY mean_cost ASC NULLS LAST, CASE WHEN threshold <> 0.5 THEN 1 ELSE 0 END, threshold LIMIT 1""")
 def best_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each sweep threshold logged as a run (long metric rows, appended to
-    the run table in the shared folder), read back, pivoted, best picked by
+    """Each sweep threshold logged as a run (long metric rows in the shared
+    run table, replaced if they were logged before), read back, pivoted, best picked by
     cost ascending (the reference's ordering picks the worst)."""
     from riskweave.sources import runs
     df = _lines_with_folds(spark, sf_dir)
     sweep = EV.threshold_sweep(df, "SCORE", TARGET, "fold")
     long = runs.metrics_to_runs(sweep, run_name=F.concat(F.lit("threshold="), F.col("threshold").cast("string")),
-                                params=["threshold"], metrics=["mean_cost", "std_cost"], experiment="threshold_sweep")
+                                params=["threshold"], metrics=["mean_cost", "std_cost"], experiment="threshold_sweep", tags={"data": sf_dir})
     path = runs.run_table_path(spark)
     runs.append_runs(long, path)
-    wide = runs.read_runs(spark, path, experiment="threshold_sweep")
+    wide = runs.read_runs(spark, path, "threshold_sweep", {"data": sf_dir})
     best = runs.best_run(wide, "mean_cost", ascending=True, prefer={"threshold": EV.START_THRESHOLD})
     return best.select("run_name", F.col("threshold").cast("double").alias("threshold"), "mean_cost")

@@ -33,7 +33,8 @@ def _share(text, pattern: str):
     return F.try_divide((n - F.length(F.regexp_replace(text, pattern, ""))).cast("double"), n.cast("double"))
 
 
-def document_features(docs: DataFrame) -> DataFrame:
+def text_features(docs: DataFrame) -> DataFrame:
+    """Whole-text statistics; ``source_code`` is still the source's name."""
     t = F.col("text")
     lines = F.split(t, "\n")
     words = F.size(F.split(F.trim(t), r"\s+"))
@@ -48,8 +49,12 @@ def document_features(docs: DataFrame) -> DataFrame:
         F.coalesce(F.try_divide(F.size(F.filter(lines, lambda x: F.trim(x) == "")).cast("double"),
                                 F.size(lines).cast("double")), F.lit(0.0)).alias("blank_line_share"),
         *[(F.col("lang") == F.lit(l)).cast("double").alias(f"lang_{l}") for l in ("en", "fr", "de", "es")],
-        "source")
-    return E.label_encode(d, ["source"]).withColumn("source_code", F.col("source").cast("double")).drop("source")
+        F.col("source").alias("source_code"))
+    return d
+
+
+def document_features(docs: DataFrame) -> DataFrame:
+    return E.label_encode(text_features(docs), ["source_code"]).withColumn("source_code", F.col("source_code").cast("double"))
 
 
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,6 +64,37 @@ def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return EV.stratified_folds(joined, ID, LABEL, 5)
 
 
+def labelled_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled documents with their features; texts without a label are left out before they are read through."""
+    lab = V.read_table(spark, sf_dir, "labels").select(ID, LABEL)
+    docs = V.read_table(spark, sf_dir, "documents").join(lab.select(ID), ID, "left_semi")
+    return EV.stratified_folds(text_features(docs).join(lab, ID), ID, LABEL, 5)
+
+
+TUNING = "threshold_tuning"
+
+
+def log_sweep(spark: SparkSession, sf_dir: str, sweep: DataFrame) -> None:
+    """One run for each threshold, in the shared run table."""
+    from riskweave.sources import runs
+    runs.append_runs(runs.metrics_to_runs(sweep, F.concat(F.lit("threshold="), F.col("threshold").cast("string")), ["threshold"],
+                                          ["mean_cost", "std_cost"], TUNING, {"data": sf_dir, "model": S.BOOSTED.name}), runs.run_table_path(spark))
+
+
+def tuned_threshold(spark: SparkSession, sf_dir: str, train: DataFrame | None = None) -> float:
+    """K6: the threshold of the cheapest logged run on this data; the sweep is run and logged first if there is none."""
+    from riskweave.sources import runs
+    path, tags = runs.run_table_path(spark), {"data": sf_dir, "model": S.BOOSTED.name}
+    logged = runs.read_runs(spark, path, TUNING, tags)
+    if "mean_cost" not in logged.columns:
+        oof = S.out_of_fold(labelled(spark, sf_dir) if train is None else train, DOC_FEATURES, LABEL, S.BOOSTED)
+        log_sweep(spark, sf_dir, EV.threshold_sweep(oof, "TARGET_proba", "label", "fold"))
+        oof.unpersist()
+        logged = runs.read_runs(spark, path, TUNING, tags)
+    best = runs.best_run(logged, "mean_cost", prefer={"threshold": EV.START_THRESHOLD}).first()
+    return float(best["threshold"])
+
+
 def _cv_row(spark: SparkSession, sf_dir: str, spec: S.ModelSpec) -> DataFrame:
     r = S.cross_validate(labelled(spark, sf_dir), DOC_FEATURES, LABEL, spec)
     return spark.createDataFrame([(r["model"], r["num_features"], r["mean_auc"], r["std_auc"], r["mean_cost"])],
@@ -95,9 +131,10 @@ def leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
     from riskweave.sources import runs
     board = S.leaderboard(labelled(spark, sf_dir), DOC_FEATURES, LABEL)
     path = runs.run_table_path(spark)
+    tags = {"data": sf_dir}
     runs.append_runs(runs.metrics_to_runs(board, F.col("model"), ["num_features"],
-                                          ["mean_auc", "std_auc", "mean_cost", "seconds"], "leaderboard"), path)
-    return runs.read_runs(spark, path, "leaderboard").drop("run_id")
+                                          ["mean_auc", "std_auc", "mean_cost", "seconds"], "leaderboard", tags), path)
+    return runs.read_runs(spark, path, "leaderboard", tags).drop("run_id", "data")
 
 
 @register("importance_topk")
@@ -161,18 +198,19 @@ def final_importances(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("batch_score")
 def batch_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fit on labelled documents and save model, scaler, contract and
-    threshold; every document is scored with what is loaded from disk alone."""
-    from riskweave.operators import contract as C
+    """The threshold of the best logged run, encoders, scaler and learner
+    go to one folder; every document is scored with what is loaded from disk alone, sources that the
+    labelled documents lack included."""
+    from riskweave.operators.fitted import CategoryEncoder
     from riskweave.session import scratch_path
-    train = labelled(spark, sf_dir)
-    model, params = S.fit_pipeline(train, DOC_FEATURES, LABEL, S.BOOSTED)
+    threshold = tuned_threshold(spark, sf_dir)
+    model = S.fit_whole(labelled_texts(spark, sf_dir).select(*DOC_FEATURES, LABEL), DOC_FEATURES, LABEL, S.BOOSTED, [CategoryEncoder(["source_code"])])
     path = scratch_path(spark, "model")
-    S.save_scorer(model, DOC_FEATURES, params, EV.START_THRESHOLD, path)
-    loaded, features, params, threshold = S.load_scorer(spark, path)
-    alldocs = C.enforce_columns(document_features(V.read_table(spark, sf_dir, "documents")),
-                                features, keep=[ID])
-    return S.score(alldocs, loaded, features, params, threshold, id_col=ID)
+    S.save_whole(model, DOC_FEATURES, threshold, path)
+    loaded, features, threshold = S.load_whole(spark, path)
+    from riskweave.operators import contract as C
+    alldocs = C.enforce_columns(text_features(V.read_table(spark, sf_dir, "documents")), features, keep=[ID])
+    return S.score_whole(alldocs, loaded, threshold, ID)
 
 
 @register("stream_score")
@@ -203,15 +241,29 @@ def tune_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
         # the final fit does not depend on the sweep: run it next to the k fold fits
         final = pool.submit(S.fit_pipeline, train, DOC_FEATURES, LABEL, S.BOOSTED)
         oof = S.out_of_fold(train, DOC_FEATURES, LABEL, S.BOOSTED)
-        sweep = EV.threshold_sweep(oof, "TARGET_proba", "label", "fold").collect()
+        found = EV.threshold_sweep(oof, "TARGET_proba", "label", "fold")
+        log_sweep(spark, sf_dir, found)
+        sweep = found.collect()
         auc = EV.roc_auc(oof, "TARGET_proba", "label", group=["fold"]).agg(F.avg("auc")).first()[0]
         oof.unpersist()
         model, params = final.result()
     best = next(r for r in sweep if r["best"])
     default = next(r for r in sweep if r["threshold"] == EV.START_THRESHOLD)
-    runs.log_run(spark, runs.run_table_path(spark), "threshold_tuning", S.BOOSTED.name,
+    runs.log_run(spark, runs.run_table_path(spark), "threshold_choice", S.BOOSTED.name,
                  {"optimal_threshold": best["threshold"]},
                  {"mean_auc": auc, "business_cost_default": default["mean_cost"],
-                  "business_cost_optimized": best["mean_cost"]})
+                  "business_cost_optimized": best["mean_cost"]}, tags={"data": sf_dir})
     docs = document_features(V.read_table(spark, sf_dir, "documents"))
     return S.score(docs, model, DOC_FEATURES, params, best["threshold"], id_col=ID)
+
+
+@register("stream_log", r"""SELECT count(*) AS input_rows, count(*) FILTER (WHERE words > 1) AS scored_rows, count(*) FILTER (WHERE words <= 1) AS rejected_rows
+FROM (SELECT len(regexp_split_to_array(trim(text), '[\s\x0b]+')) AS words FROM documents)""")
+def stream_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as a request in many micro-batches; rows in, scored and rejected, from the log that the sink writes with each batch."""
+    from riskweave.streaming import scoring
+    model, params = S.fit_pipeline(labelled(spark, sf_dir), DOC_FEATURES, LABEL, S.LOGREG)
+    docs = document_features(V.read_table(spark, sf_dir, "documents"))
+    requests = docs.withColumn("avg_word_len", F.when(F.col("n_words") > 1, F.col("avg_word_len"))).repartition(12)
+    out = scoring.run_once(spark, requests, model, DOC_FEATURES, params, 0.5, id_col=ID, max_files_per_trigger=3)
+    return out["batches"].agg(*(F.sum(c).alias(c) for c in ("input_rows", "scored_rows", "rejected_rows")))
