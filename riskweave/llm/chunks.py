@@ -11,6 +11,7 @@ independent are encoded whole.
 from __future__ import annotations
 
 import os
+import re
 import struct
 
 import numpy as np
@@ -124,14 +125,19 @@ def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
 
 
 class LibraryEncoder(ChunkEncoder):
-    """Ids of the tokenizers library. Missing chunks go to it joined, a thousand to a call."""
+    """Ids of the tokenizers library. Missing chunks go to it joined, a thousand to a call.
+
+    A text that holds one of the vocabulary's special strings goes to the
+    library whole, which gives such a string its own id.
+    """
 
     def __init__(self, path: str, **bounds):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         super().__init__(**bounds)
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True  # special strings in a text are ordinary text
+        special = [re.escape(t.content) for t in self.library.get_added_tokens_decoder().values()]
+        self.whole = "|".join([*([self.whole] if self.whole else []), *special]) or None
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]

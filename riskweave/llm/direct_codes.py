@@ -9,7 +9,8 @@ without decoding its neighbours.
 File: ``DACT``, version, then little-endian sections: counts, document ids with
 a null flag each, document starts, and per level chunks, bitmap and directory.
 
-Edge cases: a null text is empty and holds the end id alone; documents with a
+Edge cases: a special string of the vocabulary in a text has its own id, as in
+the library; a null text is empty and holds the end id alone; documents with a
 null id come first; repeated document ids stay separate documents, ordered by
 text; an empty table writes no file and reads back as no rows.
 """

@@ -10,7 +10,8 @@ decreasing. Spark ranks the pieces of a class (counts per bucket of rows, then
 ranks inside a bucket, so a class with a third of all rows is spread) and deals
 them to the slots of the patterns.
 
-Edge cases: a null or empty text is its end id alone; repeated rows are
+Edge cases: a special string of the vocabulary in a text has its own id, as in
+the library; a null or empty text is its end id alone; repeated rows are
 documents of their own; an empty table gives no pieces; ids in the result's
 sequences number from 0 without gaps.
 """

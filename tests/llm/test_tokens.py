@@ -25,7 +25,6 @@ def encoders():
     out = {}
     for name, kind in (("byte_bpe_50k.json", ByteLevelEncoder), ("word_bpe_49k.json", WordLevelEncoder)):
         lib = Tokenizer.from_file(public_tokenizers.path(name))
-        lib.encode_special_tokens = True
         out[name] = kind(public_tokenizers.path(name), max_entries=40), lib
     return out
 
@@ -40,6 +39,16 @@ def test_chunked_ids_are_the_librarys(encoders, name, texts):
         e.ids for e in lib.encode_batch(texts, add_special_tokens=False)]
 
 
+@pytest.mark.parametrize("name, special", [("byte_bpe_50k.json", 50256), ("word_bpe_49k.json", 49407)])
+def test_special_strings_have_the_librarys_ids(encoders, name, special):
+    encoder, lib = encoders[name]
+    texts = ["a <|endoftext|> b", "x<|endoftext|>", "plain words", "<|ENDOFTEXT|> <|startoftext|>", "<|endoftext|><|endoftext|>"]
+    ids, offsets = encoder.encode(pa.array(texts))
+    got = [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])]
+    assert got == [e.ids for e in lib.encode_batch(texts, add_special_tokens=False)]
+    assert special in got[0] and got[4] == [special, special]
+
+
 @settings(max_examples=60, deadline=None)
 @given(texts=TEXTS)
 def test_agenda_is_sentencepiece(texts):
