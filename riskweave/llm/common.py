@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -51,6 +52,14 @@ def text_slices(batch: pa.RecordBatch, column: str, max_bytes: int = 8 << 20) ->
         at = stop
 
 
+def release_memory() -> None:
+    """Give freed memory of this worker back to the system: what earlier tasks, also of other steps, left to its allocators."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)
+
+
 def exclusive_sum(values: np.ndarray) -> np.ndarray:
     """Starts of runs of the given lengths, with the total at the end."""
     out = np.zeros(len(values) + 1, dtype=np.int64)

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskweave.llm.chunks import WordLevelEncoder
-from riskweave.llm.common import exclusive_sum, shuffle_width, staged, text_column, text_slices
+from riskweave.llm.common import exclusive_sum, release_memory, shuffle_width, staged, text_column, text_slices
 from riskweave.llm.direct_codes import _encoder, with_end
 
 
@@ -142,6 +142,7 @@ def tokenise_pieces(docs: DataFrame, vocabulary: str, end_id: int, capacity: int
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_column().alias("text"))
 
     def run(batches):
+        release_memory()
         encoder = _encoder(vocabulary, WordLevelEncoder)
         for batch in batches:
             for rows in text_slices(batch, "text"):
@@ -157,6 +158,7 @@ def tokenise_pieces(docs: DataFrame, vocabulary: str, end_id: int, capacity: int
                 yield pa.RecordBatch.from_arrays(
                     [rows.column("doc_id").take(pa.array(doc)), pa.array(start), pa.array(length),
                      pa.array(lengths[doc]), held], names=["doc_id", "start", "length", "doc_tokens", "ids"])
+        release_memory()
     cut = source.mapInArrow(run, "doc_id long, start long, length long, doc_tokens long, ids binary")
     # Every piece gets a number of its own, fixed by the written copy (document ids may repeat).
     return staged(cut.withColumn("row", F.monotonically_increasing_id()), "pack-pieces")
