@@ -391,7 +391,7 @@ def feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _FITTED_COLS = ("c_custkey", "c_name", "segment", "balance")
 _FITTED_SQL = f"""WITH c AS (
-  SELECT c_custkey, c_name, CASE WHEN c_nationkey = 3 THEN NULL ELSE c_mktsegment END AS segment,
+  SELECT c_custkey, c_name, CASE WHEN c_nationkey % 2 = 1 THEN NULL ELSE c_mktsegment END AS segment,
          CASE WHEN c_nationkey = 5 THEN NULL ELSE c_acctbal END AS balance, c_mktsegment <> 'BUILDING' AND c_custkey % 2 = 0 AS train FROM customer),
 names AS (SELECT v, CAST(row_number() OVER (ORDER BY v) - 1 AS INTEGER) AS code FROM (SELECT DISTINCT coalesce(c_name, 'Unknown') AS v FROM c WHERE train)),
 m AS (SELECT median(balance) AS med FROM c WHERE train),
@@ -412,7 +412,7 @@ def fitted_encoders(spark: SparkSession, sf_dir: str) -> DataFrame:
     from riskweave.operators.fitted import CategoryEncoder, MedianFill, PopulationScaler
     from riskweave.session import scratch_path
     c = V.read_table(spark, sf_dir, "customer").select(
-        "c_custkey", "c_name", F.when(F.col("c_nationkey") != 3, F.col("c_mktsegment")).alias("segment"),
+        "c_custkey", "c_name", F.when(F.col("c_nationkey") % 2 != 1, F.col("c_mktsegment")).alias("segment"),
         F.when(F.col("c_nationkey") != 5, F.col("c_acctbal")).alias("balance"), "c_mktsegment")
     train = c.where((F.col("c_mktsegment") != "BUILDING") & (F.col("c_custkey") % 2 == 0))
     path = scratch_path(spark, "encoders")
