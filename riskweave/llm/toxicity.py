@@ -4,8 +4,9 @@
 2. A suspicious token (digits or signs between letters, separators inside, a
    letter two times in a row, look-alike letters, or a run of single letters)
    of any length becomes a lattice: each character may stand for itself, for a
-   letter it imitates, for a repetition, or for nothing. The Viterbi path under
-   channel costs and the character model is the restored word; parts between
+   letter it imitates, for a repetition, or for nothing. The Viterbi path over
+   all states, under channel costs and the character model, is the restored
+   word; parts between
    separators are restored by themselves too. Surface words stay beside it, and
    two or three neighbouring tokens count as the evidence word they make up.
 3. Evidence: for whole words and word beginnings, the share of toxic labels
@@ -15,8 +16,8 @@
    own part taken out gives the score.
 
 The classifier is fitted on at most ``max_labelled`` labelled rows (chosen by a
-hash of their id) outside the held-out fold; the character model and the scores
-cover all documents. Inputs of a score: the text, nothing else.
+hash of their id) outside the held-out fold, and every cue that passes the test
+of evidence counts; the character model and the scores cover all documents. Inputs of a score: the text, nothing else.
 
 Edge cases: null and empty texts have no words and get the score of no evidence;
 a null id is not held out; several labels of one id count as toxic if one is;
@@ -30,6 +31,7 @@ from __future__ import annotations
 import math
 import re
 from dataclasses import dataclass
+from functools import cached_property
 from itertools import groupby, product
 
 import numpy as np
@@ -53,6 +55,9 @@ TOP = 3  # a document's strongest words
 LEAST_RATIO = 30.0
 WORD = re.compile(r"[^\W\d_]+")
 SUSPECT = re.compile(r"[^\W\d_](?:[^\w\s]|[\d_])|(?:[^\w\s]|[\d_])[^\W\d_]|([^\W\d_])\1")
+DOUBLED = re.compile(r"(.)\1", re.DOTALL)
+TRIPLED = re.compile(r"(.)\1\1", re.DOTALL)
+STRIPPED = ".,;:\"'()[]{}"
 LOOKALIKES = frozenset(c for c in IMITATIONS if c.isalpha())
 SEPARATORS = re.compile(r"[._,;:/\\~=&'\"-]+")
 
@@ -75,36 +80,64 @@ class CharModel:
         p3 = (n3 + 5 * p2[None]) / (n3.sum(axis=2, keepdims=True) + 5)
         self.cost = (-np.log(p3)).astype(np.float32)
         self.code = {c: k + 1 for k, c in enumerate(LETTERS)}
+        # Of "qccr": is it cheaper to keep both c than to read one of them as a repetition?
+        c = np.arange(SIZE)
+        twice = self.cost[:, c, c][:, :, None] + self.cost[c, c, :][None]
+        self.twice = (twice <= self.cost + np.float32(COST_REPEAT)).tobytes()
+
+    def undoubled(self, token: str) -> str:
+        """The cheapest reading of letters of which none stands three times in a row.
+
+        A doubled letter changes no trigram beyond the letter after it, so each is decided by itself.
+        """
+        code = [0, *(self.code.get(c, OTHER) for c in token), 0]
+        out = []
+        for i, c in enumerate(token, 1):
+            if i == 1 or c != token[i - 2] or self.twice[(code[i - 2] * SIZE + code[i]) * SIZE + code[i + 1]]:
+                out.append(c)
+        return "".join(out)
 
     def decode(self, token: str) -> str:
         """The cheapest reading of a token's lattice."""
-        token = re.sub(r"([^\W\d_])\1{3,}", r"\1\1\1", token)
+        if token.isalpha() and LOOKALIKES.isdisjoint(token) and not TRIPLED.search(token):
+            return self.undoubled(token)
+        return self.viterbi(re.sub(r"([^\W\d_])\1{3,}", r"\1\1\1", token))
+
+    def viterbi(self, token: str) -> str:
+        """The cheapest path; a state is the last two letters, at most 64**2 of them, and none is left out."""
         paths = {(0, 0): (0.0, None)}  # cost, and the letters so far, last one first
         edge = re.match(r"\W*", token).end(), len(token) - len(re.search(r"\W*$", token).group())
+        never, model = (math.inf, None), self.cost
         for i, c in enumerate(token):
             step: dict = {}
-
-            def put(key, cost, text):
-                if key not in step or cost < step[key][0]:
-                    step[key] = (cost, text)
             letter = self.code.get(c, OTHER if c.isalpha() else 0)
-            for (a, b), (cost, text) in paths.items():
-                if letter and c not in IMITATIONS:
-                    put((b, letter), cost + self.cost[a, b, letter], (c, text))
-                    if text and text[0] == c and i and token[i - 1] == c:
-                        put((a, b), cost + COST_REPEAT, text)
-                else:
-                    for x in IMITATIONS.get(c, ""):
-                        put((b, self.code[x]), cost + COST_IMITATE + self.cost[a, b, self.code[x]], (x, text))
-                    put((a, b), cost + (COST_DROP if not c.isalnum() or not edge[0] <= i < edge[1] else COST_KEEP), text)
-            paths = dict(sorted(step.items(), key=lambda p: p[1][0])[:24])
+            if letter and c not in IMITATIONS:
+                again = i and token[i - 1] == c
+                for (a, b), (cost, text) in paths.items():
+                    new = cost + model.item(a, b, letter)
+                    if new < step.get((b, letter), never)[0]:
+                        step[b, letter] = new, (c, text)
+                    if again and text and text[0] == c and cost + COST_REPEAT < step.get((a, b), never)[0]:
+                        step[a, b] = cost + COST_REPEAT, text
+            else:
+                meant = [(x, self.code[x]) for x in IMITATIONS.get(c, "")]
+                drop = COST_DROP if not c.isalnum() or not edge[0] <= i < edge[1] else COST_KEEP
+                for (a, b), (cost, text) in paths.items():
+                    for x, k in meant:
+                        new = cost + COST_IMITATE + model.item(a, b, k)
+                        if new < step.get((b, k), never)[0]:
+                            step[b, k] = new, (x, text)
+                    if cost + drop < step.get((a, b), never)[0]:
+                        step[a, b] = cost + drop, text
+            paths = step
+
         def spelled(text):
             letters = []
             while text:
                 letters.append(text[0])
                 text = text[1]
             return "".join(reversed(letters))
-        ends = [(cost + self.cost[a, b, 0], text) for (a, b), (cost, text) in paths.items()]
+        ends = [(cost + model.item(a, b, 0), text) for (a, b), (cost, text) in paths.items()]
         least = min(cost for cost, _ in ends)
         return min(spelled(text) for cost, text in ends if cost == least)
 
@@ -120,6 +153,14 @@ def stretches(word: str) -> list[str]:
     return list(dict.fromkeys([word, *(word[i:i + n] for n in range(3, min(21, len(word))) for i in range(len(word) - n + 1))]))
 
 
+def plain_word(token: str) -> str | None:
+    """The word of a token without disguise: letters, none twice in a row, none a look-alike, and marks around them."""
+    word = token.strip(STRIPPED)
+    if word.isalpha() and not DOUBLED.search(word) and (word.isascii() or LOOKALIKES.isdisjoint(word)):
+        return word
+    return None
+
+
 def surface_words(token: str) -> list[str]:
     return WORD.findall(token)
 
@@ -170,9 +211,13 @@ class Restorer:
         if got is None:
             if len(self.memo) >= self.most:
                 self.memo.clear()
+            plain = plain_word(t)
+            if plain is not None:
+                self.memo[t] = got = (plain,)
+                return got
             words = surface_words(t)
             bare = re.sub(r"^([^\w\s])\1+|([^\w\s])\2+$", "", t)  # rows of one sign around a word are decoration
-            bare = bare.strip(".,;:\"'()[]{}")
+            bare = bare.strip(STRIPPED)
             if suspicious(bare):
                 words = [*words, *surface_words(self.model.decode(bare))]
                 parts = SEPARATORS.split(bare)
@@ -201,11 +246,18 @@ class Restorer:
                 out.append((int(doc[a]), tuple(stretches(self.model.decode(joint)))))
         return out
 
-    def broken(self, tokens: list[str], index: np.ndarray, offsets: np.ndarray, ends: "Endings") -> list[tuple[int, str]]:
-        """(document, evidence word) where two or three neighbouring tokens make up an evidence word."""
-        forms = [{t.strip(".,;:-_\"'()[]{}"), *self.token(t)} - {""} for t in tokens]
-        first, middle, last = (np.array([any(w in part for w in f) for f in forms], bool)[index]
-                               for part in (ends.first, ends.middle, ends.last))
+    def forms(self, token: str) -> set[str]:
+        """What a token may give to a word that was broken up: itself without marks around it, and its words."""
+        return {token.strip(".,;:-_\"'()[]{}"), *self.token(token)} - {""}
+
+    def broken(self, tokens: list[str], part: np.ndarray, index: np.ndarray, offsets: np.ndarray,
+               ends: "Endings") -> list[tuple[int, str]]:
+        """(document, evidence word) where two or three neighbouring tokens make up an evidence word.
+
+        ``part`` has the parts (:meth:`Endings.parts`) that each of ``tokens`` may be.
+        """
+        part = part[index]
+        first, middle, last = part & FIRST > 0, part & MIDDLE > 0, part & LAST > 0
         doc = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
         out = []
         for n in (2, 3):
@@ -213,21 +265,34 @@ class Restorer:
                 continue
             at = first[:len(index) - n + 1] & last[n - 1:] & (doc[:len(index) - n + 1] == doc[n - 1:])
             for k in np.flatnonzero(at & middle[1:-1] if n == 3 else at).tolist():
-                raw = [forms[j] for j in index[k:k + n]]
+                raw = [self.forms(tokens[j]) for j in index[k:k + n]]
                 joint = {"".join(x) for x in product(*raw)}
                 joint.update(self.token("".join(tokens[j] for j in index[k:k + n])))
                 out += [(int(doc[k]), w) for w in joint if w in ends.words]
         return out
 
 
+FIRST, MIDDLE, LAST = 1, 2, 4
+
+
 class Endings:
     """Proper beginnings, middles and ends of the evidence words of four letters or more."""
 
     def __init__(self, share: dict[str, float], base: float):
         self.words = {c[1:] for c, p in share.items() if c[0] == "=" and p > base and len(c) > 4}
-        self.first = {w[:k] for w in self.words for k in range(1, len(w))}
-        self.last = {w[k:] for w in self.words for k in range(1, len(w))}
-        self.middle = {w[i:j] for w in self.words for i in range(1, len(w)) for j in range(i + 1, len(w))}
+        self.part: dict[str, int] = {}
+        for w in self.words:
+            for i in range(len(w)):
+                for j in range(i + 1, len(w) + (i > 0)):
+                    kind = FIRST if i == 0 else LAST if j == len(w) else MIDDLE
+                    self.part[w[i:j]] = self.part.get(w[i:j], 0) | kind
+
+    def parts(self, forms) -> int:
+        """FIRST, MIDDLE and LAST together, as far as one of ``forms`` is such a part of an evidence word."""
+        found = 0
+        for w in forms:
+            found |= self.part.get(w, 0)
+        return found
 
 
 def cues(word: str) -> list[str]:
@@ -248,8 +313,19 @@ class ToxicModel:
     base: float
     weights: np.ndarray | None
 
+    @cached_property
+    def heads(self) -> set[str]:
+        """The first four letters of every cue."""
+        return {c[1:5] for c in self.share}
+
+    @cached_property
+    def endings(self) -> Endings:
+        return Endings(self.share, self.base)
+
     def word(self, word: str) -> float:
         """A word's share: its own, or else that of its beginnings."""
+        if word[:4] not in self.heads:
+            return 0.0
         whole, *begun = cues(word)
         return self.share[whole] if whole in self.share else max((self.share.get(c, 0.0) for c in begun), default=0.0)
 
@@ -268,8 +344,11 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 5 == 0, F.lit(False))
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 40_000, max_cues: int = 50_000) -> ToxicModel:
-    """Fit on labelled documents outside the held-out fold."""
+def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 40_000, max_cues: int | None = None) -> ToxicModel:
+    """Fit on labelled documents outside the held-out fold.
+
+    All cues that pass the test are kept, which the labelled rows bound; a caller may ask for fewer by ``max_cues``.
+    """
     chars = count_characters(docs)
     known = (labels.filter("toxic is not null and doc_id is not null").groupBy("doc_id")
              .agg(F.max((F.col("toxic") == 1).cast("int")).alias("toxic")).filter(~held_out()))
@@ -318,7 +397,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 40_000, max_cues
     others = by_word.join(whole.select(F.expr("substring(cue, 2)").alias("w")), "w", "left_anti")
     held = others.select("row", "toxic", F.explode(cue_column("w")).alias("cue")).filter("cue like '^%'").join(often, "cue")
     begun = _beyond_chance(held.distinct(), base, max_cues, "toxic-begun")
-    counts = F.broadcast(whole.union(begun))
+    counts = small_if(whole.union(begun))
     share = {r["cue"]: (r["k"] + BASE_WEIGHT * base) / (r["k"] + r["c"] + BASE_WEIGHT) for r in whole.union(begun).collect()}
     # Each training document without its own part in the counts.
     drawn = (F.greatest(F.col("k") - F.col("y"), F.lit(0)) + BASE_WEIGHT * base) / (F.col("k") + F.col("c") - 1 + BASE_WEIGHT)
@@ -333,17 +412,19 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 40_000, max_cues
     return ToxicModel(chars, share, base, logistic(inputs(tops), table["toxic"].to_numpy(float)))
 
 
-def _beyond_chance(held: DataFrame, base: float, most: int, name: str) -> DataFrame:
+def _beyond_chance(held: DataFrame, base: float, most: int | None, name: str) -> DataFrame:
     """(cue, k toxic, c clean) of cues whose share of toxic labels is above the base rate by more than chance.
 
-    If more than ``most`` are, those of the largest likelihood ratio.
+    Only those ``most`` of the largest likelihood ratio, if that is given.
     """
     counts = held.groupBy("cue").agg(F.sum("toxic").alias("k"), F.sum(1 - F.col("toxic")).alias("c"))
     n = F.col("k") + F.col("c")
     ratio = sum((F.when(F.col(x) > 0, 2 * F.col(x) * F.log(F.col(x) / (n * share))).otherwise(0.0)
                  for x, share in (("k", base), ("c", 1 - base))), F.lit(0.0))
     passed = counts.withColumn("ratio", ratio).filter((F.col("k") > base * n) & (F.col("ratio") >= LEAST_RATIO))
-    return staged(passed.orderBy(F.desc("ratio"), "cue").limit(most).drop("ratio"), name)
+    if most is not None:
+        passed = passed.orderBy(F.desc("ratio"), "cue").limit(most)
+    return staged(passed.drop("ratio"), name)
 
 
 def logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1e-2, rounds: int = 50) -> np.ndarray:
@@ -363,15 +444,22 @@ def logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1e-2, rounds: int =
 def score(docs: DataFrame, model: ToxicModel) -> DataFrame:
     """kept (a struct of all columns of ``docs``), score and predicted of every document; whole texts, no shuffle."""
     spark: SparkSession = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)  # bounded: 64**3 costs and at most 2 * max_cues shares
+    shared = spark.sparkContext.broadcast(model)  # bounded: 64**3 costs, and the cues of at most max_labelled rows
     inner = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("kept"), text_column().alias("text"))
 
     def run(batches):
         m = shared.value
-        restorer, memo, ends = Restorer(m.chars), {}, Endings(m.share, m.base)
+        restorer, memo, ends = Restorer(m.chars), {}, m.endings
+        nothing = (0.0, 0)
 
         def strength(token):
-            return max(map(m.word, restorer.token(token)), default=0.0)
+            """A token's largest share, and the parts of evidence words that it may be."""
+            plain = plain_word(token)
+            if plain is None:
+                return max(map(m.word, restorer.token(token)), default=0.0), ends.parts(restorer.forms(token))
+            if plain[:4] in m.heads or plain in ends.part:
+                return m.word(plain), ends.part.get(plain, 0)
+            return nothing
         for batch in batches:
             for rows in text_slices(batch, "text", 4 << 20):
                 tokens, index, offsets = split_tokens(rows.column("text"))
@@ -380,7 +468,9 @@ def score(docs: DataFrame, model: ToxicModel) -> DataFrame:
                 for t in tokens:
                     if t not in memo:
                         memo[t] = strength(t)
-                value = np.fromiter(map(memo.__getitem__, tokens), float, len(tokens))
+                told_of = [memo[t] for t in tokens]
+                value = np.fromiter((v for v, _ in told_of), float, len(tokens))
+                part = np.fromiter((p for _, p in told_of), np.int64, len(tokens))
                 n = len(offsets) - 1
                 tops = np.full((n, TOP), m.base)
                 doc = np.repeat(np.arange(n), np.diff(offsets))
@@ -393,7 +483,7 @@ def score(docs: DataFrame, model: ToxicModel) -> DataFrame:
                         p = m.word(w)
                         if p > m.base:
                             told.setdefault(d, {})[w] = p
-                for d, w in restorer.broken(tokens, index, offsets, ends):
+                for d, w in restorer.broken(tokens, part, index, offsets, ends):
                     told.setdefault(d, {}).setdefault(w, m.share["=" + w])
                 for d, held in told.items():
                     top = sorted(held.values(), reverse=True)[:TOP]

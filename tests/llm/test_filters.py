@@ -8,7 +8,8 @@ import pytest
 
 from riskweave.llm.code_table import CodeTable
 from riskweave.llm.kneser_ney import EXTRA, ORDER, Reader, discounts, ngram_codes, quality, train
-from riskweave.llm.toxicity import CharModel, Restorer, count_characters, fit, toxicity
+from riskweave.llm.toxicity import (COST_DROP, COST_IMITATE, COST_KEEP, COST_REPEAT, IMITATIONS, CharModel, Restorer,
+                                    count_characters, fit, toxicity)
 
 CLEAN = "the river runs over stones while people walk along its bank and talk about weather food music work family".split()
 BAD = "idiot moron stupid".split()
@@ -211,3 +212,49 @@ def test_evidence_is_bounded_by_its_ratio(spark, corpus):
     docs, labels = _frames(spark, corpus)
     model = fit(docs, labels, max_cues=3)
     assert {"=" + w for w in BAD} <= set(model.share) and "=river" not in model.share
+
+
+def _readings(token):
+    """Every (channel cost, letters) of a token, spelled out."""
+    first = next((i for i, c in enumerate(token) if c.isalnum()), len(token))
+    last = max((i for i, c in enumerate(token) if c.isalnum()), default=-1)
+    found = [(0.0, "")]
+    for i, c in enumerate(token):
+        more = []
+        for cost, text in found:
+            if c.isalpha() and c not in IMITATIONS:
+                more.append((cost, text + c))
+                if i and token[i - 1] == c and text.endswith(c):
+                    more.append((cost + COST_REPEAT, text))
+            else:
+                more += [(cost + COST_IMITATE, text + x) for x in IMITATIONS.get(c, "")]
+                more.append((cost + (COST_DROP if not c.isalnum() or not first <= i <= last else COST_KEEP), text))
+        found = more
+    return found
+
+
+def test_lattice_is_searched_whole(spark, corpus):
+    model = count_characters(_frames(spark, corpus)[0])
+
+    def cost(text):
+        line = [0, 0, *(model.code[c] for c in text), 0]
+        return sum(float(model.cost[x]) for x in zip(line, line[1:], line[2:]))
+    rng = random.Random(12)
+    tokens = ["*?*?*", "8*6*?1", "stt0nne", "ffllooww"]
+    tokens += ["".join(rng.choice("aeirstt1?*0@.-") for _ in range(rng.randint(1, 6))) for _ in range(300)]
+    tokens += ["".join(c * rng.choice((1, 1, 2)) for c in rng.choice(CLEAN + BAD)) for _ in range(100)]
+    for token in tokens:
+        best = {}
+        for spent, text in _readings(token):
+            best[text] = min(best.get(text, math.inf), spent + cost(text))
+        assert best[model.decode(token)] == pytest.approx(min(best.values()), abs=1e-5), token
+
+
+def test_all_cues_that_pass_are_kept(spark):
+    words = ["bad" + a + b + c for a in "aeiou" for b in "klmnr" for c in "xyz"]
+    rows = [(20 * i + j, f"{w} clean{20 * i + j} text", 1) for i, w in enumerate(words) for j in range(20)]
+    rows += [(100_000 + k, f"plain words number{k} here", 0) for k in range(4500)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
+    model = fit(docs, labels)
+    assert {"=" + w for w in words} <= set(model.share) and "=words" not in model.share
