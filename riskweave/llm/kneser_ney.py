@@ -1,7 +1,8 @@
 """Quality classifier: an interpolated modified Kneser-Ney model of trusted text.
 
-Characters are 8-bit symbols (ASCII as it is with digits as one, Latin letters,
-the rest folded), so an n-gram of order 5 is one long. Spark counts the n-grams
+Characters are 11-bit symbols (ASCII as it is with digits as one, Latin letters,
+all other code points by their remainder, so that no two scripts meet in a few
+symbols), and an n-gram of order 5 is one long. Spark counts the n-grams
 of all trusted documents; continuation counts, discounts and context weights
 are group-bys and joins of the count tables, order by order. The finished model
 is written in shards by the two symbols before the predicted one: all orders of
@@ -9,15 +10,20 @@ a prediction are in one shard. Tasks join their texts with one shard after
 another and sum the log probabilities of a document, so no text is shuffled and
 no task holds more than a shard.
 
-A tenth of the trusted documents is left out of the counts; the quantiles of
-its perplexities, language by language, are the limits. Junk is unlikely text
-(above the upper quantile) or text that repeats itself (below the lower one).
+A tenth of the trusted documents is left out of the counts and sets the limits.
+The logarithms of its perplexities are centred by language. A language's
+quantiles of what remains are drawn towards those of all languages by ``weight``
+documents, and both limits are ``margin`` standard deviations wider at every
+size, so a language of few documents is judged by its own level and the common
+spread. Junk is unlikely text (above the upper limit) or text that repeats
+itself (below the lower one). Only these documents are scored before the limits
+are known, so every text is scored once.
 
 Edge cases: null and empty texts have no perplexity (null) and are not kept; a
-null language is a language of its own; a language with fewer than
-``least_calibration`` calibration documents takes the limits of all languages;
-without trusted text there are no limits and every document with text is kept;
-several labels of one id count as trusted if all of them are.
+null language is a language of its own; a language without calibration
+documents has the common level; without trusted text there are no limits and
+every document with text is kept; several labels of one id count as trusted if
+all of them are.
 """
 
 from __future__ import annotations
@@ -35,14 +41,19 @@ from riskweave.llm.code_table import CodeTable
 from riskweave.llm.common import exclusive_sum, small_if, staged, text_column, text_slices
 from riskweave.session import scratch_path
 
-ORDER, WIDTH = 5, 8
+ORDER, WIDTH = 5, 11
 EXTRA = "àáâãäåæçèéêëìíîïñòóôõöøœùúûüýÿßÀÁÂÃÄÅÆÇÈÉÊËÌÍÎÏÑÒÓÔÕÖØŒÙÚÛÜÝ"
-SYMBOLS = 256
+SYMBOLS = 1 << WIDTH
+OTHERS = 190  # symbols from here on: code points beyond Latin letters
+
+
+#: Deals pairs of symbols to shards, alike in Spark and in numpy.
+SPREAD, PRIME = 40503, 65521
 
 
 def symbol_table() -> np.ndarray:
     """Symbols of code points; 0 is kept for what stands before a text."""
-    table = np.arange(0x3000) % 64 + 190  # other scripts share the last symbols
+    table = np.arange(0x3000) % (SYMBOLS - OTHERS) + OTHERS
     table[:128] = np.arange(1, 129)
     table[ord("0"):ord("9") + 1] = ord("0") + 1
     for k, c in enumerate(EXTRA):
@@ -56,7 +67,8 @@ _TABLE = symbol_table()
 def ngram_codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """The order-5 code of every character of all texts, and the texts' offsets."""
     points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
-    symbols = _TABLE[np.minimum(points, len(_TABLE) - 1)]
+    symbols = np.where(points < len(_TABLE), _TABLE[np.minimum(points, len(_TABLE) - 1)],
+                       points.astype(np.int64) % (SYMBOLS - OTHERS) + OTHERS)
     lengths = np.fromiter(map(len, texts), np.int64, len(texts))
     offsets = exclusive_sum(lengths)
     pad = ORDER - 1
@@ -153,12 +165,10 @@ def train(texts: DataFrame, shard_rows: int = 2_000_000) -> Model:
     before = F.when(F.col("kind") < 16, F.shiftright("code", WIDTH)).otherwise(F.col("code")).bitwiseAND(mask(2))
     short = F.col("kind").isin(1, 2, 17)
     key = F.shiftleft(F.col("kind").cast("long"), 56).bitwiseOR(F.col("code")).alias("key")
-    model = model.withColumn("shard", F.when(short, -1).otherwise(F.pmod(F.xxhash64(before), F.lit(shards))).cast("int"))
-    model = staged(model.select("shard", before.alias("pair"), key, "value"), "kn-model")
+    dealt = before * F.lit(SPREAD) % F.lit(PRIME) % F.lit(shards)
+    model = model.withColumn("shard", F.when(short, -1).otherwise(dealt).cast("int"))
     folder = scratch_path(spark, "llm-kn-shards")
-    model.select("shard", "key", "value").repartition("shard").write.partitionBy("shard").parquet(folder)
-    pairs = model.filter("shard >= 0").select("pair", "shard").distinct()
-    pairs.coalesce(1).write.parquet(f"{folder}-pairs")  # at most 65,536 rows
+    model.select("shard", key, "value").repartition("shard").write.partitionBy("shard").parquet(folder)
     return Model(folder, shards, unseen)
 
 
@@ -174,9 +184,6 @@ class Reader:
     def __init__(self, model: Model, held: int = 2):
         self.model, self.held, self.cache = model, held, {}
         self.short = _read(f"{model.folder}/shard=-1")
-        pairs = _read(f"{model.folder}-pairs")
-        self.shard_of = np.full(1 << 16, 0, np.int32)
-        self.shard_of[pairs["pair"].to_numpy()] = pairs["shard"].to_numpy()
 
     def table(self, shard: int) -> CodeTable:
         if shard not in self.cache:
@@ -189,7 +196,7 @@ class Reader:
     def log_probabilities(self, code: np.ndarray) -> np.ndarray:
         """Of every character given up to four before it."""
         out = np.empty(len(code), np.float64)
-        shard = self.shard_of[(code >> WIDTH) & mask(2)]
+        shard = ((code >> WIDTH) & mask(2)) * SPREAD % PRIME % self.model.shards
         present = [0] if self.model.shards == 1 else np.unique(shard).tolist()
         # Those in memory first, so that each is read once a slice at most.
         for s in sorted(present, key=lambda s: s not in self.cache):
@@ -241,48 +248,48 @@ def calibration(doc_id: str = "doc_id") -> Column:
     return F.pmod(F.xxhash64(F.col(doc_id), F.lit(11)), F.lit(10)) == 0
 
 
-def quality(docs: DataFrame, labels: DataFrame, low: float = 0.005, high: float = 0.995, least_calibration: int = 50,
-            prior: float = 100.0) -> DataFrame:
+def quality(docs: DataFrame, labels: DataFrame, **limits) -> DataFrame:
     """doc_id, lang, perplexity, low_limit, high_limit, keep of every document."""
-    return judge(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text"), labels, low, high,
-                 least_calibration, prior).select("kept.doc_id", "kept.lang", "perplexity", "low_limit", "high_limit", "keep")
+    judged = judge(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text"), labels, **limits)
+    return judged.select("kept.doc_id", "kept.lang", "perplexity", "low_limit", "high_limit", "keep")
 
 
-def judge(docs: DataFrame, labels: DataFrame, low: float, high: float, least_calibration: int, prior: float) -> DataFrame:
+def judge(docs: DataFrame, labels: DataFrame, low: float = 0.005, high: float = 0.995, prior: float = 100.0,
+          weight: float = 100.0, margin: float = 0.5) -> DataFrame:
     """kept (a struct of all columns but ``text``), perplexity, limits and keep; texts need doc_id and lang beside them.
 
-    The limits come from a written table of perplexities. Where ``docs`` has
-    further columns, its texts are scored once more rather than written beside
-    their perplexities.
+    A short text's perplexity is uncertain: its logarithm is drawn towards the
+    language's mean by ``prior`` characters before it is held against the limits.
     """
     trusted = staged(labels.filter("quality is not null and doc_id is not null").groupBy("doc_id")
                      .agg(F.min("quality").alias("quality")).filter("quality = 1").select("doc_id"), "kn-trusted")
     train_ids = small_if(trusted.filter(~calibration()))
     model = train(docs.select("doc_id", "text").join(train_ids, "doc_id", "left_semi").select(text_column().alias("text")))
-    keyed = lambda df: df.withColumn("lang", F.col("kept.lang")).withColumn("doc_id", F.col("kept.doc_id"))
-    scored = keyed(staged(perplexities(docs.select("doc_id", "lang", "text"), model), "kn-scored"))
-    result = scored if set(docs.columns) == {"doc_id", "lang", "text"} else keyed(perplexities(docs, model))
-    known = (scored.filter("perplexity is not null").select("doc_id", "lang", "n_scored", "perplexity")
-             .join(small_if(trusted.filter(calibration())), "doc_id", "left_semi"))
-    def limits():
-        """The two quantiles, wider by what so few documents leave open: four standard errors of the logarithm."""
-        q = F.percentile_approx("drawn", [low, high], 100_000)
-        margin = F.exp(4 * F.stddev_pop(F.log("drawn")) / F.sqrt(F.count("drawn")))
-        return F.array(q[0] / margin, q[1] * margin)
-    # A short text's perplexity is uncertain: its logarithm is drawn towards the language's mean by ``prior`` characters.
-    means = known.groupBy("lang").agg(F.avg(F.log("perplexity")).alias("mean"), F.count("*").alias("n")).filter(
-        F.col("n") >= least_calibration).select(F.col("lang").alias("of_lang"), "mean")
-    mean_all = known.agg(F.avg(F.log("perplexity"))).first()[0]  # one number
-
-    def drawn(df):
-        wide = df.join(means, F.col("lang").eqNullSafe(F.col("of_lang")), "left")
-        mean = F.coalesce(F.col("mean"), F.lit(mean_all).cast("double"), F.log("perplexity"))
-        return wide.withColumn("drawn", F.exp(mean + (F.log("perplexity") - mean) * F.col("n_scored") / (F.col("n_scored") + prior)))
-    judged = drawn(known)
-    by_lang = judged.filter("mean is not null").groupBy("of_lang").agg(limits().alias("q")).withColumnRenamed("of_lang", "q_lang")
-    overall = F.lit(judged.agg(limits()).first()[0]).cast("array<double>")  # two numbers
-    inside = (F.col("drawn") >= F.col("q")[0]) & (F.col("drawn") <= F.col("q")[1])
-    return (drawn(result).join(by_lang, F.col("lang").eqNullSafe(F.col("q_lang")), "left")
-            .withColumn("q", F.coalesce(F.col("q"), overall))
-            .select("kept", "perplexity", F.col("q")[0].alias("low_limit"), F.col("q")[1].alias("high_limit"),
-                    (F.col("perplexity").isNotNull() & F.coalesce(inside, F.lit(True))).alias("keep")))
+    held = docs.select("doc_id", "lang", "text").join(small_if(trusted.filter(calibration())), "doc_id", "left_semi")
+    known = staged(perplexities(held, model).filter("perplexity is not null")
+                   .select("kept.lang", "n_scored", F.log("perplexity").alias("x")), "kn-calibration")
+    mean_all = known.agg(F.avg("x")).first()[0]  # one number
+    scored = perplexities(docs, model)
+    if mean_all is None:
+        none = F.lit(None).cast("double")
+        return scored.select("kept", "perplexity", none.alias("low_limit"), none.alias("high_limit"),
+                             F.col("perplexity").isNotNull().alias("keep"))
+    means = known.groupBy("lang").agg(((F.sum("x") + mean_all) / (F.count("*") + 1)).alias("mean"))
+    means = small_if(staged(means.withColumnRenamed("lang", "of_lang"), "kn-means"))
+    drawn = (F.col("x") - F.col("mean")) * F.col("n_scored") / (F.col("n_scored") + prior)
+    rest = staged(known.join(means, F.col("lang").eqNullSafe(F.col("of_lang"))).select("of_lang", "mean", drawn.alias("r")),
+                  "kn-rest")
+    q = F.percentile_approx("r", [low, high], 100_000)
+    (low_all, high_all), sd = rest.agg(q, F.stddev_pop("r")).first()  # three numbers
+    n = F.col("n")
+
+    def limit(k, pooled):
+        return F.exp(F.col("mean") + (n * F.col("q")[k] + weight * pooled) / (n + weight) + (2 * k - 1) * margin * sd)
+    by_lang = (rest.groupBy("of_lang").agg(F.first("mean").alias("mean"), F.count("*").alias("n"), q.alias("q"))
+               .select("of_lang", "mean", limit(0, low_all).alias("low_limit"), limit(1, high_all).alias("high_limit")))
+    common = {"mean": mean_all, "low_limit": float(np.exp(mean_all + low_all - margin * sd)),
+              "high_limit": float(np.exp(mean_all + high_all + margin * sd))}
+    judged = (scored.join(small_if(staged(by_lang, "kn-limits")), F.col("kept.lang").eqNullSafe(F.col("of_lang")), "left")
+              .fillna(common).withColumn("x", F.log("perplexity")).withColumn("drawn", F.exp(F.col("mean") + drawn)))
+    inside = F.col("drawn").between(F.col("low_limit"), F.col("high_limit"))
+    return judged.select("kept", "perplexity", "low_limit", "high_limit", F.coalesce(inside, F.lit(False)).alias("keep"))

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from riskweave.llm.code_table import CodeTable
-from riskweave.llm.kneser_ney import EXTRA, ORDER, Reader, discounts, ngram_codes, quality, train
+from riskweave.llm.kneser_ney import EXTRA, ORDER, SYMBOLS, Reader, calibration, discounts, ngram_codes, quality, train
 from riskweave.llm.toxicity import (COST_DROP, COST_IMITATE, COST_KEEP, COST_REPEAT, IMITATIONS, CharModel, Restorer,
                                     count_characters, fit, toxicity)
 
@@ -135,7 +135,7 @@ def _brute_kn(texts):
 
     def p(h, w):
         k = len(h) + 1
-        lower = 1 / 256 if k == 1 else p(h[1:], w)
+        lower = 1 / SYMBOLS if k == 1 else p(h[1:], w)
         if not total[k][h]:
             return lower
         c = grams[k][h + (w,)]
@@ -158,7 +158,7 @@ def test_probabilities_by_the_definition(spark, shard_rows):
         line = [0] * (ORDER - 1) + [symbol(c) for c in t]
         want += [math.log(p(tuple(line[i - ORDER + 1:i]), line[i])) for i in range(ORDER - 1, len(line))]
     assert np.allclose(got, want, atol=1e-4)
-    total = sum(p(tuple([0] * (ORDER - 1)), w) for w in range(256))
+    total = sum(p(tuple([0] * (ORDER - 1)), w) for w in range(SYMBOLS))
     assert abs(total - 1) < 1e-9
 
 
@@ -258,3 +258,46 @@ def test_all_cues_that_pass_are_kept(spark):
     labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
     model = fit(docs, labels)
     assert {"=" + w for w in words} <= set(model.share) and "=words" not in model.share
+
+
+def test_scripts_are_told_apart():
+    texts = ["\u3053\u3093\u306b\u3061\u306f", "\uc548\ub155\ud558\uc138\uc694", "\u043f\u0440\u0438\u0432\u0435", "\u03b1\u03b2\u03b3\u03b4\u03b5"]
+    codes, offsets = ngram_codes(texts)
+    assert len({tuple(codes[a:z]) for a, z in zip(offsets, offsets[1:])}) == len(texts)
+    assert len(set(codes.tolist())) == sum(map(len, texts)) and codes.min() >= 0 and codes.max() < 1 << 55
+
+
+def test_limits_by_a_plain_version(spark):
+    """Levels and limits by language, recomputed from the perplexities; small languages have limits of their own."""
+    rng = random.Random(21)
+    sizes = {"en": 900, "de": 60, None: 40, "fr": 15}
+    rows = [(lang, _text(rng, rng.randint(5, 60)) + ("!" if lang == "en" else " ," * 5)) for lang, n in sizes.items() for _ in range(n)]
+    docs = spark.createDataFrame([(i, t, lang) for i, (lang, t) in enumerate(rows)] + [(9000, "words of no known language", "zz")],
+                                 "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1) for i in range(len(rows))], "doc_id long, quality int")
+    got = {r["doc_id"]: r for r in quality(docs, labels).collect()}
+    held = {r["doc_id"] for r in labels.filter(calibration()).collect()}
+    log = {i: math.log(r["perplexity"]) for i, r in got.items()}
+    mean_all = sum(log[i] for i in held) / len(held)
+    by_lang = {lang: [i for i in held if got[i]["lang"] == lang] for lang in sizes}
+    mean = {lang: (sum(log[i] for i in at) + mean_all) / (len(at) + 1) for lang, at in by_lang.items()}
+
+    def drawn(i):
+        n = len(rows[i][1])
+        return (log[i] - mean[got[i]["lang"]]) * n / (n + 100)
+
+    def quantiles(values):
+        values = sorted(values)
+        return [values[max(0, math.ceil(p * len(values)) - 1)] for p in (0.005, 0.995)]
+    pooled, sd = quantiles(map(drawn, held)), float(np.std([drawn(i) for i in held]))
+    for i in range(len(rows)):
+        lang = got[i]["lang"]
+        at = by_lang[lang]
+        own = quantiles(map(drawn, at)) if at else pooled
+        low, high = (mean[lang] + (len(at) * own[k] + 100 * pooled[k]) / (len(at) + 100) + (2 * k - 1) * sd / 2 for k in (0, 1))
+        assert math.log(got[i]["low_limit"]) == pytest.approx(low, abs=1e-9)
+        assert math.log(got[i]["high_limit"]) == pytest.approx(high, abs=1e-9)
+        assert got[i]["keep"] == (low <= mean[lang] + drawn(i) <= high)
+    for lang, n in sizes.items():
+        assert sum(got[i]["keep"] for i in range(len(rows)) if got[i]["lang"] == lang) >= 0.9 * n
+    assert math.log(got[9000]["high_limit"]) == pytest.approx(mean_all + pooled[1] + sd / 2, abs=1e-9)
