@@ -7,7 +7,6 @@ that a document table has besides, under whatever name, pass through.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,17 +32,14 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose perplexity lies within the limits of their language."""
     found = judge(docs.select(_whole(docs), "doc_id", "lang", "text"),
-                  read_table(spark, sf_dir, "labels").select("doc_id", "quality"),
-                  low=0.005, high=0.995, least_calibration=50, prior=100.0)
+                  read_table(spark, sf_dir, "labels").select("doc_id", "quality"))
     return found.filter("keep").select("kept.whole.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each class of near duplicates the document with the smallest id (of equal ids the first row)."""
-    try:  # a table's rows are named by file and place
-        rows = docs.select(_whole(docs), F.xxhash64("_metadata.file_path", "_metadata.row_index").alias("row"))
-    except AnalysisException:  # not a file table: numbered in a written copy
-        rows = staged(docs.select(_whole(docs), F.monotonically_increasing_id().alias("row")), "pipeline-rows")
+    # Rows are numbered in a written copy, so that no two share a name and a repeated task gives the same ones.
+    rows = staged(docs.select(_whole(docs), F.monotonically_increasing_id().alias("row")), "pipeline-rows")
     texts = rows.select("row", text_column("whole.text").alias("text"))
     found = near_duplicates(texts, id_col="row").filter("n_links > 0").select("row", "class_id")
     members = staged(found.join(rows.select("row", F.col("whole.doc_id").alias("doc_id")), "row"), "pipeline-members")
