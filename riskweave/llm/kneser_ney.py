@@ -10,14 +10,14 @@ a prediction are in one shard. Tasks join their texts with one shard after
 another and sum the log probabilities of a document, so no text is shuffled and
 no task holds more than a shard.
 
-A tenth of the trusted documents is left out of the counts and sets the limits.
-The logarithms of its perplexities are centred by language. A language's
+A tenth of the trusted documents is left out of the counts and sets the upper
+limits; the others, which the model knows and finds likelier, set the lower
+ones. The logarithms of perplexities are centred by language. A language's
 quantiles of what remains are drawn towards those of all languages by ``weight``
-documents, and both limits are ``margin`` standard deviations wider at every
-size, so a language of few documents is judged by its own level and the common
-spread. Junk is unlikely text (above the upper limit) or text that repeats
-itself (below the lower one). Only these documents are scored before the limits
-are known, so every text is scored once.
+documents, and those towards a normal distribution's by as many; each limit is
+``margin`` standard deviations wider at every size, so a language of few
+documents is judged by its own level and the common spread. Junk is unlikely
+text (above the upper limit) or text that repeats itself (below the lower one).
 
 Edge cases: null and empty texts have no perplexity (null) and are not kept; a
 null language is a language of its own; a language without calibration
@@ -29,6 +29,7 @@ all of them are.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -265,31 +266,47 @@ def judge(docs: DataFrame, labels: DataFrame, low: float = 0.005, high: float =
                      .agg(F.min("quality").alias("quality")).filter("quality = 1").select("doc_id"), "kn-trusted")
     train_ids = small_if(trusted.filter(~calibration()))
     model = train(docs.select("doc_id", "text").join(train_ids, "doc_id", "left_semi").select(text_column().alias("text")))
-    held = docs.select("doc_id", "lang", "text").join(small_if(trusted.filter(calibration())), "doc_id", "left_semi")
+    held = docs.select("doc_id", "lang", "text").join(small_if(trusted), "doc_id", "left_semi")
     known = staged(perplexities(held, model).filter("perplexity is not null")
-                   .select("kept.lang", "n_scored", F.log("perplexity").alias("x")), "kn-calibration")
-    mean_all = known.agg(F.avg("x")).first()[0]  # one number
+                   .select("kept.lang", "n_scored", F.log("perplexity").alias("x"), calibration("kept.doc_id").alias("left_out")),
+                   "kn-calibration")
     scored = perplexities(docs, model)
-    if mean_all is None:
+    seen, unseen = (_levels(known.filter(rows), (low, high), prior, weight, margin) for rows in ("not left_out", "left_out"))
+    if seen is None or unseen is None:
         none = F.lit(None).cast("double")
         return scored.select("kept", "perplexity", none.alias("low_limit"), none.alias("high_limit"),
                              F.col("perplexity").isNotNull().alias("keep"))
-    means = known.groupBy("lang").agg(((F.sum("x") + mean_all) / (F.count("*") + 1)).alias("mean"))
-    means = small_if(staged(means.withColumnRenamed("lang", "of_lang"), "kn-means"))
-    drawn = (F.col("x") - F.col("mean")) * F.col("n_scored") / (F.col("n_scored") + prior)
-    rest = staged(known.join(means, F.col("lang").eqNullSafe(F.col("of_lang"))).select("of_lang", "mean", drawn.alias("r")),
+    judged = scored.withColumn("x", F.log("perplexity"))
+    for (table, common), side in ((seen, "low"), (unseen, "high")):
+        own = table.select("of_lang", "mean", f"{side}_limit")
+        judged = (judged.join(own, F.col("kept.lang").eqNullSafe(F.col("of_lang")), "left").drop("of_lang")
+                  .fillna({c: common[c] for c in ("mean", f"{side}_limit")})
+                  .withColumn(f"drawn_{side}", F.exp(F.col("mean") + _drawn(prior))).drop("mean"))
+    inside = (F.col("drawn_low") >= F.col("low_limit")) & (F.col("drawn_high") <= F.col("high_limit"))
+    return judged.select("kept", "perplexity", "low_limit", "high_limit", F.coalesce(inside, F.lit(False)).alias("keep"))
+
+
+def _drawn(prior: float) -> Column:
+    return (F.col("x") - F.col("mean")) * F.col("n_scored") / (F.col("n_scored") + prior)
+
+
+def _levels(known: DataFrame, shares: tuple, prior: float, weight: float, margin: float):
+    """(of_lang, mean, low_limit, high_limit) by language, and the same for languages that are not there; None without rows."""
+    mean_all = known.agg(F.avg("x")).first()[0]  # one number
+    if mean_all is None:
+        return None
+    means = small_if(staged(known.groupBy(F.col("lang").alias("of_lang")).agg(F.avg("x").alias("mean")), "kn-means"))
+    rest = staged(known.join(means, F.col("lang").eqNullSafe(F.col("of_lang"))).select("of_lang", "mean", _drawn(prior).alias("r")),
                   "kn-rest")
-    q = F.percentile_approx("r", [low, high], 100_000)
-    (low_all, high_all), sd = rest.agg(q, F.stddev_pop("r")).first()  # three numbers
+    q = F.percentile_approx("r", list(shares), 100_000)
+    own_all, sd, n_all = rest.agg(q, F.stddev_pop("r"), F.count("r")).first()  # four numbers
+    pooled = [(n_all * own + weight * NormalDist().inv_cdf(p) * sd) / (n_all + weight) for own, p in zip(own_all, shares)]
     n = F.col("n")
 
-    def limit(k, pooled):
-        return F.exp(F.col("mean") + (n * F.col("q")[k] + weight * pooled) / (n + weight) + (2 * k - 1) * margin * sd)
+    def limit(k):
+        return F.exp(F.col("mean") + (n * F.col("q")[k] + weight * pooled[k]) / (n + weight) + (2 * k - 1) * margin * sd)
     by_lang = (rest.groupBy("of_lang").agg(F.first("mean").alias("mean"), F.count("*").alias("n"), q.alias("q"))
-               .select("of_lang", "mean", limit(0, low_all).alias("low_limit"), limit(1, high_all).alias("high_limit")))
-    common = {"mean": mean_all, "low_limit": float(np.exp(mean_all + low_all - margin * sd)),
-              "high_limit": float(np.exp(mean_all + high_all + margin * sd))}
-    judged = (scored.join(small_if(staged(by_lang, "kn-limits")), F.col("kept.lang").eqNullSafe(F.col("of_lang")), "left")
-              .fillna(common).withColumn("x", F.log("perplexity")).withColumn("drawn", F.exp(F.col("mean") + drawn)))
-    inside = F.col("drawn").between(F.col("low_limit"), F.col("high_limit"))
-    return judged.select("kept", "perplexity", "low_limit", "high_limit", F.coalesce(inside, F.lit(False)).alias("keep"))
+               .select("of_lang", "mean", limit(0).alias("low_limit"), limit(1).alias("high_limit")))
+    common = {"mean": mean_all, "low_limit": float(np.exp(mean_all + pooled[0] - margin * sd)),
+              "high_limit": float(np.exp(mean_all + pooled[1] + margin * sd))}
+    return small_if(staged(by_lang, "kn-limits")), common

@@ -278,26 +278,32 @@ def test_limits_by_a_plain_version(spark):
     got = {r["doc_id"]: r for r in quality(docs, labels).collect()}
     held = {r["doc_id"] for r in labels.filter(calibration()).collect()}
     log = {i: math.log(r["perplexity"]) for i, r in got.items()}
-    mean_all = sum(log[i] for i in held) / len(held)
-    by_lang = {lang: [i for i in held if got[i]["lang"] == lang] for lang in sizes}
-    mean = {lang: (sum(log[i] for i in at) + mean_all) / (len(at) + 1) for lang, at in by_lang.items()}
-
-    def drawn(i):
-        n = len(rows[i][1])
-        return (log[i] - mean[got[i]["lang"]]) * n / (n + 100)
-
     def quantiles(values):
         values = sorted(values)
         return [values[max(0, math.ceil(p * len(values)) - 1)] for p in (0.005, 0.995)]
-    pooled, sd = quantiles(map(drawn, held)), float(np.std([drawn(i) for i in held]))
+
+    def side(ids, k):
+        """Level by language, limit by language, limit of other languages; k: 0 lower, 1 upper."""
+        mean_all = sum(log[i] for i in ids) / len(ids)
+        by_lang = {lang: [i for i in ids if got[i]["lang"] == lang] for lang in sizes}
+        mean = {lang: sum(log[i] for i in at) / len(at) if at else mean_all for lang, at in by_lang.items()}
+        rest = {i: (log[i] - mean[got[i]["lang"]]) * len(rows[i][1]) / (len(rows[i][1]) + 100) for i in ids}
+        sd, z = float(np.std(list(rest.values()))), 2.5758293035489004 * (2 * k - 1)
+        pooled = (len(ids) * quantiles(rest.values())[k] + 100 * z * sd) / (len(ids) + 100)
+        wide = (2 * k - 1) * sd / 2
+        limit = {}
+        for lang, at in by_lang.items():
+            own = quantiles(rest[i] for i in at)[k] if at else 0.0
+            limit[lang] = mean[lang] + (len(at) * own + 100 * pooled) / (len(at) + 100) + wide
+        return mean, limit, mean_all + pooled + wide
+    (mean0, low, low_all), (mean1, high, high_all) = side(sorted(set(range(len(rows))) - held), 0), side(sorted(held), 1)
     for i in range(len(rows)):
-        lang = got[i]["lang"]
-        at = by_lang[lang]
-        own = quantiles(map(drawn, at)) if at else pooled
-        low, high = (mean[lang] + (len(at) * own[k] + 100 * pooled[k]) / (len(at) + 100) + (2 * k - 1) * sd / 2 for k in (0, 1))
-        assert math.log(got[i]["low_limit"]) == pytest.approx(low, abs=1e-9)
-        assert math.log(got[i]["high_limit"]) == pytest.approx(high, abs=1e-9)
-        assert got[i]["keep"] == (low <= mean[lang] + drawn(i) <= high)
+        lang, n = got[i]["lang"], len(rows[i][1])
+        assert math.log(got[i]["low_limit"]) == pytest.approx(low[lang], abs=1e-9)
+        assert math.log(got[i]["high_limit"]) == pytest.approx(high[lang], abs=1e-9)
+        drawn = [m[lang] + (log[i] - m[lang]) * n / (n + 100) for m in (mean0, mean1)]
+        assert got[i]["keep"] == (low[lang] <= drawn[0] and drawn[1] <= high[lang])
     for lang, n in sizes.items():
         assert sum(got[i]["keep"] for i in range(len(rows)) if got[i]["lang"] == lang) >= 0.9 * n
-    assert math.log(got[9000]["high_limit"]) == pytest.approx(mean_all + pooled[1] + sd / 2, abs=1e-9)
+    assert math.log(got[9000]["low_limit"]) == pytest.approx(low_all, abs=1e-9)
+    assert math.log(got[9000]["high_limit"]) == pytest.approx(high_all, abs=1e-9)
