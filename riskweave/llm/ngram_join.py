@@ -229,25 +229,42 @@ def candidate_links(classes: DataFrame, similarity: float, recall: float, limit:
     doubt = sure + agreement_needed(similarity, spare) - POSITIONS
 
     def against_pivots(batches):
+        """A bucket's classes against its pivots; ``label``: a class that it is joined to, the same for all that a chain of pivots joins."""
         for b in batches:
             n = b.num_rows
             mine = signatures(b.column("sig"))
             theirs = signatures(b.column("pivot_sig")).reshape(n, PIVOTS, POSITIONS)
             agree = (mine[:, None, :] == theirs).sum(axis=2)
             ids = b.column("pivots").flatten().to_numpy().reshape(n, PIVOTS)
-            who, k = np.nonzero(agree >= loose)
+            told = b.column("pivot_labels").flatten().to_numpy().reshape(n, PIVOTS)
+            first, which = np.unique(b.column("node").to_numpy(), return_index=True, return_inverse=True)[1:]
+            joined = np.stack([(theirs[first] == theirs[first, k, None]).sum(axis=2) >= loose for k in range(PIVOTS)], axis=1)
+            joined |= told[first][:, :, None] == told[first][:, None, :]
+            for _ in range(2):  # chains of all four
+                joined = (joined[:, :, :, None] & joined[:, None, :, :]).any(axis=2)
+            joined = joined[which]
+            label = b.column("label").to_numpy()
+            near = agree >= loose
+            reach = (joined & (near | (told == label[:, None]))[:, :, None]).any(axis=1)
+            label = np.where(reach.any(axis=1), np.where(reach, told, np.iinfo(np.int64).max).min(axis=1), label)
+            # One link to all pivots that are joined; the pivots' own rows have the links that join them.
+            earlier = (near[:, :, None] & joined & np.triu(np.ones((PIVOTS, PIVOTS), bool), 1)).any(axis=1)
+            near &= ~earlier | (ids == b.column("cid").to_numpy()[:, None]).any(axis=1)[:, None]
+            who, k = np.nonzero(near)
             yield pa.RecordBatch.from_arrays(
-                [b.column("node"), b.column("cid"), pa.array(agree.max(axis=1) >= sure),
-                 pa.array(((agree >= doubt) & (agree < loose)).any(axis=1)),
-                 pa.ListArray.from_arrays(pa.array(exclusive_sum((agree >= loose).sum(axis=1)), pa.int32()), pa.array(ids[who, k]))],
-                names=["node", "cid", "settled", "doubtful", "near"])
+                [b.column("node"), b.column("cid"), pa.array(label), pa.array(agree.max(axis=1) >= sure),
+                 pa.array(((agree >= doubt) & ~reach).any(axis=1)),
+                 pa.ListArray.from_arrays(pa.array(exclusive_sum(near.sum(axis=1)), pa.int32()), pa.array(ids[who, k]))],
+                names=["node", "cid", "label", "settled", "doubtful", "near"])
 
     sig = classes.select("cid", "sig")
     paths = classes.select("cid", F.explode(F.array(*(F.xxhash64(F.lit(r), F.lit(p), token(p)) for r, p in chosen)))
-                           .alias("node"))
+                           .alias("node"), F.col("cid").alias("label"))
     links = []
     for level in range(levels + 1):
-        sizes = paths.groupBy("node").agg(F.count("*").alias("n")).filter("n > 1")
+        # A bucket whose classes are all joined already has no link to find.
+        sizes = (paths.groupBy("node").agg(F.count("*").alias("n"), (F.min("label") < F.max("label")).alias("parted"))
+                 .filter("parted").drop("parted"))
         alive = staged(paths.join(sizes, "node"), f"join-paths-{level}")
         small = alive.filter(F.col("n") <= limit).join(sig, "cid").select("node", "cid", "sig")
         links.append(staged(small.repartition("node").sortWithinPartitions("node", "cid").mapInArrow(brute, schema).distinct(),
@@ -256,32 +273,46 @@ def candidate_links(classes: DataFrame, similarity: float, recall: float, limit:
         if large.isEmpty():
             break
         # The classes with the smallest hashes, so that buckets of one group tend to share their pivots.
-        pivots = large.groupBy("node").agg(*(F.min_by("cid", F.xxhash64("cid", F.lit(level * PIVOTS + k))).alias(f"p{k}")
+        pivots = large.groupBy("node").agg(*(F.min_by(F.struct("cid", "label"), F.xxhash64("cid", F.lit(level * PIVOTS + k))).alias(f"m{k}")
                                              for k in range(PIVOTS)))
+        pivots = pivots.select("node", *(F.col(f"m{k}.cid").alias(f"p{k}") for k in range(PIVOTS)),
+                               *(F.col(f"m{k}.label").alias(f"l{k}") for k in range(PIVOTS)))
         for k in range(PIVOTS):
             pivots = pivots.join(sig.select(F.col("cid").alias(f"p{k}"), F.col("sig").alias(f"s{k}")), f"p{k}")
-        names = [[f"{x}{k}" for k in range(PIVOTS)] for x in "ps"]
-        pivots = pivots.select("node", F.array(*names[0]).alias("pivots"), F.concat(*names[1]).alias("pivot_sig"))
-        judged = staged(large.join(sig, "cid").join(pivots, "node").select("node", "cid", "sig", "pivots", "pivot_sig")
-                        .mapInArrow(against_pivots, "node long, cid long, settled boolean, doubtful boolean, near array<long>"), f"join-judged-{level}")
+        names = [[f"{x}{k}" for k in range(PIVOTS)] for x in "pls"]
+        pivots = pivots.select("node", F.array(*names[0]).alias("pivots"), F.array(*names[1]).alias("pivot_labels"),
+                               F.concat(*names[2]).alias("pivot_sig"))
+        judged = staged(large.join(sig, "cid").join(pivots, "node").select("node", "cid", "label", "sig", "pivots", "pivot_labels", "pivot_sig")
+                        .mapInArrow(against_pivots, "node long, cid long, label long, settled boolean, doubtful boolean, near array<long>"),
+                        f"join-judged-{level}")
         links.append(judged.select(F.explode("near").alias("a"), F.col("cid").alias("b")).filter("a <> b").distinct())
-        rest = judged.filter("not settled").select("node", "cid")
+        # Only classes that are not joined yet have links to find, where one of the two is open.
+        parts = (judged.groupBy("node", "label").agg(F.count("*").alias("n"), F.count_if(F.expr("doubtful or not settled")).alias("open"))
+                 .groupBy("node").agg(F.max_by("label", "n").alias("main"), (F.sum("n") - F.max("n")).alias("others"), F.sum("open").alias("open")))
+        parts = small_if(staged(parts.filter("others > 0 and open > 0").drop("open"), f"join-parts-{level}"))
+        parted = judged.join(parts, "node").select("node", "cid", "label", "main", "others", "settled", "doubtful",
+                                                   F.expr("doubtful or not settled").alias("open"))
+        few, many = parted.filter(F.col("others") <= 8 * limit), parted.filter(F.col("others") > 8 * limit)
+        # What is open outside a bucket's largest part asks all; what is open inside asks the settled ones outside.
+        links.append(_blocks(few.select("node", "cid", F.expr("open and label <> main").alias("asks")), sig, least, limit))
+        links.append(_blocks(few.filter("open = (label = main)").select("node", "cid", F.col("open").alias("asks")), sig, least, limit))
+        rest = many.filter("not settled").select("node", "cid", "label")
         # Further splits are worth their shuffle only where blocks alone would be many.
         most = rest.groupBy("node").count().agg(F.max("count")).first()[0]
         if most is None or level == levels or most <= 8 * limit:
-            links.append(_blocks(judged.select("node", "cid", F.expr("doubtful or not settled").alias("asks")), sig, least, limit))
+            links.append(_blocks(many.select("node", "cid", F.expr("doubtful or not settled").alias("asks")), sig, least, limit))
             break
         # A settled class goes no further: what may be similar to it and has no link to its pivot meets it here.
-        links.append(_blocks(judged.filter("settled or doubtful").select("node", "cid", F.col("doubtful").alias("asks")),
+        links.append(_blocks(many.filter("settled or doubtful").select("node", "cid", F.col("doubtful").alias("asks")),
                              sig, least, limit))
         # Distinct positions, as an odd step is no divisor of their number.
         part = 10_000
         picks = F.expr(f"transform(sequence(1, {int(fan)} + int(pmod(xxhash64(node, 0), {part}) < {int(part * (fan % 1))})), "
                        f"k -> int(pmod(pmod(xxhash64(node, 1), {POSITIONS}) + k * (2 * pmod(xxhash64(node, 2), {POSITIONS // 2}) + 1), "
                        f"{POSITIONS})))")
-        children = rest.select("node", "cid", picks.alias("picks")).join(sig, "cid").select(
-            "node", "cid", "sig", F.explode("picks").alias("p"))
-        paths = children.select("cid", F.xxhash64("node", "p", token("p")).alias("node"))
+        children = rest.select("node", "cid", "label", picks.alias("picks")).join(sig, "cid").select(
+            "node", "cid", "label", "sig", F.explode("picks").alias("p"))
+        paths = children.select("cid", F.xxhash64("node", "p", token("p")).alias("node"), "label")
     out = links[0]
     for x in links[1:]:
         out = out.union(x)

@@ -139,3 +139,28 @@ def test_doubtful_classes_meet_the_settled_ones(spark):
     links = ngram_join.candidate_links(frame, 0.8, 0.9999, limit=1, levels=6, slack=0.25)
     label = {r["node"]: r["label"] for r in components(links).collect()}
     assert label[60] == label[61]
+
+
+def test_joined_classes_ask_each_other_no_more(spark, monkeypatch):
+    """One group of near copies that no pivot settles, and pairs beside it that share its buckets: no split multiplies the group."""
+    from riskweave.llm import ngram_join
+    rng, n = np.random.default_rng(3), 300
+    base = np.arange(64, dtype=np.uint32)
+    group = np.where(rng.random((n, 64)) < 0.8, base, rng.integers(10 ** 6, 10 ** 9, (n, 64))).astype(np.uint32)
+    one = np.where(rng.random((5, 64)) < 0.3, base, rng.integers(10 ** 6, 10 ** 9, (5, 64))).astype(np.uint32)
+    two = one.copy()
+    two[:, :8] = 7
+    sigs = [*group, *(s for pair in zip(one, two) for s in pair)]
+    frame = spark.createDataFrame([(k, bytearray(s.tobytes())) for k, s in enumerate(sigs)], "cid long, sig binary").localCheckpoint()
+    rows, kept = {}, ngram_join.staged
+
+    def counted(df, name):
+        out = kept(df, name)
+        rows[name] = out.count()
+        return out
+    monkeypatch.setattr(ngram_join, "staged", counted)
+    links = ngram_join.candidate_links(frame, 0.8, 0.9999, limit=4, levels=6, slack=0.25)
+    label = {r["node"]: r["label"] for r in components(links).collect()}
+    assert len({label[k] for k in range(n)}) == 1
+    assert all(label[n + 2 * k] == label[n + 2 * k + 1] for k in range(5))
+    assert sum(v for k, v in rows.items() if k.startswith("join-paths")) <= 13 * len(sigs) and links.count() <= 13 * len(sigs)
