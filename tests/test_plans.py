@@ -37,3 +37,12 @@ def test_feature_table_shares_the_link_shuffle(spark):
     link_scans = [s for s in re.findall(r"FileScan parquet \[([^\]]*)\]", plan)
                   if re.sub(r"#\d+L?", "", s) == "o_orderkey,o_custkey"]
     assert len(link_scans) == 1          # the (client, loan) links are read and shuffled once
+
+
+def test_rows_are_shuffled_instead_of_wide_buffers(spark):
+    from riskweave.operators import aggregate as agg
+    plan = _plan(entry.queries()["link_join"](spark, SF_SMALL))
+    assert len(re.findall(r"Exchange hashpartitioning\(", plan)) == 1  # instalments by loan; the few links are broadcast
+    rows = spark.createDataFrame([(1, 2.0)] * 5 + [(2, 1.0), (None, 1.0)], "k long, x double")
+    assert "REPARTITION_BY_COL" in _plan(agg.rows_by_key(rows, "k"))
+    assert "REPARTITION_BY_COL" not in _plan(agg.rows_by_key(rows, "k", hot_rows=4))  # a hot key is combined first
