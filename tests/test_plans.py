@@ -46,3 +46,17 @@ def test_rows_are_shuffled_instead_of_wide_buffers(spark):
     rows = spark.createDataFrame([(1, 2.0)] * 5 + [(2, 1.0), (None, 1.0)], "k long, x double")
     assert "REPARTITION_BY_COL" in _plan(agg.rows_by_key(rows, "k"))
     assert "REPARTITION_BY_COL" not in _plan(agg.rows_by_key(rows, "k", hot_rows=4))  # a hot key is combined first
+
+
+def test_selection_reads_the_features_once(spark, monkeypatch):
+    from riskweave.operators import select as SEL
+
+    class Seen(Exception):
+        pass
+
+    def seen(df, *args, **kwargs):
+        raise Seen("InMemory" in _plan(df))
+    monkeypatch.setattr(SEL, "remove_high_missing", seen)
+    train = spark.createDataFrame([(1, 0, 0, 1.0), (2, 1, 1, 2.0)], "id long, fold int, y int, x double")
+    with pytest.raises(Seen, match="True"):
+        SEL.select_optimal_features(train, "y", "id")
