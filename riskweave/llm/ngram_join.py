@@ -285,7 +285,6 @@ def candidate_links(classes: DataFrame, similarity: float, recall: float, limit:
         judged = staged(large.join(sig, "cid").join(pivots, "node").select("node", "cid", "label", "sig", "pivots", "pivot_labels", "pivot_sig")
                         .mapInArrow(against_pivots, "node long, cid long, label long, settled boolean, doubtful boolean, near array<long>"),
                         f"join-judged-{level}")
-        links.append(judged.select(F.explode("near").alias("a"), F.col("cid").alias("b")).filter("a <> b").distinct())
         # Only classes that are not joined yet have links to find, where one of the two is open.
         parts = (judged.groupBy("node", "label").agg(F.count("*").alias("n"), F.count_if(F.expr("doubtful or not settled")).alias("open"))
                  .groupBy("node").agg(F.max_by("label", "n").alias("main"), (F.sum("n") - F.max("n")).alias("others"), F.sum("open").alias("open")))
@@ -293,18 +292,22 @@ def candidate_links(classes: DataFrame, similarity: float, recall: float, limit:
         parted = judged.join(parts, "node").select("node", "cid", "label", "main", "others", "settled", "doubtful",
                                                    F.expr("doubtful or not settled").alias("open"))
         few, many = parted.filter(F.col("others") <= 8 * limit), parted.filter(F.col("others") > 8 * limit)
-        # What is open outside a bucket's largest part asks all; what is open inside asks the settled ones outside.
-        links.append(_blocks(few.select("node", "cid", F.expr("open and label <> main").alias("asks")), sig, least, limit))
-        links.append(_blocks(few.filter("open = (label = main)").select("node", "cid", F.col("open").alias("asks")), sig, least, limit))
         rest = many.filter("not settled").select("node", "cid", "label")
         # Further splits are worth their shuffle only where blocks alone would be many.
         most = rest.groupBy("node").count().agg(F.max("count")).first()[0]
-        if most is None or level == levels or most <= 8 * limit:
-            links.append(_blocks(many.select("node", "cid", F.expr("doubtful or not settled").alias("asks")), sig, least, limit))
-            break
+        last = most is None or level == levels or most <= 8 * limit
+        # What is open outside a bucket's largest part asks all; what is open inside asks the settled ones outside.
+        outside = few.select("node", "cid", F.expr("open and label <> main").alias("asks"))
+        inside = few.filter("open = (label = main)").select(F.xxhash64("node", F.lit("inside")).alias("node"), "cid", F.col("open").alias("asks"))
         # A settled class goes no further: what may be similar to it and has no link to its pivot meets it here.
-        links.append(_blocks(many.filter("settled or doubtful").select("node", "cid", F.col("doubtful").alias("asks")),
-                             sig, least, limit))
+        beyond = (many.select("node", "cid", F.col("open").alias("asks")) if last
+                  else many.filter("settled or doubtful").select("node", "cid", F.col("doubtful").alias("asks")))
+        # Written level by level: one plan of all levels takes hundreds of MB of the driver.
+        met = _blocks(outside.union(inside).union(beyond), sig, least, limit)
+        links.append(staged(judged.select(F.explode("near").alias("a"), F.col("cid").alias("b")).filter("a <> b").union(met).distinct(),
+                            f"join-met-{level}"))
+        if last:
+            break
         # Distinct positions, as an odd step is no divisor of their number.
         part = 10_000
         picks = F.expr(f"transform(sequence(1, {int(fan)} + int(pmod(xxhash64(node, 0), {part}) < {int(part * (fan % 1))})), "
@@ -316,7 +319,7 @@ def candidate_links(classes: DataFrame, similarity: float, recall: float, limit:
     out = links[0]
     for x in links[1:]:
         out = out.union(x)
-    return out.distinct()
+    return staged(out.distinct(), "join-candidates")
 
 
 def _blocks(rest: DataFrame, sig: DataFrame, least: int, limit: int) -> DataFrame:

@@ -164,3 +164,21 @@ def test_joined_classes_ask_each_other_no_more(spark, monkeypatch):
     assert len({label[k] for k in range(n)}) == 1
     assert all(label[n + 2 * k] == label[n + 2 * k + 1] for k in range(5))
     assert sum(v for k, v in rows.items() if k.startswith("join-paths")) <= 13 * len(sigs)
+
+
+def test_no_plan_spans_the_levels(spark, monkeypatch):
+    """Every level writes its links; a plan that holds all levels grows the driver."""
+    from riskweave.llm import ngram_join
+    rng, n = np.random.default_rng(11), 400
+    one = rng.integers(0, 4, (n, 64)).astype(np.uint32)
+    frame = spark.createDataFrame([(k, bytearray(s.tobytes())) for k, s in enumerate(one)], "cid long, sig binary").localCheckpoint()
+    joins, kept = {}, ngram_join.staged
+
+    def counted(df, name):
+        joins[name] = df._jdf.queryExecution().optimizedPlan().toString().count("Join ")
+        return kept(df, name)
+    monkeypatch.setattr(ngram_join, "staged", counted)
+    links = ngram_join.candidate_links(frame, 0.8, 0.9999, limit=1, levels=3, slack=0.25)
+    assert sum(name.startswith("join-judged") for name in joins) >= 3
+    assert max(joins.values()) <= 16
+    assert "Join " not in links._jdf.queryExecution().optimizedPlan().toString()
