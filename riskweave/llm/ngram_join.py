@@ -149,6 +149,24 @@ def spanning(linked: np.ndarray) -> np.ndarray:
         label = now
 
 
+def forest(batches):
+    """Links that join the same nodes as those of each batch, one less than the nodes they join."""
+    for b in batches:
+        nodes, ends = np.unique(np.concatenate([b.column("a").to_numpy(), b.column("b").to_numpy()]), return_inverse=True)
+        one, two = ends[:b.num_rows], ends[b.num_rows:]
+        label = np.arange(len(nodes))
+        while True:
+            now, low = label.copy(), np.minimum(label[one], label[two])
+            np.minimum.at(now, one, low)
+            np.minimum.at(now, two, low)
+            now = now[now]
+            if (now == label).all():
+                break
+            label = now
+        off = label != np.arange(len(nodes))
+        yield pa.RecordBatch.from_arrays([pa.array(nodes[label[off]]), pa.array(nodes[off])], names=["a", "b"])
+
+
 def signatures(column) -> np.ndarray:
     joined = b"".join(column.to_pylist())
     return np.frombuffer(joined, np.uint32).reshape(-1, POSITIONS)
@@ -272,6 +290,9 @@ def candidate_links(classes: DataFrame, similarity: float, recall: float, limit:
         large = alive.filter(F.col("n") > limit)
         if large.isEmpty():
             break
+        # From here on only these classes are compared; the others' signatures need no more shuffles.
+        sig = staged(sig.join(small_if(staged(large.select("cid").distinct(), f"join-open-{level}")), "cid", "left_semi"),
+                     f"join-signatures-{level}")
         # The classes with the smallest hashes, so that buckets of one group tend to share their pivots.
         pivots = large.groupBy("node").agg(*(F.min_by(F.struct("cid", "label"), F.xxhash64("cid", F.lit(level * PIVOTS + k))).alias(f"m{k}")
                                              for k in range(PIVOTS)))
@@ -319,7 +340,8 @@ def candidate_links(classes: DataFrame, similarity: float, recall: float, limit:
     out = links[0]
     for x in links[1:]:
         out = out.union(x)
-    return staged(out.distinct(), "join-candidates")
+    # A class has many links to the pivots of its group: next to those of other classes, few of them join something new.
+    return staged(out.repartition("b").sortWithinPartitions("b").mapInArrow(forest, schema), "join-candidates")
 
 
 def _blocks(rest: DataFrame, sig: DataFrame, least: int, limit: int) -> DataFrame:
@@ -429,7 +451,7 @@ def exact_links(groups: DataFrame, sets: DataFrame, similarity: float, block: in
             [pa.array(ids), pa.array(ids[label]), pa.array(full.sum(axis=1)), pa.array(full.astype(np.int64) @ copies)],
             names=["cid", "to", "links", "linked_docs"])
     keys = ["label", "i", "j"]
-    return staged(units.join(sets, "cid").select(*keys, "lo", "cid", "copies", "items").repartition(*keys)
+    return staged(small_if(units).join(sets, "cid").select(*keys, "lo", "cid", "copies", "items").repartition(*keys)
                   .sortWithinPartitions(*keys, "cid")
                   .mapInArrow(run, "cid long, to long, links long, linked_docs long"), "join-exact")
 
@@ -468,7 +490,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", similarity: float =
     source = docs.select(F.col(id_col).cast("long").alias("source"), text_column().alias("text"))
     texts = source.join(wanted, source["source"].eqNullSafe(wanted["source"]), "left_semi")
     sets = texts.mapInArrow(collect_sets, "name_a long, name_b long, items binary")
-    sets = staged(sets.join(groups.select("cid", "name_a", "name_b"), ["name_a", "name_b"])
+    sets = staged(sets.join(small_if(groups.select("cid", "name_a", "name_b")), ["name_a", "name_b"])
                   .select("cid", "items").dropDuplicates(["cid"]), "join-sets")
     exact = exact_links(groups.select("label", "cid", "copies"), sets, similarity, block)
     final = components(exact.filter("cid <> to").select(F.col("cid").alias("a"), F.col("to").alias("b")))

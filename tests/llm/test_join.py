@@ -182,3 +182,15 @@ def test_no_plan_spans_the_levels(spark, monkeypatch):
     assert sum(name.startswith("join-judged") for name in joins) >= 3
     assert max(joins.values()) <= 16
     assert "Join " not in links._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_forest_joins_the_same_nodes(spark):
+    """Every class of a group is linked to many pivots of it; a batch keeps a link for each node but one."""
+    import pyarrow as pa
+    from riskweave.llm.ngram_join import forest
+    links = [(p, c) for c in range(100, 160) for p in range(20)] + [(500, 501), (501, 502), (502, 500), (700, 600)]
+    batch = pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*links)], names=["a", "b"])
+    kept = [(r["a"], r["b"]) for r in next(forest([batch])).to_pylist()]
+    assert len(kept) == 79 + 2 + 1
+    label = {r["node"]: r["label"] for r in components(spark.createDataFrame(kept, "a long, b long")).collect()}
+    assert label == {**dict.fromkeys([*range(20), *range(100, 160)], 0), 500: 500, 501: 500, 502: 500, 600: 600, 700: 600}
