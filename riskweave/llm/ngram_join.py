@@ -296,35 +296,26 @@ def candidate_links(classes: DataFrame, similarity: float, recall: float, limit:
         # The classes with the smallest hashes, so that buckets of one group tend to share their pivots.
         pivots = large.groupBy("node").agg(*(F.min_by(F.struct("cid", "label"), F.xxhash64("cid", F.lit(level * PIVOTS + k))).alias(f"m{k}")
                                              for k in range(PIVOTS)))
-        pivots = pivots.select("node", *(F.col(f"m{k}.cid").alias(f"p{k}") for k in range(PIVOTS)),
-                               *(F.col(f"m{k}.label").alias(f"l{k}") for k in range(PIVOTS)))
-        for k in range(PIVOTS):
-            pivots = pivots.join(sig.select(F.col("cid").alias(f"p{k}"), F.col("sig").alias(f"s{k}")), f"p{k}")
-        names = [[f"{x}{k}" for k in range(PIVOTS)] for x in "pls"]
-        pivots = pivots.select("node", F.array(*names[0]).alias("pivots"), F.array(*names[1]).alias("pivot_labels"),
-                               F.concat(*names[2]).alias("pivot_sig"))
+        pivots = pivots.select("node", F.posexplode(F.array(*(f"m{k}" for k in range(PIVOTS)))).alias("k", "m")).select("node", "k", "m.*")
+        pivots = pivots.join(sig, "cid").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("k", "cid", "label", "sig"))).alias("p"))
+        pivots = pivots.select("node", F.col("p.cid").alias("pivots"), F.col("p.label").alias("pivot_labels"),
+                               F.concat(*(F.col("p.sig")[k] for k in range(PIVOTS))).alias("pivot_sig"))
         judged = staged(large.join(sig, "cid").join(pivots, "node").select("node", "cid", "label", "sig", "pivots", "pivot_labels", "pivot_sig")
                         .mapInArrow(against_pivots, "node long, cid long, label long, settled boolean, doubtful boolean, near array<long>"),
                         f"join-judged-{level}")
         # Only classes that are not joined yet have links to find, where one of the two is open.
-        parts = (judged.groupBy("node", "label").agg(F.count("*").alias("n"), F.count_if(F.expr("doubtful or not settled")).alias("open"))
-                 .groupBy("node").agg(F.max_by("label", "n").alias("main"), (F.sum("n") - F.max("n")).alias("others"), F.sum("open").alias("open")))
-        parts = small_if(staged(parts.filter("others > 0 and open > 0").drop("open"), f"join-parts-{level}"))
-        parted = judged.join(parts, "node").select("node", "cid", "label", "main", "others", "settled", "doubtful",
-                                                   F.expr("doubtful or not settled").alias("open"))
-        few, many = parted.filter(F.col("others") <= 8 * limit), parted.filter(F.col("others") > 8 * limit)
-        rest = many.filter("not settled").select("node", "cid", "label")
+        open_ = F.expr("doubtful or not settled")
+        parts = judged.groupBy("node", "label").agg(F.count("*").alias("n"), *(F.count_if(c).alias(x) for x, c in (
+            ("open", open_), ("settled", F.col("settled")), ("doubtful", F.col("doubtful")))))
+        parts = parts.groupBy("node").agg(F.max_by(F.struct("label", "open"), "n").alias("main"), F.max("n").alias("largest"),
+                                          *(F.sum(x).alias(x) for x in ("n", "open", "settled", "doubtful")))
+        parts = staged(parts.withColumn("others", F.expr("n - largest")).filter("others > 0 and open > 0"), f"join-parts-{level}")
         # Further splits are worth their shuffle only where blocks alone would be many.
-        most = rest.groupBy("node").count().agg(F.max("count")).first()[0]
-        last = most is None or level == levels or most <= 8 * limit
-        # What is open outside a bucket's largest part asks all; what is open inside asks the settled ones outside.
-        outside = few.select("node", "cid", F.expr("open and label <> main").alias("asks"))
-        inside = few.filter("open = (label = main)").select(F.xxhash64("node", F.lit("inside")).alias("node"), "cid", F.col("open").alias("asks"))
-        # A settled class goes no further: what may be similar to it and has no link to its pivot meets it here.
-        beyond = (many.select("node", "cid", F.col("open").alias("asks")) if last
-                  else many.filter("settled or doubtful").select("node", "cid", F.col("doubtful").alias("asks")))
+        most = parts.filter(F.col("others") > 8 * limit).agg(F.max(F.expr("n - settled"))).first()[0]
+        last = not most or level == levels or most <= 8 * limit
+        parted = judged.join(small_if(_block_counts(parts, limit, last)), "node").withColumn("open", open_)
         # Written level by level: one plan of all levels takes hundreds of MB of the driver.
-        met = _blocks(outside.union(inside).union(beyond), sig, least, limit)
+        met = _blocks(parted, sig, least, last)
         links.append(staged(judged.select(F.explode("near").alias("a"), F.col("cid").alias("b")).filter("a <> b").union(met).distinct(),
                             f"join-met-{level}"))
         if last:
@@ -334,6 +325,7 @@ def candidate_links(classes: DataFrame, similarity: float, recall: float, limit:
         picks = F.expr(f"transform(sequence(1, {int(fan)} + int(pmod(xxhash64(node, 0), {part}) < {int(part * (fan % 1))})), "
                        f"k -> int(pmod(pmod(xxhash64(node, 1), {POSITIONS}) + k * (2 * pmod(xxhash64(node, 2), {POSITIONS // 2}) + 1), "
                        f"{POSITIONS})))")
+        rest = judged.filter("not settled").join(small_if(parts.filter(F.col("others") > 8 * limit).select("node")), "node", "left_semi")
         children = rest.select("node", "cid", "label", picks.alias("picks")).join(sig, "cid").select(
             "node", "cid", "label", "sig", F.explode("picks").alias("p"))
         paths = children.select("cid", F.xxhash64("node", "p", token("p")).alias("node"), "label")
@@ -344,16 +336,38 @@ def candidate_links(classes: DataFrame, similarity: float, recall: float, limit:
     return staged(out.repartition("b").sortWithinPartitions("b").mapInArrow(forest, schema), "join-candidates")
 
 
-def _blocks(rest: DataFrame, sig: DataFrame, least: int, limit: int) -> DataFrame:
-    """Classes that ask (``asks``) against all classes of their bucket, block by block."""
-    block = 8 * limit
-    counts = rest.groupBy("node").agg(F.ceil(F.count("*") / block).cast("int").alias("all"),
-                                      F.ceil(F.count_if("asks") / block).cast("int").alias("open")).filter("open > 0")
-    own = rest.join(counts, "node")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    place = lambda n: F.pmod(F.xxhash64("cid"), F.col(n)).cast("int")
-    asks = own.filter("asks").select("node", place("open").alias("block"), every("all").alias("other"), "cid", F.lit(1).alias("asks"))
-    told = own.select("node", every("open").alias("block"), place("all").alias("other"), "cid", F.lit(0).alias("asks"))
+def _block_counts(parts: DataFrame, limit: int, last: bool) -> DataFrame:
+    """node, main, few and the numbers of blocks of those that ask and of those that are told (``asks``, ``told``).
+
+    Where ``few`` are outside a bucket's largest part, what is open outside asks
+    all, and what is open inside asks the settled ones outside (``asks_in``,
+    ``told_in``). Else, at the last level, what is open asks all; before it, the
+    doubtful ask the settled ones, which go no further: what may be similar to
+    one and has no link to its pivot meets it here, the others split again.
+    """
+    outside = "open - main.open"
+    told = "n" if last else "if(few, n, settled)"
+    asks = f"if(few, {outside}, {'open' if last else 'doubtful'})"
+    counts = {"asks": asks, "told": told, "asks_in": "if(few, main.open, 0)", "told_in": f"if(few, others - ({outside}), 0)"}
+    sized = parts.withColumn("few", F.col("others") <= 8 * limit).select(
+        "node", F.col("main.label").alias("main"), "few",
+        *(F.ceil(F.expr(n) / (8 * limit)).cast("int").alias(x) for x, n in counts.items()))
+    return sized.filter("asks > 0 and told > 0 or asks_in > 0 and told_in > 0")
+
+
+def _blocks(parted: DataFrame, sig: DataFrame, least: int, last: bool) -> DataFrame:
+    """Links of the classes that ask to those that are told (:func:`_block_counts`), block by block."""
+    place = lambda n: f"int(pmod(xxhash64(cid), {n}))"
+
+    def units(node, asks, told, a, t):
+        """A class that asks meets all blocks of those told, and the other way round."""
+        none = "array()"
+        both = f"{a} > 0 and {t} > 0"
+        return [f"if({both} and {asks}, transform(sequence(0, {t} - 1), k -> struct({node} as node, {place(a)} as block, k as other, 1 as asks)), {none})",
+                f"if({both} and {told}, transform(sequence(0, {a} - 1), k -> struct({node} as node, k as block, {place(t)} as other, 0 as asks)), {none})"]
+    every = units("node", f"if(few, open and label <> main, {'open' if last else 'doubtful'})", "true" if last else "(few or settled)", "asks", "told")
+    every += units("xxhash64(node, 'inside')", "few and open and label = main", "few and not open and label <> main", "asks_in", "told_in")
+    units = parted.select("cid", F.explode(F.expr(f"concat({', '.join(every)})")).alias("unit")).select("unit.*", "cid")
 
     def run(batches):
         held, now = [], None
@@ -381,7 +395,7 @@ def _blocks(rest: DataFrame, sig: DataFrame, least: int, limit: int) -> DataFram
             off = label != np.arange(len(both))
             yield pa.RecordBatch.from_arrays([pa.array(both[label[off]]), pa.array(both[off])], names=["a", "b"])
     keys = ["node", "block", "other"]
-    return (asks.union(told).join(sig, "cid").select(*keys, "cid", "asks", "sig").repartition(*keys)
+    return (units.join(sig, "cid").select(*keys, "cid", "asks", "sig").repartition(*keys)
             .sortWithinPartitions(*keys, "cid").mapInArrow(run, "a long, b long"))
 
 
