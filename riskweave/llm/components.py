@@ -17,14 +17,16 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     No links give no rows; null ends are ignored.
     """
     pairs = links.select(F.col(a).alias("a"), F.col(b).alias("b")).filter("a is not null and b is not null")
-    both = staged(pairs.union(pairs.select("b", "a")).distinct(), "links")
+    both = staged(pairs.union(pairs.select("b", "a")), "links")
     labels = staged(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("label"))
                     .select(F.col("a").alias("node"), "label"), "labels")
+    few = labels.count() <= 500_000  # as many in every round
     while True:
-        told = (both.join(labels.withColumnRenamed("node", "a"), "a").groupBy("b").agg(F.min("label").alias("told"))
+        known = F.broadcast(labels) if few else labels
+        told = (both.join(known.withColumnRenamed("node", "a"), "a").groupBy("b").agg(F.min("label").alias("told"))
                 .withColumnRenamed("b", "node"))
-        lower = labels.join(told, "node").select("node", F.col("label").alias("old"), F.least("label", "told").alias("label"))
-        jump = labels.select(F.col("node").alias("label"), F.col("label").alias("up"))
+        lower = told.join(known, "node").select("node", F.col("label").alias("old"), F.least("label", "told").alias("label"))
+        jump = known.select(F.col("node").alias("label"), F.col("label").alias("up"))
         now = staged(lower.join(jump, "label").select(
             "node", F.least("label", "up").alias("label"), (F.least("label", "up") < F.col("old")).alias("moved")), "labels")
         labels = now.select("node", "label")

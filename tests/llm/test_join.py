@@ -240,3 +240,64 @@ def test_forest_joins_the_same_nodes(spark):
     assert len(kept) == 79 + 2 + 1
     label = {r["node"]: r["label"] for r in components(spark.createDataFrame(kept, "a long, b long")).collect()}
     assert label == {**dict.fromkeys([*range(20), *range(100, 160)], 0), 500: 500, 501: 500, 502: 500, 600: 600, 700: 600}
+
+
+def _shuffles(df):
+    """Exchanges of rows in the plan of a step, those sent to all executors not counted."""
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_small_sides_are_not_shuffled(spark, monkeypatch):
+    """Every shuffle costs a task for each shuffle partition: where one side of a join is small, the other stays where it is."""
+    from riskweave.llm import components as module
+    from riskweave.llm import ngram_join
+    rng, n = np.random.default_rng(12), 200
+    words = [f"w{k}" for k in range(3000)]
+    base = rng.choice(words, 80).tolist()
+    texts = [" ".join(w if rng.random() > 0.01 else "other" for w in base) for _ in range(n)]
+    texts += [" ".join([*base[:45], *rng.choice(words, 40)]) for _ in range(n)]  # a passage in common
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    seen, kept = [], ngram_join.staged
+
+    def counted(df, name):
+        seen.append((name, _shuffles(df)))
+        return kept(df, name)
+    monkeypatch.setattr(ngram_join, "staged", counted)
+    monkeypatch.setattr(module, "staged", counted)
+    found = near_duplicates(frame, limit=4)
+    most = {}
+    for name, shuffles in seen:
+        name = re.sub(r"-\d+$", "", name)
+        most[name] = max(shuffles, most.get(name, 0))
+    assert {"join-judged", "join-met", "join-exact", "join-members"} <= set(most)
+    assert _shuffles(found) == 0
+    none = ["join-signatures", "join-judged", "join-groups", "links"]
+    assert {k: most[k] for k in none} == dict.fromkeys(none, 0)
+    one = ["join-classes", "join-links", "join-pivots", "join-met", "join-sets", "join-exact", "labels", "join-members", "join-heads"]
+    assert {k: v for k, v in most.items() if k in one and v > 1} == {}
+    assert sorted(((r["doc_id"], r["class_id"], r["n_links"]) for r in found.collect()), key=str) == _brute(list(enumerate(texts)))[0]
+
+
+def test_few_blocks_end_the_splits(spark, monkeypatch):
+    """A level more is a dozen shuffles; where blocks of all that is open are few they are compared at once, with nothing left out."""
+    from riskweave.llm import ngram_join
+    rng, n = np.random.default_rng(8), 700
+    base = np.arange(64, dtype=np.uint32)
+    one = np.where(rng.random((n, 64)) < 0.3, base, rng.integers(10 ** 6, 10 ** 9, (n, 64))).astype(np.uint32)
+    two = one.copy()
+    two[:, np.random.default_rng(20).permutation(64)[:8]] = 7  # positions of level 0
+    sigs = [s for pair in zip(one, two) for s in pair]
+    frame = spark.createDataFrame([(k, bytearray(s.tobytes())) for k, s in enumerate(sigs)], "cid long, sig binary").localCheckpoint()
+    names, kept = [], ngram_join.staged
+
+    def seen(df, name):
+        names.append(name)
+        return kept(df, name)
+    monkeypatch.setattr(ngram_join, "staged", seen)
+    label = {r["node"]: r["label"] for r in components(ngram_join.candidate_links(frame, 0.8, 0.9999, limit=64, levels=6, slack=0.25)).collect()}
+    assert all(label[2 * k] == label[2 * k + 1] for k in range(n))
+    assert "join-judged-0" in names and "join-paths-1" not in names
+    names.clear()
+    monkeypatch.setattr(ngram_join, "BLOCK_PAIRS", 0)
+    ngram_join.candidate_links(frame, 0.8, 0.9999, limit=64, levels=6, slack=0.25)
+    assert "join-paths-1" in names
