@@ -57,3 +57,32 @@ def test_out_of_fold_covers_every_row_once(planted):
     oof = S.out_of_fold(planted, ["signal"], "y", FAST_LR, id_col="id")
     ids = [r.id for r in oof.collect()]
     assert sorted(ids) == list(range(240))
+
+
+def test_select_optimal_runs_the_whole_search(spark, monkeypatch):
+    from riskweave.plans import q_models as Q
+    rnd = random.Random(5)
+    names = [f"f{i:02d}" for i in range(12)]
+    rows = [(i, i % 2, *(rnd.random() * 3 for _ in names)) for i in range(200)]
+    df = EV.stratified_folds(spark.createDataFrame(rows, f"{Q.ID} long, {Q.LABEL} int, " + ", ".join(f"{n} double" for n in names)),
+                             Q.ID, Q.LABEL, 5).persist()
+    scored, fitted = [], []
+
+    def cross_validate(df, features, label, spec, *args, **kwargs):  # every feature adds to the score
+        scored.append((len(features), spec))
+        return {"mean_auc": 0.5 + len(features) / 100, "std_auc": 0.0}
+
+    def importance_table(df, target, features, spec):
+        fitted.append((len(features), spec))
+        return spark.createDataFrame([(i, f, 1.0) for i, f in enumerate(features)], "pos int, feature string, importance double")
+    monkeypatch.setattr(Q, "labelled", lambda spark, sf_dir: df)
+    monkeypatch.setattr(S, "cross_validate", cross_validate)
+    monkeypatch.setattr(SEL, "importance_table", importance_table)
+    out = Q.select_optimal(spark, "").collect()
+    df.unpersist()
+    assert sorted(r.feature for r in out) == names                  # no method is cut below the columns there are
+    forward, compared = scored[:-8], scored[-8:]
+    assert sorted(n for n, _ in forward) == sorted(n for n in range(1, 13) for _ in range(13 - n))  # every column left, every round
+    assert {s for _, s in forward} == {S.BOOSTED}
+    assert fitted == [(12, S.BOOSTED)] * 2
+    assert compared == [(12, s) for _ in range(4) for s in (S.FOREST, S.BOOSTED)]
